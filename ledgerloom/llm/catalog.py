@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import mixing, packing
 
 QUERIES = {
+    "op8_best_fit_packing": packing.op8,
     "op7_source_mixing": mixing.op7,
 }
 ORACLES = {
