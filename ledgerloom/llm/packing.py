@@ -14,7 +14,9 @@ table gives no rows; other columns are ignored. Texts that hold a special token'
 from __future__ import annotations
 
 import json
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +36,9 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+_UNCUT = re.compile(r" (?=\s|$)")  # spaces that don't begin a pre-token with a word
+
+
 class Encoder:
     """Ids of a byte-level BPE vocabulary file, as little-endian uint32 bytes, with a bounded cache of words.
 
@@ -41,7 +46,7 @@ class Encoder:
     parts be encoded and cached one by one; the result equals encoding the whole text.
     """
 
-    def __init__(self, path: str, entries: int = 400_000):
+    def __init__(self, path: str, entries: int = 500_000):
         import public_tokenizers
         import tiktoken
         from tokenizers import Tokenizer
@@ -61,7 +66,7 @@ class Encoder:
         if any(s in text for s in self.special):
             return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         first, *parts = text.split(" ")
-        if any(p == "" or p[0].isspace() for p in parts):
+        if _UNCUT.search(text):
             joined, whole = [], [first]
             for p in parts:
                 if p == "" or p[0].isspace():
@@ -71,19 +76,27 @@ class Encoder:
                     whole = [p]
             joined.append(" ".join(whole))
             first, *parts = joined
-        head = np.array(self.plain.encode_ordinary(first), "<u4").tobytes()
+        head = array("I", self.plain.encode_ordinary(first)).tobytes()
         return head + b"".join(map(self.cache.__getitem__, parts))
 
 
 class _Parts(dict):
+    """Ids of a word after a space. Two generations of at most `entries` words each: the older one goes when the newer is full."""
+
     def __init__(self, plain, entries: int):
         super().__init__()
-        self.plain, self.entries = plain, entries
+        self.plain, self.entries, self.old = plain, entries, {}
+        self.marks = {m: array("I", plain.encode_ordinary(m)).tobytes() for m in ".,!?;:"}
 
     def __missing__(self, part: str) -> bytes:
-        ids = np.array(self.plain.encode_ordinary(" " + part), "<u4").tobytes()
+        ids = self.old.get(part)
+        if ids is None:
+            if part[-1] in self.marks and part[:-1].isalpha():  # letters and one mark are two pre-tokens
+                return self[part[:-1]] + self.marks[part[-1]]
+            ids = array("I", self.plain.encode_ordinary(" " + part)).tobytes()
         if len(part) <= 48:
             if len(self) >= self.entries:
+                self.old = dict(self)
                 self.clear()
             self[part] = ids
         return ids
