@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import mixing, packing
+from . import html_text, mixing, packing
 
 QUERIES = {
+    "op1_html_extraction": html_text.op1,
     "op8_best_fit_packing": packing.op8,
     "op7_source_mixing": mixing.op7,
 }
