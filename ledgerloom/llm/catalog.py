@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import html_text, mixing, packing
+from . import html_text, language, mixing, packing, quality
 
 QUERIES = {
+    "op2_language_id": language.op2,
+    "op3_quality_classifier": quality.op3,
     "op1_html_extraction": html_text.op1,
     "op8_best_fit_packing": packing.op8,
     "op7_source_mixing": mixing.op7,

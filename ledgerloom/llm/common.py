@@ -106,3 +106,27 @@ def mixed_byte(raw: np.ndarray) -> np.ndarray:
 
 _BYTES = mixed((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _ODD)
 _INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
+
+
+def segments(raw: np.ndarray, off: np.ndarray, size: int = 4 << 20):
+    """Cut a batch into ranges [lo, hi) of about `size` bytes that end with a document or, in very long ones, with a word."""
+    lo = 0
+    while lo < len(raw):
+        hi = min(lo + size, len(raw))
+        if hi < len(raw):
+            k = int(np.searchsorted(off, hi, "right")) - 1
+            if off[k] > lo:
+                hi = int(off[k])
+            else:
+                stop = int(off[k + 1])
+                gap = np.flatnonzero(_SPACE[raw[hi:stop]])
+                hi = hi + int(gap[0]) + 1 if len(gap) else stop
+        yield lo, hi
+        lo = hi
+
+
+def lowered(column: pa.Array) -> pa.Array:
+    """The column in lower case, nulls as empty."""
+    import pyarrow.compute as pc
+
+    return pc.utf8_lower(column.fill_null("") if column.null_count else column)
