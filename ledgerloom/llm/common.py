@@ -82,28 +82,33 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word, from prefix sums of position-weighted bytes (exact modulo 2**64)."""
-    if len(starts) == 0:
-        return np.zeros(0, np.uint64)
-    powers = np.ones(len(raw), np.uint64)
-    if len(raw) > 1:
-        powers[1:] = _ODD
-        np.multiply.accumulate(powers, out=powers)
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(mixed_byte(raw) * powers, out=sums[1:])
-    inverse = np.full(int(starts[-1]) + 1, _INVERSE, np.uint64)
-    inverse[0] = 1
-    np.multiply.accumulate(inverse, out=inverse)
-    h = (sums[ends] - sums[starts]) * inverse[starts]
-    return mixed(h + (ends - starts).astype(np.uint64) * _ODD)
-
-
-def mixed_byte(raw: np.ndarray) -> np.ndarray:
-    """A fixed random 64-bit value for each byte."""
-    return _BYTES[raw]
+class Prefixes:
+    """Hashes of any byte ranges of one buffer, from prefix sums of position-weighted random byte values (modulo 2**64)."""
 
+    def __init__(self, raw: np.ndarray):
+        n = len(raw)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_BYTES[raw] * _powers(0, n), out=self.sums[1:])
+        self.inverse = _powers(1, n + 1)
 
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        h = (self.sums[ends] - self.sums[starts]) * self.inverse[starts]
+        return mixed(h + (ends - starts).astype(np.uint64) * _ODD)
+
+
+def _powers(which: int, n: int) -> np.ndarray:
+    """Powers of the base (0) or of its inverse (1); kept for the next buffer, up to 8 million."""
+    kept = _POWERS[which]
+    if len(kept) < n:
+        kept = np.full(max(n, 1 << 16), (_ODD, _INVERSE)[which], np.uint64)
+        kept[0] = 1
+        np.multiply.accumulate(kept, out=kept)
+        if len(kept) <= 8 << 20:
+            _POWERS[which] = kept
+    return kept[:n]
+
+
+_POWERS = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
 _BYTES = mixed((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _ODD)
 _INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
 

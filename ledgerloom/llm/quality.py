@@ -1,8 +1,9 @@
 """Quality classifier: ordinal cumulative-link regression over hashed text with ordered thresholds.
 
-Grades: 0 low quality, 1 toxic, 2 good. P(grade <= k) = sigmoid(threshold_k - s), where s is the sum of one shared weight per
-distinct feature of the text: runs of letters (lower case), their first five bytes, and runs of marks. The thresholds are kept
-in order by learning the lowest one and the logarithm of the step to the next. The weights give the expected grade and the tail
+Grades count what is right with a text: one for good quality, one for not being toxic, so 0, 1 or 2. P(grade <= k) = sigmoid(threshold_k - s), where s is the sum of one shared weight per
+distinct feature of the text: runs of letters (lower case), their first four and five bytes, and runs of marks. The thresholds
+are kept in order by learning the lowest one and the logarithm of the step to the next. Weights are held at or below zero: a
+feature can only speak against a text, so a long good text does not outweigh what is wrong with it. The weights give the expected grade and the tail
 probability P(grade = 2), by which documents are selected.
 
 Fitted on a bounded sample of labelled rows, `sample` of them in expectation, picked by a hash of doc_id.
@@ -21,20 +22,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lowered, segments, table, utf8, word_hashes
+from .common import Prefixes, lowered, mixed, segments, table, utf8
 
 BITS = 18
-GRADES = 3
+HEADS = (4, 5)  # bytes of a word that are features besides the whole word
 _CLASS = np.zeros(256, np.uint8)  # 0 white space, 1 letters (and bytes of longer characters), 2 marks and digits
 _CLASS[33:] = 2
 _CLASS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(documents, buckets): the distinct hashed features of each text, by document."""
+    """(documents, buckets): the distinct hashed features of each text, by document.
+
+    Two more features say how repetitive it is: the share of distinct runs and that of the most frequent one, in eighths.
+    """
     raw, off = utf8(lowered(texts))
-    kept = []
-    for lo, hi in segments(raw, off):
+    kept, runs, times = [], [], []
+    for lo, hi in segments(raw, off, 1 << 20):
         a, kinds = raw[lo:hi], _CLASS[raw[lo:hi]]
         edges = np.r_[True, kinds[1:] != kinds[:-1]]
         inner = off[(off > lo) & (off < hi)] - lo
@@ -44,12 +48,30 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         own = kinds[starts] > 0
         starts, ends = starts[own], ends[own]
         doc = np.searchsorted(off, starts + lo, "right") - 1
-        letters = kinds[starts] == 1 if len(starts) else np.zeros(0, bool)
-        whole = word_hashes(a, starts, ends)
-        head = word_hashes(a, starts[letters], np.minimum(ends[letters], starts[letters] + 5))
-        keys = np.concatenate([_key(doc, whole), _key(doc[letters], head ^ np.uint64(0xA5A5A5A5A5A5A5A5))])
-        kept.append(np.unique(keys))
-    keys = np.unique(np.concatenate(kept)) if len(kept) > 1 else kept[0] if kept else np.zeros(0, np.int64)
+        letters = kinds[starts] == 1
+        hashed = Prefixes(a)
+        key, n = np.unique(_key(doc, hashed(starts, ends)), return_counts=True)
+        runs.append(key)
+        times.append(n)
+        doc, starts, ends = doc[letters], starts[letters], ends[letters]
+        for n in HEADS:
+            kept.append(np.unique(_key(doc, hashed(starts, np.minimum(ends, starts + n)) ^ np.uint64(0xA5A5A5A5A5A5A5A5 + n))))
+    if not runs:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    key = np.concatenate(runs)
+    order = np.argsort(key, kind="stable") if len(runs) > 1 else np.arange(len(key))
+    key, n = key[order], np.concatenate(times)[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    if len(first):
+        key, n = key[first], np.add.reduceat(n, first)
+        doc = key >> BITS
+        at = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+        total, most, distinct = np.add.reduceat(n, at), np.maximum.reduceat(n, at), np.diff(np.r_[at, len(key)])
+        size = np.minimum(np.log2(total).astype(np.int64), 9)
+        for what, part in enumerate((distinct, most)):
+            bins = (what * 10 + size) * 9 + 8 * part // total
+            kept.append(_key(doc[at], mixed((bins + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))))
+    keys = np.unique(np.concatenate([key, *kept]))
     return keys >> BITS, keys & ((1 << BITS) - 1)
 
 
@@ -69,16 +91,28 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.cuts[None, :] - s[:, None], -50, 50)))
 
 
-def train(bags: list[np.ndarray], grades: np.ndarray, *, epochs: int = 6, rate: float = 0.3, decay: float = 1e-5, seed: int = 1) -> Model:
-    """Minibatch gradient descent with per-weight step sizes on the negative log-likelihood of the grades."""
-    weights, squares = np.zeros(1 << BITS), np.full(1 << BITS, 1e-2)
+def train(bags: list[np.ndarray], grades: np.ndarray, *, epochs: int = 40, rate: float = 1.5, least: int = 5, shrink: float = 0.05, seed: int = 1) -> Model:
+    """Minibatch gradient descent with per-weight step sizes on the negative log-likelihood of the grades.
+
+    Features of fewer than `least` documents keep weight 0: they would take the blame that belongs to those that recur.
+    `shrink` pulls every touched weight towards 0, so that weak evidence does not add up over a long text.
+    """
     low, step = -4.0, np.log(2.0)
+    if not len(bags):
+        return Model(np.zeros(1 << BITS, np.float32), np.array([low, low + 2.0]))
+    seen = np.bincount(np.concatenate(bags), minlength=1 << BITS)
+    kept = np.flatnonzero(seen >= least)
+    number = np.full(1 << BITS, -1)
+    number[kept] = np.arange(len(kept))
+    bags = [x[x >= 0] for x in (number[bag] for bag in bags)]
+    weights, squares = np.zeros(len(kept)), np.full(len(kept), 1e-2)
     rng = np.random.default_rng(seed)
-    for _ in range(epochs if len(bags) else 0):
-        for batch in np.array_split(rng.permutation(len(bags)), len(bags) // 32 + 1):
-            if not len(batch):
+    for epoch in range(epochs):
+        speed = rate * (1 - epoch / epochs)
+        for batch in np.array_split(rng.permutation(len(bags)), len(bags) // 64 + 1):
+            ids = np.concatenate([bags[k] for k in batch]) if len(batch) else np.zeros(0, np.int64)
+            if not len(ids):
                 continue
-            ids = np.concatenate([bags[k] for k in batch])
             rows = np.repeat(np.arange(len(batch)), [len(bags[k]) for k in batch])
             s = np.bincount(rows, weights[ids], len(batch))
             y = grades[batch]
@@ -88,20 +122,22 @@ def train(bags: list[np.ndarray], grades: np.ndarray, *, epochs: int = 6, rate:
             ds = np.where(y == 0, 1 - b, np.where(y == 2, -a, 1 - a - b))
             da = np.where(y == 2, a, np.where(y == 1, -a * (1 - a) / width, 0.0))
             db = np.where(y == 0, b - 1, np.where(y == 1, b * (1 - b) / width, 0.0))
-            g = np.bincount(ids, ds[rows], 1 << BITS)
-            at = np.unique(ids)
-            own = g[at] + decay * weights[at]
-            squares[at] += own * own
-            weights[at] -= rate * own / np.sqrt(squares[at])
-            low -= 0.02 * float(np.mean(np.clip(da + db, -5, 5)))
-            step -= 0.02 * float(np.mean(np.clip(da, -5, 5))) * np.exp(step)
-    return Model(weights.astype(np.float32), np.array([low, low + np.exp(step)]))
+            g = np.bincount(ids, ds[rows], len(kept))
+            touched = np.bincount(ids, minlength=len(kept)) > 0
+            g -= shrink * touched
+            squares += g * g
+            weights = np.minimum(0, weights - speed * g / np.sqrt(squares) * touched)
+            low -= 0.2 * speed * float(np.mean(np.clip(da + db, -5, 5)))
+            step = min(3.0, step - 0.2 * speed * float(np.mean(np.clip(da, -5, 5))) * np.exp(step))
+    every = np.zeros(1 << BITS, np.float32)
+    every[kept] = weights
+    return Model(every, np.array([low, low + np.exp(step)]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, sample: int = 12_000) -> Model:
     """A model from a hashed sample of the labelled documents; their features, not their texts, go to the driver."""
     quality, toxic = F.col("quality"), F.coalesce(F.col("toxic"), F.lit(0))
-    graded = labels.filter("doc_id is not null and quality is not null").select("doc_id", F.when(quality <= 0, 0).when(toxic > 0, 1).otherwise(2).alias("grade"))
+    graded = labels.filter("doc_id is not null and quality is not null").select("doc_id", (F.when(quality > 0, 1).otherwise(0) + F.when(toxic > 0, 0).otherwise(1)).alias("grade"))
     part = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("quality sample")), F.lit(1 << 30))
     graded = graded.withColumnRenamed("doc_id", "of").groupBy("of").agg(F.min("grade").alias("grade")).withColumnRenamed("of", "doc_id")
     n = max(1, graded.count())
