@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import html_text, language, mixing, packing, quality
+from . import html_text, language, mixing, packing, quality, topk
 
 QUERIES = {
+    "op9_exact_topk": topk.op9,
     "op2_language_id": language.op2,
     "op3_quality_classifier": quality.op3,
     "op1_html_extraction": html_text.op1,
@@ -12,5 +13,6 @@ QUERIES = {
     "op7_source_mixing": mixing.op7,
 }
 ORACLES = {
+    "op9_exact_topk": topk.ORACLE,
     "op7_source_mixing": mixing.ORACLE,
 }
