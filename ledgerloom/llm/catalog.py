@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import html_text, language, mixing, packing, quality, topk
+from . import html_text, language, mixing, packing, quality, topk, vector_dedup
 
 QUERIES = {
+    "op6_embedding_dedup": vector_dedup.op6,
     "op9_exact_topk": topk.op9,
     "op2_language_id": language.op2,
     "op3_quality_classifier": quality.op3,
