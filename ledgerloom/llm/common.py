@@ -135,3 +135,12 @@ def lowered(column: pa.Array) -> pa.Array:
     import pyarrow.compute as pc
 
     return pc.utf8_lower(column.fill_null("") if column.null_count else column)
+
+
+def whole_documents(off: np.ndarray, size: int = 1 << 20):
+    """Cut a batch into ranges [i, j) of whole documents of about `size` bytes; a longer document is a range of its own."""
+    i, n = 0, len(off) - 1
+    while i < n:
+        j = max(i + 1, int(np.searchsorted(off, off[i] + size, "right")) - 1)
+        yield i, j
+        i = j
