@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import html_text, language, mixing, near_dedup, packing, quality, substring_dedup, topk, vector_dedup
+from . import bwt_dedup, html_text, language, mixing, near_dedup, packing, quality, substring_dedup, topk, vector_dedup
 
 QUERIES = {
+    "op4_suffix_dedup": bwt_dedup.op4,
     "op10_substring_dedup": substring_dedup.op10,
     "op5_minhash_dedup": near_dedup.op5,
     "op6_embedding_dedup": vector_dedup.op6,

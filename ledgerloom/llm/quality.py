@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Prefixes, lowered, mixed, segments, table, utf8
+from .common import Prefixes, lowered, mixed, segments, table, utf8, whole_documents
 
 BITS = 18
 HEADS = (4, 5)  # bytes of a word that are features besides the whole word
@@ -86,8 +86,10 @@ class Model:
 
     def tails(self, texts: pa.Array) -> np.ndarray:
         """P(grade > k) for each text (row) and threshold k (column)."""
-        doc, bucket = features(texts)
-        s = np.bincount(doc, self.weights[bucket], len(texts)) if len(doc) else np.zeros(len(texts))
+        s = np.zeros(len(texts))
+        for i, j in whole_documents(utf8(texts)[1], 2 << 20):
+            doc, bucket = features(texts.slice(i, j - i))
+            s[i:j] = np.bincount(doc, self.weights[bucket], j - i)
         return 1 / (1 + np.exp(np.clip(self.cuts[None, :] - s[:, None], -50, 50)))
 
 
