@@ -37,13 +37,13 @@ TEXT = np.dtype([("hash", "<u8"), ("size", "<u2"), ("windows", "u1"), ("at", "u1
 SPAN = np.dtype([("key", "<i8"), ("start", "<u4"), ("size", "<u4")])
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """key (one per row), id, text (never null). The key is doc_id where that is unique and never null, else a row number."""
-    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+def keyed(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """key (one per row), id, text (never null), carried columns. The key is doc_id where that is unique and never null, else a row number."""
+    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *carry)
     twice = own.groupBy("id").count().agg(F.max("count"), F.max("id")).first()
     if (twice[0] or 0) > 1 or twice[1] == LAST_ID:
-        return cut(own).withColumn("key", F.monotonically_increasing_id()).select("key", "id", "text")
-    return own.select(F.col("id").alias("key"), "id", "text")
+        return cut(own).withColumn("key", F.monotonically_increasing_id()).select("key", "id", "text", *carry)
+    return own.select(F.col("id").alias("key"), "id", "text", *carry)
 
 
 def leftmost_minima(h: np.ndarray, width: int) -> np.ndarray:
@@ -202,7 +202,7 @@ def repeated_spans(rows: DataFrame, units: Units, compare: Compare, finish, sche
         return finish(table, spans)
 
     kind = "bucket int, block binary"
-    dealt = rows.mapInArrow(_dealer(n), "bucket int, key long, id long, text string")
+    dealt = rows.mapInArrow(_dealer(n), ", ".join(["bucket int", *(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)]))
     asked = rows.select("key", "text").mapInArrow(anchors, kind).groupBy("bucket").applyInArrow(repeated, kind)
     sent = dealt.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(texts, kind)
     spans = sent.groupBy("bucket").applyInArrow(compared, kind)
@@ -213,7 +213,7 @@ def _dealer(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bucket = _pick(batch.column(0).to_numpy(), n).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket), *batch.columns], ["bucket", "key", "id", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(bucket), *batch.columns], ["bucket", *batch.schema.names])
 
     return run
 

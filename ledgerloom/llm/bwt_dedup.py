@@ -144,8 +144,11 @@ def _settle(batch: list[dict[bytes, list[tuple[int, int, int]]]], out: np.ndarra
     out[np.repeat(first[flat[:, 0]] + flat[:, 1], n) + k] = owner[blocks]
 
 
-def remove_repeats(docs: DataFrame, *, length: int = 50, seed: int = 16, with_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (the bytes that stay)."""
+def remove_repeats(docs: DataFrame, *, length: int = 50, seed: int = 16, with_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, carried columns of docs and, if asked for, kept: what stays, as text.
+
+    In kept, the parts of characters that a cut runs through are left out.
+    """
 
     def compare(texts, hashes, at, windows, least):
         return merged(texts, hashes, at, windows, least, length=length, seed=seed)
@@ -169,10 +172,12 @@ def remove_repeats(docs: DataFrame, *, length: int = 50, seed: int = 16, with_te
             "n_spans": pa.array(runs[off[1:]] - runs[off[:-1]]),
             "kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()),
         }
-        return pa.table(columns | ({"kept": pa.array(kept, pa.binary())} if with_text else {}))
+        columns |= {c: rows.column(c) for c in carry}
+        return pa.table(columns | ({"kept": pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string())} if with_text else {}))
 
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return repeated_spans(keyed(docs), lambda raw, off: byte_units(raw, off, seed), compare, finish, schema, length=length, seed=seed)
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema += "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry) + ", kept string" * with_text
+    return repeated_spans(keyed(docs, carry), lambda raw, off: byte_units(raw, off, seed), compare, finish, schema, length=length, seed=seed)
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
