@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from . import linking, reporting, texts
+
 FLAGSHIP = "category_share"
-QUERIES: dict = {}
-ORACLES: dict = {}
+QUERIES: dict = reporting.QUERIES | linking.QUERIES | texts.QUERIES
+ORACLES: dict = reporting.ORACLES | linking.ORACLES | texts.ORACLES
