@@ -102,3 +102,24 @@ def remove_repeats(docs: DataFrame, *, length: int = 13, seed: int = 5, with_tex
 def op10(spark, sf_dir: str) -> DataFrame:
     """Every document without the passages of 13 words or more that a document with a smaller id has."""
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+ORACLE = """
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+') AS ws FROM documents
+), win AS (
+  SELECT doc_id, k, md5(array_to_string(list_slice(ws, k, k + 12), ' ')) AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS k FROM w WHERE len(ws) >= 13)
+), owner AS (
+  SELECT g, min(doc_id) AS first_doc FROM win GROUP BY g
+), gone AS (
+  SELECT DISTINCT doc_id, pos FROM (SELECT doc_id, unnest(range(k, k + 13)) AS pos FROM win JOIN owner USING (g) WHERE first_doc < doc_id)
+), word AS (
+  SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM w
+), kept AS (
+  SELECT word.doc_id, count(gone.pos) AS n_removed, string_agg(word, ' ' ORDER BY word.pos) FILTER (gone.pos IS NULL) AS text
+  FROM word LEFT JOIN gone ON gone.doc_id = word.doc_id AND gone.pos = word.pos GROUP BY word.doc_id
+)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
+"""
