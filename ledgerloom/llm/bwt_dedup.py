@@ -183,3 +183,28 @@ def remove_repeats(docs: DataFrame, *, length: int = 50, seed: int = 16, with_te
 def op4(spark, sf_dir: str) -> DataFrame:
     """Every document without the bytes of 50-byte strings that start in a document with a smaller id."""
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+ORACLE = """
+WITH w AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents
+), win AS (
+  SELECT doc_id, k, md5(substr(h, 2 * k + 1, 100)) AS g FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS k FROM w WHERE n >= 50)
+), owner AS (
+  SELECT g, min(doc_id) AS first_doc FROM win GROUP BY g
+), starts AS (
+  SELECT doc_id, k, lag(k) OVER (PARTITION BY doc_id ORDER BY k) AS before FROM win JOIN owner USING (g) WHERE first_doc < doc_id
+), runs AS (
+  SELECT doc_id, k, sum(CASE WHEN before IS NULL OR k > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY k) AS run FROM starts
+), spans AS (
+  SELECT doc_id, run, min(k) AS a, max(k) + 50 AS b FROM runs GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS prev FROM spans
+), cut AS (
+  SELECT w.doc_id, any_value(n) AS n, any_value(h) AS h, count(a) AS n_spans, coalesce(sum(b - a), 0) AS n_removed,
+    string_agg(substr(h, CAST(2 * prev + 1 AS BIGINT), CAST(2 * (a - prev) AS BIGINT)), '' ORDER BY a) AS front, coalesce(max(b), 0) AS last
+  FROM w LEFT JOIN gaps ON gaps.doc_id = w.doc_id GROUP BY w.doc_id
+)
+SELECT doc_id, n AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, n_spans,
+  sha256(unhex(coalesce(front, '') || substr(h, CAST(2 * last + 1 AS BIGINT)))) AS kept_sha256 FROM cut
+"""

@@ -17,6 +17,7 @@ QUERIES = {
     "op7_source_mixing": mixing.op7,
 }
 ORACLES = {
+    "op4_suffix_dedup": bwt_dedup.ORACLE,
     "op10_substring_dedup": substring_dedup.ORACLE,
     "op9_exact_topk": topk.ORACLE,
     "op7_source_mixing": mixing.ORACLE,
