@@ -73,7 +73,7 @@ def fragments(seeds: np.ndarray, off: np.ndarray, length: int, seed: int) -> tup
     keep = whole[start]
     start, windows = start[keep], windows[keep]
     at = anchor[start].astype(np.int64)
-    return doc[start], start, windows, at - start, seeds[at] >> np.uint64(16)
+    return doc[start], start, windows, at - start, seeds[at] >> np.uint64(24)
 
 
 def _rows(bucket: np.ndarray, entries: np.ndarray) -> pa.RecordBatch:
@@ -82,12 +82,22 @@ def _rows(bucket: np.ndarray, entries: np.ndarray) -> pa.RecordBatch:
     bucket, entries = bucket[order], entries[order]
     first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
     ends = np.r_[first[1:], len(bucket)]
-    blocks = [entries[a:b].tobytes() for a, b in zip(first, ends, strict=True)]
+    blocks = [_planes(entries[a:b]) for a, b in zip(first, ends, strict=True)]
     return pa.RecordBatch.from_arrays([pa.array(bucket[first].astype(np.int32)), pa.array(blocks, pa.binary())], ["bucket", "block"])
 
 
+def _planes(entries: np.ndarray) -> bytes:
+    """The entries byte by byte: first all first bytes, then all second ones. Equal high bytes then lie together and compress."""
+    return entries.view(np.uint8).reshape(len(entries), entries.dtype.itemsize).T.tobytes()
+
+
+def _entries(data, kind: np.dtype, n: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint8, n * kind.itemsize).reshape(kind.itemsize, n).T.copy().view(kind).reshape(n)
+
+
 def _joined(blocks: pa.ChunkedArray, kind: np.dtype) -> np.ndarray:
-    return np.frombuffer(b"".join(x.as_py() for x in blocks), kind)
+    parts = [x.as_py() for x in blocks]
+    return np.concatenate([_entries(x, kind, len(x) // kind.itemsize) for x in parts]) if parts else np.zeros(0, kind)
 
 
 def _pick(h: np.ndarray, n: int) -> np.ndarray:
@@ -118,8 +128,9 @@ def repeated_spans(rows: DataFrame, units: Units, compare: Compare, finish, sche
         found = entries[order[np.repeat(several, np.diff(np.r_[first, len(h)]))]]
         return pa.Table.from_batches([_rows(_pick(found["key"], n), found)])
 
-    def texts(table: pa.Table, blocks: pa.Table) -> pa.Table:
-        if not table.num_rows or not blocks.num_rows:
+    def texts(dealt: pa.Table, blocks: pa.Table) -> pa.Table:
+        table = _documents(dealt)
+        if table is None or not blocks.num_rows:
             return pa.Table.from_batches([_rows(np.zeros(0, np.int64), np.zeros(0, ENTRY))])
         entries = _joined(blocks.column("block"), ENTRY)
         keys, ids = table.column("key").to_numpy(), table.column("id").to_numpy()
@@ -129,7 +140,7 @@ def repeated_spans(rows: DataFrame, units: Units, compare: Compare, finish, sche
         buffer, starts, unit_off, _ = units(raw, off)
         begin = unit_off[row] + entries["start"]
         lo, hi = starts[begin], starts[begin + entries["windows"] + (length - 1)]
-        data, number = buffer.tobytes(), {}
+        data, number, zstd = buffer.tobytes(), {}, pa.Codec("zstd")
         which = np.fromiter((number.setdefault(data[a:b], len(number)) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)), np.int64, len(lo))
         unique = list(number)
         example = np.zeros(len(unique), np.int64)
@@ -138,7 +149,7 @@ def repeated_spans(rows: DataFrame, units: Units, compare: Compare, finish, sche
         head["hash"], head["windows"], head["at"] = (entries[c][example] for c in ("hash", "windows", "at"))
         head["size"] = [len(x) for x in unique]
         place = np.empty(len(which), PLACE)
-        place["key"], place["id"], place["start"] = entries["key"], ids[row], entries["start"]
+        place["key"], place["id"], place["start"] = entries["key"], ids[row] - entries["key"], entries["start"]
         to = _pick(head["hash"], n)
         by_text, by_place = np.argsort(to, kind="stable"), np.argsort(to[which], kind="stable")
         out_bucket, out_block = [], []
@@ -150,20 +161,22 @@ def repeated_spans(rows: DataFrame, units: Units, compare: Compare, finish, sche
             there = by_place[place_cuts[b] : place_cuts[b + 1]]
             part = place[there]
             part["fragment"] = local[which[there]]
-            body = [np.array([len(own), len(there)], "<i8").tobytes(), head[own].tobytes(), part.tobytes(), *(unique[k] for k in own)]
+            body = [np.array([len(own), len(there)], "<i8").tobytes(), _planes(head[own]), _planes(part), zstd.compress(b"".join(unique[k] for k in own), asbytes=True)]
             out_bucket.append(int(b))
             out_block.append(b"".join(body))
         return pa.table({"bucket": pa.array(out_bucket, pa.int32()), "block": pa.array(out_block, pa.binary())})
 
     def compared(table: pa.Table) -> pa.Table:
         number: dict[bytes, int] = {}
-        heads, places, base = [], [], 0
+        heads, places, base, zstd = [], [], 0, pa.Codec("zstd")
         for block in table.column("block"):
             data = block.as_py()
             n_texts, n_places = np.frombuffer(data, "<i8", 2)
-            head = np.frombuffer(data, TEXT, n_texts, 16)
-            part = np.frombuffer(data, PLACE, n_places, 16 + head.nbytes).copy()
-            ends = np.cumsum(head["size"], dtype=np.int64) + 16 + head.nbytes + part.nbytes
+            head = _entries(data[16 : 16 + n_texts * TEXT.itemsize], TEXT, n_texts)
+            part = _entries(data[16 + head.nbytes : 16 + head.nbytes + n_places * PLACE.itemsize], PLACE, n_places)
+            part["id"] += part["key"]
+            ends = np.cumsum(head["size"], dtype=np.int64)
+            data = zstd.decompress(data[16 + head.nbytes + part.nbytes :], int(ends[-1]), asbytes=True)
             to = np.empty(n_texts, np.int64)
             for k, (a, b) in enumerate(zip((ends - head["size"]).tolist(), ends.tolist(), strict=True)):
                 text = data[a:b]
@@ -197,12 +210,12 @@ def repeated_spans(rows: DataFrame, units: Units, compare: Compare, finish, sche
         spans = np.concatenate(found)
         return pa.Table.from_batches([_rows(_pick(spans["key"], n), spans)])
 
-    def ended(table: pa.Table, blocks: pa.Table) -> pa.Table:
+    def ended(dealt: pa.Table, blocks: pa.Table) -> pa.Table:
         spans = _joined(blocks.column("block"), SPAN) if blocks.num_rows else np.zeros(0, SPAN)
-        return finish(table, spans)
+        return finish(_documents(dealt), spans)
 
     kind = "bucket int, block binary"
-    dealt = rows.mapInArrow(_dealer(n), ", ".join(["bucket int", *(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)]))
+    dealt = rows.mapInArrow(_dealer(n), kind)
     asked = rows.select("key", "text").mapInArrow(anchors, kind).groupBy("bucket").applyInArrow(repeated, kind)
     sent = dealt.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(texts, kind)
     spans = sent.groupBy("bucket").applyInArrow(compared, kind)
@@ -210,14 +223,32 @@ def repeated_spans(rows: DataFrame, units: Units, compare: Compare, finish, sche
 
 
 def _dealer(n: int):
+    """Rows dealt to buckets of documents, as one compressed Arrow stream for each bucket and batch."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
         for batch in batches:
-            bucket = _pick(batch.column(0).to_numpy(), n).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket), *batch.columns], ["bucket", *batch.schema.names])
+            bucket = _pick(batch.column(0).to_numpy(), n)
+            order = np.argsort(bucket, kind="stable")
+            bucket, batch = bucket[order], batch.take(pa.array(order))
+            first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
+            blocks = []
+            for lo, hi in zip(first, np.r_[first[1:], len(bucket)], strict=True):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema, options=options) as out:
+                    out.write_batch(pa.RecordBatch.from_arrays([pa.concat_arrays([c]) for c in batch.slice(lo, hi - lo).columns], schema=batch.schema))
+                blocks.append(sink.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[first].astype(np.int32)), pa.array(blocks, pa.binary())], ["bucket", "block"])
 
     return run
 
 
+def _documents(dealt: pa.Table) -> pa.Table | None:
+    """The rows of one bucket again; None without rows."""
+    parts = [pa.ipc.open_stream(x.as_py()).read_all() for x in dealt.column("block")] if dealt.num_rows else []
+    return pa.concat_tables(parts) if parts else None
+
+
 def covered(table: pa.Table, spans: np.ndarray, unit_off: np.ndarray) -> np.ndarray:
     """For each unit of the documents in a table, whether a span covers it."""
     keys = table.column("key").to_numpy()
