@@ -5,9 +5,11 @@ evaluations of plain min-hashing fill the same bands. Documents that share a ban
 by the Jaccard similarity of the full sets.
 
 1. One Arrow pass gives the size of the set, two digests of it and the band keys; equal sets become one class.
-2. Round one confirms one edge a class (to the smallest class it shares a band with), round two the edges to the smallest class
-   of every shared band between different components, round three all pairs of a band between different components. A large
-   group of near copies is one component after the first rounds and makes no pairs; links inside a component need no check.
+2. The centre of a band is its class with the most partners over all bands: among edited copies of one text that is the text
+   they come from. Round one confirms one edge a class (to the best centre of its bands), round two the edges to the centres
+   of all its bands between different components, round three all pairs of a band between different components. A large group
+   of near copies is one component after the first rounds and makes no pairs; links inside a component need no check. Pairs
+   that a parity sketch of the sets proves to be below the threshold are not made.
 3. Sets are built anew from the text for classes with candidates only; components come from star rounds.
 
 With 160 values in 32 bands of 5, a pair at similarity 0.8 shares no band with probability 3e-6.
@@ -32,6 +34,7 @@ from .graph import components
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 WIDTH = 48  # bits of a shingle's hash
+CELLS = 512  # bits of the parity sketch
 
 
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -94,8 +97,26 @@ def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def parity_sketches(first: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """For each set, CELLS bits as longs: whether an odd number of its items falls into the cell.
+
+    Cells that differ between two sets number no more than the items that are in one set only, so they bound the similarity
+    from above without error.
+    """
+    n = len(first) - 1
+    doc = np.repeat(np.arange(n), np.diff(first))
+    odd = np.bincount(doc * CELLS + (values % np.uint64(CELLS)).astype(np.int64), minlength=n * CELLS) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(n, CELLS), axis=1).view(np.int64)
+
+
+def may_link(n, m, sketch, other, percent: int):
+    """Condition that every pair at or above the similarity meets: D items in one set only need D * (100 + p) <= (n + m) * (100 - p)."""
+    differing = sum((F.bit_count(sketch[k].bitwiseXOR(other[k])) for k in range(CELLS // 64)), F.lit(0))
+    return differing * (100 + percent) <= (n + m) * (100 - percent)
+
+
 def described(docs: DataFrame, width: int, permutations: int, rows: int) -> DataFrame:
-    """doc_id, n_shingles, d1, d2, bands of every document (bands is null for an empty set)."""
+    """doc_id, n_shingles, d1, d2, bands, sketch of every document (bands is empty for an empty set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -109,12 +130,14 @@ def described(docs: DataFrame, width: int, permutations: int, rows: int) -> Data
                     digests.append((sums[first[1:]] - sums[first[:-1]]).view(np.int64))
                 offsets = np.r_[0, np.cumsum(some) * keys.shape[1]].astype(np.int32)
                 bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))
+                cells = parity_sketches(first, values)
+                sketch = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * cells.shape[1]), pa.array(cells.ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array(n), *map(pa.array, digests), bands], ["doc_id", "n_shingles", "d1", "d2", "bands"]
+                    [batch.column(0).slice(i, j - i), pa.array(n), *map(pa.array, digests), bands, sketch], ["doc_id", "n_shingles", "d1", "d2", "bands", "sketch"]
                 )
 
     own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return own.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
+    return own.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sketch array<long>")
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -157,26 +180,35 @@ def near_duplicates(docs: DataFrame, *, width: int = 2, percent: int = 80, permu
     """doc_id, n_shingles, component_id, kept for every row."""
     seen = cut(described(docs, width, permutations, rows))
     classes = seen.filter("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2")
-    classes = classes.agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    classes = classes.agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     classes = cut(classes)
     members = classes.select("rep", "n", F.explode("bands").alias("band"))
-    shared = members.groupBy("band").agg(F.min("rep").alias("least"), F.count("*").alias("size")).filter("size > 1")
-    members = cut(members.join(shared, "band").select("band", "rep", "n", "least"))
-    one = members.filter("rep <> least").groupBy("rep").agg(F.min("least").alias("a")).select("a", F.col("rep").alias("b"))
+    shared = members.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
+    members = members.join(shared, "band")
+    fame = members.groupBy("rep").agg(F.sum("size").alias("fame"))
+    members = cut(members.join(fame, "rep").select("band", "rep", "n", "fame"))
+    lead = members.groupBy("band").agg(F.max(F.struct("fame", (-F.col("rep")).alias("minus"))).alias("lead"))
+    members = cut(members.join(lead, "band").select("band", "rep", "n", "lead"))
+    centre = -F.col("lead.minus")
+    one = members.filter(F.col("rep") != centre).groupBy("rep").agg(F.max("lead").alias("lead")).select(centre.alias("a"), F.col("rep").alias("b"))
+    one = one.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = full_sets(docs.join(wanted, "doc_id", "left_semi"), width).dropDuplicates(["doc_id", "items"])
     sets = cut(sets)
     edges = cut(confirmed(one, sets, percent))
+    sketches = classes.select("rep", "n", "sketch")
     done = one
     for last in (False, True):
         parts = components(edges)
         inside = members.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("part", F.coalesce("component", "rep"))
         spread = inside.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi").select("band")
-        inside = inside.join(spread, "band").select("band", "rep", "n", "part", "least")
-        centres = inside if last else inside.filter("rep = least")
-        left = centres.select("band", F.col("rep").alias("a"), F.col("n").alias("m"), F.col("part").alias("q"))
-        pairs = left.join(inside, "band").filter("a < rep and q <> part").filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
-        pairs = pairs.select("a", F.col("rep").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
+        inside = inside.join(spread, "band").select("band", "rep", "n", "part", "lead").join(sketches, ["rep", "n"])
+        centres = inside if last else inside.filter(F.col("rep") == -F.col("lead.minus"))
+        left = centres.select("band", F.col("rep").alias("a"), F.col("n").alias("m"), F.col("part").alias("q"), F.col("sketch").alias("other"))
+        alike = (F.col("q") != F.col("part")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
+        alike &= may_link(F.col("n"), F.col("m"), F.col("sketch"), F.col("other"), percent)
+        pairs = left.join(inside, "band").filter(alike & (F.col("a") < F.col("rep")) if last else alike)
+        pairs = pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
         pairs = cut(pairs)
         edges = cut(edges.unionByName(confirmed(pairs, sets, percent)))
         done = done.unionByName(pairs)
