@@ -81,7 +81,7 @@ def _rows(bucket: np.ndarray, entries: np.ndarray) -> pa.RecordBatch:
     order = np.argsort(bucket, kind="stable")
     bucket, entries = bucket[order], entries[order]
     first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
-    ends = np.r_[first[1:], len(bucket)]
+    ends = np.r_[first[1:], len(bucket)][: len(first)]
     blocks = [_planes(entries[a:b]) for a, b in zip(first, ends, strict=True)]
     return pa.RecordBatch.from_arrays([pa.array(bucket[first].astype(np.int32)), pa.array(blocks, pa.binary())], ["bucket", "block"])
 
@@ -233,7 +233,7 @@ def _dealer(n: int):
             bucket, batch = bucket[order], batch.take(pa.array(order))
             first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
             blocks = []
-            for lo, hi in zip(first, np.r_[first[1:], len(bucket)], strict=True):
+            for lo, hi in zip(first, np.r_[first[1:], len(bucket)][: len(first)], strict=True):
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, batch.schema, options=options) as out:
                     out.write_batch(pa.RecordBatch.from_arrays([pa.concat_arrays([c]) for c in batch.slice(lo, hi - lo).columns], schema=batch.schema))
