@@ -104,8 +104,8 @@ def train(bags: list[np.ndarray], grades: np.ndarray, *, epochs: int = 40, rate:
         return Model(np.zeros(1 << BITS, np.float32), np.array([low, low + 2.0]))
     seen = np.bincount(np.concatenate(bags), minlength=1 << BITS)
     kept = np.flatnonzero(seen >= least)
-    number = np.full(1 << BITS, -1)
-    number[kept] = np.arange(len(kept))
+    number = np.full(1 << BITS, -1, np.int32)
+    number[kept] = np.arange(len(kept), dtype=np.int32)
     bags = [x[x >= 0] for x in (number[bag] for bag in bags)]
     weights, squares = np.zeros(len(kept)), np.full(len(kept), 1e-2)
     rng = np.random.default_rng(seed)
@@ -155,8 +155,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = 12_000) -> Model:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), bags], ["doc_id", "grade", "bag"])
 
     found = joined.mapInArrow(run, "doc_id long, grade int, bag array<int>").toArrow().sort_by([("doc_id", "ascending"), ("grade", "ascending")])
-    bags = [np.asarray(x.values.to_numpy(zero_copy_only=False), np.int64) for x in found.column("bag").combine_chunks()] if found.num_rows else []
-    return train(bags, found.column("grade").to_numpy())
+    grades, lists = found.column("grade").to_numpy(), found.column("bag").combine_chunks()
+    flat, cuts = lists.flatten().to_numpy(), np.r_[0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]
+    model = train([flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], grades)  # slices of one array, 4 bytes a feature
+    del found, lists, flat
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def score(docs: DataFrame, model: Model, *, accept: float = 0.5) -> DataFrame:
