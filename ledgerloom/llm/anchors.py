@@ -33,7 +33,7 @@ Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndar
 
 ENTRY = np.dtype([("hash", "<u8"), ("key", "<i8"), ("start", "<u4"), ("windows", "u1"), ("at", "u1")])
 PLACE = np.dtype([("key", "<i8"), ("id", "<i8"), ("start", "<u4"), ("fragment", "<u4")])
-TEXT = np.dtype([("hash", "<u8"), ("size", "<u2"), ("windows", "u1"), ("at", "u1")])
+TEXT = np.dtype([("hash", "<u8"), ("size", "<u4"), ("windows", "u1"), ("at", "u1")])
 SPAN = np.dtype([("key", "<i8"), ("start", "<u4"), ("size", "<u4")])
 
 

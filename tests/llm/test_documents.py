@@ -83,6 +83,14 @@ def test_repeated_passages(docs, rows, no_docs):
     assert substring_dedup.remove_repeats(no_docs).count() == 0
 
 
+def test_repeated_passages_beside_a_very_long_word(spark):
+    passage = " ".join(f"w{k}" for k in range(16))
+    rows = [(k, f"{before} {passage} {'x' * 70_000} {passage[::-1]}") for k, before in ((1, "one"), (2, "two words"))]
+    got = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), with_text=True).collect()
+    assert Counter(tuple(r)[:4] for r in got) == expected_words(rows)
+    assert {r["doc_id"]: r["kept"] for r in got}[2] == "two words"
+
+
 def shingles(text, width):
     words = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     return frozenset(tuple(words[k : k + width]) for k in range(max(1, len(words) - width + 1))) if words else frozenset()
