@@ -86,9 +86,9 @@ def _no_geocodes(spark) -> DataFrame:
 
 
 def _linked(spark, d) -> tuple[DataFrame, DataFrame]:
-    """Orders of a few customers as actions that name the customer's BBL, BIN or address, or nothing; and the sites."""
+    """Orders as actions that name the customer's BBL, BIN or address, or nothing; and the sites."""
     sites = _sites(spark, d)
-    orders = T(spark, d, "orders").filter("o_custkey < 300").select(F.col("o_orderkey").alias("action_id"), F.col("o_custkey").cast("string").alias("cust"))
+    orders = T(spark, d, "orders").select(F.col("o_orderkey").alias("action_id"), F.col("o_custkey").cast("string").alias("cust"))
     df = orders.join(sites.select("pops_id", "borough", "num", "street", "bbl", "bin"), F.col("cust") == F.col("pops_id")).withColumn("kind", F.col("action_id") % 5)
     said = F.when(F.col("kind") == 0, F.concat(F.lit("BBL: "), "bbl")).when(F.col("kind") == 1, F.concat(F.lit("BIN # "), "bin")).otherwise("nothing")
     one = F.struct(F.lit("").alias("raw"), F.col("num").alias("number"), "street", F.lit(None).cast("string").alias("borough"), F.lit(True).alias("anchored"), F.lit(0).alias("start"), F.lit(0).alias("end"))
@@ -99,7 +99,7 @@ def _linked(spark, d) -> tuple[DataFrame, DataFrame]:
 @query("""WITH q AS (SELECT l_orderkey, l_linenumber, l_quantity AS lo, l_quantity + 3 AS hi, l_suppkey AS k FROM lineitem WHERE l_orderkey % 4 = 0), s AS (SELECT s_suppkey AS k, s_suppkey % 50 AS lo, s_suppkey % 50 + s_suppkey % 4 AS hi FROM supplier)
 SELECT l_orderkey, l_linenumber, q.k, CAST(s.lo AS BIGINT) AS low, CAST(s.hi AS BIGINT) AS high FROM q JOIN s ON q.k = s.k AND q.lo <= s.hi AND q.hi >= s.lo""")
 def range_overlap_join(spark, d) -> DataFrame:
-    q = T(spark, d, "lineitem").filter("l_orderkey % 4 = 0").selectExpr("l_orderkey", "l_linenumber", "l_quantity as lo", "l_quantity + 3 as hi", "l_suppkey as k")
+    q = T(spark, d, "lineitem").selectExpr("l_orderkey", "l_linenumber", "l_quantity as lo", "l_quantity + 3 as hi", "l_suppkey as k")
     s = T(spark, d, "supplier").selectExpr("s_suppkey as k", "s_suppkey % 50 as low", "s_suppkey % 50 + s_suppkey % 4 as high")
     return q.join(s, "k").filter("lo <= high and hi >= low").select("l_orderkey", "l_linenumber", "k", "low", "high")
 
@@ -231,7 +231,7 @@ def best_candidate_ties(spark, d) -> DataFrame:
 @query("""SELECT o_orderkey FROM orders WHERE o_orderkey % 5 = 0 AND o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""")
 def incremental_anti(spark, d) -> DataFrame:
     o = T(spark, d, "orders")
-    return registry_ops.unprocessed(o.filter("o_orderkey % 5 = 0").select("o_orderkey"), o.filter("o_orderstatus = 'F'"), "o_orderkey")
+    return registry_ops.unprocessed(o.select("o_orderkey"), o.filter("o_orderstatus = 'F'"), "o_orderkey")
 
 
 @query(f"""WITH {ACTIONS_SQL} SELECT enforcement_id, pops_relation AS relation FROM acts""")

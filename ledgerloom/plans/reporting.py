@@ -236,14 +236,14 @@ w AS (SELECT *, list_sort(list(n_entries) OVER (ORDER BY bulletin_id ROWS BETWEE
 t AS (SELECT bulletin_id, n_entries, CASE WHEN len(seen) >= 3 THEN seen[len(seen) // 2 + 1] END AS typical FROM w)
 SELECT bulletin_id, n_entries, typical, coalesce(n_entries < 0.4 * typical OR n_entries > 2.5 * typical, false) AS is_outlier FROM t""")
 def rolling_upper_median(spark, d) -> DataFrame:
-    months = T(spark, d, "orders").filter("o_custkey < 100").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("bulletin_id")).agg(F.count("*").alias("n_entries"))
+    months = T(spark, d, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("bulletin_id")).agg(F.count("*").alias("n_entries"))
     return review.entry_count_outliers(months)
 
 
 @query("""WITH m AS (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS ym FROM orders WHERE o_custkey < 20)
 SELECT strftime(d, '%Y-%m') AS ym FROM (SELECT unnest(generate_series(min(CAST(ym || '-01' AS DATE)), max(CAST(ym || '-01' AS DATE)), INTERVAL 1 MONTH)) AS d FROM m) WHERE strftime(d, '%Y-%m') NOT IN (SELECT ym FROM m)""")
 def missing_months_anti(spark, d) -> DataFrame:
-    return review.missing_months(T(spark, d, "orders").filter("o_custkey < 20").select(F.date_format("o_orderdate", "yyyy-MM").alias("ym")))
+    return review.missing_months(T(spark, d, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("ym")))
 
 
 @query(f"""WITH {ACTIONS_SQL} SELECT enforcement_id, ym, penalty FROM tiered WHERE ym >= '1996-04' AND ym < '1997-01' AND priority IN ('1-URGENT', '2-HIGH') AND NOT (penalty BETWEEN 1000 AND 200000)""")
