@@ -48,7 +48,7 @@ def bullet(line: Column) -> Column:
 
 def join_lines(lines: Column) -> Column:
     """One paragraph of wrapped lines: a hyphen at a line's end stays, without a space if the next line begins in lower case."""
-    kept = F.filter(F.transform(lines, F.trim), lambda x: x != "")
+    kept = F.filter(F.transform(lines, lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != "")
     glue = lambda acc, x: F.when(acc == "", x).when(F.endswith(acc, F.lit("-")) & x.rlike(r"^\p{Ll}"), F.concat(acc, x)).otherwise(F.concat_ws(" ", acc, x))
     return F.regexp_replace(F.aggregate(kept, F.lit(""), glue), r"\s+", " ")
 

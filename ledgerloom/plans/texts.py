@@ -97,8 +97,7 @@ def line_segmentation(spark, d) -> DataFrame:
 
 @query("""SELECT doc_id, md5(trim(regexp_replace(regexp_replace(text, '[ \\t]*\\n[ \\t\\n]*', ' ', 'g'), '[ \\t\\r]+', ' ', 'g'))) AS paragraph FROM documents WHERE NOT contains(text, '-' || chr(10))""")
 def join_lines(spark, d) -> DataFrame:
-    df = T(spark, d, "documents").filter(~F.contains("text", F.lit("-\n")))
-    return df.select("doc_id", F.md5(text.join_lines(F.split("text", "\n"))).alias("paragraph"))
+    return T(spark, d, "documents").select("doc_id", F.md5(text.join_lines(F.split("text", "\n"))).alias("paragraph"))
 
 
 # Wording that occurs in the driver's documents, by tier.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import hashlib
 import os
 from collections import Counter
 
@@ -14,6 +15,7 @@ SF = "/root/testdata/sf0.01"
 BOUNDS = {
     "match_hierarchy": " WHERE o_custkey < 300", "range_overlap_join": " WHERE l_orderkey % 4 = 0", "incremental_anti": "o_orderkey % 5 = 0 AND ",
     "rolling_upper_median": " WHERE o_custkey < 100", "missing_months_anti": " WHERE o_custkey < 20",
+    "join_lines": " WHERE NOT contains(text, '-' || chr(10))",
 }
 
 
@@ -24,7 +26,7 @@ def test_whole_tables(spark, name):
     sql = registry.ORACLES[name]
     assert BOUNDS[name] in sql
     con = duckdb.connect()
-    for t in ("customer", "lineitem", "orders", "supplier"):
+    for t in ("customer", "documents", "lineitem", "orders", "supplier"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.execute(sql.replace(BOUNDS[name], "")).fetchall()
     assert Counter(map(tuple, registry.QUERIES[name](spark, SF).collect())) == Counter(want)
@@ -36,3 +38,11 @@ def test_months_of_customers_with_large_keys(spark, tmp_path):
     assert [tuple(r) for r in registry.QUERIES["missing_months_anti"](spark, str(tmp_path)).collect()] == [("2024-04",)]
     got = {r["bulletin_id"]: (r["n_entries"], r["is_outlier"]) for r in registry.QUERIES["rolling_upper_median"](spark, str(tmp_path)).collect()}
     assert got == {"2024-01": (4, False), "2024-02": (4, False), "2024-03": (4, False), "2024-05": (20, True)}
+
+
+def test_join_lines_repairs_hyphens_of_documents(spark, tmp_path):
+    rows = [(1, "site-\nsafety rules\n\n Next\npart-\nTwo"), (2, "plain\nlines"), (3, "end-\n"), (4, "pre- \n war-\n\ntime"), (5, ""), (6, "0 at\n1 digits 1\n21 2")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = {1: "site-safety rules Next part- Two", 2: "plain lines", 3: "end-", 4: "pre-war-time", 5: "", 6: "0 at 1 digits 1 21 2"}
+    got = {r["doc_id"]: r["paragraph"] for r in registry.QUERIES["join_lines"](spark, str(tmp_path)).collect()}
+    assert got == {k: hashlib.md5(v.encode()).hexdigest() for k, v in want.items()}
