@@ -1,8 +1,9 @@
-"""Mix sources to target weights with a low-discrepancy schedule over equal-token blocks. DataFrame operations only.
+"""Mix sources to target weights: every source gives its target in words, in proportion along the mix. DataFrame operations only.
 
-Slot i of the mix has the golden-ratio point u_i = frac((2i + 1) * 0.6180339887); the cumulative targets cut [0, 1) into one
-range a source, so any stretch of slots is close to the wanted proportions. The slots of a source are ranked, and the r-th
-takes the r-th block of the source's shuffled word stream, starting anew after the last block (two rounds at most).
+A source of target t takes round(t) words of its shuffled word stream, starting anew after the last word (two rounds at most);
+so the words taken are within half a word of the target, whatever the size of the source. They are cut into slots of `block`
+words; the last slot of a round and the last one taken may be shorter. All slots are ordered by the middle of their words as a
+share of what their source takes, so any stretch of the mix is close to the wanted proportions in words, not in slots.
 
 Every running sum is taken in two levels (sums of small groups, then rows inside a group), so no source, however large, has
 to pass through one task.
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 
 from .common import cut, word_count
 
-POINT, SCALE, PERIOD = 6180339887, 10_000_000_000, 1 << 29  # fixed values of the schedule: golden ratio, its scale, points before it starts anew
 SMALL = 10_000  # rows of the source table up to which it is broadcast
+CHUNK = 1 << 14  # slots of a source that are made at once
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -58,50 +59,50 @@ def placed(sized: DataFrame, sources: DataFrame, n_sources: int) -> DataFrame:
     return docs.join(cells, ["sid", "cell"]).withColumn("begins", F.col("cell_begins") + F.col("within"))
 
 
-def schedule(spark, sources: DataFrame, n_slots: int, block: int) -> DataFrame:
-    """sid, block, slot, round: the block that every slot of the mix takes."""
-    order = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    share = F.col("cum") / F.sum("target").over(Window.partitionBy())
-    ends = sources.withColumn("cum", F.sum("target").over(order)).withColumn("hi", F.floor(F.round(share, 12) * SCALE))
-    ends = ends.withColumn("lo", F.lag("hi", 1, 0).over(Window.orderBy("sid"))).filter("hi > lo")
-    ends = ends.withColumn("blocks", F.ceil(F.col("source_size") / F.lit(block)))
-    grid = SCALE // 1024
-    cells = ends.select("sid", "lo", "hi", "blocks", F.explode(F.sequence(F.floor(F.col("lo") / grid), F.floor((F.col("hi") - 1) / grid))).alias("grid"))
+def schedule(sources: DataFrame, n_slots: int, block: int) -> DataFrame:
+    """slot, sid, block, round, words: the block that every slot of the mix takes, and how many of its words."""
+    own = sources.filter("words > 0").select("sid", "source_size", F.col("words").alias("all"), F.ceil(F.col("source_size") / block).alias("blocks"))
+    last = F.col("all") - F.floor(F.col("all") / F.col("source_size")) * F.col("source_size")
+    own = own.withColumn("n", F.floor(F.col("all") / F.col("source_size")) * F.col("blocks") + F.ceil(last / block))
+    chunks = own.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / CHUNK)))).repartition("sid", "chunk")
+    ends = F.least(F.col("n"), (F.col("chunk") + 1) * CHUNK) - 1
+    slots = chunks.withColumn("k", F.explode(F.sequence(F.col("chunk") * CHUNK, ends)))
+    slots = slots.withColumn("round", F.floor(F.col("k") / F.col("blocks"))).withColumn("block", F.col("k") % F.col("blocks"))
+    begins = F.col("round") * F.col("source_size") + F.col("block") * block
+    words = F.least(F.lit(block), F.col("source_size") - F.col("block") * block, F.col("all") - begins)
+    slots = slots.withColumn("words", words).withColumn("at", (2 * begins + F.col("words")) / (2 * F.col("all")))
     run = 1024
     while run * run < n_slots:
         run *= 2
-    slots = spark.range(n_slots).withColumnRenamed("id", "slot")
-    slots = slots.withColumn("u", (F.col("slot") % PERIOD * 2 + 1) * F.lit(POINT) % SCALE).withColumn("grid", F.floor(F.col("u") / grid))
-    slots = slots.join(cells, "grid").filter("u >= lo and u < hi").select("slot", "sid", "blocks", F.floor(F.col("slot") / run).alias("run"))
-    runs = slots.groupBy("sid", "run").agg(F.count("*").alias("n"))
-    runs = runs.select("sid", "run", F.coalesce(F.sum("n").over(Window.partitionBy("sid").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
-    ranked = slots.withColumn("k", F.row_number().over(Window.partitionBy("sid", "run").orderBy("slot")) - 1).join(runs, ["sid", "run"])
-    ranked = ranked.withColumn("k", F.col("k") + F.col("ahead")).filter(F.col("k") < 2 * F.col("blocks"))
-    return ranked.select("slot", "sid", (F.col("k") % F.col("blocks")).alias("block"), F.floor(F.col("k") / F.col("blocks")).alias("round"))
+    slots = slots.withColumn("cell", F.floor(F.col("at") * max(1, n_slots // run)))
+    ahead = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = slots.groupBy("cell").agg(F.count("*").alias("inside")).select("cell", F.coalesce(F.sum("inside").over(ahead), F.lit(0)).alias("ahead"))
+    inside = F.row_number().over(Window.partitionBy("cell").orderBy("at", "sid", "k")) - 1
+    ranked = slots.withColumn("inside", inside).join(cells, "cell")
+    return ranked.select((F.col("ahead") + F.col("inside")).alias("slot"), "sid", "block", "round", "words")
 
 
 def mix(docs: DataFrame, *, weights: tuple[float, ...] = (3.0, 1.0, 2.0), total_ratio: float = 1.5, repeat: float = 2.0, block: int = 128) -> tuple[DataFrame, DataFrame]:
     """(documents, schedule) of the mix.
 
-    documents: doc_id, size, source_size, target, taken, sid, begins. schedule: slot, sid, block, round; joined with begins
-    and size it says which words of which documents make up each slot.
+    documents: doc_id, size, source_size, target, taken, sid, begins. schedule: slot, sid, block, round, words; joined with
+    begins and size it says which words of which documents make up each slot.
     """
     if repeat > 2:
         raise ValueError("the schedule goes through a source at most twice")
-    spark = docs.sparkSession
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     sized = cut(docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count().alias("size"), key.alias("shuffle")))
     sized = sized.withColumn("row_id", F.monotonically_increasing_id())
     sources = cut(source_targets(sized, weights, total_ratio, repeat))
-    n_sources, total = sources.agg(F.count("*"), F.coalesce(F.sum("target"), F.lit(0.0))).first()
-    slots = schedule(spark, sources, round(total / block), block)
-    hits = slots.groupBy("sid", "block").agg(F.count("*").alias("hits"))
+    words = F.least(F.round("target"), F.floor(F.lit(float(repeat)) * F.col("source_size"))).cast("long")
+    sources = sources.withColumn("words", words)
+    n_sources, total = sources.agg(F.count("*"), F.coalesce(F.sum("words"), F.lit(0))).first()
     docs = placed(sized, sources, n_sources)
-    spans = docs.select("*", F.explode_outer(F.when(F.col("size") > 0, F.sequence(F.floor(F.col("begins") / block), F.floor((F.col("begins") + F.col("size") - 1) / block)))).alias("block"))
-    overlap = F.least(F.col("begins") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(F.col("begins"), F.col("block") * block)
-    taken = spans.join(hits, ["sid", "block"], "left").withColumn("part", F.coalesce(overlap * F.col("hits"), F.lit(0)))
-    out = taken.groupBy("row_id", "doc_id", "size", "source_size", "target", "sid", "begins").agg(F.sum("part").alias("taken"))
-    return out.select("doc_id", "size", "source_size", "target", "taken", "sid", "begins"), slots
+    rounds = F.when(F.col("size") > 0, F.floor(F.col("words") / F.col("source_size"))).otherwise(0)
+    rest = F.col("words") - rounds * F.col("source_size") - F.col("begins")
+    taken = rounds * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))
+    docs = docs.withColumn("taken", taken.cast("long"))
+    return docs.select("doc_id", "size", "source_size", "target", "taken", "sid", "begins"), schedule(sources, total // block + 2 * n_sources, block)
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

@@ -158,6 +158,25 @@ def test_schedule_takes_every_block_in_turn(docs):
     assert all(seen == sorted(seen) and len(set(seen)) == len(seen) for seen in per.values())
 
 
+def test_mixing_reaches_the_targets_of_small_sources(spark):
+    sizes = {"a": [100, 29], "b": [300], "c": [20], "d": [5], "e": [1, 1], "f": [4000, 1]}
+    rows = [(k, "w " * n, s) for k, (s, n) in enumerate((s, n) for s in sizes for n in sizes[s])]
+    docs, slots = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    taken, target, of, per = Counter(), {}, {}, Counter()
+    for r in docs.collect():
+        taken[r["sid"]] += r["taken"]
+        target[r["sid"]], of[r["sid"]] = r["target"], r["source_size"]
+        assert 0 <= r["taken"] <= 2 * r["size"]
+    assert sorted(of.values()) == sorted(map(sum, sizes.values()))
+    assert all(abs(taken[k] - target[k]) <= 0.5 for k in of) and abs(sum(taken.values()) - 1.5 * sum(of.values())) <= 3
+    found = sorted(slots.collect())
+    assert [r["slot"] for r in found] == list(range(len(found)))
+    for r in found:
+        per[r["sid"]] += r["words"]
+        assert 0 < r["words"] <= 128
+    assert per == taken
+
+
 def test_packing(docs, rows, no_docs):
     from tokenizers import Tokenizer
 
