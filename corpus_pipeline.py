@@ -15,6 +15,15 @@ from ledgerloom.llm.common import cut, table
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The columns and key, one value per row: doc_id where that is unique and never null, else a row number."""
+    own = docs.select(*COLUMNS)
+    most, nulls = own.groupBy("doc_id").count().agg(F.max("count"), F.max(F.col("doc_id").isNull())).first()
+    if (most or 0) > 1 or nulls:
+        return cut(own).withColumn("key", F.monotonically_increasing_id())
+    return own.withColumn("key", F.col("doc_id").cast("long"))
+
+
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; rejected ones go."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -22,9 +31,17 @@ def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies (five-word shingles, similarity 0.8 or more)."""
-    copies = near_dedup.near_duplicates(docs, width=5).filter("not kept").select(F.col("doc_id").alias("copy_id")).distinct()
-    return docs.select(*COLUMNS).join(copies, F.col("doc_id") == F.col("copy_id"), "left_anti")
+    """The row with the smallest id of each group of near copies (five-word shingles, similarity 0.8 or more).
+
+    Every row is a document of its own, whatever its id; a null id sorts last, and of equal ids the first row stays.
+    """
+    rows = _keyed(docs)
+    found = near_dedup.near_duplicates(rows.select(F.col("key").alias("doc_id"), "text"), width=5).select(F.col("doc_id").alias("key"), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
+    groups = found.join(rows.select("key", "doc_id"), "key")
+    best = groups.groupBy("component_id").agg(F.min_by("key", order).alias("best"), F.count("*").alias("n")).filter("n > 1")
+    copies = groups.join(best, "component_id").filter("key <> best").select(F.col("key").alias("copy"))
+    return rows.join(copies, F.col("key") == F.col("copy"), "left_anti").select(*COLUMNS)
 
 
 def remove_repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,12 +60,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: whole copies, and one with the rest.
 
     A document of which the mix takes `taken` of `size` words appears taken div size times whole, and once more with its
-    first taken mod size words (joined by one space) where that is not 0. Rows of one doc_id share what is taken evenly.
+    first taken mod size words (joined by one space) where that is not 0. Every row has its own amount, whatever its doc_id.
     """
-    amounts, _ = mixing.mix(docs)
-    amounts = amounts.groupBy(F.col("doc_id").alias("of")).agg(F.floor(F.sum("taken") / F.count("*")).alias("taken"))
-    out = docs.select(*COLUMNS).withColumn("size", mixing.word_count()).filter("size > 0")
-    out = out.join(amounts.filter("taken > 0"), F.col("doc_id").eqNullSafe(F.col("of")))
+    rows = _keyed(docs)
+    amounts, _ = mixing.mix(rows.withColumn("doc_id", F.col("key")))
+    amounts = amounts.filter("taken > 0").select(F.col("doc_id").alias("of"), "taken")
+    out = rows.withColumn("size", mixing.word_count()).filter("size > 0").join(amounts, F.col("key") == F.col("of"))
     whole = F.floor(F.col("taken") / F.col("size"))
     rest = F.col("taken") - whole * F.col("size")
     parts = F.concat(F.array_repeat(F.col("size"), whole.cast("int")), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))

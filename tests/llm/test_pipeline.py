@@ -71,3 +71,22 @@ def test_stages(spark, docs, tmp_path):
     for r in mixed:
         expected[r["doc_id"]] += len(encode(r["text"])) // 4 + 1
     assert dict(total) == dict(expected) and set(copies) == set(total)
+
+
+def test_stages_with_null_and_repeated_ids(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    row = lambda i, t: (i, t, "en", "s", len(t or ""))
+    text = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    rows = [row(None, text("a", 40)), row(None, text("a", 40)), row(7, text("b", 40)), row(7, text("b", 40)), row(7, text("c", 40)), row(None, text("d", 40)), row(3, text("d", 40)), row(None, None), row(None, None), row(7, "")]
+    got = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, schema).repartition(3), "").collect()
+    assert Counter(map(tuple, got)) == Counter([rows[0], rows[2], rows[4], rows[6], *rows[7:]])
+
+    rows = [row(i, text(name, n)) for i, name, n in ((None, "short", 10), (None, "long", 1000), (5, "e", 30), (5, "f", 600))]
+    mixed = corpus_pipeline.mix_sources(spark, spark.createDataFrame(rows, schema).repartition(3), "").collect()
+    words, most = Counter(), Counter()
+    for r in mixed:
+        assert (r["doc_id"] is None) == r["text"].startswith(("short", "long"))
+        words[r["text"].split("0")[0]] += len(r["text"].split())
+        most[r["text"].split("0")[0]] += 1
+    assert sum(words.values()) == 1.5 * 1640
+    assert all(words[name] <= 2 * n and most[name] <= 2 for name, n in (("short", 10), ("long", 1000), ("e", 30), ("f", 600)))
