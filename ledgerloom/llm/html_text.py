@@ -7,7 +7,8 @@ adverts, forms and the like, is the article.
 
 The labelled pages are drawn from a fixed set of layouts, see `labelled_pages`; no page of the corpus is used for fitting.
 
-Edge cases: null or empty html gives the empty string; unclosed or stray tags end with the nearest matching container; a
+Edge cases: null or empty html gives the empty string; unclosed or stray tags end with the nearest matching container; of
+attributes only real class, id, role, hidden and aria-hidden count, not words inside other names or values; a
 script, style or comment that never ends takes the rest of the page; a page without a word of content gives the empty string;
 repeated rows are pages of their own; other columns are ignored.
 """
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 from .common import table
 
 # Element names and name parts that mark the places of a page.
-RAW = "script style noscript template textarea title iframe svg math object canvas video audio select"
+OPEN_RAW = "script style"  # without an end tag they take the rest of the page
+RAW = set("noscript template textarea title iframe svg object canvas video audio select".split())  # without one only their tag goes
 BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody tfoot thead tr ul search".split()
@@ -47,14 +49,15 @@ MAIN_NAMES = set("article content main post entry story body text articlebody ma
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{'|'.join(RAW.split())})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<raw>{OPEN_RAW.replace(' ', '|')})(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*+>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|<[a-z][^<>]*\Z"
     r"|(?P<text>[^<]+|<)",
     re.I | re.S,
 )
-_PLACE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
+_ATTRIBUTE = re.compile(r"\"[^\"]*\"|'[^']*'|([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _PART = re.compile(r"[^a-z]+")
 
 PLAIN, MAIN, OUTSIDE, BESIDE, INSET = "plain", "main", "outside", "beside", "inset"
@@ -70,7 +73,7 @@ def place(name: str, rest: str, inside: str) -> str:
         return away
     found = MAIN if name in MAIN_TAGS else inside
     if rest:
-        for key, *values in _PLACE.findall(rest):
+        for key, *values in _ATTRIBUTE.findall(rest):
             value, key = "".join(values).lower(), key.lower()
             if key == "role":
                 if value in OUTSIDE_ROLES:
@@ -92,7 +95,9 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
     """(kind, what, text) of each token: kind is place/word, place/link or place/tag; what is block, inline or text."""
     stack: list[tuple[str, str]] = []
     inside, links = PLAIN, 0
-    for m in _TOKEN.finditer(page):
+    endless: set[str] = set()  # names without an end tag in the rest of the page
+    found = _TOKEN.finditer(page)
+    while (m := next(found, None)) is not None:
         text = m["text"]
         if text is not None:
             yield (f"{inside}/link" if links else f"{inside}/word"), "text", text
@@ -101,6 +106,14 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
         if name is None:
             continue
         name = name.lower()
+        if name in RAW:
+            closed = m["close"] or (name == "svg" and m["rest"].endswith("/"))
+            end = None if closed or name in endless else _END[name].search(page, m.end())
+            if end:
+                found = _TOKEN.finditer(page, end.end())
+            elif not closed:
+                endless.add(name)
+            continue
         if m["close"]:
             at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
             if name == "a":
@@ -111,7 +124,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
                 del stack[at:]
                 yield kind, ("block" if name in BLOCK else "inline"), name
                 continue
-        elif name not in VOID:
+        elif name not in VOID and not (name == "math" and m["rest"].endswith("/")):
             if name in ("p", "li", "td", "tr", "dd", "dt", "option") and stack and stack[-1][0] == name:
                 inside = stack.pop()[1]
             if name == "a":

@@ -31,6 +31,26 @@ def test_main_text(weights, page, want):
     assert html_text.extract(page, weights) == want
 
 
+ARTICLE = "<p>one two three four five</p>{}<p>six seven eight nine ten</p>"
+WHOLE = "one two three four five\nsix seven eight nine ten"
+
+
+@pytest.mark.parametrize("attribute", ['style="overflow:hidden"', 'title="The hidden valley"', 'data-id="footer"', "data-role='navigation' data-class=ad", 'alt="id=footer role=banner"', "data-hidden"])
+def test_words_in_other_attributes_drop_nothing(weights, attribute):
+    assert html_text.extract(f"<article {attribute}>{ARTICLE.format('')}</article>", weights) == WHOLE
+
+
+@pytest.mark.parametrize("inset", ['<svg class="i"/>', "<svg width=5 />", "<video-js></video-js>", "<select-box>", "<title-bar>", "<video>", "<textarea rows=2>", "<select>", "<svg><path d='x'/></svg>", "<VIDEO>no</video >", "</svg>", "<math/>"])
+def test_elements_without_an_end_swallow_nothing(weights, inset):
+    assert html_text.extract(f"<article>{ARTICLE.format(inset)}</article>", weights) == WHOLE
+    assert html_text.extract(f"<article>{ARTICLE.format('<p>x <math><mi>y</mi></math> z')}</article>", weights) == WHOLE.replace("\n", "\nx y z\n")
+
+
+@pytest.mark.parametrize("place", ["hidden", 'HIDDEN=""', "id=footer", 'class="x ad"', "role='banner'", 'aria-hidden="true"'])
+def test_real_attributes_still_count(weights, place):
+    assert html_text.extract(f"<article>{ARTICLE.format(f'<div {place}>away</div>')}</article>", weights) == WHOLE
+
+
 def test_best_run():
     rng = random.Random(0)
     for _ in range(200):
