@@ -4,8 +4,10 @@ Features are all 3- and 4-byte runs of the lower-cased text (digits, marks and l
 of an embedding table. A text's vector is the mean of its rows; a linear softmax gives the languages. As both maps are linear,
 the table is folded into one score per (row, language) for prediction, and texts of any length are summed block by block.
 
-The model is fitted on a bounded sample of labelled rows: about `per_language` whole documents of each of the `languages`
-most frequent values of lang, at most `max_chars` long, picked by a hash of doc_id. Every fifth one is set aside to calibrate
+The model is fitted on a bounded sample of labelled rows of every value of lang, picked by a hash of doc_id: about `per_language`
+documents of each, fewer where there are more than `languages` of them, so that the sample stays the same, but not below
+`least`. Documents of at most `max_chars` are taken whole, of longer ones the first `stretch` characters. With more than DIM
+languages the table is not folded, so the model does not grow with them. Every fifth document is set aside to calibrate
 the softmax temperature and the rejection threshold, the lowest score at which the accepted are right to `precision`.
 
 Edge cases: null text and text without a letter give `und` with score 0 and are never accepted; a null doc_id is not held out
@@ -55,20 +57,22 @@ def subwords(raw: np.ndarray, off: np.ndarray) -> Iterator[tuple[np.ndarray, np.
 @dataclass
 class Model:
     languages: list[str]
-    scores: np.ndarray  # folded table: row -> language
+    scores: np.ndarray  # folded table: row -> language; with more than DIM languages the table itself: row -> embedding
     bias: np.ndarray
     temperature: float
     threshold: float
+    out: np.ndarray | None = None  # embedding -> language, where the table is not folded
 
     def logits(self, texts: pa.Array) -> np.ndarray:
         raw, off = utf8(lowered(texts))
-        total, n = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
+        total, n = np.zeros((len(texts), self.scores.shape[1])), np.zeros(len(texts))
         for ids, doc in subwords(raw, off):
             if len(ids):
                 starts = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
                 total[doc[starts]] += np.add.reduceat(self.scores[ids], starts, axis=0)
                 n[doc[starts]] += np.diff(np.r_[starts, len(doc)])
-        return total / np.maximum(n, 1)[:, None] + self.bias
+        mean = total / np.maximum(n, 1)[:, None]
+        return (mean if self.out is None else mean @ self.out) + self.bias
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         """(language, calibrated probability) of each text."""
@@ -91,13 +95,15 @@ def train(texts: list[str], langs: list[str], *, epochs: int = 12, rate: float =
     if not languages:
         return Model([], np.zeros((2 << BITS, 0), np.float32), np.zeros(0), 1.0, 1.0)
     rng = np.random.default_rng(seed)
-    y = np.array([languages.index(x) for x in langs])
+    number = {x: k for k, x in enumerate(languages)}
+    y = np.array([number[x] for x in langs])
     raw, off = utf8(lowered(pa.array(texts, pa.string())))
     found = list(subwords(raw, off))
     ids, doc = np.concatenate([i for i, _ in found]), np.concatenate([d for _, d in found])
     order = np.argsort(doc, kind="stable")
     ids, first = ids[order], np.searchsorted(doc[order], np.arange(len(texts) + 1))
     held = np.arange(len(texts)) % 5 == 4
+    held &= np.bincount(y[~held & (np.diff(first) > 0)], minlength=len(languages))[y] > 0  # a language is not set aside as a whole
     table_, out, bias = rng.normal(0, 0.1, (2 << BITS, DIM)), rng.normal(0, 0.1, (DIM, len(languages))), np.zeros(len(languages))
     use = np.flatnonzero(~held & (np.diff(first) > 0))
     steps, step = epochs * (len(use) // 32 + 1), 0
@@ -119,7 +125,10 @@ def train(texts: list[str], langs: list[str], *, epochs: int = 12, rate: float =
             out -= lr * mean.T @ g / len(batch) * 4
             bias -= lr * g.mean(0)
             np.add.at(table_, own, np.repeat(-lr * back / size[:, None] * 8, size, axis=0))
-    model = Model(languages, (table_ @ out).astype(np.float32), bias, 1.0, 0.0)
+    if len(languages) <= DIM:
+        model = Model(languages, (table_ @ out).astype(np.float32), bias, 1.0, 0.0)
+    else:
+        model = Model(languages, table_.astype(np.float32), bias, 1.0, 0.0, out)
     rest = np.flatnonzero(held)
     if len(rest):
         logits = model.logits(pa.array([texts[k] for k in rest], pa.string()))
@@ -133,15 +142,17 @@ def train(texts: list[str], langs: list[str], *, epochs: int = 12, rate: float =
     return model
 
 
-def fit(docs: DataFrame, learn, *, per_language: int = 600, languages: int = 200, max_chars: int = 20_000) -> Model:
+def fit(docs: DataFrame, learn, *, per_language: int = 600, languages: int = 200, max_chars: int = 20_000, stretch: int = 2_000, least: int = 30) -> Model:
     """A model from the rows of docs where the condition `learn` holds and lang is not null."""
-    known = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= max_chars))
-    counts = docs.filter(learn & F.col("lang").isNotNull()).groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    known = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    counts = known.groupBy("lang").count().collect()  # one row per language
     if not counts:
         return train([], [])
+    each = min(per_language, max(least, per_language * languages // len(counts)))
     part = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("language sample")), F.lit(1 << 30))
-    limits = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1 << 30, int((1 << 30) * per_language / r["count"]))))])
-    rows = known.filter(part < F.element_at(limits, F.col("lang"))).select("doc_id", "lang", "text").limit(4 * per_language * len(counts)).collect()
+    limits = docs.sparkSession.createDataFrame([(r["lang"], min(1 << 30, int((1 << 30) * each / r["count"]))) for r in counts], "of string, upto long")
+    text = F.when(F.length("text") <= max_chars, F.col("text")).otherwise(F.substring("text", 1, stretch)).alias("text")
+    rows = known.join(F.broadcast(limits), F.col("lang") == F.col("of")).filter(part < F.col("upto")).select("doc_id", "lang", text).limit(4 * each * len(counts)).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["lang"], r["text"]))
     return train([r["text"] for r in rows], [r["lang"] for r in rows])
 

@@ -85,6 +85,20 @@ def test_language(spark):
     assert language.identify(empty, language.fit(empty, F.lit(True))).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(6)
+    words = {f"l{k:02}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(12)] for k in range(20)}
+    rows = [(t, lang) for lang in words for t in texts_of(words[lang], 60 if lang > "l03" else 90, rng)]
+    rows = [(f"{t} " * (21_000 // len(t) + 1) if lang == "l19" else t, lang) for t, lang in rows]  # l19 has long documents only
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "doc_id long, text string, lang string")
+    model = language.fit(df, ~language.held_out(), languages=4, per_language=300)
+    assert model.languages == sorted(words) and model.scores.shape[1] == language.DIM
+    got = {r["doc_id"]: r for r in language.identify(df, model).collect()}
+    for lang in words:
+        held = [k for k, r in enumerate(rows) if r[1] == lang and got[k]["held_out"]]
+        assert held and sum(got[k]["lang_pred"] == lang for k in held) / len(held) >= 0.9
+
+
 def test_quality(spark):
     rng = random.Random(4)
     plain = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(60)]
