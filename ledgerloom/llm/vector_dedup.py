@@ -3,7 +3,8 @@
 Each pass orders the vectors of a label lexicographically by concatenated random-hyperplane bits and compares every vector
 with the next `window` ones; all passes are laid out by one range exchange and cut into blocks of neighbouring rows that carry
 a halo of `window` rows, so no pair of neighbours is lost between tasks. Pairs at or above the threshold are verified by their
-exact cosine in double precision, and united across passes into components.
+exact cosine in double precision, and united across passes into components. The number of passes grows with the rows of the
+label, see `passes_for`.
 
 Identical vectors are one class before the passes, so exact copies cost one row. After the union, the links of each component
 are counted over all its pairs, in blocks: a dense group larger than the window is thus counted whole.
@@ -15,7 +16,9 @@ other; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,8 +29,26 @@ from .common import cut, table
 from .graph import components
 
 
-def planes(length: int, passes: int, bits: int) -> np.ndarray:
-    return np.random.default_rng(1000 + length).standard_normal((length, passes * bits))
+@lru_cache(64)
+def planes(length: int, which: int, bits: int) -> np.ndarray:
+    """The hyperplanes of one pass."""
+    return np.random.default_rng([1000 + length, which]).standard_normal((length, bits))
+
+
+def pass_keys(v: np.ndarray, which: int, bits: int) -> np.ndarray:
+    weights = 1 << np.arange(bits - 1, -1, -1, dtype=np.int64)
+    return (v @ planes(v.shape[1], which, bits) > 0) @ weights
+
+
+def passes_for(n: int, *, threshold: float, window: int, recall: float, least: int) -> int:
+    """Passes after which a pair at the threshold has met with probability `recall` in a label of n vectors spread about the origin.
+
+    The pair meets in a pass if its first log2(n / window) bits agree; one bit does with probability 1 - angle / pi.
+    """
+    if n <= 2 * window:
+        return least
+    meets = (n / window) ** math.log2(1 - math.acos(max(-0.99, min(1.0, threshold))) / math.pi)
+    return least if meets >= recall else max(least, math.ceil(math.log(1 - recall) / math.log1p(-meets)))
 
 
 def linked(v: np.ndarray, w: np.ndarray, threshold: float) -> np.ndarray:
@@ -40,18 +61,17 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.array(column.tolist(), np.float64)
 
 
-def keys(classes: DataFrame, passes: int, bits: int) -> DataFrame:
-    """One row per class and pass: pass, label, size, key (the bits as one long), rep, v."""
+def keys(classes: DataFrame, bits: int) -> DataFrame:
+    """One row per class and pass of its label: pass, label, size, key (the bits as one long), rep, v."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for size, own in frame.groupby("size"):
-                signs = _matrix(own["v"]) @ planes(int(size), passes, bits) > 0
-                weights = (1 << np.arange(bits - 1, -1, -1, dtype=np.int64)).astype(np.int64)
-                for p in range(passes):
-                    yield own.assign(key=signs[:, p * bits : (p + 1) * bits] @ weights, **{"pass": p})
+            for (_, passes), own in frame.groupby(["size", "passes"]):
+                own, v = own.drop(columns="passes"), _matrix(own["v"])
+                for p in range(int(passes)):
+                    yield own.assign(key=pass_keys(v, p, bits), **{"pass": p})
 
-    return classes.select("label", "size", "rep", "v").mapInPandas(run, "label string, size int, rep long, v array<double>, key long, pass int")
+    return classes.select("label", "size", "rep", "v", "passes").mapInPandas(run, "label string, size int, rep long, v array<double>, key long, pass int")
 
 
 def near_pairs(laid: pd.DataFrame, window: int, threshold: float) -> pd.DataFrame:
@@ -92,7 +112,7 @@ def forest(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"a": nodes[far], "b": nodes[root[far]]})
 
 
-def near_duplicates(vectors: DataFrame, *, threshold: float = 0.93, passes: int = 12, bits: int = 48, window: int = 256, block: int = 1_024) -> DataFrame:
+def near_duplicates(vectors: DataFrame, *, threshold: float = 0.93, passes: int = 12, bits: int = 48, window: int = 256, block: int = 1_024, recall: float = 0.99) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row."""
     x = F.col("embedding").cast("array<double>")
     usable = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & x.isNotNull() & (F.size(x) > 0)
@@ -103,8 +123,13 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.93, passes: int
     classes = rows.filter("usable").groupBy(*same).agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.min_by("v", "vec_id").alias("v"))
     classes = cut(classes.withColumn("size", F.size("v")))
 
-    laid = keys(classes, passes, bits).withColumn("at", F.struct("pass", "label", "size", "key", "rep"))
-    n = max(1, -(-classes.count() * passes // (8 * block)))
+    wanted = F.udf(lambda n: passes_for(n, threshold=threshold, window=window, recall=recall, least=passes), "int")
+    labels = cut(classes.groupBy("label", "size").agg(F.count("*").alias("own")).withColumn("passes", wanted("own")))
+    n_labels, total = labels.agg(F.count("*"), F.coalesce(F.sum(F.col("own") * F.col("passes")), F.lit(0))).first()
+    labels = labels.drop("own")
+    dense = classes.join(F.broadcast(labels) if n_labels <= 10_000 else labels, ["label", "size"])
+    laid = keys(dense, bits).withColumn("at", F.struct("pass", "label", "size", "key", "rep"))
+    n = max(1, -(-total // (8 * block)))
     laid = cut(laid.repartitionByRange(n, "at").sortWithinPartitions("at").drop("at").withColumn("row", F.monotonically_increasing_id()))
     part, inside = F.shiftright("row", 33), F.col("row").bitwiseAND((1 << 33) - 1)
     sizes = laid.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()  # one row per partition

@@ -161,6 +161,23 @@ def test_vector_dedup(spark):
     assert vector_dedup.near_duplicates(df.filter("false")).count() == 0
 
 
+def test_passes_grow_with_the_label():
+    wanted = lambda n: vector_dedup.passes_for(n, threshold=0.93, window=8, recall=0.99, least=12)
+    assert wanted(10) == 12 and wanted(20_000) > 15 and wanted(1 << 30) > wanted(1 << 20)
+    rng = np.random.default_rng(9)
+    v = rng.standard_normal((20_000, 64))
+    v /= np.sqrt((v * v).sum(1))[:, None]
+    a, b = np.arange(500), np.arange(500) + 10_000
+    away = rng.standard_normal((500, 64))
+    away -= (away * v[a]).sum(1)[:, None] * v[a]
+    v[b] = 0.93 * v[a] + math.sqrt(1 - 0.93**2) * away / np.sqrt((away * away).sum(1))[:, None]
+    met = np.zeros((wanted(len(v)), 500), bool)
+    for p in range(len(met)):
+        position = np.argsort(np.argsort(vector_dedup.pass_keys(v, p, 48), kind="stable"))
+        met[p] = np.abs(position[a] - position[b]) <= 8
+    assert met.any(0).mean() >= 0.98 > met[:12].any(0).mean()
+
+
 def test_exact_top_k(spark):
     rows, df = vectors(spark)
     table = topk.quantised(df)
