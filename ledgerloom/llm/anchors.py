@@ -2,17 +2,23 @@
 
 Units are bytes or words; a window is `length` consecutive units of one document. Of the seeds (`seed` units) in a window the
 one with the smallest hash is its anchor, so equal windows have equal anchors, wherever they stand. A fragment is the run of
-windows that share one anchor. All traffic is in rows (bucket, block of entries), one Python call for each bucket:
-
-1. anchors      every document -> buckets by anchor: which anchors occur in more than one document?
-2. fragments    those anchors go back to their documents, which send the fragments' text, once for each bucket of documents
-3. comparison   each bucket of anchors compares its distinct fragments (the operator's own method, see `Compare`) and finds for
-                each window the smallest document id that it occurs in
-4. spans        windows that a smaller id has go back to their documents as ranges of units
-
-A very frequent passage sends one entry a document and one text a bucket of documents, and its anchors are spread over the
-buckets by hash. Nothing is collected to the driver and nothing but the four exchanges is kept, so a lost executor costs a
-recomputation of its part.
+windows that share one anchor. Documents are dealt to buckets of about `BUCKET` bytes, and all traffic is in rows (bucket,
+sender, block of entries), one Python call for each bucket:
+
+1. anchors      each bucket of documents names its distinct anchors -> buckets of anchors: which occur in several documents?
+2. fragments    the answers go back, and each bucket of documents sends the distinct fragments of those anchors, each with the
+                smallest id that it has there
+3. comparison   each bucket of anchors compares its distinct fragments (the operator's own method, see `Compare`), group by
+                group, and finds for each window the smallest document id that it occurs in
+4. removal      runs of windows that a smaller id has go back to the buckets that sent the fragment, and there to its places
+
+A passage that a third of all documents hold is one entry for each bucket of documents, not one for each document. An anchor of
+more than `HOT` documents may have as many different fragments around it (at the ends of such a passage); its windows travel one
+by one, each under its own hash, so no group holds them all. The number of buckets follows from the bytes of the input, a bucket
+is read in stretches of a few MB, and nothing but the exchanges is kept, so a lost executor costs a recomputation of its part.
+
+Anchors are named by 56 bits, which can only send a fragment in vain; inside a bucket of documents a 64-bit hash stands for the
+text of a fragment. Between buckets texts are compared by their bytes or words.
 """
 
 from __future__ import annotations
@@ -24,26 +30,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, cut, mixed, partitions, utf8, whole_documents
+from .common import LAST_ID, Prefixes, cut, mixed, partitions, utf8, whole_documents
 
-#: (fragments, anchor hashes, anchor offsets, windows of each, smallest id of each) -> smallest id of each window, concatenated
-Compare = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+#: (fragments, their anchors' hashes in order, anchor offsets, windows, smallest ids, senders) -> smallest id of each window, concatenated
+Compare = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 #: (bytes, document offsets) -> (unit buffer, starts of the units in it, document offsets in units, seed hashes of each unit)
 Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
-ENTRY = np.dtype([("hash", "<u8"), ("key", "<i8"), ("start", "<u4"), ("windows", "u1"), ("at", "u1")])
-PLACE = np.dtype([("key", "<i8"), ("id", "<i8"), ("start", "<u4"), ("fragment", "<u4")])
-TEXT = np.dtype([("hash", "<u8"), ("size", "<u4"), ("windows", "u1"), ("at", "u1")])
-SPAN = np.dtype([("key", "<i8"), ("start", "<u4"), ("size", "<u4")])
+BUCKET, STRETCH, SLICE, HOT = 12 << 20, 1 << 20, 1 << 20, 1 << 12
+
+NAME = np.dtype([("name", "<u8")])  # hash << 8 | logarithm of the documents (1), or whether the anchor is hot (2)
+TEXT = np.dtype([("hash", "<u8"), ("anchor", "<u8"), ("text", "<u8"), ("least", "<i8"), ("size", "<u4"), ("windows", "u1"), ("at", "u1"), ("kind", "u1")])
+RUN = np.dtype([("anchor", "<u8"), ("text", "<u8"), ("owner", "<i8"), ("start", "u1"), ("size", "u1")])
+SINGLE, SEVERAL = 1, 2  # kinds of a text: one window of a hot anchor, in several documents of its bucket
+KIND = "bucket int, sender int, block binary"
+
 
+def keyed(docs: DataFrame, carry: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
+    """(rows, bytes of text). rows: key (one per row), id, text (never null), carried columns.
 
-def keyed(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """key (one per row), id, text (never null), carried columns. The key is doc_id where that is unique and never null, else a row number."""
+    The key is doc_id where that is unique and never null, else a row number.
+    """
     own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *carry)
-    twice = own.groupBy("id").count().agg(F.max("count"), F.max("id")).first()
-    if (twice[0] or 0) > 1 or twice[1] == LAST_ID:
-        return cut(own).withColumn("key", F.monotonically_increasing_id()).select("key", "id", "text", *carry)
-    return own.select(F.col("id").alias("key"), "id", "text", *carry)
+    per = own.groupBy("id").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    most, last, size = per.agg(F.max("n"), F.max("id"), F.sum("bytes")).first()
+    if (most or 0) > 1 or last == LAST_ID:
+        return cut(own).withColumn("key", F.monotonically_increasing_id()).select("key", "id", "text", *carry), size or 0
+    return own.select(F.col("id").alias("key"), "id", "text", *carry), size or 0
 
 
 def leftmost_minima(h: np.ndarray, width: int) -> np.ndarray:
@@ -73,17 +86,31 @@ def fragments(seeds: np.ndarray, off: np.ndarray, length: int, seed: int) -> tup
     keep = whole[start]
     start, windows = start[keep], windows[keep]
     at = anchor[start].astype(np.int64)
-    return doc[start], start, windows, at - start, seeds[at] >> np.uint64(24)
+    return doc[start], start, windows, at - start, seeds[at] >> np.uint64(8)
+
+
+def _groups(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(begins, ends) of the runs of equal values."""
+    first = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, np.int64)
+    return first, np.r_[first[1:], len(values)][: len(first)]
+
 
+def _ranges(n: np.ndarray) -> np.ndarray:
+    """0 to n[0] - 1, 0 to n[1] - 1 and so on."""
+    return np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
 
-def _rows(bucket: np.ndarray, entries: np.ndarray) -> pa.RecordBatch:
-    """(bucket, block) rows, one for each bucket that has entries."""
+
+def _rows(bucket: np.ndarray, sender: int, blocks: list[bytes]) -> pa.Table:
+    kinds = (pa.array(bucket.astype(np.int32)), pa.array(np.full(len(bucket), sender, np.int32)), pa.array(blocks, pa.binary()))
+    return pa.table(kinds, names=["bucket", "sender", "block"])
+
+
+def _dealt_entries(bucket: np.ndarray, sender: int, entries: np.ndarray) -> pa.Table:
+    """Rows with the entries of each bucket."""
     order = np.argsort(bucket, kind="stable")
     bucket, entries = bucket[order], entries[order]
-    first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
-    ends = np.r_[first[1:], len(bucket)][: len(first)]
-    blocks = [_planes(entries[a:b]) for a, b in zip(first, ends, strict=True)]
-    return pa.RecordBatch.from_arrays([pa.array(bucket[first].astype(np.int32)), pa.array(blocks, pa.binary())], ["bucket", "block"])
+    first, ends = _groups(bucket)
+    return _rows(bucket[first], sender, [_planes(entries[a:b]) for a, b in zip(first, ends, strict=True)])
 
 
 def _planes(entries: np.ndarray) -> bytes:
@@ -95,131 +122,221 @@ def _entries(data, kind: np.dtype, n: int) -> np.ndarray:
     return np.frombuffer(data, np.uint8, n * kind.itemsize).reshape(kind.itemsize, n).T.copy().view(kind).reshape(n)
 
 
-def _joined(blocks: pa.ChunkedArray, kind: np.dtype) -> np.ndarray:
-    parts = [x.as_py() for x in blocks]
-    return np.concatenate([_entries(x, kind, len(x) // kind.itemsize) for x in parts]) if parts else np.zeros(0, kind)
+def _joined(table: pa.Table, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """(entries, sender of each)."""
+    parts = [_entries(x, kind, len(x) // kind.itemsize) for x in (b.as_py() for b in table.column("block"))]
+    senders = np.repeat(table.column("sender").to_numpy(), [len(p) for p in parts]) if parts else np.zeros(0, np.int32)
+    return (np.concatenate(parts) if parts else np.zeros(0, kind)), senders
 
 
 def _pick(h: np.ndarray, n: int) -> np.ndarray:
     return (mixed(h.astype(np.uint64)) % np.uint64(n)).astype(np.int64)
 
 
-def repeated_spans(rows: DataFrame, units: Units, compare: Compare, finish, schema: str, *, length: int, seed: int) -> DataFrame:
-    """Run the exchange over rows of `keyed` and give each bucket of documents with its spans to finish(table, spans)."""
-    n = 2 * partitions(rows.sparkSession)
+class Stretch:
+    """Some documents of a bucket with the fragments in them."""
 
-    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column(0).to_numpy()
-            raw, off = utf8(batch.column(1))
-            for i, j in whole_documents(off, 4 << 20):
-                _, _, unit_off, seeds = units(raw[off[i] : off[j]], off[i : j + 1] - off[i])
-                doc, start, windows, at, h = fragments(seeds, unit_off, length, seed)
-                out = np.empty(len(doc), ENTRY)
-                out["hash"], out["key"], out["start"], out["windows"], out["at"] = h, keys[i + doc], start - unit_off[doc], windows, at
-                yield _rows(_pick(h, n), out)
+    def __init__(self, table: pa.Table, raw: np.ndarray, off: np.ndarray, units: Units, length: int, seed: int):
+        self.table, self.raw, self.off, self.length = table, raw, off, length
+        self.buffer, self.starts, self.unit_off, seeds = units(raw, off)
+        self.doc, self.start, self.windows, self.at, self.hash = fragments(seeds, self.unit_off, length, seed)
+        self.ids = table.column("id").to_numpy()
 
-    def repeated(table: pa.Table) -> pa.Table:
-        entries = _joined(table.column("block"), ENTRY)
-        order = np.argsort(entries["hash"], kind="stable")
-        h, key = entries["hash"][order], entries["key"][order]
-        first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-        several = np.minimum.reduceat(key, first) != np.maximum.reduceat(key, first)
-        found = entries[order[np.repeat(several, np.diff(np.r_[first, len(h)]))]]
-        return pa.Table.from_batches([_rows(_pick(found["key"], n), found)])
-
-    def texts(dealt: pa.Table, blocks: pa.Table) -> pa.Table:
-        table = _documents(dealt)
-        if table is None or not blocks.num_rows:
-            return pa.Table.from_batches([_rows(np.zeros(0, np.int64), np.zeros(0, ENTRY))])
-        entries = _joined(blocks.column("block"), ENTRY)
-        keys, ids = table.column("key").to_numpy(), table.column("id").to_numpy()
-        order = np.argsort(keys)
-        row = order[np.searchsorted(keys, entries["key"], sorter=order)]
+    def bounds(self, start: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Byte ranges of the text of so many windows."""
+        return self.starts[start], self.starts[start + windows + (self.length - 1)]
+
+
+def stretches(dealt: pa.Table, units: Units, length: int, seed: int) -> Iterator[Stretch]:
+    """The documents of a bucket, a few MB at a time; no document is cut."""
+    for block in dealt.column("block"):
+        table = pa.ipc.open_stream(block.as_py()).read_all()
         raw, off = utf8(table.column("text"))
-        buffer, starts, unit_off, _ = units(raw, off)
-        begin = unit_off[row] + entries["start"]
-        lo, hi = starts[begin], starts[begin + entries["windows"] + (length - 1)]
-        data, number, zstd = buffer.tobytes(), {}, pa.Codec("zstd")
-        which = np.fromiter((number.setdefault(data[a:b], len(number)) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)), np.int64, len(lo))
-        unique = list(number)
-        example = np.zeros(len(unique), np.int64)
-        example[which] = np.arange(len(which))
-        head = np.empty(len(unique), TEXT)
-        head["hash"], head["windows"], head["at"] = (entries[c][example] for c in ("hash", "windows", "at"))
-        head["size"] = [len(x) for x in unique]
-        place = np.empty(len(which), PLACE)
-        place["key"], place["id"], place["start"] = entries["key"], ids[row] - entries["key"], entries["start"]
+        for i, j in whole_documents(off, STRETCH):
+            yield Stretch(table.slice(i, j - i), raw[off[i] : off[j]], off[i : j + 1] - off[i], units, length, seed)
+
+
+def _expanded(start: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(fragment, start) of every single window."""
+    return np.repeat(np.arange(len(start)), windows), np.repeat(start, windows) + _ranges(windows)
+
+
+def repeated_spans(rows: DataFrame, size: int, units: Units, compare: Compare, finish, schema: str, *, length: int, seed: int, hot: int = HOT) -> DataFrame:
+    """Run the exchange over rows of `keyed` and give each stretch of documents with its covered units to finish(stretch, gone)."""
+    n = max(2 * partitions(rows.sparkSession), -(-size // BUCKET))
+
+    def anchors(dealt: pa.Table) -> pa.Table:
+        own = dealt.column("bucket")[0].as_py()
+        found = []
+        for s in stretches(dealt, units, length, seed):
+            order = np.argsort(s.hash, kind="stable")
+            h, doc = s.hash[order], s.doc[order]
+            found.append(h[np.r_[True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])][: len(h)]])
+        names, docs = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        entries = (names << np.uint64(8) | np.log2(np.maximum(docs, 1)).astype(np.uint64)).view(NAME)
+        return _dealt_entries(_pick(names, n), own, entries)
+
+    def repeated(table: pa.Table) -> pa.Table:
+        entries, sender = _joined(table, NAME)
+        name = entries["name"]
+        order = np.argsort(name, kind="stable")
+        h, docs, sender = name[order] >> np.uint64(8), np.int64(1) << (name[order] & np.uint64(255)).astype(np.int64), sender[order]
+        first, ends = _groups(h)
+        total = np.add.reduceat(docs, first)
+        times = np.where(total > 1, ends - first, 0)
+        keep = np.repeat(total > 1, ends - first)
+        answer = (h[keep] << np.uint64(8) | np.repeat(total > hot, times).astype(np.uint64)).view(NAME)
+        return _dealt_entries(sender[keep].astype(np.int64), table.column("bucket")[0].as_py(), answer)
+
+    def texts(dealt: pa.Table, asked: pa.Table) -> pa.Table:
+        if not dealt.num_rows or not asked.num_rows:
+            return _rows(np.zeros(0, np.int64), 0, [])
+        wanted = np.sort(_joined(asked, NAME)[0]["name"])
+        names, crowded = wanted >> np.uint64(8), (wanted & np.uint64(255)) > 0
+        heads, bodies = [], []
+        for s in stretches(dealt, units, length, seed):
+            k = np.minimum(np.searchsorted(names, s.hash), len(names) - 1)
+            hit = names[k] == s.hash
+            hashed = Prefixes(s.buffer)
+            for single in (False, True):
+                of = np.flatnonzero(hit & (crowded[k] == single))
+                start, windows, at, name = s.start[of], s.windows[of], s.at[of], s.hash[of]
+                if single:
+                    part, start = _expanded(start, windows)
+                    of, name, windows, at = of[part], name[part], np.ones(len(part), np.int64), at[part] - (start - s.start[of[part]])
+                if not len(of):
+                    continue
+                lo, hi = s.bounds(start, windows)
+                key = hashed(lo, hi)
+                order = np.argsort(key, kind="stable")
+                first, _ = _groups(key[order])
+                ids = s.ids[s.doc[of]][order]
+                one = order[first]
+                head = np.empty(len(one), TEXT)
+                head["anchor"], head["text"], head["least"], head["size"], head["windows"], head["at"] = name[one], key[one], np.minimum.reduceat(ids, first), (hi - lo)[one], windows[one], at[one]
+                head["hash"] = mixed(key[one]) >> np.uint64(8) if single else name[one]
+                head["kind"] = SINGLE * single + SEVERAL * (np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first))
+                heads.append(head)
+                bodies.append(s.buffer[np.repeat(lo[one], (hi - lo)[one]) + _ranges((hi - lo)[one])])
+        if not heads:
+            return _rows(np.zeros(0, np.int64), 0, [])
+        head, body = np.concatenate(heads), np.concatenate(bodies)
+        ends = np.cumsum(head["size"], dtype=np.int64)
+        order = np.argsort(head["text"], kind="stable")
+        first, stop = _groups(head["text"][order])
+        least = np.minimum.reduceat(head["least"][order], first)
+        several = (head["kind"][order] & SEVERAL) | SEVERAL * (np.repeat(least, stop - first) != head["least"][order])
+        one = order[first]
+        kind = np.maximum.reduceat(several, first) | (head["kind"][one] & SINGLE)
+        head, begins, stops = head[one], (ends - head["size"])[one], ends[one]
+        head["least"], head["kind"] = least, kind
         to = _pick(head["hash"], n)
-        by_text, by_place = np.argsort(to, kind="stable"), np.argsort(to[which], kind="stable")
-        out_bucket, out_block = [], []
-        text_cuts, place_cuts = np.searchsorted(to[by_text], np.arange(n + 1)), np.searchsorted(to[which][by_place], np.arange(n + 1))
-        local = np.zeros(len(unique), np.int64)
-        for b in np.unique(to):
-            own = by_text[text_cuts[b] : text_cuts[b + 1]]
-            local[own] = np.arange(len(own))
-            there = by_place[place_cuts[b] : place_cuts[b + 1]]
-            part = place[there]
-            part["fragment"] = local[which[there]]
-            body = [np.array([len(own), len(there)], "<i8").tobytes(), _planes(head[own]), _planes(part), zstd.compress(b"".join(unique[k] for k in own), asbytes=True)]
-            out_bucket.append(int(b))
-            out_block.append(b"".join(body))
-        return pa.table({"bucket": pa.array(out_bucket, pa.int32()), "block": pa.array(out_block, pa.binary())})
+        order = np.argsort(to, kind="stable")
+        blocks, zstd = [], pa.Codec("zstd")
+        first, stop = _groups(to[order])
+        for a, b in zip(first, stop, strict=True):
+            own = order[a:b]
+            size = head["size"][own].astype(np.int64)
+            text = body[np.repeat(begins[own], size) + _ranges(size)]
+            blocks.append(np.int64(len(own)).tobytes() + _planes(head[own]) + zstd.compress(text.tobytes(), asbytes=True))
+        return _rows(to[order][first], dealt.column("bucket")[0].as_py(), blocks)
 
     def compared(table: pa.Table) -> pa.Table:
-        number: dict[bytes, int] = {}
-        heads, places, base, zstd = [], [], 0, pa.Codec("zstd")
+        heads, bodies, zstd = [], [], pa.Codec("zstd")
         for block in table.column("block"):
             data = block.as_py()
-            n_texts, n_places = np.frombuffer(data, "<i8", 2)
-            head = _entries(data[16 : 16 + n_texts * TEXT.itemsize], TEXT, n_texts)
-            part = _entries(data[16 + head.nbytes : 16 + head.nbytes + n_places * PLACE.itemsize], PLACE, n_places)
-            part["id"] += part["key"]
-            ends = np.cumsum(head["size"], dtype=np.int64)
-            data = zstd.decompress(data[16 + head.nbytes + part.nbytes :], int(ends[-1]), asbytes=True)
-            to = np.empty(n_texts, np.int64)
-            for k, (a, b) in enumerate(zip((ends - head["size"]).tolist(), ends.tolist(), strict=True)):
-                text = data[a:b]
-                to[k] = at = number.setdefault(text, len(number))
-                if at == base:
-                    base += 1
-                    heads.append(head[k : k + 1])
-            part["fragment"] = to[part["fragment"]]
-            places.append(part)
-        head, place = np.concatenate(heads), np.concatenate(places)
-        least = np.full(len(head), LAST_ID, np.int64)
-        np.minimum.at(least, place["fragment"], place["id"])
-        windows = head["windows"].astype(np.int64)
-        owner = compare(list(number), head["hash"], head["at"].astype(np.int64), windows, least)
-        first = np.cumsum(windows) - windows
+            count = int(np.frombuffer(data, "<i8", 1)[0])
+            heads.append(_entries(data[8 : 8 + count * TEXT.itemsize], TEXT, count))
+            bodies.append(zstd.decompress(data[8 + heads[-1].nbytes :], int(heads[-1]["size"].sum(dtype=np.int64)), asbytes=True))
+        sender = np.repeat(table.column("sender").to_numpy(), [len(h) for h in heads])
+        head, body = np.concatenate(heads), b"".join(bodies)
+        ends = np.cumsum(head["size"], dtype=np.int64)
+        del heads, bodies
+        order = np.lexsort((sender, head["hash"]))
+        first, stop = _groups(head["hash"][order])
+        weight = np.cumsum(head["size"][order], dtype=np.int64)[stop - 1]  # slices of whole groups
+        share = np.flatnonzero(np.r_[True, weight[1:] // SLICE != weight[:-1] // SLICE])
         found = []
-        for lo in range(0, len(place), 1 << 18):
-            part = place[lo : lo + (1 << 18)]
-            n_own = windows[part["fragment"]]
-            begin = np.cumsum(n_own) - n_own
-            k = np.arange(n_own.sum()) - np.repeat(begin, n_own)
-            gone = owner[np.repeat(first[part["fragment"]], n_own) + k] < np.repeat(part["id"], n_own)
-            opens = gone & ((k == 0) | ~np.r_[False, gone[:-1]])
-            last = np.r_[k[1:] == 0, True] if len(k) else k.astype(bool)
-            closes = gone & (last | ~np.r_[gone[1:], False])
-            a, b = np.flatnonzero(opens), np.flatnonzero(closes)
-            of = np.repeat(np.arange(len(part)), n_own)[a]
-            span = np.empty(len(a), SPAN)
-            span["key"], span["start"], span["size"] = part["key"][of], part["start"][of] + k[a], b - a + length
-            found.append(span)
-        spans = np.concatenate(found)
-        return pa.Table.from_batches([_rows(_pick(spans["key"], n), spans)])
-
-    def ended(dealt: pa.Table, blocks: pa.Table) -> pa.Table:
-        spans = _joined(blocks.column("block"), SPAN) if blocks.num_rows else np.zeros(0, SPAN)
-        return finish(_documents(dealt), spans)
-
-    kind = "bucket int, block binary"
-    dealt = rows.mapInArrow(_dealer(n), kind)
-    asked = rows.select("key", "text").mapInArrow(anchors, kind).groupBy("bucket").applyInArrow(repeated, kind)
-    sent = dealt.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(texts, kind)
-    spans = sent.groupBy("bucket").applyInArrow(compared, kind)
-    return dealt.groupBy("bucket").cogroup(spans.groupBy("bucket")).applyInArrow(ended, schema)
+        for a, b in zip(first[share], np.r_[first[share[1:]], len(order)], strict=True):
+            own = order[a:b]
+            number: dict[bytes, int] = {}
+            which = np.fromiter((number.setdefault(body[e - m : e], len(number)) for e, m in zip(ends[own].tolist(), head["size"][own].tolist(), strict=True)), np.int64, len(own))
+            part = head[own]
+            least = np.full(len(number), LAST_ID, np.int64)
+            np.minimum.at(least, which, part["least"])
+            example = np.zeros(len(number), np.int64)
+            example[which[::-1]] = np.arange(len(which))[::-1]
+            kinds, windows = part[example], part["windows"][example].astype(np.int64)
+            owner = compare(list(number), kinds["hash"], kinds["at"].astype(np.int64), windows, least, sender[own][example])
+            n_own = windows[which]
+            k = _ranges(n_own)
+            mine = owner[np.repeat((np.cumsum(windows) - windows)[which], n_own) + k]
+            told = (mine < np.repeat(part["least"], n_own)) | np.repeat(part["kind"] == SINGLE | SEVERAL, n_own)
+            before = np.r_[False, told[:-1] & (mine[1:] == mine[:-1])][: len(told)] & (k > 0)
+            opens = np.flatnonzero(told & ~before)
+            closes = np.flatnonzero(told & ~np.r_[before[1:], False][: len(told)])
+            of = np.repeat(np.arange(len(own)), n_own)[opens]
+            run = np.empty(len(opens), RUN)
+            run["anchor"], run["text"], run["owner"], run["start"] = part["anchor"][of], part["text"][of], mine[opens], k[opens]
+            run["size"] = np.where(part["kind"][of] & SINGLE, 0, closes - opens + 1)
+            found.append((sender[own][of], run))
+        runs = np.concatenate([r for _, r in found])
+        return _dealt_entries(np.concatenate([s for s, _ in found]).astype(np.int64), table.column("bucket")[0].as_py(), runs)
+
+    def ended(dealt: pa.Table, told: pa.Table) -> pa.Table:
+        runs = _joined(told, RUN)[0]
+        runs = runs[np.argsort(runs["text"], kind="stable")]
+        loose = runs["size"] == 0
+        singles, runs = runs[loose], runs[~loose]
+        crowded = np.unique(singles["anchor"])
+        own: dict[str, list[np.ndarray]] = {"text": [], "id": []}
+        for s in stretches(dealt, units, length, seed):  # the smallest id that a text has in this bucket
+            key = Prefixes(s.buffer)(*s.bounds(s.start, s.windows))
+            own["text"].append(key)
+            own["id"].append(s.ids[s.doc])
+        key = np.concatenate(own["text"]) if own["text"] else np.zeros(0, np.uint64)
+        order = np.argsort(key, kind="stable")
+        first, stop = _groups(key[order])
+        twice = np.flatnonzero(stop - first > 1)
+        least = np.minimum.reduceat(np.concatenate(own["id"])[order], first)[twice] if len(twice) else np.zeros(0, np.int64)
+        local = key[order][first[twice]]
+        del own, key, order
+        out = []
+        for s in stretches(dealt, units, length, seed):
+            change = np.zeros(int(s.unit_off[-1]) + 1, np.int32)
+            hashed, ids = Prefixes(s.buffer), s.ids[s.doc]
+            key = hashed(*s.bounds(s.start, s.windows))
+
+            def cover(begin: np.ndarray, windows: np.ndarray, change=change) -> None:
+                np.add.at(change, begin, 1)
+                np.add.at(change, begin + windows + (length - 1), -1)
+
+            if len(local):
+                k = np.minimum(np.searchsorted(local, key), len(local) - 1)
+                gone = (local[k] == key) & (least[k] < ids)
+                cover(s.start[gone], s.windows[gone])
+            for these, of, start, text in ((runs, np.arange(len(key)), s.start, key), (singles, *_crowded(s, crowded, hashed))):
+                lo = np.searchsorted(these["text"], text, "left")
+                n_own = np.searchsorted(these["text"], text, "right") - lo
+                place = np.repeat(np.arange(len(text)), n_own)
+                run = these[np.repeat(lo, n_own) + _ranges(n_own)]
+                gone = (run["owner"] < ids[of[place]]) & (run["anchor"] == s.hash[of[place]])
+                cover(start[place][gone] + run["start"][gone], np.maximum(run["size"][gone], 1).astype(np.int64))
+            out.append(finish(s, np.cumsum(change[:-1]) > 0))
+        return pa.concat_tables(out)
+
+    dealt = rows.mapInArrow(_dealer(n), "bucket int, block binary")
+    asked = dealt.groupBy("bucket").applyInArrow(anchors, KIND).groupBy("bucket").applyInArrow(repeated, KIND)
+    sent = dealt.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(texts, KIND)
+    told = sent.groupBy("bucket").applyInArrow(compared, KIND)
+    return dealt.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(ended, schema)
+
+
+def _crowded(s: Stretch, names: np.ndarray, hashed: Prefixes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(fragment, start, hash of the text) of every window of the hot anchors in a stretch."""
+    of = np.flatnonzero(np.isin(s.hash, names))
+    part, start = _expanded(s.start[of], s.windows[of])
+    return of[part], start, hashed(*s.bounds(start, np.ones(len(part), np.int64)))
 
 
 def _dealer(n: int):
@@ -231,9 +348,9 @@ def _dealer(n: int):
             bucket = _pick(batch.column(0).to_numpy(), n)
             order = np.argsort(bucket, kind="stable")
             bucket, batch = bucket[order], batch.take(pa.array(order))
-            first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
+            first, stop = _groups(bucket)
             blocks = []
-            for lo, hi in zip(first, np.r_[first[1:], len(bucket)][: len(first)], strict=True):
+            for lo, hi in zip(first, stop, strict=True):
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, batch.schema, options=options) as out:
                     out.write_batch(pa.RecordBatch.from_arrays([pa.concat_arrays([c]) for c in batch.slice(lo, hi - lo).columns], schema=batch.schema))
@@ -241,22 +358,3 @@ def _dealer(n: int):
             yield pa.RecordBatch.from_arrays([pa.array(bucket[first].astype(np.int32)), pa.array(blocks, pa.binary())], ["bucket", "block"])
 
     return run
-
-
-def _documents(dealt: pa.Table) -> pa.Table | None:
-    """The rows of one bucket again; None without rows."""
-    parts = [pa.ipc.open_stream(x.as_py()).read_all() for x in dealt.column("block")] if dealt.num_rows else []
-    return pa.concat_tables(parts) if parts else None
-
-
-def covered(table: pa.Table, spans: np.ndarray, unit_off: np.ndarray) -> np.ndarray:
-    """For each unit of the documents in a table, whether a span covers it."""
-    keys = table.column("key").to_numpy()
-    change = np.zeros(int(unit_off[-1]) + 1, np.int32)
-    if len(spans):
-        order = np.argsort(keys)
-        row = order[np.searchsorted(keys, spans["key"], sorter=order)]
-        begin = unit_off[row] + spans["start"]
-        np.add.at(change, begin, 1)
-        np.add.at(change, begin + spans["size"], -1)
-    return np.cumsum(change[:-1]) > 0

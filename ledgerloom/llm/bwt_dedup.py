@@ -1,12 +1,14 @@
 """Removal of repeated byte strings by merging Burrows-Wheeler transforms of shards.
 
 Only fragments around anchors that occur in more than one document are compared (see `anchors`; every repeated string has such
-an anchor). In a bucket, fragments with equal bytes around the anchor form a batch; its distinct texts are dealt into shards,
-each shard is sorted by itself and gives its own transform, and the transforms are merged by refining an interleave: the vector
-that says which shard each suffix of the merged order comes from. Reading the shards' transforms through the interleave and
-dealing it by the symbols found sorts it by one more symbol; no suffix is compared again. A symbol is a run of `STRIDE` bytes, so
-a few rounds sort by the wanted length. Block borders carried along the rounds are the places where the common prefix ends, so
-the blocks after the last round are the repeated intervals, and the smallest document id of a block owns the string.
+an anchor). A batch is some whole groups of fragments with one anchor; its shards are the fragments that came from different
+buckets of documents. Each shard is sorted by itself and gives its own transform, and the transforms are merged by refining an
+interleave: the vector that says which shard each suffix of the merged order comes from. Reading the shards' transforms through
+the interleave and dealing it by the symbols found sorts it by one more symbol; no suffix is compared again. A symbol is a run of
+`STRIDE` bytes, so a few rounds sort by the wanted length. Block borders carried along the rounds are the places where the common
+prefix ends, so the blocks after the last round are the repeated intervals, and the smallest document id of a block owns the
+string. A merge over all suffixes of the corpus at once would shuffle every suffix once a round, ten times the input and more;
+with the anchors only what may be repeated is merged.
 
 Edge cases: null or empty texts have no byte and the hash of the empty string; a null doc_id sorts after all others; rows with
 equal doc_id don't remove each other's bytes; an empty table gives an empty result; other columns are ignored.
@@ -15,26 +17,27 @@ equal doc_id don't remove each other's bytes; an empty table gives an empty resu
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .anchors import covered, keyed, repeated_spans
-from .common import LAST_ID, mixed, table, utf8
+from .anchors import HOT, Stretch, keyed, repeated_spans
+from .common import LAST_ID, mixed, table
 
 STRIDE, SHARDS, MERGED = 5, 8, 60_000  # bytes a symbol, shards a merge, suffixes a merge (more only for one group of texts)
 
 
-def byte_units(raw: np.ndarray, off: np.ndarray, seed: int = 16) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The bytes themselves, and the hash of the 16 bytes from each one on."""
+def byte_units(raw: np.ndarray, off: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes themselves, and the hash of the `seed` bytes (a multiple of 8) from each one on."""
     n = len(raw)
     x = np.zeros(n + seed, np.uint64)
     x[:n] = raw
     for k in (1, 2, 4):
         x = x[:-k] | x[k:] << np.uint64(8 * k)
-    seeds = mixed(x[: n + 1] * np.uint64(0x9E3779B97F4A7C15) ^ mixed(x[8 : n + 9]))[:n]
+    seeds = x[:n]
+    for k in range(8, seed + 1, 8):
+        seeds = mixed(seeds * np.uint64(0x9E3779B97F4A7C15) ^ (x[k : n + k] if k < seed else np.uint64(seed)))
     return raw, np.arange(n + 1), off, seeds
 
 
@@ -56,10 +59,10 @@ def shard_order(symbols: np.ndarray, terminal: np.ndarray) -> np.ndarray:
     return order
 
 
-def repeated_intervals(texts: list[bytes], length: int, shards: int = SHARDS) -> tuple[np.ndarray, np.ndarray]:
+def repeated_intervals(texts: list[bytes], length: int, senders: np.ndarray | None = None, shards: int = SHARDS) -> tuple[np.ndarray, np.ndarray]:
     """(begins, block): where each text begins in the merged collection, and for every position of it the block of its suffix.
 
-    Two positions at least `length` bytes before their texts' ends are in one block exactly if these bytes are equal.
+    Texts of one sender lie together and in one shard; without senders every text is one of its own. Two positions at least `length` bytes before their texts' ends are in one block exactly if these bytes are equal.
     """
     if length % STRIDE:
         raise ValueError(f"length must be a multiple of {STRIDE}")
@@ -74,7 +77,8 @@ def repeated_intervals(texts: list[bytes], length: int, shards: int = SHARDS) ->
         gram[: n - k] |= data[k:].astype(np.int64) << (8 * (STRIDE - 1 - k))
     symbols = np.unique(gram, return_inverse=True)[1]
     narrow = np.uint16 if int(symbols.max()) < 1 << 16 else np.int64
-    cuts = np.unique(np.r_[0, begins[np.linspace(0, len(texts), min(shards, len(texts)), endpoint=False).astype(int)], n])
+    heads = np.arange(len(texts)) if senders is None else np.flatnonzero(np.r_[True, senders[1:] != senders[:-1]])
+    cuts = np.unique(np.r_[0, begins[heads[np.linspace(0, len(heads), min(shards, len(heads)), endpoint=False).astype(int)]], n])
     order = np.concatenate([a + shard_order(symbols[a:b], terminal[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
     has = within[order] >= STRIDE  # suffixes with a symbol before them; the transform of each shard, one after the other
     transform = symbols[np.maximum(order - STRIDE, 0)].astype(narrow)
@@ -96,66 +100,48 @@ def repeated_intervals(texts: list[bytes], length: int, shards: int = SHARDS) ->
     return begins, found
 
 
-def merged(texts: list[bytes], hashes: np.ndarray, at: np.ndarray, windows: np.ndarray, least: np.ndarray, *, length: int, seed: int) -> np.ndarray:
-    """Smallest id of each window over all fragments.
-
-    A window has at least `side` bytes to the right or to the left of its anchor, so a fragment's windows fall into a right and
-    a left half, each with more bytes in common; only halves that agree in these bytes with another text go into a merge.
-    """
-    first = np.cumsum(windows) - windows
+def merged(texts: list[bytes], hashes: np.ndarray, windows: np.ndarray, least: np.ndarray, senders: np.ndarray, *, length: int) -> np.ndarray:
+    """Smallest id of each window over all fragments of a slice; fragments of one anchor lie together."""
     out = np.repeat(least, windows)
-    side = (length - seed) // 2
-    groups: dict[bytes, list[tuple[int, int, int]]] = defaultdict(list)
-    for f, (text, a, n) in enumerate(zip(texts, at.tolist(), windows.tolist(), strict=True)):
-        middle = min(max(0, a - side), n)
-        if middle < n:
-            groups[text[a : a + length - side]].append((f, middle, n))
-        if middle > 0:
-            groups[text[a - side - 1 : a + seed] + b"<"].append((f, 0, middle))
-    batch: list[dict[bytes, list[tuple[int, int, int]]]] = []
+    first = np.cumsum(windows) - windows
+    begins = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
+    ends = np.r_[begins[1:], len(hashes)]
+    several = ends - begins > 1
+    batch: list[np.ndarray] = []
     total = 0
-    for members in groups.values():
-        if len(members) == 1:
-            continue
-        own: dict[bytes, list[tuple[int, int, int]]] = defaultdict(list)
-        for f, lo, hi in members:
-            own[texts[f][lo : hi + length - 1]].append((f, lo, hi))
-        batch.append(own)
-        total += sum(len(x) + STRIDE for x in own)
+    for a, b in zip(begins[several].tolist(), ends[several].tolist(), strict=True):
+        batch.append(np.arange(a, b))
+        total += sum(len(x) + STRIDE for x in texts[a:b])
         if total >= MERGED:
-            _settle(batch, out, first, least, length)
+            _settle(np.concatenate(batch), texts, windows, least, senders, first, out, length)
             batch, total = [], 0
     if batch:
-        _settle(batch, out, first, least, length)
+        _settle(np.concatenate(batch), texts, windows, least, senders, first, out, length)
     return out
 
 
-def _settle(batch: list[dict[bytes, list[tuple[int, int, int]]]], out: np.ndarray, first: np.ndarray, least: np.ndarray, length: int) -> None:
-    texts = [x for own in batch for x in own]
-    begins, block = repeated_intervals(texts, length)
-    users = [u for own in batch for u in own.values()]
-    of = np.repeat(np.arange(len(users)), [len(u) for u in users])
-    flat = np.array([v for u in users for v in u], np.int64)
-    n = flat[:, 2] - flat[:, 1]
+def _settle(own: np.ndarray, texts: list[bytes], windows: np.ndarray, least: np.ndarray, senders: np.ndarray, first: np.ndarray, out: np.ndarray, length: int) -> None:
+    own = own[np.argsort(senders[own], kind="stable")]
+    begins, block = repeated_intervals([texts[k] for k in own], length, senders[own])
+    n = windows[own]
     k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    blocks = block[np.repeat(begins[of], n) + k]
+    blocks = block[np.repeat(begins, n) + k]
     owner = np.full(int(block.max()) + 1, LAST_ID, np.int64)
-    np.minimum.at(owner, blocks, np.repeat(least[flat[:, 0]], n))
-    out[np.repeat(first[flat[:, 0]] + flat[:, 1], n) + k] = owner[blocks]
+    np.minimum.at(owner, blocks, np.repeat(least[own], n))
+    out[np.repeat(first[own], n) + k] = owner[blocks]
 
 
-def remove_repeats(docs: DataFrame, *, length: int = 50, seed: int = 16, with_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, length: int = 50, seed: int = 32, with_text: bool = False, carry: tuple[str, ...] = (), hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, carried columns of docs and, if asked for, kept: what stays, as text.
 
     In kept, the parts of characters that a cut runs through are left out.
     """
 
-    def compare(texts, hashes, at, windows, least):
-        return merged(texts, hashes, at, windows, least, length=length, seed=seed)
+    def compare(texts, hashes, at, windows, least, senders):
+        return merged(texts, hashes, windows, least, senders, length=length)
 
-    def finish(rows: pa.Table, spans: np.ndarray) -> pa.Table:
-        raw, off = utf8(rows.column("text"))
-        gone = covered(rows, spans, off)
+    def finish(s: Stretch, gone: np.ndarray) -> pa.Table:
+        rows, raw, off = s.table, s.raw, s.off
         begins = gone.copy()
         if len(gone):
             begins[1:] &= ~gone[:-1]
@@ -177,7 +163,8 @@ def remove_repeats(docs: DataFrame, *, length: int = 50, seed: int = 16, with_te
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     schema += "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry) + ", kept string" * with_text
-    return repeated_spans(keyed(docs, carry), lambda raw, off: byte_units(raw, off, seed), compare, finish, schema, length=length, seed=seed)
+    rows, size = keyed(docs, carry)
+    return repeated_spans(rows, size, lambda raw, off: byte_units(raw, off, seed), compare, finish, schema, length=length, seed=seed, hot=hot)
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

@@ -1,13 +1,14 @@
 """Removal of passages that repeat across documents, by seed and extend over words.
 
-Documents are joined on winnowed anchors of `seed` words (see `anchors`). In each group of fragments with one anchor, the match
-is extended to the right and to the left a word at a time: fragments that agree so far stay in one class. A window with l words
-left and r words right of the anchor is a repeat of exactly those that share its left class l and its right class r, so every
-maximal repeat over the threshold is found without comparing pairs. The smallest document id of the class owns the passage.
+Documents are joined on winnowed anchors of `seed` words (see `anchors`). In each group of fragments with one anchor, the words
+of the anchor are compared first, and the match is then extended to the right and to the left a word at a time: fragments that
+agree so far stay in one class. A window with l words left and r words right of the anchor is a repeat of exactly those that share
+its left class l and its right class r, so every maximal repeat over the threshold is found without comparing pairs. The smallest
+document id of the class owns the passage. Within a slice of a MB a word is named by a 64-bit hash.
 
 Edge cases: null or empty texts have no word and the hash of the empty string; a null doc_id sorts after all others; rows with
-equal doc_id don't remove each other's words; white space between words doesn't matter; an empty table gives an empty result;
-other columns are ignored.
+equal doc_id don't remove each other's words; white space between words doesn't matter; words may be of any length; an empty table
+gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .anchors import covered, keyed, repeated_spans
-from .common import LAST_ID, Prefixes, mixed, table, utf8, words
+from .anchors import HOT, Stretch, keyed, repeated_spans
+from .common import LAST_ID, Prefixes, mixed, table, words
 
 
 def word_units(raw: np.ndarray, off: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -54,6 +55,8 @@ def extended(texts: list[bytes], hashes: np.ndarray, at: np.ndarray, windows: np
         next_word = np.where(inside, word[np.minimum(np.maximum(first[:-1] + place, 0), len(word) - 1)], 0)
         return np.unique(classes.astype(np.int64) * wide + next_word, return_inverse=True)[1]
 
+    for k in range(seed):
+        group = step(group, at + k)
     right, left = [group], [group]
     for k in range(reach):
         right.append(step(right[-1], at + seed + k))
@@ -70,23 +73,20 @@ def extended(texts: list[bytes], hashes: np.ndarray, at: np.ndarray, windows: np
     return out
 
 
-def remove_repeats(docs: DataFrame, *, length: int = 13, seed: int = 5, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, length: int = 13, seed: int = 7, with_text: bool = False, hot: int = HOT) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept (the words that stay, joined by one space)."""
-    units = lambda raw, off: word_units(raw, off, seed)
 
-    def compare(texts, hashes, at, windows, least):
+    def compare(texts, hashes, at, windows, least, senders):
         return extended(texts, hashes, at, windows, least, length=length, seed=seed)
 
-    def finish(rows: pa.Table, spans: np.ndarray) -> pa.Table:
-        raw, off = utf8(rows.column("text"))
-        buffer, begin, first, _ = units(raw, off)
-        gone = covered(rows, spans, first)
+    def finish(s: Stretch, gone: np.ndarray) -> pa.Table:
+        buffer, begin, first = s.buffer, s.starts, s.unit_off
         keep = np.repeat(~gone, np.diff(begin))
         removed = np.r_[0, np.cumsum(gone)]
         kept_bytes = buffer[keep].tobytes()
         cuts = np.r_[0, np.cumsum(keep)][begin[first]]
         kept = [kept_bytes[a : max(a, b - 1)] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        ids = rows.column("id").to_pylist()
+        ids = s.ids.tolist()
         columns = {
             "doc_id": pa.array([None if i == LAST_ID else i for i in ids], pa.int64()),
             "n_words": pa.array(np.diff(first)),
@@ -96,7 +96,8 @@ def remove_repeats(docs: DataFrame, *, length: int = 13, seed: int = 5, with_tex
         return pa.table(columns | ({"kept": pa.array([x.decode() for x in kept], pa.string())} if with_text else {}))
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text
-    return repeated_spans(keyed(docs), units, compare, finish, schema, length=length, seed=seed)
+    rows, size = keyed(docs)
+    return repeated_spans(rows, size, lambda raw, off: word_units(raw, off, seed), compare, finish, schema, length=length, seed=seed, hot=hot)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

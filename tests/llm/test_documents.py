@@ -65,6 +65,28 @@ def test_repeated_bytes(docs, rows, no_docs):
     assert bwt_dedup.remove_repeats(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("hot", [1])
+@pytest.mark.parametrize("operator, expected", [(bwt_dedup, expected_bytes), (substring_dedup, expected_words)])
+def test_windows_of_hot_anchors_travel_one_by_one(docs, rows, monkeypatch, operator, expected, hot):
+    from ledgerloom.llm import anchors
+
+    monkeypatch.setattr(anchors, "BUCKET", 2_000)  # many buckets of few documents
+    got = operator.remove_repeats(docs, hot=hot).collect()
+    assert Counter(tuple(r) for r in got) == expected(rows)
+
+
+def test_a_passage_of_all_documents(spark, monkeypatch):
+    from ledgerloom.llm import anchors
+
+    passage = "terms of use apply to every page of this site, see the notice at its end and our policy on reuse"
+    rows = [(k, f"own {k * 7919} {passage} then {k * 104729} more words follow here than before {k}") for k in range(300)]
+    made = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(anchors, "BUCKET", 3_000)
+    for operator, expected in ((bwt_dedup, expected_bytes), (substring_dedup, expected_words)):
+        for hot in (20, anchors.HOT):
+            assert Counter(tuple(r) for r in operator.remove_repeats(made, hot=hot).collect()) == expected(rows)
+
+
 def test_interleave_refinement_finds_equal_strings():
     rng = np.random.default_rng(0)
     texts = [bytes(rng.integers(97, 99, rng.integers(10, 60)).astype(np.uint8)) for _ in range(60)] + [b"ab" * 20, b"ab" * 20]
