@@ -30,12 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, Prefixes, cut, mixed, partitions, utf8, whole_documents
+from .common import LAST_ID, cut, mixed, partitions, utf8, whole_documents
 
 #: (fragments, their anchors' hashes in order, anchor offsets, windows, smallest ids, senders) -> smallest id of each window, concatenated
 Compare = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
-#: (bytes, document offsets) -> (unit buffer, starts of the units in it, document offsets in units, seed hashes of each unit)
-Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+#: (bytes, document offsets, hashes wanted) -> (unit buffer, starts of the units in it, document offsets in units, seed hashes of each unit)
+Units = Callable[[np.ndarray, np.ndarray, bool], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 BUCKET, STRETCH, SLICE, HOT = 12 << 20, 1 << 20, 1 << 20, 1 << 12
 
@@ -134,26 +134,36 @@ def _pick(h: np.ndarray, n: int) -> np.ndarray:
 
 
 class Stretch:
-    """Some documents of a bucket with the fragments in them."""
+    """Some documents of a bucket with the fragments in them; without `named` only the documents and their units."""
 
-    def __init__(self, table: pa.Table, raw: np.ndarray, off: np.ndarray, units: Units, length: int, seed: int):
-        self.table, self.raw, self.off, self.length = table, raw, off, length
-        self.buffer, self.starts, self.unit_off, seeds = units(raw, off)
-        self.doc, self.start, self.windows, self.at, self.hash = fragments(seeds, self.unit_off, length, seed)
+    def __init__(self, table: pa.Table, raw: np.ndarray, off: np.ndarray, units: Units, length: int, seed: int, named: bool):
+        self.table, self.raw, self.off, self.length, self.seed = table, raw, off, length, seed
+        self.buffer, self.starts, self.unit_off, self.seeds = units(raw, off, named)
         self.ids = table.column("id").to_numpy()
+        if named:
+            self.doc, self.start, self.windows, self.at, self.hash = fragments(self.seeds, self.unit_off, length, seed)
 
     def bounds(self, start: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Byte ranges of the text of so many windows."""
         return self.starts[start], self.starts[start + windows + (self.length - 1)]
 
+    def text(self, start: np.ndarray, windows: np.ndarray) -> np.ndarray:
+        """A hash of the text of so many windows, from the hashes of the seeds that cover it."""
+        size = windows + (self.length - 1)
+        h = size.astype(np.uint64)
+        for k in range(0, int(size.max()) if len(size) else 0, self.seed):
+            inside = k < size
+            h = np.where(inside, mixed(h * np.uint64(0x9E3779B97F4A7C15) ^ self.seeds[start + np.minimum(k, size - self.seed)]), h)
+        return h
 
-def stretches(dealt: pa.Table, units: Units, length: int, seed: int) -> Iterator[Stretch]:
+
+def stretches(dealt: pa.Table, units: Units, length: int, seed: int, *, named: bool = True) -> Iterator[Stretch]:
     """The documents of a bucket, a few MB at a time; no document is cut."""
     for block in dealt.column("block"):
         table = pa.ipc.open_stream(block.as_py()).read_all()
         raw, off = utf8(table.column("text"))
         for i, j in whole_documents(off, STRETCH):
-            yield Stretch(table.slice(i, j - i), raw[off[i] : off[j]], off[i : j + 1] - off[i], units, length, seed)
+            yield Stretch(table.slice(i, j - i), raw[off[i] : off[j]], off[i : j + 1] - off[i], units, length, seed, named)
 
 
 def _expanded(start: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -197,7 +207,6 @@ def repeated_spans(rows: DataFrame, size: int, units: Units, compare: Compare, f
         for s in stretches(dealt, units, length, seed):
             k = np.minimum(np.searchsorted(names, s.hash), len(names) - 1)
             hit = names[k] == s.hash
-            hashed = Prefixes(s.buffer)
             for single in (False, True):
                 of = np.flatnonzero(hit & (crowded[k] == single))
                 start, windows, at, name = s.start[of], s.windows[of], s.at[of], s.hash[of]
@@ -207,7 +216,7 @@ def repeated_spans(rows: DataFrame, size: int, units: Units, compare: Compare, f
                 if not len(of):
                     continue
                 lo, hi = s.bounds(start, windows)
-                key = hashed(lo, hi)
+                key = s.text(start, windows)
                 order = np.argsort(key, kind="stable")
                 first, _ = _groups(key[order])
                 ids = s.ids[s.doc[of]][order]
@@ -289,38 +298,36 @@ def repeated_spans(rows: DataFrame, size: int, units: Units, compare: Compare, f
         loose = runs["size"] == 0
         singles, runs = runs[loose], runs[~loose]
         crowded = np.unique(singles["anchor"])
-        own: dict[str, list[np.ndarray]] = {"text": [], "id": []}
-        for s in stretches(dealt, units, length, seed):  # the smallest id that a text has in this bucket
-            key = Prefixes(s.buffer)(*s.bounds(s.start, s.windows))
-            own["text"].append(key)
-            own["id"].append(s.ids[s.doc])
-        key = np.concatenate(own["text"]) if own["text"] else np.zeros(0, np.uint64)
-        order = np.argsort(key, kind="stable")
-        first, stop = _groups(key[order])
-        twice = np.flatnonzero(stop - first > 1)
-        least = np.minimum.reduceat(np.concatenate(own["id"])[order], first)[twice] if len(twice) else np.zeros(0, np.int64)
-        local = key[order][first[twice]]
-        del own, key, order
-        out = []
+        found, key, ids = [], [], []
         for s in stretches(dealt, units, length, seed):
+            own = s.ids[s.doc]
+            key.append(s.text(s.start, s.windows))
+            ids.append(own)
+            of = np.flatnonzero(np.isin(s.hash, crowded)) if len(crowded) else np.zeros(0, np.int64)
+            part, start = _expanded(s.start[of], s.windows[of])
+            single = (own[of[part]], s.hash[of[part]], start, s.text(start, np.ones(len(part), np.int64)))
+            found.append(((own, s.hash, s.start, key[-1]), single, s.windows))
+        local, least = _smallest(np.concatenate(key), np.concatenate(ids))  # the smallest id that a text has in this bucket
+        del key, ids
+        out = []
+        for s, (plain, single, windows) in zip(stretches(dealt, units, length, seed, named=False), found, strict=True):
             change = np.zeros(int(s.unit_off[-1]) + 1, np.int32)
-            hashed, ids = Prefixes(s.buffer), s.ids[s.doc]
-            key = hashed(*s.bounds(s.start, s.windows))
 
             def cover(begin: np.ndarray, windows: np.ndarray, change=change) -> None:
                 np.add.at(change, begin, 1)
                 np.add.at(change, begin + windows + (length - 1), -1)
 
             if len(local):
-                k = np.minimum(np.searchsorted(local, key), len(local) - 1)
-                gone = (local[k] == key) & (least[k] < ids)
-                cover(s.start[gone], s.windows[gone])
-            for these, of, start, text in ((runs, np.arange(len(key)), s.start, key), (singles, *_crowded(s, crowded, hashed))):
+                own, _, start, text = plain
+                k = np.minimum(np.searchsorted(local, text), len(local) - 1)
+                gone = (local[k] == text) & (least[k] < own)
+                cover(start[gone], windows[gone])
+            for these, (own, anchor, start, text) in ((runs, plain), (singles, single)):
                 lo = np.searchsorted(these["text"], text, "left")
                 n_own = np.searchsorted(these["text"], text, "right") - lo
                 place = np.repeat(np.arange(len(text)), n_own)
                 run = these[np.repeat(lo, n_own) + _ranges(n_own)]
-                gone = (run["owner"] < ids[of[place]]) & (run["anchor"] == s.hash[of[place]])
+                gone = (run["owner"] < own[place]) & (run["anchor"] == anchor[place])
                 cover(start[place][gone] + run["start"][gone], np.maximum(run["size"][gone], 1).astype(np.int64))
             out.append(finish(s, np.cumsum(change[:-1]) > 0))
         return pa.concat_tables(out)
@@ -332,11 +339,13 @@ def repeated_spans(rows: DataFrame, size: int, units: Units, compare: Compare, f
     return dealt.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(ended, schema)
 
 
-def _crowded(s: Stretch, names: np.ndarray, hashed: Prefixes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(fragment, start, hash of the text) of every window of the hot anchors in a stretch."""
-    of = np.flatnonzero(np.isin(s.hash, names))
-    part, start = _expanded(s.start[of], s.windows[of])
-    return of[part], start, hashed(*s.bounds(start, np.ones(len(part), np.int64)))
+def _smallest(key: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys that occur more than once, in order; the smallest id of each)."""
+    order = np.argsort(key, kind="stable")
+    first, stop = _groups(key[order])
+    twice = stop - first > 1
+    least = np.minimum.reduceat(ids[order], first)[twice] if len(first) else ids
+    return key[order][first[twice]], least
 
 
 def _dealer(n: int):

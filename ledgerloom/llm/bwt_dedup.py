@@ -28,16 +28,19 @@ from .common import LAST_ID, mixed, table
 STRIDE, SHARDS, MERGED = 5, 8, 60_000  # bytes a symbol, shards a merge, suffixes a merge (more only for one group of texts)
 
 
-def byte_units(raw: np.ndarray, off: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def byte_units(raw: np.ndarray, off: np.ndarray, hashed: bool, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The bytes themselves, and the hash of the `seed` bytes (a multiple of 8) from each one on."""
     n = len(raw)
-    x = np.zeros(n + seed, np.uint64)
-    x[:n] = raw
-    for k in (1, 2, 4):
-        x = x[:-k] | x[k:] << np.uint64(8 * k)
-    seeds = x[:n]
-    for k in range(8, seed + 1, 8):
-        seeds = mixed(seeds * np.uint64(0x9E3779B97F4A7C15) ^ (x[k : n + k] if k < seed else np.uint64(seed)))
+    seeds = np.zeros(0, np.uint64)
+    if hashed:
+        x = np.zeros(n + seed, np.uint64)
+        x[:n] = raw
+        for k in (1, 2, 4):
+            x = x[:-k] | x[k:] << np.uint64(8 * k)
+        seeds = x[:n]
+        for k in range(8, seed, 8):
+            seeds = mixed(seeds * np.uint64(0x9E3779B97F4A7C15)) ^ x[k : n + k]
+        seeds = mixed(seeds * np.uint64(0x9E3779B97F4A7C15))
     return raw, np.arange(n + 1), off, seeds
 
 
@@ -131,7 +134,7 @@ def _settle(own: np.ndarray, texts: list[bytes], windows: np.ndarray, least: np.
     out[np.repeat(first[own], n) + k] = owner[blocks]
 
 
-def remove_repeats(docs: DataFrame, *, length: int = 50, seed: int = 32, with_text: bool = False, carry: tuple[str, ...] = (), hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, length: int = 50, seed: int = 24, with_text: bool = False, carry: tuple[str, ...] = (), hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, carried columns of docs and, if asked for, kept: what stays, as text.
 
     In kept, the parts of characters that a cut runs through are left out.
@@ -164,7 +167,7 @@ def remove_repeats(docs: DataFrame, *, length: int = 50, seed: int = 32, with_te
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     schema += "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry) + ", kept string" * with_text
     rows, size = keyed(docs, carry)
-    return repeated_spans(rows, size, lambda raw, off: byte_units(raw, off, seed), compare, finish, schema, length=length, seed=seed, hot=hot)
+    return repeated_spans(rows, size, lambda raw, off, hashed: byte_units(raw, off, hashed, seed), compare, finish, schema, length=length, seed=seed, hot=hot)
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

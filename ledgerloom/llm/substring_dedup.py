@@ -23,7 +23,7 @@ from .anchors import HOT, Stretch, keyed, repeated_spans
 from .common import LAST_ID, Prefixes, mixed, table, words
 
 
-def word_units(raw: np.ndarray, off: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_units(raw: np.ndarray, off: np.ndarray, hashed: bool, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The words one after the other, each with one space behind it, and the hash of the `seed` words from each word on."""
     starts, ends, first = words(raw, off)
     size = ends - starts
@@ -32,10 +32,13 @@ def word_units(raw: np.ndarray, off: np.ndarray, seed: int) -> tuple[np.ndarray,
     if len(size):
         inside = np.repeat(begin[:-1] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
         buffer[inside] = raw[np.repeat(starts - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+    if not hashed:
+        return buffer, begin, first, np.zeros(0, np.uint64)
     h = Prefixes(raw)(starts, ends)
     seeds = np.zeros(len(h), np.uint64)
     for k in range(seed):
-        seeds[: len(h) - k] = seeds[: len(h) - k] * np.uint64(0x9E3779B97F4A7C15) + h[k:]
+        n = max(0, len(h) - k)
+        seeds[:n] = seeds[:n] * np.uint64(0x9E3779B97F4A7C15) + h[k : k + n]
     return buffer, begin, first, mixed(seeds)
 
 
@@ -73,7 +76,7 @@ def extended(texts: list[bytes], hashes: np.ndarray, at: np.ndarray, windows: np
     return out
 
 
-def remove_repeats(docs: DataFrame, *, length: int = 13, seed: int = 7, with_text: bool = False, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, length: int = 13, seed: int = 6, with_text: bool = False, hot: int = HOT) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept (the words that stay, joined by one space)."""
 
     def compare(texts, hashes, at, windows, least, senders):
@@ -97,7 +100,7 @@ def remove_repeats(docs: DataFrame, *, length: int = 13, seed: int = 7, with_tex
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text
     rows, size = keyed(docs)
-    return repeated_spans(rows, size, lambda raw, off: word_units(raw, off, seed), compare, finish, schema, length=length, seed=seed, hot=hot)
+    return repeated_spans(rows, size, lambda raw, off, hashed: word_units(raw, off, hashed, seed), compare, finish, schema, length=length, seed=seed, hot=hot)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

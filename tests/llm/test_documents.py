@@ -75,6 +75,13 @@ def test_windows_of_hot_anchors_travel_one_by_one(docs, rows, monkeypatch, opera
     assert Counter(tuple(r) for r in got) == expected(rows)
 
 
+def test_few_and_short_texts(spark):
+    rows = [(1, "a b c"), (2, "a b c"), (3, ""), (4, "x")]
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(tuple(r) for r in bwt_dedup.remove_repeats(made).collect()) == expected_bytes(rows)
+    assert Counter(tuple(r) for r in substring_dedup.remove_repeats(made).collect()) == expected_words(rows)
+
+
 def test_a_passage_of_all_documents(spark, monkeypatch):
     from ledgerloom.llm import anchors
 
