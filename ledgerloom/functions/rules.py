@@ -14,11 +14,11 @@ BOROUGH_CODES = {"Manhattan": 1, "Bronx": 2, "Brooklyn": 3, "Queens": 4, "Staten
 
 # Ordinal number words; "twenty first" to "ninety ninth" follow from TENS and the first nine.
 ORDINALS = (
-    "FIRST SECOND THIRD FOURTH FIFTH SIXTH SEVENTH EIGHTH NINTH TENTH ELEVENTH TWELFTH THIRTEENTH FOURTEENTH FIFTEENTH "
-    "SIXTEENTH SEVENTEENTH EIGHTEENTH NINETEENTH"
-).split()
-TENS = "TWENTY THIRTY FORTY FIFTY SIXTY SEVENTY EIGHTY NINETY".split()
-TENTHS = "TWENTIETH THIRTIETH FORTIETH FIFTIETH SIXTIETH SEVENTIETH EIGHTIETH NINETIETH".split()
+    "FIRST", "SECOND", "THIRD", "FOURTH", "FIFTH", "SIXTH", "SEVENTH", "EIGHTH", "NINTH", "TENTH", "ELEVENTH", "TWELFTH", "THIRTEENTH",
+    "FOURTEENTH", "FIFTEENTH", "SIXTEENTH", "SEVENTEENTH", "EIGHTEENTH", "NINETEENTH",
+)
+TENS = ("TWENTY", "THIRTY", "FORTY", "FIFTY", "SIXTY", "SEVENTY", "EIGHTY", "NINETY")
+TENTHS = ("TWENTIETH", "THIRTIETH", "FORTIETH", "FIFTIETH", "SIXTIETH", "SEVENTIETH", "EIGHTIETH", "NINETIETH")
 
 # Street words.
 SUFFIXES = {
@@ -29,9 +29,9 @@ SUFFIXES = {
 }
 DIRECTIONS = {"E": "EAST", "W": "WEST", "N": "NORTH", "S": "SOUTH"}
 STREET_TYPES = (
-    "STREET AVENUE BOULEVARD ROAD PLACE DRIVE PARKWAY SQUARE LANE COURT HIGHWAY TERRACE EXPRESSWAY PLAZA CIRCLE CONCOURSE "
-    "PROMENADE TURNPIKE WAY WALK SLIP ROW ALLEY PATH OVAL LOOP BROADWAY BOWERY"
-).split()
+    "STREET", "AVENUE", "BOULEVARD", "ROAD", "PLACE", "DRIVE", "PARKWAY", "SQUARE", "LANE", "COURT", "HIGHWAY", "TERRACE", "EXPRESSWAY",
+    "PLAZA", "CIRCLE", "CONCOURSE", "PROMENADE", "TURNPIKE", "WAY", "WALK", "SLIP", "ROW", "ALLEY", "PATH", "OVAL", "LOOP", "BROADWAY", "BOWERY",
+)
 STREET_ALIASES = {
     "AVENUE OF THE AMERICAS": "6 AVENUE", "AVENUE OF AMERICAS": "6 AVENUE", "SIXTH AVENUE": "6 AVENUE",
     "CENTRAL PARK W": "CENTRAL PARK WEST", "CPW": "CENTRAL PARK WEST", "PARK AVENUE S": "PARK AVENUE SOUTH",
@@ -40,6 +40,22 @@ STREET_ALIASES = {
 }
 QUANTITY_WORDS = r"\b(?:tables?|chairs?|feet|foot|units?|floors?|stor(?:y|ies)|percent|square)\b"
 
+# The forms of an address in running text. NAME stands for one word of a street name, TYPES for the street types.
+ADDRESS_NUMBER = r"(?<![\w$,.\-/])(?P<number>\d{1,5}(?:\s?-\s?\d{1,5})?[A-Za-z]?)\s+"
+ADDRESS_NAME = r"(?:[A-Z0-9][\w'’-]*\.?|(?i:ORDINALS)\b)"
+ADDRESS_STREETS = (
+    r"(?i:Avenue\s+of\s+(?:the\s+)?Americas)",
+    r"(?:Central|Prospect)\s+Park\s+(?i:West|South|North|Southwest|East)\b",
+    r"(?i:Avenue|Ave\.?)\s+[A-Z]\b(?![a-z'’])",
+    r"(?:(?i:N|S|E|W|North|South|East|West)\.?\s+)?(?:NAME\s+){1,4}?(?:(?i:TYPES)\b\.?(?:\s+(?:South|North|East|West)\b)?)",
+    r"(?:(?i:West\s+)?(?i:Broadway|Bowery))\b",
+)
+ADDRESS_BEFORE = (
+    r"(?i:\b(?:at|located at|recorded at|owners? of|premises at|site at|building at|property at|issued at|address(?:es)? at|"
+    r"of the building at|of)\s*(?:the\s+)?(?:[A-Za-z' ]{0,30}?)?)\s*$"
+)
+BOROUGH_AFTER = r"(?i)^[\s,(]*(?:in\s+)?(?:the\s+)?(Manhattan|Brooklyn|Bronx|Queens|Staten Island|New York(?:,?\s*NY)?)\b"
+
 # Identifiers in running text.
 IDENTIFIERS = {
     "bin": r"(?i)\bBIN\s*(?:No\.?|#|number)?[:\s]*(\d{7})\b",
@@ -55,12 +71,21 @@ SECTIONS = {"bronx": "Bronx", "brooklyn": "Brooklyn", "manhattan": "Manhattan",
 OTHER_SECTIONS = ("construction and design professionals", "construction professionals", "design professionals", "citywide", "multiple boroughs", "other")
 MARKER = r"(?i)individual\s+enforcement\s+highlights"
 BOILERPLATE = (r"(?i)^CONTACT:", r"(?i)^build safe\s*\|\s*live safe", r"^\d{1,2}$", r"(?i)^dobcommunications@", r"(?i)^Page \d+ of \d+$")
-MONTHS = "January February March April May June July August September October November December".split()
+MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
 MONEY = r"\$\s?(\d{1,3}(?:,\s?\d{3})+|\d+)(?:\.\d{2})?"
 LEAD_PENALTY = (
     r"(?i)^\s*\$\s?(\d{1,3}(?:,\s?\d{3})+|\d+)(?:\.\d{2})?\s+(?:in\s+)?"
     r"(?:(?:total|combined|daily|mitigated|default|civil|additional|cumulative|aggregate)[,\s]+)*(?:penalt(?:y|ies)|fines?|violations?)\b"
 )
+RESPONDENT = (
+    r"(?i)(?:issued\s+to|imposed\s+(?:on|upon)|issued\s+against|levied\s+(?:on|against)|assessed\s+(?:to|against)|"
+    r"issued\s+for\s+the\s+benefit\s+of)\s+"
+    r"(?:(?P<owner>(?:the\s+)?(?:property|building|home|unit|apartment|condominium|co-?op)?\s*owners?)[,:]?\s+)?"
+    r"(?P<who>.+?)(?=,\s*(?:the\s+)?owners?\b|\s+the\s+owners?\b|\s(?:for|at|after|following|due|related|regarding|who|which|whose|"
+    r"as\s+a\s+result|where|when|during|because|by)\b|;\s|"
+    r"(?<!\bCo)(?<!\bInc)(?<!\bCorp)(?<!\bLtd)(?<!\bAssoc)(?<!\bCtr)(?<!\bSt)(?<!\bJr)(?<!\bSr)(?<!\bBros)(?<!\bMgmt)"
+    r"(?<!\bDev)(?<!\bAve)(?<!\bCo)(?<!\bL\.P)(?<!\bN\.Y)\.\s+(?=[A-Z])|$)"
+)
 ROLES = (
     "Safety Registrant|Registered General Contractor|General Contractor|Tracking Number Holder|Construction Superintendent|Superintendent|"
     "Licensed Site Safety Manager|Site Safety Manager|Master Plumber|Licensed Master Plumber|Master Electrician|Licensed Master Electrician|"
@@ -68,6 +93,23 @@ ROLES = (
     "Expediter|Owner|Lessee|Tenant|Property Manager|Managing Agent"
 )
 
+# Wording of entries about licences and proceedings, which need no address.
+PROFESSIONAL = (
+    r"(?i)licen[sc]e|professional\s+certification|Directive\s+14|suspen|probation|revoke|revocation|disciplin|surrender|"
+    r"Special\s+Enforcement\s+Team|SET\)|audit(?:ed)?\s+of|filing\s+(?:false|privileges)|Registered\s+Architect|"
+    r"Professional\s+Engineer|OATH|stipulation|petition\s+for\s+padlock|summons"
+)
+
+# Words that do not tell one company name from another.
+ENTITY_WORDS = (
+    "llc", "inc", "corp", "co", "company", "assoc", "associates", "association", "condominium", "condo", "owners", "owner", "l p", "lp", "ltd",
+    "the", "c o",
+)
+
+# County names of geocoder answers, and the age groups of sites.
+COUNTIES = {"New York County": "Manhattan", "Kings County": "Brooklyn", "Bronx County": "Bronx", "Queens County": "Queens", "Richmond County": "Staten Island"}
+DECADES = ((1961, 1969, "1961-69"), (1970, 1979, "1970s"), (1980, 1989, "1980s"), (1990, 1999, "1990s"), (2000, 2100, "2000+"))
+
 # Wording tiers, strongest first: (tier, label, pattern).
 WORDING = (
     ("strong", "privately owned public space", r"(?i)privately[\s-]+owned\s+public\s+spaces?"),

@@ -14,9 +14,9 @@ def normalised(text: Column) -> Column:
 
 
 def entity(name: Column) -> Column:
-    """Company name without legal forms and punctuation."""
-    s = F.regexp_replace(F.upper(name), r"[^A-Z0-9 ]", " ")
-    s = F.regexp_replace(s, r"\b(?:LLC|INC|CORP|CORPORATION|CO|COMPANY|LTD|LP|LLP|THE)\b", " ")
+    """Company name in lower case, without punctuation, legal forms and words for owners."""
+    s = F.regexp_replace(F.lower(name), r"[^a-z0-9 ]", " ")
+    s = F.regexp_replace(s, rf"\b(?:{'|'.join(rules.ENTITY_WORDS)})\b", " ")
     return F.trim(F.regexp_replace(s, r"\s+", " "))
 
 
@@ -33,19 +33,6 @@ def lead_penalty(text: Column) -> Column:
     return F.struct(amount.alias("amount"), basis.alias("basis"))
 
 
-def boilerplate(line: Column) -> Column:
-    hit = F.lit(False)
-    for p in rules.BOILERPLATE:
-        hit = hit | line.rlike(p)
-    return hit
-
-
-def bullet(line: Column) -> Column:
-    """struct(had, body): whether the line begins with a bullet glyph, and the rest."""
-    had = line.rlike(f"^[{rules.BULLETS}]")
-    return F.struct(had.alias("had"), F.when(had, F.trim(F.substring(line, 2, 1 << 30))).otherwise(line).alias("body"))
-
-
 def join_lines(lines: Column) -> Column:
     """One paragraph of wrapped lines: a hyphen at a line's end stays, without a space if the next line begins in lower case."""
     kept = F.filter(F.transform(lines, lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != "")
@@ -93,13 +80,6 @@ def compass(s: Column) -> Column:
     return F.array_join(F.array_sort(F.filter(F.split(s, " "), lambda t: t.isin("EAST", "WEST", "NORTH", "SOUTH"))), ",")
 
 
-def suffix_variant(a: Column, b: Column) -> Column:
-    """Whether the strings are equal but for one more compass word at one's end."""
-    longer, shorter = F.when(F.length(a) > F.length(b), a).otherwise(b), F.when(F.length(a) > F.length(b), b).otherwise(a)
-    tail = F.regexp_extract(longer, " (EAST|WEST|NORTH|SOUTH)$", 1)
-    return (tail != "") & (F.concat_ws(" ", shorter, tail) == longer)
-
-
 def indel_ratio(a: Column, b: Column) -> Column:
     """200 * longest common subsequence / total length, by dynamic programming over arrays; for short strings."""
     ys = F.split(b, "")

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import stats, text
+from ..functions import rules, stats, text
 
 CONFIRMED = ("auto_confirmed", "reviewed_confirmed")
 
 
 def tier() -> Column:
     """A confirmed text and property; B text awaiting review; C property only; NULL else. Rejected actions have no tier but A's."""
-    both, rejected = F.col("pops_relation") == "pops_text_and_property", F.col("review_status") == "reviewed_rejected"
+    both, rejected = F.col("pops_relation") == "pops_text_and_property_match", F.col("review_status") == "reviewed_rejected"
     confirmed = F.col("review_status").isin(*CONFIRMED)
     return (
         F.when(both & confirmed, "A").when(~rejected & (both | (F.col("pops_relation") == "pops_text_only")), "B")
@@ -39,12 +39,12 @@ def repeats(actions: DataFrame, sites: DataFrame, least: int = 2) -> DataFrame:
         F.count("*").alias("total_actions"), *[F.count_if(F.col("tier") == t).alias(f"tier{t}") for t in "ABC"],
         F.min("ym").alias("first"), F.max("ym").alias("last"), F.coalesce(F.sum("penalty"), F.lit(0)).alias("penalties"),
     )
-    return per.filter(F.col("total_actions") >= least).join(sites, "pops_id").orderBy(F.desc("total_actions"), F.desc("tierA"), "pops_id")
+    return per.filter(F.col("total_actions") >= least).join(sites, "pops_id").orderBy(F.desc("tierA"), F.desc("total_actions"), "pops_id")
 
 
 def repeat_entities(actions: DataFrame, least: int = 2) -> DataFrame:
-    """Respondents by normalised name, with several actions."""
-    df = actions.filter("respondent <> ''").withColumn("entity", text.entity(F.col("respondent")))
+    """Respondents of tier A actions by normalised name, with `least` actions or more."""
+    df = actions.filter("tier = 'A'").withColumn("entity", text.entity(F.col("respondent"))).filter("entity <> ''")
     per = df.groupBy("entity").agg(
         F.count("*").alias("actions"), F.min_by("respondent", "seq").alias("example_name"),
         F.array_join(F.array_sort(F.collect_set(F.nullif("pops_id", F.lit("")))), ";").alias("sites"), F.coalesce(F.sum("penalty"), F.lit(0)).alias("penalties"),
@@ -53,26 +53,26 @@ def repeat_entities(actions: DataFrame, least: int = 2) -> DataFrame:
 
 
 def category_share(actions: DataFrame) -> DataFrame:
-    """Actions per category and their share of all actions; an action counts in each of its categories."""
+    """Actions per category and their share of all actions, a fraction of three digits; an action counts in each of its categories."""
     total = actions.agg(F.count("*").alias("total"))
     per = actions.select(F.explode("categories").alias("category")).groupBy("category").agg(F.count("*").alias("actions"))
-    return per.crossJoin(F.broadcast(total)).select("category", "actions", percent(F.col("actions"), F.col("total")).alias("share"))  # total is one row
+    return per.crossJoin(F.broadcast(total)).select("category", "actions", F.bround(F.col("actions") / F.col("total"), 3).alias("share"))  # total is one row
 
 
 def accountability(sites: DataFrame, actions: DataFrame, audit: DataFrame, since: str = "2017-04") -> DataFrame:
-    """One row per site: counts by kind, penalties, first and last month, ids in order, and the first audit row."""
+    """One row per site: counts by kind; penalties, last month and ids of the confirmed actions; and the first audit row."""
     base = actions.filter("pops_id <> '' and review_status <> 'reviewed_rejected'")
-    confirmed = F.col("review_status").isin(*CONFIRMED) & (F.col("pops_relation") == "pops_text_and_property")
+    confirmed = F.col("review_status").isin(*CONFIRMED) & (F.col("pops_relation") == "pops_text_and_property_match")
     per = base.groupBy("pops_id").agg(
         F.count_if(confirmed).alias("confirmed"), F.count_if(confirmed & (F.col("ym") >= since)).alias("confirmed_recent"),
         F.count_if(F.col("pops_relation") == "property_match_only").alias("property_only"), F.count_if(F.col("review_status") == "needs_review").alias("needs_review"),
-        F.count("*").alias("any"), F.coalesce(F.sum("penalty"), F.lit(0)).alias("penalties"), F.min("ym").alias("first"), F.max("ym").alias("last"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "enforcement_id"))), lambda x: x["enforcement_id"]), ";").alias("enforcement_ids"),
+        F.count("*").alias("any"), F.coalesce(F.sum(F.when(confirmed, F.col("penalty"))), F.lit(0)).alias("penalties"), F.max(F.when(confirmed, F.col("ym"))).alias("last"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(confirmed, F.struct("seq", "enforcement_id")))), lambda x: x["enforcement_id"]), ";").alias("enforcement_ids"),
     )
     first = audit.filter("pops_id <> ''").groupBy("pops_id").agg(F.min_by(F.col("outcome"), F.col("audit_row")).alias("audit_outcome"))
     out = sites.join(per, "pops_id", "left").join(first, "pops_id", "left").withColumn("in_audit", F.col("audit_outcome").isNotNull())
     counts = ["confirmed", "confirmed_recent", "property_only", "needs_review", "any", "penalties"]
-    return out.fillna(0, counts).fillna("", ["first", "last", "enforcement_ids", "audit_outcome"])
+    return out.fillna(0, counts).fillna("", ["last", "enforcement_ids", "audit_outcome"])
 
 
 def fisher(table: DataFrame, group: Column, hit: Column) -> DataFrame:
@@ -91,6 +91,33 @@ def era_crosstab(actions: DataFrame, eras: dict[str, tuple[int, int]]) -> DataFr
 
 
 def decade(year: Column) -> Column:
-    """'1980s' and so on; 'unknown' for what is no year."""
+    """Age group of a year of completion; 'unknown' for what is no year or lies outside."""
     n = year.try_cast("int")
-    return F.when(n.between(1800, 2100), F.concat((F.floor(n / 10) * 10).cast("string"), F.lit("s"))).otherwise("unknown")
+    return F.coalesce(*[F.when(n.between(low, high), F.lit(name)) for low, high, name in rules.DECADES], F.lit("unknown"))
+
+
+def last_wording(actions: DataFrame, bulletins: DataFrame) -> DataFrame:
+    """One row: the last month with strong or moderate wording, and the number of bulletins after it."""
+    last = actions.filter(F.col("pops_keyword_tier").isin("strong", "moderate")).agg(F.max("ym").alias("last_wording"))
+    both = bulletins.select("bulletin_id").crossJoin(last)  # last is one row
+    return both.agg(F.max("last_wording").alias("last_wording"), F.count_if(F.col("bulletin_id") > F.col("last_wording")).alias("bulletins_after"))
+
+
+def summary(actions: DataFrame) -> DataFrame:
+    """One row of headline figures: actions, sites and penalties by tier, sites of A or B and of any tier, duplicates in tier A."""
+    a = F.col("tier") == "A"
+    site = F.nullif("pops_id", F.lit(""))
+    per = [
+        x
+        for t in "ABC"
+        for x in (
+            F.count_if(F.col("tier") == t).alias(f"tier_{t}_actions"), F.countDistinct(F.when(F.col("tier") == t, site)).alias(f"tier_{t}_sites"),
+            F.coalesce(F.sum(F.when(F.col("tier") == t, F.col("penalty"))), F.lit(0)).alias(f"tier_{t}_penalty_total"), F.count(F.when(F.col("tier") == t, F.col("penalty"))).alias(f"tier_{t}_penalty_n"),
+        )
+    ]
+    return actions.agg(
+        F.count("*").alias("actions"), *per, F.countDistinct(F.when(F.col("tier").isin("A", "B"), site)).alias("tier_AB_sites"),
+        F.countDistinct(F.when(F.col("tier").isNotNull(), site)).alias("tier_ABC_sites"), F.median(F.when(a, F.col("penalty"))).alias("tier_A_penalty_median"),
+        F.max(F.when(a, F.col("penalty"))).alias("tier_A_penalty_max"), F.count_if(a & (F.col("duplicate_of") != "")).alias("tier_A_duplicates"),
+        F.coalesce(F.sum("penalty"), F.lit(0)).alias("penalty_total"),
+    )

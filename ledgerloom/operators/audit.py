@@ -19,30 +19,71 @@ def appendix_rows(pages: DataFrame, title: str = "Appendix", most: int = 400) ->
 
 
 def segments(raw: Column) -> Column:
-    """Parts of an audit address: split at ' - ' and '/', 'One ' read as '1 '."""
-    return F.filter(F.transform(F.split(raw, r"\s+-\s+|/"), lambda x: F.regexp_replace(F.trim(x), r"^One\b", "1")), lambda x: x != "")
+    """Parts of an audit address that begin with a number (or 'One'), split at ' - ' and '/'; the whole address if none does."""
+    parts = F.filter(F.transform(F.split(raw, r"\s+-\s+|/"), lambda x: F.trim(x)), lambda x: x.rlike(r"^(?:One\s|\d)"))
+    return F.when(F.size(parts) > 0, parts).otherwise(F.array(F.trim(raw)))
+
+
+_PART = r"^(\d+(?:-\d+)?[A-Za-z]?)\s+(.+)$"
+
+
+def _numbered(part: Column) -> tuple[Column, Column]:
+    """(number, street) of one part; without a number the number is '' and the street is the part."""
+    plain = F.regexp_replace(F.trim(part), r"^One\b", "1")
+    number = F.regexp_extract(plain, _PART, 1)
+    return number, F.when(number != "", F.regexp_extract(plain, _PART, 2)).otherwise(plain)
 
 
 def link(audit: DataFrame, master: DataFrame) -> DataFrame:
-    """audit_row, method, confidence, pops_id, candidates.
+    """audit_row, match_status, method, confidence, pops_id, candidates of every audit row.
 
-    Each segment is tried by number and street, then by a range that holds the number, then by street alone; the last segment
-    with a hit gives method and confidence, and all hits are candidates.
+    Each part is tried by number and street, then by a range that holds the number, and by street alone where it has no number;
+    the last part with a hit gives method and confidence, and all hits are candidates, in the order of parts and sites.
     """
+    number, street = _numbered(F.col("part"))
     rows = audit.select("audit_row", F.size(segments(F.col("address"))).alias("n"), F.posexplode(segments(F.col("address"))).alias("pos", "part"))
-    number, street = F.regexp_extract("part", r"^(\d+(?:-\d+)?)\s+(.+)$", 1), F.regexp_extract("part", r"^(\d+(?:-\d+)?)\s+(.+)$", 2)
-    rows = rows.withColumns({"number": number, "street": address.canonical_street(F.when(number != "", street).otherwise(F.col("part")))})
+    rows = rows.select("audit_row", "n", "pos", number.alias("number"), address.canonical_street(street).alias("street"))
     tail = F.when(F.col("number").rlike(r"-\d{2}$"), "Queens").otherwise("")
     rows = rows.withColumn("hn", address.house_number(F.nullif("number", F.lit("")), tail))
-    sites = master.select("pops_id", "num", F.col("street_canonical").alias("street"), "hn_low", "hn_high")
+    sites = master.filter("address_normalized <> ''").select("pops_id", F.split_part("address_normalized", F.lit(" "), F.lit(1)).alias("num"), F.col("street_canonical").alias("street"), "hn_low", "hn_high")
     both = rows.join(sites, "street")
     exact = F.col("num") == F.col("hn.text")
     inside = (F.col("hn.kind") != "range") & (F.col("hn_low") <= F.col("hn.low")) & (F.col("hn_high") >= F.col("hn.low"))
-    level = F.when(exact, 1).when(inside, 2).when(F.col("number") == "", 3)
+    level = F.when(exact, 1).when(inside, 2).when(F.col("hn").isNull(), 3)
     both = both.withColumn("level", level).filter("level is not null")
     best = both.groupBy("audit_row", "pos").agg(F.min("level").alias("best"))
     hits = both.join(best, ["audit_row", "pos"]).filter("level = best")
-    out = hits.groupBy("audit_row").agg(F.array_sort(F.collect_set("pops_id")).alias("ids"), F.max_by(F.struct("best", "n"), "pos").alias("lead"))
-    method = F.element_at(F.array(F.lit("address_exact"), F.lit("address_range"), F.lit("street_only")), F.col("lead.best"))
-    conf = F.when(F.size("ids") > 1, "none").when((F.col("lead.best") == 1) & (F.col("lead.n") == 1), "high").when(F.col("lead.best") < 3, "medium").otherwise("low")
-    return out.select("audit_row", method.alias("method"), conf.alias("confidence"), F.when(F.size("ids") == 1, F.get("ids", F.lit(0))).otherwise("").alias("pops_id"), F.array_join("ids", ";").alias("candidates"))
+    order = F.array_sort(F.collect_list(F.struct("pos", "pops_id")))
+    out = hits.groupBy("audit_row").agg(F.array_distinct(F.transform(order, lambda x: x["pops_id"])).alias("ids"), F.max_by(F.struct("best", "n"), "pos").alias("lead"))
+    out = audit.select("audit_row").join(out, "audit_row", "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<string>")))
+    best = F.when(F.size("ids") > 0, F.col("lead.best"))
+    method = F.when(best == 1, "address_exact").when(best == 2, "address_range").when(best == 3, "street_only").otherwise("none")
+    conf = F.when(F.size("ids") != 1, "none").when((F.col("lead.best") == 1) & (F.col("lead.n") == 1), "high").when(F.col("lead.best") < 3, "medium").otherwise("low")
+    status = F.when(F.size("ids") == 1, "matched").when(F.size("ids") > 1, "ambiguous").otherwise("no_match")
+    return out.select(
+        "audit_row", status.alias("match_status"), method.alias("method"), conf.alias("confidence"), F.when(F.size("ids") == 1, F.get("ids", F.lit(0))).otherwise("").alias("pops_id"),
+        F.array_join("ids", ";").alias("candidates"),
+    )
+
+
+def findings(pages: DataFrame, audit: DataFrame, *, title: str = "Appendix", most: int = 3) -> DataFrame:
+    """audit_row, findings: up to `most` passages of the report's body (the pages before the appendix) that name an audit address.
+
+    pages(page, text), audit(audit_row, address). The join is on the number and the first word of the street; the passage is then
+    held against the address, in which Street may be written St. or St.
+    """
+    body = pages.join(pages.filter(F.contains("text", F.lit(title))).agg(F.min("page").alias("until")), F.lit(True))  # one row
+    flat = body.filter(F.col("until").isNull() | (F.col("page") < F.col("until"))).select("page", F.regexp_replace("text", r"\s+", " ").alias("flat"))
+    spot = r"(\d+(?:-\d+)?[a-z]?) ([a-z0-9]+)"
+    tokens = F.transform(F.sequence(F.lit(0), F.size(F.col("w")) - 2), lambda k: F.concat_ws(" ", F.get("w", k), F.regexp_extract(F.get("w", k + 1), "^([a-z0-9]+)", 1)))
+    words = flat.withColumn("w", F.split(F.lower("flat"), " ")).withColumn("w", F.transform("w", lambda x: F.regexp_replace(x, r"^[^a-z0-9]+", "")))
+    spots = words.filter(F.size("w") > 1).select("page", "flat", F.explode(F.array_distinct(F.filter(tokens, lambda t: t.rlike(f"^{spot}$")))).alias("spot"))
+    number, street = _numbered(F.col("address"))
+    asked = audit.select("audit_row", number.alias("number"), street.alias("street")).filter((F.col("number") != "") & (F.length("street") >= 5))
+    asked = asked.withColumn("spot", F.lower(F.concat_ws(" ", "number", F.regexp_extract("street", "^([A-Za-z0-9]+)", 1))))
+    quoted = lambda c: F.concat(F.lit(r"\Q"), c, F.lit(r"\E"))
+    pattern = F.concat(F.lit(r"(?i)\b"), quoted(F.col("number")), F.lit(r"\s+"), F.replace(quoted(F.col("street")), F.lit("Street"), F.lit(r"\E(?:Street|St\.?)\Q")))
+    both = asked.join(spots, "spot").withColumn("pattern", pattern)
+    around = both.select("audit_row", "page", F.explode(F.expr(r"regexp_extract_all(flat, concat('.{0,160}', pattern, '.{0,260}'), 0)")).alias("said"))
+    kept = F.slice(F.array_sort(F.collect_list(F.struct("page", "said"))), 1, most)
+    return around.groupBy("audit_row").agg(F.array_join(F.transform(kept, lambda x: F.concat(F.lit("[p."), x["page"].cast("string"), F.lit("] "), F.trim(x["said"]))), " || ").alias("findings"))

@@ -14,7 +14,8 @@ def normalise(raw: DataFrame) -> DataFrame:
     df = raw.withColumns({"bbl": F.when(whole("bbl") != "", F.lpad(whole("bbl"), 10, "0")).otherwise(""), "bin": F.when(whole("bin") != "", F.lpad(whole("bin"), 7, "0")).otherwise("")})
     df = df.withColumns({"year": F.when(whole("year") == "0", "").otherwise(whole("year")), "bin_is_placeholder": F.col("bin").endswith("000000"), "street_canonical": address.canonical_street(F.col("street"))})
     hn = address.house_number(F.col("num"), F.col("borough"))
-    return df.withColumns({"hn_low": hn["low"], "hn_high": hn["high"], "address_key": F.coalesce(address.address_key(F.col("borough"), F.col("num"), F.col("street")), F.lit(""))})
+    return df.withColumns({"hn_low": hn["low"], "hn_high": hn["high"], "address_key": F.coalesce(address.address_key(F.col("borough"), F.col("num"), F.col("street")), F.lit("")),
+                           "address_normalized": F.when(hn.isNotNull() & (F.col("street_canonical") != ""), F.concat_ws(" ", hn["text"], "street_canonical")).otherwise("")})
 
 
 def quality_flags(df: DataFrame, checks: dict[str, str]) -> DataFrame:
@@ -23,6 +24,20 @@ def quality_flags(df: DataFrame, checks: dict[str, str]) -> DataFrame:
     return df.withColumn("flags", F.array_join(flags, ";"))
 
 
+# What a record of the master may lack, as conditions on the normalised columns and the source's own.
+QUALITY_CHECKS = {
+    "missing_bbl": "bbl = ''",
+    "missing_bin": "bin = ''",
+    "bin_placeholder_not_matchable": "bin_is_placeholder",
+    "year_completed_is_0_in_source": "trim(year_completed) = '0'",
+    "missing_year": "year = '' and trim(year_completed) <> '0'",
+    "under_construction": "contains(lower(building_constructed), 'under construction')",
+    "address_not_normalizable": "address_key = ''",
+    "missing_required_hours": "trim(required_hours) = ''",
+    "missing_required_amenities": "trim(required_amenities) = ''",
+}
+
+
 def requirements(master: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Unpivot of the requirement columns; blanks go, text is trimmed."""
     long = master.select(key, *[F.col(c).cast("string").alias(c) for c in columns]).unpivot(key, columns, "requirement", "value")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import address, rules, text
+from ..session import cut
 
 LEVELS = ("bbl", "bin", "address_exact", "address_range", "address_fuzzy")
 ACCEPT, FLOOR = 96, 88  # fixed values: fuzzy scores that are accepted, and that are considered at all
@@ -36,8 +37,8 @@ def match(actions: DataFrame, proofs: DataFrame, master: DataFrame) -> DataFrame
 
     All levels are joins on equal keys; the lowest level with a candidate wins, and several sites there are ambiguous.
     """
-    proofs = proofs.cache()  # read by four levels; a lost part is computed again
-    site = master.select("pops_id", "bbl", "bin", "address_key", "borough", "street_canonical", "hn_low", "hn_high", "building_name", "bin_is_placeholder").cache()
+    proofs = cut(proofs)  # read by five levels
+    site = cut(master.select("pops_id", "bbl", "bin", "address_key", "borough", "street_canonical", "hn_low", "hn_high", "building_name", "bin_is_placeholder"))
     ids = actions.select("action_id", "identifiers", "borough")
     code = address.lookup({k: str(v) for k, v in rules.BOROUGH_CODES.items()}, F.col("borough"))
     lots = F.transform("identifiers.block_lot", lambda x: F.concat(code, F.lpad(F.split_part(x, F.lit("/"), F.lit(1)), 5, "0"), F.lpad(F.split_part(x, F.lit("/"), F.lit(2)), 4, "0")))
@@ -67,17 +68,16 @@ def match(actions: DataFrame, proofs: DataFrame, master: DataFrame) -> DataFrame
     near = proofs.filter("hn is not null").join(alike, ["borough", "street"]).withColumnRenamed("borough", "of")
     fuzzy = near.join(site.withColumnRenamed("street_canonical", "other"), (F.col("of") == F.col("borough")) & (F.col("other") == F.col("street_canonical"))).filter(overlap)
     top = fuzzy.groupBy("action_id").agg(F.max("ratio").alias("top"))
-    winners = fuzzy.join(top, "action_id").filter("ratio = top").join(actions.select("action_id", F.lower("enforcement_text").alias("said")), "action_id")
-    name = F.lower(F.trim("building_name"))
-    named = (F.length(name) >= 5) & ~name.isin(*GENERIC_NAMES) & F.contains(F.concat(F.lit(" "), F.regexp_replace("said", "[^a-z]", " "), F.lit(" ")), F.concat(F.lit(" "), name, F.lit(" ")))
-    conf = F.when((F.col("top") >= ACCEPT) & ~F.col("variant"), "medium").when(named, "medium").otherwise("low")
+    winners = fuzzy.join(top, "action_id").filter("ratio = top").join(actions.select("action_id", F.col("enforcement_text").alias("said")), "action_id")
+    conf = F.when((F.col("top") >= ACCEPT) & ~F.col("variant"), "medium").when(corroborated(F.col("building_name"), F.col("said")), "medium").otherwise("low")
     found.append(winners.select("action_id", "pops_id", F.lit(5).alias("level"), conf.alias("conf"), (F.col("top") / 100 * 0.8).alias("score"), "pos"))
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
     first = every.groupBy("action_id").agg(F.min("level").alias("best"))
     at = every.join(first, "action_id").filter("level = best")
-    out = at.groupBy("action_id", "best").agg(F.array_sort(F.collect_set("pops_id")).alias("ids"), F.min_by(F.struct("conf", "score"), F.struct("pos", "pops_id")).alias("lead"))
+    seen = F.array_sort(F.collect_list(F.struct("pos", "pops_id")))
+    out = at.groupBy("action_id", "best").agg(F.array_distinct(F.transform(seen, lambda x: x["pops_id"])).alias("ids"), F.min_by(F.struct("conf", "score"), F.struct("pos", "pops_id")).alias("lead"))
     one = F.size("ids") == 1
     out = out.select(
         "action_id", F.when(one, F.get("ids", F.lit(0))).otherwise("").alias("pops_id"), F.element_at(F.array(*map(F.lit, LEVELS)), F.col("best")).alias("match_method"),
@@ -100,6 +100,8 @@ def similar_streets(proofs: DataFrame, site: DataFrame) -> DataFrame:
     left = asked.withColumns(dict(zip(("digits", "compass"), keys("street"), strict=True)))
     right = known.withColumns(dict(zip(("digits", "compass"), keys("street_canonical"), strict=True)))
     same = left.join(right, ["borough", "digits", "compass"]).filter("street <> street_canonical")
+    short, both = F.least(F.length("street"), F.length("street_canonical")), F.length("street") + F.length("street_canonical")
+    same = same.filter(200 * short >= FLOOR * both)  # a common subsequence is no longer than the shorter name
     same = same.select("borough", "street", "street_canonical", text.indel_ratio(F.col("street"), F.col("street_canonical")).alias("ratio"), F.lit(False).alias("variant"))
     short = lambda c: F.regexp_replace(c, " (EAST|WEST|NORTH|SOUTH)$", "")
     longer = known.withColumn("street", short("street_canonical")).filter("street <> street_canonical").join(asked, ["borough", "street"])
@@ -109,11 +111,64 @@ def similar_streets(proofs: DataFrame, site: DataFrame) -> DataFrame:
     return same.filter(F.col("ratio") >= FLOOR).unionByName(variants)
 
 
+def _plain(name):
+    return F.lower(F.trim(F.coalesce(name, F.lit(""))))
+
+
+def corroborated(name, said):
+    """Whether a building name of five characters or more, and not a generic word, stands in a text, without a letter beside it."""
+    own = _plain(name)
+    pattern = F.concat(F.lit(r"(?<![a-z])\Q"), F.replace(own, F.lit(r"\E"), F.lit("")), F.lit(r"\E(?![a-z])"))
+    return (F.length(own) >= 5) & ~own.isin(*GENERIC_NAMES) & F.rlike(F.lower(said), pattern)
+
+
+def names_in_text(texts: DataFrame, names: DataFrame, key: str) -> DataFrame:
+    """key, pops_id of every building name found in texts(key, said); names: pops_id, name.
+
+    The join is on the longest run of letters in the name, which must be a run of letters of the text, too; a name without
+    letters is joined on its first five characters.
+    """
+    runs = lambda c: F.regexp_extract_all(c, F.lit("([a-z]+)"), F.lit(1))
+    longest = lambda c: F.aggregate(runs(c), F.lit(""), lambda acc, x: F.when(F.length(x) > F.length(acc), x).otherwise(acc))
+    own = _plain(F.col("name"))
+    known = names.filter((F.length(own) >= 5) & ~own.isin(*GENERIC_NAMES))
+    known = known.withColumn("token", F.when(longest(own) != "", longest(own)).otherwise(F.substring(own, 1, 5)))
+    said = F.lower("said")
+    fives = F.filter(F.transform(F.sequence(F.lit(1), F.greatest(F.length(said) - 4, F.lit(1))), lambda k: F.substring(said, k, F.lit(5))), lambda x: ~x.rlike("[a-z]"))
+    tokens = texts.withColumn("token", F.explode(F.array_distinct(F.concat(runs(said), fives))))
+    return tokens.join(known, "token").filter(corroborated(F.col("name"), F.col("said"))).select(key, "pops_id").distinct()
+
+
+def passages_in_text(docs: DataFrame, items: DataFrame, *, most: int = 4) -> DataFrame:
+    """item_id, doc_id, place (from 1) of every passage of items(item_id, text) that a text of docs(doc_id, text) holds.
+
+    All but the first and last blank-separated token of a passage are tokens of the text, too, so the join is on the hash of up to
+    `most` tokens after the first; a passage of one or two tokens is joined on its first characters, as many as all such
+    passages have. Candidates are then held against the whole passage.
+    """
+    tokens = lambda c: F.split(c, " ", -1)
+    n = F.greatest(F.lit(0), F.least(F.lit(most), F.size(tokens(F.col("text"))) - 2))
+    known = items.select("item_id", F.col("text").alias("passage"), n.alias("n"), F.xxhash64(F.array_join(F.slice(tokens(F.col("text")), F.lit(2), n), " ")).alias("key")).filter("passage <> ''")
+    own = docs.select("doc_id", F.col("text").alias("body")).filter("body is not null")
+    grams = own.select("doc_id", tokens(F.col("body")).alias("w")).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(most))))
+    starts = F.filter(F.sequence(F.lit(1), F.size("w")), lambda k: k + F.col("n") - 1 <= F.size("w"))
+    grams = grams.select("doc_id", "n", F.explode(F.array_distinct(F.transform(starts, lambda k: F.xxhash64(F.array_join(F.slice("w", k, F.col("n")), " "))))).alias("key"))
+    pairs = grams.join(known.filter("n > 0").select("item_id", "n", "key"), ["n", "key"]).select("doc_id", "item_id").distinct()
+    short = known.filter("n = 0")
+    size = short.agg(F.min(F.length("passage")).alias("size"))
+    cut = own.join(size, F.col("size").isNotNull())  # one row
+    cut = cut.select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("body"), F.lit(1))), lambda k: F.substring("body", k, F.col("size"))))).alias("head"))
+    few = short.join(size, F.lit(True)).select("item_id", F.substring("passage", F.lit(1), F.col("size")).alias("head"))
+    pairs = pairs.unionByName(cut.join(few, "head").select("doc_id", "item_id").distinct())
+    found = pairs.join(known.select("item_id", "passage"), "item_id").join(own, "doc_id").withColumn("place", F.instr("body", F.col("passage")).cast("long"))
+    return found.filter("place > 0").select("item_id", "doc_id", "place").distinct()
+
+
 def relation(tier, matched):
     """Relation of an action to sites, from its wording tier and whether it is matched."""
     worded = tier.isin("strong", "moderate")
     return (
-        F.when(worded & matched, "pops_text_and_property").when(worded, "pops_text_only").when(matched, "property_match_only")
+        F.when(worded & matched, "pops_text_and_property_match").when(worded, "pops_text_only").when(matched, "property_match_only")
         .when(tier == "weak", "weak_keyword_only").otherwise("none")
     )
 
@@ -127,7 +182,7 @@ def overlay(actions: DataFrame, decisions: DataFrame) -> DataFrame:
     last = decisions.groupBy("enforcement_id").agg(F.max_by(F.struct("decision", F.col("pops_id").alias("to"), "note"), "seq").alias("d"))
     df = actions.join(last, "enforcement_id", "left")
     word = F.lower(F.trim(F.coalesce("d.decision", F.lit(""))))
-    status = F.when((F.col("pops_relation") == "pops_text_and_property") & (F.col("match_confidence") == "high"), "auto_confirmed")
+    status = F.when((F.col("pops_relation") == "pops_text_and_property_match") & (F.col("match_confidence") == "high"), "auto_confirmed")
     status = status.when((F.col("pops_relation") != "none") | (F.col("match_status") == "ambiguous"), "needs_review").otherwise("")
     yes = word.isin("confirm", "confirmed", "reassign")
     moved = yes & (F.coalesce("d.to", F.lit("")) != "")

@@ -5,71 +5,145 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-COLUMNS = ("review_id", "issue_type", "severity", "subject_id", "detail")
+from ..functions import address, rules, text
+from . import resolve
+
+COLUMNS = (
+    "review_id", "issue_type", "severity", "enforcement_id", "bulletin_id", "pops_id_candidate", "detail", "suggested_candidates", "source_pdf",
+    "source_page", "excerpt",
+)
 SEVERITIES = ("high", "medium", "low")
 PLAUSIBLE = (100, 2_000_000)  # fixed values: penalties outside are suspicious
-PROFESSIONAL = r"(?i)\b(?:registrant|superintendent|contractor|plumber|electrician|architect|engineer|rigger|sign hanger|site safety|filing representative|expediter)\b"
+MISSING_NOTE = "no bulletin of this month is on the index, which does not mean that nothing was enforced"
+
 
+def issue(df: DataFrame, kind: str, severity: Column | str, when: Column, subject: str, detail: Column, *, tag: str | None = None, of: str = "bulletin_id", **more: Column) -> DataFrame:
+    """Issues of one rule. review_id depends on tag (kind, if not given) and subject only, so a changed detail keeps its history.
 
-def issue(df: DataFrame, kind: str, severity: Column | str, when: Column, subject: str, detail: Column) -> DataFrame:
-    """Issues of one rule; review_id is stable for equal kind, subject and detail."""
+    `of` says which id the subject is ('' for neither); further columns of the schema are given by name, others are blank.
+    """
     severity = F.lit(severity) if isinstance(severity, str) else severity
-    ident = F.concat(F.lit("R-"), F.substring(F.sha1(F.concat_ws("|", F.lit(kind), F.col(subject).cast("string"), detail)), 1, 10))
-    return df.filter(when).select(ident.alias("review_id"), F.lit(kind).alias("issue_type"), severity.alias("severity"), F.col(subject).cast("string").alias("subject_id"), detail.alias("detail"))
+    key = F.coalesce(F.col(subject).cast("string"), F.lit(""))
+    ident = F.concat(F.lit("R-"), F.substring(F.sha1(F.concat_ws("|", F.lit(tag or kind), key)), 1, 10))
+    own = {"review_id": ident, "issue_type": F.lit(kind), "severity": severity, "detail": detail} | ({of: key} if of else {}) | more
+    return df.filter(F.coalesce(when, F.lit(False))).select(*[F.coalesce(own.get(c, F.lit("")).cast("string"), F.lit("")).alias(c) for c in COLUMNS])
+
+
+def with_blanks(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """df with the named columns, blank where it has none."""
+    return df.withColumns({c: F.lit("") for c in columns if c not in df.columns})
+
+
+ACTION_COLUMNS = (
+    "bulletin_id", "pops_id", "match_status", "match_method", "match_confidence", "match_candidates", "match_notes", "pops_relation", "pops_keyword_hits", "address_raw",
+    "borough", "geocode_status", "duplicate_of", "duplicate_basis", "borough_conflict", "professional_section", "source_pdf", "source_page", "suggested",
+)
+
+
+def _true(name: str) -> Column:
+    """A flag that is a boolean or the text 'True'."""
+    return F.lower(F.col(name).cast("string")) == "true"
+
+
+def truncated(said: Column) -> Column:
+    """Under 40 characters, or under 120 without an end mark."""
+    return (F.length(said) < 40) | ((F.length(said) < 120) & ~F.regexp_replace(said, r"\s+$", "").rlike(r"[.”\")]\z"))
 
 
 def record_issues(actions: DataFrame) -> DataFrame:
-    """The rules on single actions."""
-    c = F.col
-    said, lead = c("enforcement_text"), F.substring("enforcement_text", 1, 160)
-    worded = c("pops_relation") == "pops_text_only"
-    odd_end = (F.length(said) < 40) | ((F.length(said) < 120) & ~said.rlike(r"[.!?)”\"]$"))
-    rules = [
-        ("ambiguous_pops_match", "high", c("match_status") == "ambiguous", c("match_candidates")),
-        ("low_confidence_match", F.when(c("match_confidence") == "low", "high").otherwise("medium"), (c("match_status") == "matched") & c("match_confidence").isin("low", "medium"), c("pops_id")),
-        ("pops_keyword_without_db_match", "high", worded, lead),
-        ("weak_pops_keyword_no_match", "low", c("pops_relation") == "weak_keyword_only", lead),
-        ("db_match_without_pops_terms", "medium", c("pops_relation") == "property_match_only", c("pops_id")),
-        ("possible_duplicate_action", "medium", c("duplicate_of") != "", c("duplicate_of")),
-        ("borough_conflict", "medium", c("borough_conflict"), lead),
-        ("address_not_parsed", "low", (c("address_number") == "") & ~c("professional_section") & ~said.rlike(PROFESSIONAL), lead),
-        ("suspicious_penalty", F.when(c("penalty_amount").isNull(), "high").otherwise("medium"),
-         (c("penalty_amount").isNotNull() & ~c("penalty_amount").between(*PLAUSIBLE)) | (c("penalty_amount").isNull() & said.startswith("$")), lead),
-        ("truncated_source_entry", "low", odd_end, lead),
+    """The rules on single actions; blank columns may be left out. suggested: hints of `suggestions`, if joined."""
+    c, s = F.col, lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("")) for p in parts])
+    df = with_blanks(actions, ACTION_COLUMNS)
+    said, rel, site = c("enforcement_text"), c("pops_relation"), {"pops_id_candidate": c("pops_id")}
+    match = s(c("match_method"), " / ", c("match_confidence"), ": ", c("match_notes"))
+    professional = _true("professional_section") | said.rlike(rules.PROFESSIONAL)
+    pen, (low, high) = c("penalty_amount").try_cast("double"), PLAUSIBLE
+    parts = [
+        ("ambiguous_pops_match", "high", c("match_status") == "ambiguous", s("several sites: ", c("match_candidates")), {"pops_id_candidate": c("match_candidates")}),
+        ("low_confidence_match", F.when(c("match_confidence") == "low", "high").otherwise("medium"), (c("match_status") == "matched") & c("match_confidence").isin("low", "medium"), match, site),
+        ("pops_keyword_without_db_match", "high", rel == "pops_text_only",
+         s("wording (", c("pops_keyword_hits"), ") without a site; address '", c("address_raw"), "' (", c("borough"), "), geocode ", c("geocode_status")), {"suggested_candidates": c("suggested")}),
+        ("weak_pops_keyword_no_match", "low", rel == "weak_keyword_only", s("weak wording only: ", c("pops_keyword_hits")), {}),
+        ("db_match_without_pops_terms", "medium", rel == "property_match_only", s("the site is known but not worded; ", match), site),
+        ("possible_duplicate_action", "medium", c("duplicate_of") != "", s(c("duplicate_basis"), ": ", c("duplicate_of")), site),
+        ("borough_conflict", "medium", _true("borough_conflict"), F.lit("the text's borough is not the section's"), {}),
+        ("address_not_parsed", "low", (c("address_raw") == "") & ~professional, F.lit("no address in an entry about a property"), {}),
+        ("suspicious_penalty", "high", pen.isNotNull() & ((pen < low) | (pen > high)), s("penalty outside ", str(low), " to ", str(high)), {}),
+        ("suspicious_penalty", "medium", pen.isNull() & said.startswith("$"), F.lit("begins with $ but no amount could be read"), {}),
+        ("truncated_source_entry", "low", truncated(said), F.lit("very short or cut off in the source"), {}),
     ]
-    return union([issue(actions, kind, severity, F.coalesce(when, F.lit(False)), "enforcement_id", F.coalesce(detail, F.lit(""))) for kind, severity, when, detail in rules])
+    source = {"bulletin_id": c("bulletin_id"), "source_pdf": c("source_pdf"), "source_page": c("source_page"), "excerpt": F.substring("enforcement_text", 1, 400)}
+    return union([issue(df, kind, severity, when, "enforcement_id", detail, of="enforcement_id", **(source | more)) for kind, severity, when, detail, more in parts])
 
 
-def bulletin_issues(registry: DataFrame) -> DataFrame:
-    """The rules on bulletins: registry(bulletin_id, month, sha256, pdf_url, ..., n_entries, empty_bullets, marker_found, has_text)."""
+def bulletin_issues(registry: DataFrame, diagnostics: DataFrame) -> DataFrame:
+    """The rules on bulletins.
+
+    registry: bulletin_id, pdf_url, sha256, downloaded, processing_errors, index_label, label_conflict, filename_pattern_ok,
+    still_on_index. diagnostics: one row per extracted bulletin, with bulletin_id, needs_ocr, has_text, n_entries, marker_found,
+    empty_bullets. A bulletin without a month gets no other registry issue, one without text no other parsing issue.
+    """
     c = F.col
-    rules = [
-        ("bulletin_month_unparsed", "high", c("bulletin_id").startswith("unparsed:"), c("pdf_url")),
-        ("download_failed", "high", c("processing_errors") != "", c("processing_errors")),
-        ("index_label_conflict", "low", c("label_conflict"), c("index_label")),
-        ("structure_change_filename", "high", ~c("filename_pattern_ok"), c("pdf_url")),
-        ("bulletin_removed_from_index", "medium", ~c("still_on_index"), c("pdf_url")),
-        ("bulletin_replaced_upstream", "medium", F.contains(c("processing_errors"), F.lit("replaced")), c("processing_errors")),
-        ("failed_extraction", "high", ~c("has_text") | (c("n_entries") == 0), c("pdf_url")),
-        ("structure_change_marker", "high", ~c("marker_found"), c("pdf_url")),
-        ("empty_bullets_dropped", "low", c("empty_bullets") > 0, c("empty_bullets").cast("string")),
+    none = registry.withColumn("unparsed", c("bulletin_id").startswith("unparsed:"))
+    parsed, readable = none.filter("not unparsed"), ~(F.coalesce(_true("needs_ocr"), F.lit(False)) | ~F.coalesce(_true("has_text"), F.lit(True)))
+    read = diagnostics.filter(readable)
+    rows = [
+        (none, "bulletin_month_unparsed", "high", c("unparsed"), c("pdf_url")),
+        (parsed, "download_failed", "high", ~F.coalesce(_true("downloaded"), F.lit(False)), F.coalesce(F.nullif("processing_errors", F.lit("")), F.lit("not downloaded"))),
+        (parsed, "index_label_conflict", "low", _true("label_conflict"), c("index_label")),
+        (parsed, "structure_change_filename", "high", ~F.coalesce(_true("filename_pattern_ok"), F.lit(False)), c("pdf_url")),
+        (parsed, "bulletin_removed_from_index", "medium", F.lower(c("still_on_index").cast("string")) == "false", c("pdf_url")),
+        (parsed, "bulletin_replaced_upstream", "medium", F.contains("processing_errors", F.lit("pdf_replaced_upstream")), c("pdf_url")),
+        (diagnostics.filter(~readable), "failed_extraction", "high", F.lit(True), F.lit("no text layer")),
+        (read, "failed_extraction", "high", F.coalesce("n_entries", F.lit(0)) == 0, F.lit("text without entries")),
+        (read, "structure_change_marker", "high", ~F.coalesce(_true("marker_found"), F.lit(True)), F.lit("the opening phrase is missing")),
+        (read, "empty_bullets_dropped", "low", c("empty_bullets") > 0, c("empty_bullets").cast("string")),
+        (entry_count_outliers(diagnostics).join(read.select("bulletin_id"), "bulletin_id", "left_semi"), "structure_change_entry_count", "medium", c("is_outlier"),
+         F.concat_ws(" against ", c("n_entries").cast("string"), c("typical").cast("string"))),
     ]
-    single = [issue(registry, kind, severity, F.coalesce(when, F.lit(False)), "bulletin_id", F.coalesce(detail, F.lit(""))) for kind, severity, when, detail in rules]
-    twice = registry.filter("sha256 <> ''").groupBy("sha256").agg(F.array_sort(F.collect_list("bulletin_id")).alias("ids")).filter(F.size("ids") > 1)
-    twice = twice.withColumn("first_id", F.get("ids", F.lit(0)))
-    single.append(issue(twice, "duplicate_bulletin", "high", F.lit(True), "first_id", F.array_join("ids", ";")))
-    counts = entry_count_outliers(registry)
-    single.append(issue(counts.filter("is_outlier"), "structure_change_entry_count", "medium", F.lit(True), "bulletin_id", F.col("n_entries").cast("string")))
-    return union(single)
+    found = [issue(df, kind, severity, when, "bulletin_id", detail) for df, kind, severity, when, detail in rows]
+    months = missing_months(registry.filter(c("bulletin_id").rlike(r"^\d{4}-\d{2}$")).select(c("bulletin_id").alias("ym")))
+    found.append(issue(months, "missing_bulletin_month", "medium", F.lit(True), "ym", F.lit(MISSING_NOTE)))
+    return union([*found, duplicate_bulletins(registry)])
+
+
+def duplicate_bulletins(registry: DataFrame) -> DataFrame:
+    """Bulletins that share their content, or their address: one issue a group, under all its ids."""
+    found = []
+    for column, said in (("sha256", "identical content"), ("pdf_url", "the same address")):
+        groups = registry.filter(F.col(column) != "").groupBy(column).agg(F.array_join(F.array_sort(F.collect_list("bulletin_id")), ",").alias("ids"), F.count("*").alias("n"))
+        found.append(issue(groups, "duplicate_bulletin", "high", F.col("n") > 1, "ids", F.concat(F.lit(f"{said}: "), "ids")))
+    return union(found)
+
+
+def index_issues(links: DataFrame, registry: DataFrame) -> DataFrame:
+    """One issue if the index page yields no links(href), or under 0.8 of the bulletins that the registry knows to be on it."""
+    known = registry.agg(F.count_if(_true("still_on_index")).alias("known"))
+    both = links.agg(F.count("*").alias("n")).crossJoin(known)  # one row each
+    sudden = (F.col("n") == 0) | ((F.col("known") > 0) & (F.col("n") < 0.8 * F.col("known")))
+    return issue(both, "structure_change_index", "high", sudden, "n", F.concat(F.col("n").cast("string"), F.lit(" links, known "), F.col("known").cast("string")), tag="index", of="")
 
 
-def entry_count_outliers(registry: DataFrame, *, before: int = 6, least: int = 3, low: float = 0.4, high: float = 2.5) -> DataFrame:
-    """bulletin_id, n_entries, typical, is_outlier: entries against the upper median of the `before` earlier bulletins."""
+def audit_issues(audit: DataFrame) -> DataFrame:
+    """Audit rows that are not linked with high confidence."""
+    c = F.col
+    unsure = (c("match_status") != "matched") | (c("confidence") != "high")
+    detail = F.concat_ws(" ", F.concat(F.lit("audit row "), c("audit_row").cast("string")), "match_status", F.lit("via"), F.concat_ws("/", "method", "confidence"))
+    return issue(audit, "comptroller_audit_link", "medium", unsure, "audit_row", detail, tag="audit", of="", pops_id_candidate=F.coalesce(F.nullif("pops_id", F.lit("")), "candidates"))
+
+
+def entry_count_outliers(counts: DataFrame, *, before: int = 6, least: int = 3, low: float = 0.4, high: float = 2.5) -> DataFrame:
+    """bulletin_id, n_entries, typical, is_outlier: entries against the upper median of the `before` earlier bulletins.
+
+    typical is NULL with fewer than `least` earlier ones; a bulletin without entries, or a median of 0, is no outlier.
+    """
     earlier = Window.partitionBy(F.lit(0)).orderBy("bulletin_id").rowsBetween(-before, -1)  # one row a month: a small table by nature
-    df = registry.select("bulletin_id", F.coalesce("n_entries", F.lit(0)).alias("n_entries")).withColumn("seen", F.sort_array(F.collect_list("n_entries").over(earlier)))
+    df = counts.select("bulletin_id", F.coalesce("n_entries", F.lit(0)).alias("n_entries")).withColumn("seen", F.sort_array(F.collect_list("n_entries").over(earlier)))
     typical = F.when(F.size("seen") >= least, F.element_at("seen", (F.floor(F.size("seen") / 2) + 1).cast("int")))
     df = df.withColumn("typical", typical)
-    return df.select("bulletin_id", "n_entries", "typical", F.coalesce((F.col("n_entries") < low * F.col("typical")) | (F.col("n_entries") > high * F.col("typical")), F.lit(False)).alias("is_outlier"))
+    n, usual = F.col("n_entries"), F.col("typical")
+    odd = (n > 0) & (usual != 0) & ((n < low * usual) | (n > high * usual))
+    return df.select("bulletin_id", "n_entries", "typical", F.coalesce(odd, F.lit(False)).alias("is_outlier"))
 
 
 def missing_months(months: DataFrame) -> DataFrame:
@@ -80,30 +154,40 @@ def missing_months(months: DataFrame) -> DataFrame:
     return every.join(months.select("ym").distinct(), "ym", "left_anti")
 
 
-def suggestions(actions: DataFrame, master: DataFrame, *, most: int = 4, floor: float = 70.0) -> DataFrame:
-    """enforcement_id, suggested: sites of the same borough and house number with a similar street, best first."""
-    from ..functions import text
-
-    pairs = actions.select("enforcement_id", "borough", F.col("address_number").alias("number"), "street_canonical").join(
-        master.select("pops_id", "borough", F.col("num").alias("number"), F.col("street_canonical").alias("site_street")), ["borough", "number"]
-    )
-    pairs = pairs.withColumn("score", text.indel_ratio(F.col("street_canonical"), F.col("site_street"))).filter(F.col("score") >= floor)
-    ranked = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "pops_id")))
-    return pairs.groupBy("enforcement_id").agg(F.array_join(F.transform(F.slice(ranked, 1, most), lambda x: x["pops_id"]), ";").alias("suggested"))
+def suggestions(actions: DataFrame, sites: DataFrame, *, most: int = 4, floor: float = 70.0) -> DataFrame:
+    """enforcement_id, suggested: up to `most` hints joined by ' | ', in the order of the sites (seq), names in the text first.
+
+    actions: enforcement_id, enforcement_text, borough, address_number, address_street. sites: pops_id, seq, borough, hn_low,
+    street_canonical, building_name, address_normalized. The other hints are sites of the same borough whose first house number
+    is the action's, on a street with an indel ratio of `floor` or more.
+    """
+    acts = actions.withColumn("street", address.canonical_street(F.col("address_street")))
+    named = resolve.names_in_text(actions.select("enforcement_id", F.col("enforcement_text").alias("said")), sites.select("pops_id", F.col("building_name").alias("name")), "enforcement_id")
+    named = named.join(sites.select("pops_id", "seq", "building_name", "address_normalized"), "pops_id")
+    hint = F.concat("pops_id", F.lit(" ("), "building_name", F.lit(", "), "address_normalized", F.lit(") [building name in text]"))
+    by_name = named.select("enforcement_id", "pops_id", F.lit(0).alias("kind"), "seq", hint.alias("hint"))
+    number = address.house_number(F.col("address_number"), F.col("borough"))["low"]
+    asked = acts.filter("borough <> '' and street <> ''").select("enforcement_id", "borough", number.alias("hn_low"), "street").filter("hn_low is not null")
+    near = asked.join(sites.select("pops_id", "seq", "borough", "hn_low", "street_canonical", "address_normalized"), ["borough", "hn_low"])
+    near = near.filter(text.indel_ratio(F.col("street"), F.col("street_canonical")) >= floor)
+    hint = F.concat("pops_id", F.lit(" ("), "address_normalized", F.lit(") [same house number, similar street name]"))
+    by_number = near.select("enforcement_id", "pops_id", F.lit(1).alias("kind"), "seq", hint.alias("hint")).join(by_name.select("enforcement_id", "pops_id"), ["enforcement_id", "pops_id"], "left_anti")
+    ranked = F.array_sort(F.collect_list(F.struct("kind", "seq", "hint")))
+    return by_name.unionByName(by_number).groupBy("enforcement_id").agg(F.array_join(F.transform(F.slice(ranked, 1, most), lambda x: x["hint"]), " | ").alias("suggested"))
 
 
 def queue(issues: DataFrame, previous: DataFrame, decisions: DataFrame, run_ts: str) -> DataFrame:
     """Issues with the time of first detection and whether they are open, in order of severity."""
     df = issues.join(previous.select("review_id", F.col("detected_at").alias("before")), "review_id", "left")
-    done = decisions.select(F.col("enforcement_id").alias("subject_id")).distinct().withColumn("done", F.lit(True))
-    df = df.join(done, "subject_id", "left").withColumn("detected_at", F.coalesce("before", F.lit(run_ts)))
+    done = decisions.select("enforcement_id").filter("enforcement_id <> ''").distinct().withColumn("done", F.lit(True))
+    df = df.join(done, "enforcement_id", "left").withColumn("detected_at", F.coalesce("before", F.lit(run_ts)))
     df = df.withColumn("status", F.when(F.col("done"), "resolved").otherwise("open"))
     return by_severity(df.select(*COLUMNS, "detected_at", "status"))
 
 
 def by_severity(df: DataFrame) -> DataFrame:
     rank = F.array_position(F.array(*map(F.lit, SEVERITIES)), F.col("severity"))
-    return df.orderBy(rank, "issue_type", "subject_id", "review_id")
+    return df.orderBy(rank, "issue_type", "bulletin_id", "enforcement_id", "review_id")
 
 
 def summary(issues: DataFrame) -> DataFrame:

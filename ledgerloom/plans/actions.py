@@ -13,13 +13,13 @@ ACTIONS_SQL = """
 acts AS (
   SELECT o_orderkey AS enforcement_id, o_orderkey AS seq, CAST(o_custkey AS VARCHAR) AS pops_id, strftime(o_orderdate, '%Y-%m') AS ym,
     CAST(year(o_orderdate) AS INTEGER) AS year, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(floor(o_totalprice) AS BIGINT) END AS penalty,
-    CASE WHEN o_orderstatus = 'F' THEN 'pops_text_and_property' WHEN o_orderstatus = 'O' AND o_orderkey % 3 = 0 THEN 'pops_text_only'
+    CASE WHEN o_orderstatus = 'F' THEN 'pops_text_and_property_match' WHEN o_orderstatus = 'O' AND o_orderkey % 3 = 0 THEN 'pops_text_only'
       WHEN o_orderstatus = 'O' THEN 'property_match_only' WHEN o_orderkey % 2 = 0 THEN 'weak_keyword_only' ELSE 'none' END AS pops_relation,
     CASE left(o_orderpriority, 1) WHEN '1' THEN 'auto_confirmed' WHEN '2' THEN 'reviewed_confirmed' WHEN '3' THEN 'needs_review'
       WHEN '4' THEN 'reviewed_rejected' ELSE '' END AS review_status, o_orderpriority AS priority FROM orders
 ), tiered AS (
-  SELECT *, CASE WHEN pops_relation = 'pops_text_and_property' AND review_status IN ('auto_confirmed', 'reviewed_confirmed') THEN 'A'
-    WHEN review_status <> 'reviewed_rejected' AND pops_relation IN ('pops_text_and_property', 'pops_text_only') THEN 'B'
+  SELECT *, CASE WHEN pops_relation = 'pops_text_and_property_match' AND review_status IN ('auto_confirmed', 'reviewed_confirmed') THEN 'A'
+    WHEN review_status <> 'reviewed_rejected' AND pops_relation IN ('pops_text_and_property_match', 'pops_text_only') THEN 'B'
     WHEN review_status <> 'reviewed_rejected' AND pops_relation = 'property_match_only' THEN 'C' END AS tier FROM acts
 )"""
 
@@ -29,7 +29,7 @@ def actions(spark: SparkSession, d: str) -> DataFrame:
     c = F.col
     odd = c("o_orderkey")
     relation = (
-        F.when(c("o_orderstatus") == "F", "pops_text_and_property").when((c("o_orderstatus") == "O") & (odd % 3 == 0), "pops_text_only")
+        F.when(c("o_orderstatus") == "F", "pops_text_and_property_match").when((c("o_orderstatus") == "O") & (odd % 3 == 0), "pops_text_only")
         .when(c("o_orderstatus") == "O", "property_match_only").when(odd % 2 == 0, "weak_keyword_only").otherwise("none")
     )
     first = F.substring("o_orderpriority", 1, 1)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import analytics, master, review
+from ..operators import analytics, master, review, segment
 from ..session import table as T
 from .actions import ACTIONS_SQL, actions
 
@@ -39,8 +39,8 @@ PART_SQL = """cats AS (
 )"""
 
 
-@query(f"""WITH {PART_SQL} SELECT category, count(*) AS actions, CAST(round_even(100.0::DOUBLE * count(*) / (SELECT count(*) FROM part), 1) AS DOUBLE) AS share
-FROM cats GROUP BY category""")
+@query(f"""WITH {PART_SQL}, n AS (SELECT category, count(*) AS actions, (SELECT count(*) FROM part) AS total FROM cats GROUP BY category)
+SELECT category, actions, (1000 * actions // total + CASE WHEN 2 * (1000 * actions % total) > total OR (2 * (1000 * actions % total) = total AND 1000 * actions // total % 2 = 1) THEN 1 ELSE 0 END) / 1000::DOUBLE AS share FROM n""")
 def category_share(spark, d) -> DataFrame:
     return analytics.category_share(T(spark, d, "part").select(_categories(F.col("p_type")).alias("categories")))
 
@@ -59,14 +59,14 @@ def repeat_sites(spark, d) -> DataFrame:
     return analytics.repeats(actions(spark, d), sites)
 
 
-@query("""WITH named AS (SELECT p_partkey AS seq, p_name || CASE p_partkey % 3 WHEN 0 THEN ', Inc.' WHEN 1 THEN ' LLC' ELSE '' END AS respondent, upper(p_name) AS entity,
-CAST(p_partkey % 10 AS VARCHAR) AS site, CAST(floor(p_retailprice) AS BIGINT) AS penalty FROM part)
+@query("""WITH named AS (SELECT p_partkey AS seq, p_partkey % 5 AS f, CASE p_partkey % 4 WHEN 0 THEN p_name || ', Inc.' WHEN 1 THEN 'The ' || p_name || ' L.P.' WHEN 2 THEN p_name || ' Owners Corp' ELSE p_name || ' Corporation' END AS respondent,
+lower(p_name) || CASE WHEN p_partkey % 4 = 3 THEN ' corporation' ELSE '' END AS entity, CAST(p_partkey % 10 AS VARCHAR) AS site, CAST(floor(p_retailprice) AS BIGINT) AS penalty FROM part)
 SELECT entity, count(*) AS actions, arg_min(respondent, seq) AS example_name, string_agg(DISTINCT site, ';' ORDER BY site) AS sites, CAST(sum(penalty) AS BIGINT) AS penalties
-FROM named GROUP BY entity HAVING count(*) >= 2""")
+FROM named WHERE f <> 0 GROUP BY entity HAVING count(*) >= 2""")
 def repeat_entities(spark, d) -> DataFrame:
-    k = F.col("p_partkey")
-    name = F.concat("p_name", F.when(k % 3 == 0, ", Inc.").when(k % 3 == 1, " LLC").otherwise(""))
-    df = T(spark, d, "part").select(k.alias("seq"), name.alias("respondent"), (k % 10).cast("string").alias("pops_id"), F.floor("p_retailprice").alias("penalty"))
+    k, n = F.col("p_partkey"), F.col("p_name")
+    name = F.when(k % 4 == 0, F.concat(n, F.lit(", Inc."))).when(k % 4 == 1, F.concat(F.lit("The "), n, F.lit(" L.P."))).when(k % 4 == 2, F.concat(n, F.lit(" Owners Corp"))).otherwise(F.concat(n, F.lit(" Corporation")))
+    df = T(spark, d, "part").select(k.alias("seq"), name.alias("respondent"), (k % 10).cast("string").alias("pops_id"), F.floor("p_retailprice").alias("penalty"), F.when(k % 5 != 0, "A").otherwise("B").alias("tier"))
     return analytics.repeat_entities(df)
 
 
@@ -100,61 +100,79 @@ def group_rates(spark, d) -> DataFrame:
     return out.withColumn("pct", analytics.percent(F.col("tierA_sites"), F.col("sites")))
 
 
-AGE_SQL = """aged AS (SELECT CAST(c_custkey AS VARCHAR) AS pops_id, CASE WHEN c_custkey % 11 = 0 THEN '' ELSE CAST(1950 + c_custkey % 60 AS VARCHAR) END AS y FROM customer),
-hit AS (SELECT DISTINCT pops_id FROM tiered WHERE tier = 'A' AND ym < '1995-06')"""
+AGE_SQL = """aged AS (SELECT pops_id, y, CASE WHEN y BETWEEN 1961 AND 1969 THEN '1961-69' WHEN y BETWEEN 1970 AND 1979 THEN '1970s' WHEN y BETWEEN 1980 AND 1989 THEN '1980s' WHEN y BETWEEN 1990 AND 1999 THEN '1990s'
+  WHEN y BETWEEN 2000 AND 2100 THEN '2000+' ELSE 'unknown' END AS decade FROM (SELECT CAST(c_custkey AS VARCHAR) AS pops_id, CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE 1950 + c_custkey % 60 END AS y FROM customer)),
+hit AS (SELECT DISTINCT pops_id FROM tiered WHERE tier = 'A')"""
+FISHER_SQL = """x AS (SELECT unnest(range(greatest(0, a - d), least(a + b, a + c) + 1)) AS x, * FROM t),
+p AS (SELECT *, exp(lgamma(a+b+1) + lgamma(c+d+1) + lgamma(a+c+1) + lgamma(b+d+1) - lgamma(a+b+c+d+1) - lgamma(x+1) - lgamma(a+b-x+1) - lgamma(a+c-x+1) - lgamma(d-a+x+1)) AS pr FROM x)
+SELECT a, b, c, d, CAST(round_even(least(1.0, sum(pr) FILTER (pr <= seen * (1 + 1e-7))), 6) AS DOUBLE) AS p FROM (SELECT *, max(CASE WHEN x = a THEN pr END) OVER () AS seen FROM p) GROUP BY a, b, c, d"""
 
 
 def _aged(spark, d) -> DataFrame:
+    """Customers as sites with a year of completion, and whether a tier A action is linked to them."""
     k = F.col("c_custkey")
     sites = T(spark, d, "customer").select(k.cast("string").alias("pops_id"), F.when(k % 11 == 0, "").otherwise((1950 + k % 60).cast("string")).alias("y"))
-    hit = actions(spark, d).filter("tier = 'A' and ym < '1995-06'").select("pops_id").distinct().withColumn("hit", F.lit(True))
-    return sites.join(hit, "pops_id", "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
+    hit = actions(spark, d).filter("tier = 'A'").select("pops_id").distinct().withColumn("hit", F.lit(True))
+    return sites.join(hit, "pops_id", "left").select("pops_id", analytics.decade(F.col("y")).alias("decade"), F.coalesce("hit", F.lit(False)).alias("hit"))
 
 
-@query(f"""WITH {ACTIONS_SQL}, {AGE_SQL} SELECT CASE WHEN y = '' THEN 'unknown' ELSE CAST(CAST(y AS INTEGER) // 10 * 10 AS VARCHAR) || 's' END AS decade, count(*) AS sites,
-CAST(count(*) FILTER (hit.pops_id IS NOT NULL) AS BIGINT) AS hits, CAST(round_even(100.0::DOUBLE * count(*) FILTER (hit.pops_id IS NOT NULL) / count(*), 1) AS DOUBLE) AS pct FROM aged LEFT JOIN hit USING (pops_id) GROUP BY 1""")
+@query(f"""WITH {ACTIONS_SQL}, {AGE_SQL} SELECT decade, count(*) AS sites, CAST(count(*) FILTER (hit.pops_id IS NOT NULL) AS BIGINT) AS hits,
+CAST(round_even(100.0::DOUBLE * count(*) FILTER (hit.pops_id IS NOT NULL) / count(*), 1) AS DOUBLE) AS pct FROM aged LEFT JOIN hit USING (pops_id) GROUP BY decade""")
 def age_bins(spark, d) -> DataFrame:
-    df = _aged(spark, d).groupBy(analytics.decade(F.col("y")).alias("decade")).agg(F.count("*").alias("sites"), F.sum(F.col("hit").cast("int")).alias("hits"))
+    df = _aged(spark, d).groupBy("decade").agg(F.count("*").alias("sites"), F.sum(F.col("hit").cast("int")).alias("hits"))
     return df.withColumn("pct", analytics.percent(F.col("hits"), F.col("sites")))
 
 
-@query(f"""WITH {ACTIONS_SQL}, {AGE_SQL}, t AS (SELECT count(*) FILTER (y < '1980' AND h) AS a, count(*) FILTER (y < '1980' AND NOT h) AS b, count(*) FILTER (y >= '1980' AND h) AS c, count(*) FILTER (y >= '1980' AND NOT h) AS d
-FROM (SELECT y, hit.pops_id IS NOT NULL AS h FROM aged LEFT JOIN hit USING (pops_id) WHERE y <> '')),
-x AS (SELECT unnest(range(greatest(0, a - d), least(a + b, a + c) + 1)) AS x, * FROM t),
-p AS (SELECT *, exp(lgamma(a+b+1) + lgamma(c+d+1) + lgamma(a+c+1) + lgamma(b+d+1) - lgamma(a+b+c+d+1) - lgamma(x+1) - lgamma(a+b-x+1) - lgamma(a+c-x+1) - lgamma(d-a+x+1)) AS pr FROM x)
-SELECT a, b, c, d, CAST(round_even(least(1.0, sum(pr) FILTER (pr <= seen * (1 + 1e-7))), 6) AS DOUBLE) AS p FROM (SELECT *, max(CASE WHEN x = a THEN pr END) OVER () AS seen FROM p) GROUP BY a, b, c, d""")
+@query(f"""WITH {ACTIONS_SQL}, {AGE_SQL}, t AS (SELECT count(*) FILTER (y < 1980 AND h) AS a, count(*) FILTER (y < 1980 AND NOT h) AS b, count(*) FILTER (y >= 1980 AND h) AS c, count(*) FILTER (y >= 1980 AND NOT h) AS d
+FROM (SELECT y, hit.pops_id IS NOT NULL AS h FROM aged LEFT JOIN hit USING (pops_id) WHERE decade <> 'unknown')), {FISHER_SQL}""")
 def fisher_2x2(spark, d) -> DataFrame:
-    df = _aged(spark, d).filter("y <> ''")
-    return analytics.fisher(df, F.col("y") < "1980", F.col("hit")).withColumn("p", F.bround("p", 6))
+    """Sites completed before 1980 against later ones; sites of unknown age are left out."""
+    df = _aged(spark, d).filter("decade <> 'unknown'")
+    return analytics.fisher(df, F.col("decade").isin("1961-69", "1970s"), F.col("hit")).withColumn("p", F.bround("p", 6))
 
 
-@query(f"""WITH {ACTIONS_SQL}, g AS (SELECT CAST(c_custkey AS VARCHAR) AS pops_id, CASE c_custkey % 4 WHEN 0 THEN 'not_in_audit' WHEN 1 THEN 'Yes' WHEN 2 THEN 'No' ELSE 'Construction' END AS audit_group FROM customer),
-s AS (SELECT pops_id, max(CASE WHEN tier = 'A' THEN 1 ELSE 0 END) AS a, max(CASE WHEN tier IN ('A','B') THEN 1 ELSE 0 END) AS ab FROM tiered WHERE tier IS NOT NULL AND ym < '1995-09' GROUP BY pops_id)
-SELECT audit_group, count(*) AS sites, CAST(coalesce(sum(a), 0) AS BIGINT) AS "tierA", CAST(coalesce(sum(ab), 0) AS BIGINT) AS "tierAB", count(s.pops_id) AS any_linked,
-CAST(round_even(100.0::DOUBLE * coalesce(sum(a), 0) / count(*), 1) AS DOUBLE) AS "tierA_pct", CAST(round_even(100.0::DOUBLE * count(s.pops_id) / count(*), 1) AS DOUBLE) AS any_linked_pct FROM g LEFT JOIN s USING (pops_id) GROUP BY audit_group""")
-def audit_followup(spark, d) -> DataFrame:
+AUDIT_SQL = """g AS (SELECT CAST(c_custkey AS VARCHAR) AS pops_id, CASE c_custkey % 4 WHEN 0 THEN 'not_in_audit' WHEN 1 THEN 'yes' WHEN 2 THEN 'no' ELSE 'construction' END AS audit_group FROM customer),
+s AS (SELECT pops_id, max(CASE WHEN tier = 'A' THEN 1 ELSE 0 END) AS a, max(CASE WHEN tier IN ('A','B') THEN 1 ELSE 0 END) AS ab FROM tiered WHERE tier IS NOT NULL GROUP BY pops_id)"""
+
+
+def _audited(spark, d) -> DataFrame:
+    """Customers as sites with their audit group and whether they have tier A, tier A or B, or any tiered actions."""
     k = F.col("c_custkey")
-    group = F.when(k % 4 == 0, "not_in_audit").when(k % 4 == 1, "Yes").when(k % 4 == 2, "No").otherwise("Construction")
+    group = F.when(k % 4 == 0, "not_in_audit").when(k % 4 == 1, "yes").when(k % 4 == 2, "no").otherwise("construction")
     sites = T(spark, d, "customer").select(k.cast("string").alias("pops_id"), group.alias("audit_group"))
-    flags = actions(spark, d).filter("tier is not null and ym < '1995-09'").groupBy("pops_id").agg(
+    flags = actions(spark, d).filter("tier is not null").groupBy("pops_id").agg(
         F.max((F.col("tier") == "A").cast("int")).alias("a"), F.max(F.col("tier").isin("A", "B").cast("int")).alias("ab"), F.lit(1).alias("any"))
-    df = sites.join(flags, "pops_id", "left").groupBy("audit_group").agg(
-        F.count("*").alias("sites"), *[F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (("a", "tierA"), ("ab", "tierAB"), ("any", "any_linked"))])
-    return df.withColumns({"tierA_pct": analytics.percent(F.col("tierA"), F.col("sites")), "any_linked_pct": analytics.percent(F.col("any_linked"), F.col("sites"))})
+    return sites.join(flags, "pops_id", "left")
 
 
-@query(f"""WITH {ACTIONS_SQL}, base AS (SELECT * FROM tiered WHERE review_status <> 'reviewed_rejected' AND penalty > 200000),
-per AS (SELECT pops_id, count(*) FILTER (review_status IN ('auto_confirmed', 'reviewed_confirmed') AND pops_relation = 'pops_text_and_property') AS confirmed,
-  count(*) FILTER (review_status IN ('auto_confirmed', 'reviewed_confirmed') AND pops_relation = 'pops_text_and_property' AND ym >= '1997-04') AS confirmed_recent,
-  count(*) FILTER (pops_relation = 'property_match_only') AS property_only, count(*) FILTER (review_status = 'needs_review') AS needs_review, count(*) AS "any", CAST(sum(penalty) AS BIGINT) AS penalties,
-  min(ym) AS first, max(ym) AS last, string_agg(CAST(enforcement_id AS VARCHAR), ';' ORDER BY seq) AS enforcement_ids FROM base GROUP BY pops_id),
+@query(f"""WITH {ACTIONS_SQL}, {AUDIT_SQL} SELECT audit_group, count(*) AS sites, CAST(coalesce(sum(a), 0) AS BIGINT) AS "tierA", CAST(coalesce(sum(ab), 0) AS BIGINT) AS "tierAB", count(s.pops_id) AS any_linked,
+CAST(round_even(100.0::DOUBLE * coalesce(sum(a), 0) / count(*), 1) AS DOUBLE) AS "tierA_pct", CAST(round_even(100.0::DOUBLE * coalesce(sum(ab), 0) / count(*), 1) AS DOUBLE) AS "tierAB_pct",
+CAST(round_even(100.0::DOUBLE * count(s.pops_id) / count(*), 1) AS DOUBLE) AS any_linked_pct FROM g LEFT JOIN s USING (pops_id) GROUP BY audit_group""")
+def audit_followup(spark, d) -> DataFrame:
+    names = {"a": "tierA", "ab": "tierAB", "any": "any_linked"}
+    df = _audited(spark, d).groupBy("audit_group").agg(F.count("*").alias("sites"), *[F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in names.items()])
+    return df.withColumns({f"{n}_pct": analytics.percent(F.col(n), F.col("sites")) for n in names.values()})
+
+
+@query(f"""WITH {ACTIONS_SQL}, {AUDIT_SQL}, t AS (SELECT count(*) FILTER (audit_group = 'no' AND a = 1) AS a, count(*) FILTER (audit_group = 'no' AND coalesce(a, 0) = 0) AS b,
+count(*) FILTER (audit_group = 'yes' AND a = 1) AS c, count(*) FILTER (audit_group = 'yes' AND coalesce(a, 0) = 0) AS d FROM g LEFT JOIN s USING (pops_id)), {FISHER_SQL}""")
+def audit_fisher(spark, d) -> DataFrame:
+    """Sites found not compliant against compliant ones."""
+    df = _audited(spark, d).filter("audit_group in ('no', 'yes')")
+    return analytics.fisher(df, F.col("audit_group") == "no", F.coalesce("a", F.lit(0)) == 1).withColumn("p", F.bround("p", 6))
+
+
+@query(f"""WITH {ACTIONS_SQL}, base AS (SELECT *, review_status IN ('auto_confirmed', 'reviewed_confirmed') AND pops_relation = 'pops_text_and_property_match' AS sure FROM tiered WHERE review_status <> 'reviewed_rejected'),
+per AS (SELECT pops_id, count(*) FILTER (sure) AS confirmed, count(*) FILTER (sure AND ym >= '1997-04') AS confirmed_recent, count(*) FILTER (pops_relation = 'property_match_only') AS property_only,
+  count(*) FILTER (review_status = 'needs_review') AS needs_review, count(*) AS "any", CAST(sum(penalty) FILTER (sure) AS BIGINT) AS penalties, max(ym) FILTER (sure) AS last,
+  string_agg(CAST(enforcement_id AS VARCHAR), ';' ORDER BY seq) FILTER (sure) AS enforcement_ids FROM base GROUP BY pops_id),
 audit AS (SELECT CAST(s_nationkey AS VARCHAR) AS pops_id, arg_min(s_name, s_suppkey) AS audit_outcome FROM supplier GROUP BY s_nationkey)
 SELECT CAST(c_custkey AS VARCHAR) AS pops_id, coalesce(confirmed, 0) AS confirmed, coalesce(confirmed_recent, 0) AS confirmed_recent, coalesce(property_only, 0) AS property_only, coalesce(needs_review, 0) AS needs_review,
-coalesce("any", 0) AS "any", coalesce(penalties, 0) AS penalties, coalesce(first, '') AS first, coalesce(last, '') AS last, coalesce(enforcement_ids, '') AS enforcement_ids, coalesce(audit_outcome, '') AS audit_outcome,
+coalesce("any", 0) AS "any", coalesce(penalties, 0) AS penalties, coalesce(last, '') AS last, coalesce(enforcement_ids, '') AS enforcement_ids, coalesce(audit_outcome, '') AS audit_outcome,
 audit_outcome IS NOT NULL AS in_audit FROM customer LEFT JOIN per ON per.pops_id = CAST(c_custkey AS VARCHAR) LEFT JOIN audit ON audit.pops_id = CAST(c_custkey AS VARCHAR)""")
 def accountability(spark, d) -> DataFrame:
     sites = T(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("pops_id"))
-    acts = actions(spark, d).filter("penalty > 200000").withColumn("enforcement_id", F.col("enforcement_id").cast("string"))
+    acts = actions(spark, d).withColumn("enforcement_id", F.col("enforcement_id").cast("string"))
     audit = T(spark, d, "supplier").select(F.col("s_nationkey").cast("string").alias("pops_id"), F.col("s_suppkey").alias("audit_row"), F.col("s_name").alias("outcome"))
     return analytics.accountability(sites, acts, audit, "1997-04")
 
@@ -191,17 +209,17 @@ def explore_filter(spark, d) -> DataFrame:
 
 
 @query("""SELECT CAST(c_custkey AS VARCHAR) AS site, count(o_orderkey) AS n, count(o_orderkey) FILTER (o_orderstatus = 'F') AS closed,
-coalesce(string_agg(CAST(o_orderkey AS VARCHAR) || ':' || o_orderstatus, ';' ORDER BY o_orderkey), '') AS e FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_totalprice > 300000 GROUP BY c_custkey""")
+coalesce(string_agg(CAST(o_orderkey AS VARCHAR) || ':' || o_orderstatus, ';' ORDER BY o_orderkey), '') AS e FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey""")
 def nested_site_doc(spark, d) -> DataFrame:
-    kids = T(spark, d, "orders").filter("o_totalprice > 300000").select(F.col("o_custkey").cast("string").alias("site"), F.col("o_orderkey").alias("seq"), F.col("o_orderstatus").alias("status"))
+    kids = T(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("site"), F.col("o_orderkey").alias("seq"), F.col("o_orderstatus").alias("status"))
     df = master.nested(T(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("site")), kids, "site", "seq", ["seq", "status"])
     joined = F.array_join(F.transform("e", lambda x: F.concat_ws(":", x["seq"].cast("string"), x["status"])), ";")
     return df.select("site", F.size("e").cast("long").alias("n"), F.size(F.filter("e", lambda x: x["status"] == "F")).cast("long").alias("closed"), joined.alias("e"))
 
 
 QC_SQL = """issues AS (
-SELECT 'suspicious_penalty' AS issue_type, CASE WHEN o_orderkey % 7 = 0 THEN 'high' ELSE 'medium' END AS severity, CAST(o_orderkey AS VARCHAR) AS subject_id FROM orders WHERE o_totalprice > 400000 OR o_orderkey % 7 = 0
-UNION ALL SELECT 'truncated_source_entry', 'low', CAST(doc_id AS VARCHAR) FROM documents WHERE length(text) < 40
+SELECT 'suspicious_penalty' AS issue_type, CASE WHEN o_orderkey % 7 = 0 THEN 'medium' ELSE 'high' END AS severity, CAST(o_orderkey AS VARCHAR) AS subject_id FROM orders WHERE o_totalprice > 400000 OR o_orderkey % 7 = 0
+UNION ALL SELECT 'truncated_source_entry', 'low', CAST(doc_id AS VARCHAR) FROM documents WHERE length(text) < 40 OR (length(text) < 120 AND NOT regexp_matches(regexp_replace(text, '[ \\t\\n\\x0B\\f\\r]+$', ''), '[.”\")]$'))
 UNION ALL SELECT 'duplicate_action', 'medium', CAST(min(doc_id) AS VARCHAR) FROM documents GROUP BY md5(text) HAVING count(*) > 1)"""
 
 
@@ -209,14 +227,15 @@ def _issues(spark, d) -> DataFrame:
     o = T(spark, d, "orders").withColumn("none", F.col("o_orderkey") % 7 == 0)
     docs = T(spark, d, "documents").select("doc_id", "text")
     twice = docs.groupBy(F.md5("text").alias("h")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")).filter("n > 1")
-    return review.union([
-        review.issue(o, "suspicious_penalty", F.when(F.col("none"), "high").otherwise("medium"), (F.col("o_totalprice") > 400000) | F.col("none"), "o_orderkey", F.lit("")),
-        review.issue(docs, "truncated_source_entry", "low", F.length("text") < 40, "doc_id", F.lit("")),
+    found = review.union([
+        review.issue(o, "suspicious_penalty", F.when(F.col("none"), "medium").otherwise("high"), (F.col("o_totalprice") > 400000) | F.col("none"), "o_orderkey", F.lit("")),
+        review.issue(docs, "truncated_source_entry", "low", review.truncated(F.col("text")), "doc_id", F.lit("")),
         review.issue(twice, "duplicate_action", "medium", F.lit(True), "doc_id", F.lit("")),
     ])
+    return found.withColumn("subject_id", F.col("bulletin_id"))
 
 
-@query(f"WITH {QC_SQL} SELECT issue_type, severity, subject_id, 'R-' || left(sha1(issue_type || '|' || subject_id || '|'), 10) AS review_id FROM issues")
+@query(f"WITH {QC_SQL} SELECT issue_type, severity, subject_id, 'R-' || left(sha1(issue_type || '|' || subject_id), 10) AS review_id FROM issues")
 def qc_rules_union(spark, d) -> DataFrame:
     return _issues(spark, d).select("issue_type", "severity", "subject_id", "review_id")
 
@@ -231,16 +250,16 @@ def severity_sort_topk(spark, d) -> DataFrame:
     return review.by_severity(_issues(spark, d)).limit(400).select("issue_type", "severity", "subject_id")
 
 
-@query("""WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') AS bulletin_id, count(*) AS n_entries FROM orders WHERE o_custkey < 100 GROUP BY 1),
+@query("""WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') AS bulletin_id, count(*) AS n_entries FROM orders GROUP BY 1),
 w AS (SELECT *, list_sort(list(n_entries) OVER (ORDER BY bulletin_id ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING)) AS seen FROM m),
 t AS (SELECT bulletin_id, n_entries, CASE WHEN len(seen) >= 3 THEN seen[len(seen) // 2 + 1] END AS typical FROM w)
-SELECT bulletin_id, n_entries, typical, coalesce(n_entries < 0.4 * typical OR n_entries > 2.5 * typical, false) AS is_outlier FROM t""")
+SELECT bulletin_id, n_entries, typical, coalesce(typical <> 0 AND (n_entries < 0.4 * typical OR n_entries > 2.5 * typical), false) AS is_outlier FROM t""")
 def rolling_upper_median(spark, d) -> DataFrame:
     months = T(spark, d, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("bulletin_id")).agg(F.count("*").alias("n_entries"))
     return review.entry_count_outliers(months)
 
 
-@query("""WITH m AS (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS ym FROM orders WHERE o_custkey < 20)
+@query("""WITH m AS (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS ym FROM orders)
 SELECT strftime(d, '%Y-%m') AS ym FROM (SELECT unnest(generate_series(min(CAST(ym || '-01' AS DATE)), max(CAST(ym || '-01' AS DATE)), INTERVAL 1 MONTH)) AS d FROM m) WHERE strftime(d, '%Y-%m') NOT IN (SELECT ym FROM m)""")
 def missing_months_anti(spark, d) -> DataFrame:
     return review.missing_months(T(spark, d, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("ym")))
@@ -252,19 +271,19 @@ def string_range_filter(spark, d) -> DataFrame:
     return df.filter(~F.col("penalty").between(1000, 200000)).select("enforcement_id", "ym", "penalty")
 
 
-@query(f"""WITH {ACTIONS_SQL} SELECT enforcement_id, CASE WHEN pops_relation = 'pops_text_and_property' AND review_status IN ('auto_confirmed', 'reviewed_confirmed') THEN 'confirmed'
-WHEN review_status = 'reviewed_rejected' OR pops_relation IN ('none', 'weak_keyword_only', 'pops_text_only') THEN '' WHEN pops_relation = 'pops_text_and_property' THEN 'pending' ELSE 'property_only' END AS state FROM tiered""")
+@query(f"""WITH {ACTIONS_SQL} SELECT enforcement_id, CASE WHEN pops_relation = 'pops_text_and_property_match' AND review_status IN ('auto_confirmed', 'reviewed_confirmed') THEN 'confirmed'
+WHEN review_status = 'reviewed_rejected' OR pops_relation IN ('none', 'weak_keyword_only', 'pops_text_only') THEN '' WHEN pops_relation = 'pops_text_and_property_match' THEN 'pending' ELSE 'property_only' END AS state FROM tiered""")
 def tier_case_union(spark, d) -> DataFrame:
     c = F.col
-    both, rejected = c("pops_relation") == "pops_text_and_property", c("review_status") == "reviewed_rejected"
+    both, rejected = c("pops_relation") == "pops_text_and_property_match", c("review_status") == "reviewed_rejected"
     state = F.when(both & c("review_status").isin(*analytics.CONFIRMED), "confirmed").when(rejected, "").when(both, "pending").when(c("pops_relation") == "property_match_only", "property_only").otherwise("")
     return actions(spark, d).select("enforcement_id", state.alias("state"))
 
 
 @query("""SELECT CAST(c_custkey AS VARCHAR) AS site, coalesce(n, 0) AS n, coalesce(total, 0) AS total, coalesce(last, '') AS last FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n, CAST(sum(CAST(o_totalprice AS BIGINT)) AS BIGINT) AS total, max(strftime(o_orderdate, '%Y-%m')) AS last
-FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 300000 GROUP BY 1) ON o_custkey = c_custkey""")
+FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) ON o_custkey = c_custkey""")
 def zero_filled_profile(spark, d) -> DataFrame:
-    per = T(spark, d, "orders").filter("o_orderstatus = 'F' and o_totalprice > 300000").groupBy("o_custkey").agg(
+    per = T(spark, d, "orders").filter("o_orderstatus = 'F'").groupBy("o_custkey").agg(
         F.count("*").alias("n"), F.sum(F.bround("o_totalprice").cast("long")).alias("total"), F.max(F.date_format("o_orderdate", "yyyy-MM")).alias("last"))
     df = T(spark, d, "customer").select("c_custkey").join(per, F.col("c_custkey") == F.col("o_custkey"), "left")
     return df.select(F.col("c_custkey").cast("string").alias("site"), "n", "total", "last").fillna(0, ["n", "total"]).fillna("", ["last"])
@@ -300,9 +319,112 @@ def set_ops(spark, d) -> DataFrame:
     return review.union([named("both", a.intersect(b)), named("first", a.subtract(b)), named("either", a.union(b).distinct())])
 
 
-@query("""SELECT o_orderkey, first_value(o_orderkey) OVER w AS first_key, CASE WHEN first_value(strftime(o_orderdate, '%Y-%m')) OVER w <> strftime(o_orderdate, '%Y-%m') THEN first_value(o_orderkey) OVER w END AS duplicate_of
-FROM orders WINDOW w AS (PARTITION BY o_custkey, o_orderstatus, o_orderpriority ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+@query("""SELECT o_orderkey, coalesce(CAST(CASE WHEN first_value(ym) OVER w <> ym THEN first_value(o_orderkey) OVER w END AS VARCHAR), '') AS duplicate_of,
+CASE WHEN first_value(ym) OVER w <> ym THEN 'same_address_penalty_respondent' ELSE '' END AS duplicate_basis FROM (SELECT *, strftime(o_orderdate, '%Y-%m') AS ym FROM orders)
+WINDOW w AS (PARTITION BY o_custkey, o_orderstatus, o_orderpriority ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def dup_signature(spark, d) -> DataFrame:
-    w = Window.partitionBy("o_custkey", "o_orderstatus", "o_orderpriority").orderBy("o_orderdate", "o_orderkey").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    df = T(spark, d, "orders").withColumn("ym", F.date_format("o_orderdate", "yyyy-MM")).withColumn("f", F.first(F.struct("o_orderkey", "ym")).over(w))
-    return df.select("o_orderkey", F.col("f.o_orderkey").alias("first_key"), F.when(F.col("f.ym") != F.col("ym"), F.col("f.o_orderkey")).alias("duplicate_of"))
+    """Orders as actions that all have their own text, and an address, penalty and respondent in common with others."""
+    key = F.col("o_orderkey").cast("string")
+    df = T(spark, d, "orders").select(
+        F.struct("o_orderdate", "o_orderkey").alias("seq"), key.alias("enforcement_id"), F.date_format("o_orderdate", "yyyy-MM").alias("bulletin_id"), key.alias("norm"),
+        F.when(F.col("o_orderkey") % 2 == 0, "E. 5th St.").otherwise("East Fifth Street").alias("address_street"), F.col("o_custkey").cast("string").alias("address_number"),
+        F.ascii("o_orderstatus").alias("penalty_amount"), F.when(F.col("o_orderkey") % 3 == 0, F.upper("o_orderpriority")).otherwise(F.lower("o_orderpriority")).alias("respondent"),
+    )
+    return segment.duplicates(df).select(F.col("enforcement_id").cast("long").alias("o_orderkey"), "duplicate_of", "duplicate_basis")
+
+
+@query(f"""WITH {ACTIONS_SQL}, x AS (SELECT *, CASE WHEN enforcement_id % 9 = 0 THEN 'd' ELSE '' END AS duplicate_of FROM tiered)
+SELECT count(*) AS actions, {", ".join(f"""count(*) FILTER (tier = '{t}') AS "tier_{t}_actions", count(DISTINCT pops_id) FILTER (tier = '{t}') AS "tier_{t}_sites",
+CAST(coalesce(sum(penalty) FILTER (tier = '{t}'), 0) AS BIGINT) AS "tier_{t}_penalty_total", count(penalty) FILTER (tier = '{t}') AS "tier_{t}_penalty_n" """ for t in "ABC")},
+count(DISTINCT pops_id) FILTER (tier IN ('A', 'B')) AS "tier_AB_sites", count(DISTINCT pops_id) FILTER (tier IS NOT NULL) AS "tier_ABC_sites", CAST(median(penalty) FILTER (tier = 'A') AS DOUBLE) AS "tier_A_penalty_median",
+max(penalty) FILTER (tier = 'A') AS "tier_A_penalty_max", count(*) FILTER (tier = 'A' AND duplicate_of <> '') AS "tier_A_duplicates", CAST(coalesce(sum(penalty), 0) AS BIGINT) AS penalty_total FROM x""")
+def summary_figures(spark, d) -> DataFrame:
+    return analytics.summary(actions(spark, d).withColumn("duplicate_of", F.when(F.col("enforcement_id") % 9 == 0, "d").otherwise("")))
+
+
+@query("""WITH w AS (SELECT strftime(o_orderdate, '%Y-%m') AS ym, CASE WHEN o_orderdate >= DATE '1998-01-01' OR o_orderkey % 4 = 0 THEN 'weak' WHEN o_orderkey % 4 = 1 THEN 'strong' WHEN o_orderkey % 4 = 2 THEN 'moderate' ELSE '' END AS tier FROM orders),
+l AS (SELECT max(ym) AS last_wording FROM w WHERE tier IN ('strong', 'moderate')) SELECT last_wording, (SELECT count(DISTINCT strftime(l_shipdate, '%Y-%m')) FROM lineitem WHERE strftime(l_shipdate, '%Y-%m') > last_wording) AS bulletins_after FROM l""")
+def last_wording(spark, d) -> DataFrame:
+    k = F.col("o_orderkey") % 4
+    tier = F.when((F.col("o_orderdate") >= "1998-01-01") | (k == 0), "weak").when(k == 1, "strong").when(k == 2, "moderate").otherwise("")
+    acts = T(spark, d, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("ym"), tier.alias("pops_keyword_tier"))
+    return analytics.last_wording(acts, T(spark, d, "lineitem").select(F.date_format("l_shipdate", "yyyy-MM").alias("bulletin_id")).distinct())
+
+
+@query("""SELECT ym, n FROM (SELECT strftime(o_orderdate, '%Y-%m') AS ym, count(*) AS n FROM orders GROUP BY 1 ORDER BY ym DESC LIMIT 12) ORDER BY ym""")
+def last_months(spark, d) -> DataFrame:
+    """The last 12 months in order."""
+    per = T(spark, d, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("ym")).agg(F.count("*").alias("n"))
+    return per.orderBy(F.desc("ym")).limit(12).orderBy("ym")
+
+
+@query(r"""WITH a AS (SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS id, o_orderkey % 12 AS f FROM orders),
+i AS (SELECT id, k, f, unnest(CASE f WHEN 0 THEN ['ambiguous_pops_match high'] WHEN 1 THEN ['low_confidence_match high'] WHEN 2 THEN ['low_confidence_match medium'] WHEN 3 THEN ['pops_keyword_without_db_match high'] WHEN 4 THEN ['weak_pops_keyword_no_match low']
+  WHEN 5 THEN ['db_match_without_pops_terms medium'] WHEN 6 THEN ['possible_duplicate_action medium'] WHEN 7 THEN ['borough_conflict medium'] WHEN 8 THEN ['address_not_parsed low'] WHEN 9 THEN ['suspicious_penalty high'] WHEN 10 THEN ['suspicious_penalty medium']
+  ELSE CASE WHEN k % 24 = 11 THEN ['truncated_source_entry low'] ELSE [] END END) AS i FROM a)
+SELECT split_part(i, ' ', 1) AS issue_type, split_part(i, ' ', 2) AS severity, id AS enforcement_id, 'R-' || left(sha1(split_part(i, ' ', 1) || '|' || id), 10) AS review_id FROM i""")
+def record_rules(spark, d) -> DataFrame:
+    """Orders as actions of twelve kinds, each of which breaks one rule, or none."""
+    f = F.col("o_orderkey") % 12
+    when = lambda k, value, other="": F.when(f == k, value).otherwise(other)
+    long = "An entry about a plaza whose gate was closed to everyone on that day, which the owner did not mend although it was told to"
+    said = F.when(f == 10, f"$ {long}.").when(f == 11, F.when(F.col("o_orderkey") % 24 == 11, "Cut off in the middle of a line with some more words in it").otherwise("Quoted as it stood in the paper, with some more words “shut”")).when(f == 8, long)
+    said = F.when(F.col("o_orderkey") % 60 == 8, F.lit(f"{long}!")).otherwise(said.otherwise(f"{long}."))
+    df = T(spark, d, "orders").select(
+        F.col("o_orderkey").cast("string").alias("enforcement_id"), said.alias("enforcement_text"), when(0, "ambiguous", "none").alias("a"),
+        F.when(f == 0, "ambiguous").when(f.isin(1, 2), "matched").otherwise("no_match").alias("match_status"), F.when(f == 1, "low").when(f == 2, "medium").otherwise("high").alias("match_confidence"),
+        F.when(f == 3, "pops_text_only").when(f == 4, "weak_keyword_only").when(f == 5, "property_match_only").otherwise("none").alias("pops_relation"), when(6, "e1").alias("duplicate_of"),
+        (f == 7).alias("borough_conflict"), (f == 11).alias("professional_section"), F.when(f.isin(8, 11), "").otherwise("1 Main Street").alias("address_raw"),
+        F.when(f == 9, F.when(F.col("o_orderkey") % 24 == 9, 99).otherwise(2_000_001)).when(f != 10, F.when(F.col("o_orderkey") % 2 == 0, 100).otherwise(2_000_000)).alias("penalty_amount"),
+    )
+    return review.record_issues(df).select("issue_type", "severity", "enforcement_id", "review_id")
+
+
+_BULLETIN = "CASE WHEN k % 17 = 0 THEN 'unparsed:' || k ELSE lpad(CAST(1900 + k // 12 AS VARCHAR), 4, '0') || '-' || lpad(CAST(k % 12 + 1 AS VARCHAR), 2, '0') END"
+
+
+@query(f"""WITH r AS (SELECT k, {_BULLETIN} AS id FROM (SELECT DISTINCT CAST(p_partkey AS BIGINT) AS k FROM part)),
+i AS (SELECT id, unnest(CASE WHEN k % 17 = 0 THEN ['bulletin_month_unparsed high'] ELSE list_filter([CASE WHEN k % 5 = 0 THEN 'download_failed high' END, CASE WHEN k % 7 = 0 THEN 'index_label_conflict low' END, CASE WHEN k % 11 = 0 THEN 'structure_change_filename high' END,
+  CASE WHEN k % 13 = 0 THEN 'bulletin_removed_from_index medium' END, CASE WHEN k % 19 = 0 THEN 'bulletin_replaced_upstream medium' END], lambda x: x IS NOT NULL) END) AS i FROM r
+UNION ALL SELECT id, unnest(CASE WHEN k % 23 = 0 THEN ['failed_extraction high'] ELSE list_filter([CASE WHEN k % 29 = 0 THEN 'failed_extraction high' END, CASE WHEN k % 31 = 0 THEN 'structure_change_marker high' END, CASE WHEN k % 37 = 0 THEN 'empty_bullets_dropped low' END,
+  CASE WHEN k % 41 = 0 AND k % 29 <> 0 THEN 'structure_change_entry_count medium' END], lambda x: x IS NOT NULL) END) FROM r WHERE k > 3 AND k % 17 <> 0
+UNION ALL SELECT lpad(CAST(1900 + k // 12 AS VARCHAR), 4, '0') || '-' || lpad(CAST(k % 12 + 1 AS VARCHAR), 2, '0'), 'missing_bulletin_month medium' FROM r, (SELECT min(k) AS first, max(k) AS last FROM r WHERE k % 17 <> 0) WHERE k % 17 = 0 AND k > first AND k < last
+UNION ALL SELECT string_agg(id, ',' ORDER BY id), 'duplicate_bulletin high' FROM r WHERE k % 43 = 0 OR k % 43 = 1 GROUP BY k // 43 HAVING count(*) > 1
+UNION ALL SELECT string_agg(id, ',' ORDER BY id), 'duplicate_bulletin high' FROM r WHERE k % 47 = 0 OR k % 47 = 2 GROUP BY k // 47 HAVING count(*) > 1)
+SELECT split_part(i, ' ', 1) AS issue_type, split_part(i, ' ', 2) AS severity, id AS bulletin_id, 'R-' || left(sha1(split_part(i, ' ', 1) || '|' || id), 10) AS review_id FROM i""")
+def bulletin_rules(spark, d) -> DataFrame:
+    """Part keys as monthly bulletins that break rules by their divisors."""
+    k = F.col("k")
+    div = lambda n: k % n == 0
+    named = F.concat_ws("-", F.lpad((1900 + F.floor(k / 12)).cast("string"), 4, "0"), F.lpad((k % 12 + 1).cast("string"), 2, "0"))
+    base = T(spark, d, "part").select(F.col("p_partkey").cast("long").alias("k")).distinct().withColumn("bulletin_id", F.when(div(17), F.concat(F.lit("unparsed:"), k.cast("string"))).otherwise(named))
+    one = lambda n, m: F.when(div(n) | (k % n == m), F.floor(k / n)).otherwise(-k)
+    registry = base.select(
+        "bulletin_id", F.concat(F.lit("u"), one(47, 2).cast("string")).alias("pdf_url"), F.concat(F.lit("h"), one(43, 1).cast("string")).alias("sha256"), F.when(div(5), "False").otherwise("True").alias("downloaded"),
+        F.when(div(19), "pdf_replaced_upstream: x").otherwise("").alias("processing_errors"), F.lit("label").alias("index_label"), div(7).alias("label_conflict"), (~div(11)).alias("filename_pattern_ok"), (~div(13)).alias("still_on_index"),
+    )
+    diagnostics = base.filter((k > 3) & ~div(17)).select(
+        "bulletin_id", div(23).alias("needs_ocr"), F.lit(True).alias("has_text"), F.when(div(29), 0).when(div(41), 1000).otherwise(10).alias("n_entries"), (~div(31)).alias("marker_found"), F.when(div(37), 2).otherwise(0).alias("empty_bullets"))
+    return review.bulletin_issues(registry, diagnostics).select("issue_type", "severity", "bulletin_id", "review_id")
+
+
+@query("""SELECT 'structure_change_index' AS issue_type, 'high' AS severity, 'R-' || left(sha1('index|' || n), 10) AS review_id FROM (SELECT count(*) FILTER (p_partkey % 10 < 7) AS n, count(*) AS known FROM part) WHERE n = 0 OR n < 0.8 * known""")
+def index_guard(spark, d) -> DataFrame:
+    """The index shows seven of ten known bulletins."""
+    parts = T(spark, d, "part")
+    return review.index_issues(parts.filter("p_partkey % 10 < 7").select(F.col("p_name").alias("href")), parts.select(F.lit(True).alias("still_on_index"))).select("issue_type", "severity", "review_id")
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS pops_id, concat_ws(';', CASE WHEN c_custkey % 7 = 0 THEN 'missing_bbl' END, CASE WHEN c_custkey % 5 = 0 THEN 'missing_bin' END, CASE WHEN c_custkey % 5 = 1 THEN 'bin_placeholder_not_matchable' END,
+CASE WHEN c_custkey % 9 = 0 THEN 'year_completed_is_0_in_source' WHEN c_custkey % 9 = 1 THEN 'missing_year' END, CASE WHEN c_custkey % 4 = 0 THEN 'under_construction' END, CASE WHEN c_custkey % 6 = 0 THEN 'address_not_normalizable' END,
+CASE WHEN c_custkey % 2 = 0 THEN 'missing_required_hours' END, CASE WHEN c_custkey % 3 = 0 THEN 'missing_required_amenities' END) AS flags FROM customer""")
+def master_flags(spark, d) -> DataFrame:
+    """The nine quality flags of the site master."""
+    k = F.col("c_custkey")
+    blank = lambda n, value, r=0: F.when(k % n == r, "").otherwise(value)
+    raw = T(spark, d, "customer").select(
+        k.cast("string").alias("pops_id"), blank(7, (1000000000 + k).cast("string")).alias("bbl"), F.when(k % 5 == 0, "").when(k % 5 == 1, "3000000").otherwise((2000001 + k).cast("string")).alias("bin"),
+        F.when(k % 9 == 0, "0").when(k % 9 == 1, " ").otherwise("1987").alias("year_completed"), F.lit("Queens").alias("borough"), F.when(k % 6 == 0, "rear").otherwise("12-34").alias("num"), F.lit("Main St").alias("street"),
+        F.lit("x").alias("building_name"), F.when(k % 4 == 0, "Under Construction (2 of 3)").otherwise("Yes").alias("building_constructed"), blank(2, "24 hours").alias("required_hours"), blank(3, "benches").alias("required_amenities"),
+    )
+    return master.quality_flags(master.normalise(raw.withColumn("year", F.trim("year_completed"))), master.QUALITY_CHECKS).select("pops_id", "flags")

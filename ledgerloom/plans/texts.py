@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import address, rules, text
-from ..operators import segment
+from ..operators import review, segment
 from ..session import table as T
 from ..sources import readers
 
@@ -63,12 +63,12 @@ def date_parse(spark, d) -> DataFrame:
 
 
 @query("""WITH n AS (SELECT doc_id, trim(regexp_replace(lower(text), '[^a-z0-9$]+', ' ', 'g')) AS norm, CAST(doc_id // 10 AS VARCHAR) AS bulletin FROM documents), f AS (SELECT *, first_value(doc_id) OVER w AS first_id, first_value(bulletin) OVER w AS first_bulletin FROM n
-WINDOW w AS (PARTITION BY md5(norm) ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) SELECT doc_id, CASE WHEN first_bulletin <> bulletin THEN first_id END AS duplicate_of FROM f""")
+WINDOW w AS (PARTITION BY md5(norm) ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) SELECT doc_id, CASE WHEN first_bulletin <> bulletin THEN CAST(first_id AS VARCHAR) ELSE '' END AS duplicate_of, CASE WHEN first_bulletin <> bulletin THEN 'identical_text' ELSE '' END AS duplicate_basis FROM f""")
 def dup_first_occurrence(spark, d) -> DataFrame:
-    df = T(spark, d, "documents").select("doc_id", F.md5(text.normalised(F.col("text"))).alias("h"), F.floor(F.col("doc_id") / 10).alias("bulletin"))
-    first = df.groupBy("h").agg(F.min("doc_id").alias("first_id"))
-    df = df.join(first, "h")
-    return df.select("doc_id", F.when(F.floor(F.col("first_id") / 10) != F.col("bulletin"), F.col("first_id")).alias("duplicate_of"))
+    """Documents as actions of bulletins of ten, without addresses."""
+    blank = {c: F.lit("") for c in ("address_street", "address_number", "respondent")} | {"penalty_amount": F.lit(None).cast("int")}
+    df = T(spark, d, "documents").select(F.col("doc_id").alias("seq"), F.col("doc_id").cast("string").alias("enforcement_id"), F.floor(F.col("doc_id") / 10).alias("bulletin_id"), text.normalised(F.col("text")).alias("norm"))
+    return segment.duplicates(df.withColumns(blank)).select(F.col("enforcement_id").cast("long").alias("doc_id"), "duplicate_of", "duplicate_basis")
 
 
 @query("""WITH n AS (SELECT doc_id, doc_id // 100 AS bulletin, left(sha1(trim(regexp_replace(lower(text), '[^a-z0-9$]+', ' ', 'g'))), 10) AS h FROM documents), r AS (SELECT *, row_number() OVER (PARTITION BY bulletin, h ORDER BY doc_id) AS n FROM n)
@@ -95,7 +95,8 @@ def line_segmentation(spark, d) -> DataFrame:
     return marked.groupBy("doc_id", "entry").agg(F.count("*").alias("lines"), F.sum(F.length("line")).alias("chars"))
 
 
-@query("""SELECT doc_id, md5(trim(regexp_replace(regexp_replace(text, '[ \\t]*\\n[ \\t\\n]*', ' ', 'g'), '[ \\t\\r]+', ' ', 'g'))) AS paragraph FROM documents WHERE NOT contains(text, '-' || chr(10))""")
+@query("""WITH l AS (SELECT doc_id, trim(regexp_replace(text, '[ \\t\\x0B\\f\\r]*\\n[ \\t\\n\\x0B\\f\\r]*', chr(10), 'g'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t FROM documents)
+SELECT doc_id, md5(regexp_replace(regexp_replace(t, '-\\n(\\p{Ll})', '-\\1', 'g'), '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g')) AS paragraph FROM l""")
 def join_lines(spark, d) -> DataFrame:
     return T(spark, d, "documents").select("doc_id", F.md5(text.join_lines(F.split("text", "\n"))).alias("paragraph"))
 
@@ -124,20 +125,78 @@ def json_props(spark, d) -> DataFrame:
     return T(spark, d, "events").select("event_id", k.alias("k"), F.to_json(F.struct((F.col("event_id") % 7).alias("n"))).alias("again"))
 
 
-@query("""SELECT doc_id, length(text) < 40 OR (length(text) < 120 AND NOT regexp_matches(text, '[.!?)”"]$')) AS truncated, regexp_matches(text, '(?i)\\b(?:engineer|contractor|plumber)\\b') AS professional,
+@query(f"""SELECT doc_id, length(text) < 40 OR (length(text) < 120 AND NOT regexp_matches(regexp_replace(text, '[ \\t\\n\\x0B\\f\\r]+$', ''), '[.”")]$')) AS truncated, regexp_matches(text, '{rules.PROFESSIONAL}') AS professional,
 len(list_distinct(regexp_extract_all(text, '\\b(of|and|the)\\b'))) = 1 AS single FROM documents""")
 def text_flags(spark, d) -> DataFrame:
     t = F.col("text")
-    truncated = (F.length(t) < 40) | ((F.length(t) < 120) & ~t.rlike(r"[.!?)”\"]\z"))
     one = F.size(F.array_distinct(F.regexp_extract_all(t, F.lit(r"\b(of|and|the)\b"), F.lit(1)))) == 1
-    return T(spark, d, "documents").select("doc_id", truncated.alias("truncated"), t.rlike(r"(?i)\b(?:engineer|contractor|plumber)\b").alias("professional"), one.alias("single"))
+    return T(spark, d, "documents").select("doc_id", review.truncated(t).alias("truncated"), t.rlike(rules.PROFESSIONAL).alias("professional"), one.alias("single"))
 
 
-@query()
+@query("""WITH l AS (SELECT doc_id, regexp_replace(unnest(string_split(text, chr(10))), '^[ \\t\\x0B\\f\\r]+|[ \\t\\x0B\\f\\r]+$', '', 'g') AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)
+SELECT CAST(doc_id AS VARCHAR) AS bulletin_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS INTEGER) AS entry, 'Bronx' AS section, 1 AS page, true AS had_bullet, md5(regexp_replace(line, '[ \\t\\x0B\\f\\r]+', ' ', 'g')) AS text_md5 FROM l WHERE line <> ''""")
 def entry_segmentation(spark, d) -> DataFrame:
-    """Documents as bulletins of one page: entries with section, page and joined text."""
+    """Documents as bulletins of one page whose lines are bulleted entries, with their opening phrase and section."""
+    out = segment.split_entries(_bulletins(spark, d))
+    return out.select("bulletin_id", "entry", "section", "page", "had_bullet", F.md5(text.join_lines(F.col("lines"))).alias("text_md5"))
+
+
+def _bulletins(spark, d) -> DataFrame:
     glyph = F.lit(rules.BULLETS[0])
-    pages = F.array(F.concat(F.lit("Individual enforcement highlights\nfor May 2024:\nBronx\n"), glyph, F.lit(" "), F.replace("text", F.lit("\n"), F.concat(F.lit("\n"), glyph, F.lit(" ")))))
-    bulletins = T(spark, d, "documents").select(F.col("doc_id").cast("string").alias("bulletin_id"), pages.alias("pages"))
-    out = segment.split_entries(bulletins)
-    return out.select("bulletin_id", "entry", "section", "page", F.md5(text.join_lines(F.col("lines"))).alias("text_md5"))
+    opening = F.when(F.col("doc_id") % 2 == 0, "Individual enforcement highlights\nfor May 2024:\nBronx\n").otherwise("BUILD SAFE | LIVE SAFE\nThese are the individual enforcement\nhighlights for\nMay 2024\n12\nBronx\n")
+    pages = F.array(F.concat(opening, glyph, F.lit(" "), F.replace("text", F.lit("\n"), F.concat(F.lit("\n"), glyph, F.lit(" ")))))
+    return T(spark, d, "documents").select(F.col("doc_id").cast("string").alias("bulletin_id"), pages.alias("pages"))
+
+
+@query("""WITH l AS (SELECT doc_id, regexp_replace(unnest(string_split(text, chr(10))), '[ \\t\\x0B\\f\\r]+', '', 'g') AS line FROM documents)
+SELECT CAST(doc_id AS VARCHAR) AS bulletin_id, true AS has_text, CAST(count(*) FILTER (line <> '') AS INTEGER) AS n_entries, CAST(count(*) FILTER (line = '') AS INTEGER) AS empty_bullets, true AS marker_found FROM l GROUP BY doc_id""")
+def parse_diagnostics(spark, d) -> DataFrame:
+    return segment.diagnose(_bulletins(spark, d))
+
+
+# One wording of each tier rule, and one of each violation category, with what it must be read as.
+TIER_CASES = (
+    ("the privately-owned public space", "strong", "privately owned public space;public space"), ("a POPS there", "strong", "POPS"), ("the public plaza", "moderate", "public plaza;plaza"),
+    ("a public  space", "moderate", "public space"), ("a publicly accessible lobby", "moderate", "publicly accessible"), ("its public access area", "moderate", "public access area"),
+    ("discretionary zoning", "moderate", "discretionary zoning"), ("ZR 37-625", "moderate", "zoning resolution ch.37"), ("a public pedestrian/bike path", "moderate", "public pedestrian path"), ("Some Plaza", "weak", "plaza"),
+    ("an open-air café", "weak", "open air cafe"), ("the arcade", "weak", "arcade"), ("a through-block lobby", "weak", "through-block / covered pedestrian space"), ("a pops quiz", "", ""), ("Named Plaza of the owner", "", ""),
+)
+CATEGORY_CASES = (
+    ("the gate was padlocked", "access / closure"), ("two benches", "seating"), ("dead flowers", "landscaping"), ("three trees", "trees"), ("a plaque", "signage"), ("the reflecting pool", "fountain / water feature"),
+    ("a bike rack", "bicycle parking"), ("deteriorated stone and graffiti", "maintenance"), ("a restaurant inside", "unauthorized private use"), ("an unapproved wall", "unauthorized design modification"),
+    ("impeded walkways", "obstruction"), ("open 24 h", "hours"), ("no such word", "other"), ("chairs beside trees", "seating;trees"),
+)
+
+
+def _cases(column: str, cases: tuple, at: int) -> str:
+    return f"CASE {column} % {len(cases)} " + " ".join(f"WHEN {k} THEN '{c[at]}'" for k, c in enumerate(cases)) + " END"
+
+
+@query(f"""SELECT o_orderkey, {_cases("o_orderkey", TIER_CASES, 1)} AS tier, {_cases("o_orderkey", TIER_CASES, 2)} AS hits FROM orders""")
+def wording_tiers(spark, d) -> DataFrame:
+    """Orders as notices with one wording each; weak wording in the respondent's name does not count."""
+    df = T(spark, d, "orders").selectExpr("o_orderkey", f"concat('Work at ', {_cases('o_orderkey', TIER_CASES, 0)}, ' was seen') as said")
+    found = text.detect(F.col("said"), text.blank_out(F.col("said"), F.array(F.lit("Named Plaza"), F.lit(""))))
+    return df.select("o_orderkey", found["tier"].alias("tier"), F.array_join(found["hits"], ";").alias("hits"))
+
+
+@query(f"""SELECT o_orderkey, {_cases("o_orderkey", CATEGORY_CASES, 1)} AS categories FROM orders""")
+def violation_categories(spark, d) -> DataFrame:
+    df = T(spark, d, "orders").selectExpr("o_orderkey", f"concat('Seen: ', {_cases('o_orderkey', CATEGORY_CASES, 0)}, '.') as said")
+    return df.select("o_orderkey", F.array_join(text.classify(F.col("said"))["categories"], ";").alias("categories"))
+
+
+# Addresses on an index page and what they mean there.
+INDEX_PAGE = "https://city.example/site/docs/index.page?x=1"
+LINK_CASES = (
+    ('href="/a/b.pdf#p2"', "https://city.example/a/b.pdf"), ("href='c.pdf'", "https://city.example/site/docs/c.pdf"), ("class=x href=../d.pdf", "https://city.example/site/d.pdf"), ('HREF = "//other.example/e.pdf"', "https://other.example/e.pdf"),
+    ('href="http://other.example/f.pdf?a=1&amp;b=2"', "http://other.example/f.pdf?a=1&b=2"), ('title="a > b" href="./g/../h.pdf?y"', "https://city.example/site/docs/h.pdf?y"), ('href="../../../i.pdf"', "https://city.example/i.pdf"),
+)
+
+
+@query(f"""SELECT page_id, {_cases("page_id", tuple((0, w) for _, w in LINK_CASES), 1)} AS href, 'label ' || page_id AS label FROM pages""")
+def resolve_links(spark, d) -> DataFrame:
+    """One anchor a page in the ways that pages write them, resolved against the page's own address."""
+    written = F.element_at(F.array(*[F.lit(w) for w, _ in LINK_CASES]), (F.col("page_id") % len(LINK_CASES) + 1).cast("int"))
+    html = F.concat(F.lit("<p>x</p><a name=top></a><A "), written, F.lit("> <b>label</b>\n"), F.col("page_id").cast("string"), F.lit("</a>"))
+    return readers.links(T(spark, d, "pages").select("page_id", html.alias("html")), INDEX_PAGE).select("page_id", "href", "label")

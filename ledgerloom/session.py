@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -22,3 +25,17 @@ def build_session(app: str = "ledgerloom", master: str | None = None, conf: dict
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data folder. Only Spark's readers touch the path, so any Spark-readable store works."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Checkpoint df in the folder of spark.checkpoint.dir.
+
+    Without that setting a folder is made here for local masters only; on a cluster a machine-local one would lose data.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or os.path.join(tempfile.gettempdir(), "checkpoints"))
+    return df.checkpoint()

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,9 +20,12 @@ def read_csv_text(spark: SparkSession, path: str, columns: list[str]) -> DataFra
 
 def read_or_empty(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """read_csv_text, or no rows where the path does not exist."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    exists = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-    return read_csv_text(spark, path, columns) if exists else spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns]))
+    try:
+        return read_csv_text(spark, path, columns)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns]))
 
 
 def read_bulletins(spark: SparkSession, path: str) -> DataFrame:
@@ -38,9 +42,10 @@ def append_manifest(df: DataFrame, path: str) -> None:
     write_csv(df, path, mode="append")
 
 
-def write_documents(df: DataFrame, path: str) -> None:
-    """Nested rows as JSON lines."""
-    df.write.mode("overwrite").json(path)
+def write_documents(df: DataFrame, path: str, *, by: str | None = None) -> None:
+    """Nested rows as JSON lines; with `by`, one folder for each value of that column."""
+    out = df.write.mode("overwrite")
+    (out.partitionBy(by) if by else out).json(path)
 
 
 def write_bulletin_text(df: DataFrame, path: str) -> None:
@@ -54,13 +59,36 @@ def register_views(tables: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def links(pages: DataFrame) -> DataFrame:
-    """page_id, pos, href (without fragment), label of every anchor in pages(page_id, html)."""
-    found = F.regexp_extract_all("html", F.lit(r'(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a>'), F.lit(0))
-    df = pages.select("page_id", F.posexplode(found).alias("pos", "a"))
-    href = F.split_part(F.regexp_extract("a", r'(?is)href\s*=\s*"([^"]*)"', 1), F.lit("#"), F.lit(1))
-    label = F.trim(F.regexp_replace(F.regexp_replace(F.regexp_extract("a", r"(?is)>(.*)</a>$", 1), "<[^>]*>", " "), r"\s+", " "))
-    return df.select("page_id", "pos", href.alias("href"), label.alias("label"))
+_HREF = r"""(?is)href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+
+
+def links(pages: DataFrame, base: str = "") -> DataFrame:
+    """page_id, pos, href (without fragment, resolved against base if given), label of every anchor in pages(page_id, html)."""
+    found = F.regexp_extract_all("html", F.lit(r"""(?is)<a\s(?:"[^"]*"|'[^']*'|[^'">])*>.*?</a>"""), F.lit(0))
+    df = pages.select("page_id", F.posexplode(F.filter(found, lambda a: a.rlike(_HREF))).alias("pos", "a"))
+    href = F.concat(*[F.regexp_extract("a", _HREF, k) for k in (1, 2, 3)])
+    href = F.split_part(F.trim(F.replace(href, F.lit("&amp;"), F.lit("&"))), F.lit("#"), F.lit(1))
+    label = F.trim(F.regexp_replace(F.regexp_replace(F.regexp_extract("a", r"""(?is)^<a\s(?:"[^"]*"|'[^']*'|[^'">])*>(.*)</a>$""", 1), "<[^>]*>", " "), r"\s+", " "))
+    return df.select("page_id", "pos", (resolved(href, base) if base else href).alias("href"), label.alias("label"))
+
+
+def resolved(href: Column, base: str) -> Column:
+    """An address relative to a page's own, as an absolute one: scheme, host, root or folder are taken from base, dot parts are folded."""
+    scheme, _, rest = base.partition("://")
+    host, _, path = rest.split("?")[0].split("#")[0].partition("/")
+    folder = path.rpartition("/")[0]
+    root = f"{scheme}://{host}"
+    absolute, own = href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.split_part(href, F.lit("?"), F.lit(1))
+    full = F.when(own.startswith("/"), own).otherwise(F.concat(F.lit(f"/{folder}/" if folder else "/"), own))
+    parts = F.split(F.substring(full, 2, 1 << 20), "/")
+    step = lambda acc, x: F.when(x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).when(x == ".", acc).otherwise(F.concat(acc, F.array(x)))
+    ends = F.when(F.element_at(parts, -1).isin(".", ".."), F.lit("/")).otherwise("")
+    folded = F.concat(F.lit("/"), F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/"))
+    query = F.when(F.contains(href, F.lit("?")), F.regexp_extract(href, r"(\?.*)$", 1)).otherwise("")
+    return (
+        F.when(absolute, href).when(href.startswith("//"), F.concat(F.lit(f"{scheme}:"), href)).when(href == "", F.lit(base.split("#")[0]))
+        .when(own == "", F.concat(F.lit(base.split("?")[0].split("#")[0]), query)).otherwise(F.concat(F.lit(root), folded, F.when(folded.endswith("/"), "").otherwise(ends), query))
+    )
 
 
 def bulletin_index(found: DataFrame) -> DataFrame:
