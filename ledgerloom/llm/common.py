@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut  # noqa: F401
+
 WORD = r"[^\x20\x09-\x0D]+"  # a word: a run without the six ASCII white-space characters
 LAST_ID = (1 << 63) - 1  # stands for a null id: it sorts after every real one
 
@@ -19,14 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint df in the folder of spark.checkpoint.dir; the folder is set here only where the session has none."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "checkpoints"))
-    return df.checkpoint()
-
-
 def partitions(spark: SparkSession) -> int:
     """Shuffle partitions of the session; operators that bucket by themselves use as many buckets."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

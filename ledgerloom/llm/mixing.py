@@ -1,12 +1,15 @@
-"""Mix sources to target weights: every source gives its target in words, in proportion along the mix. DataFrame operations only.
+"""Mix sources to target weights by a low-discrepancy schedule of equal-token blocks. DataFrame operations only.
 
-A source of target t takes round(t) words of its shuffled word stream, starting anew after the last word (two rounds at most);
-so the words taken are within half a word of the target, whatever the size of the source. They are cut into slots of `block`
-words; the last slot of a round and the last one taken may be shorter. All slots are ordered by the middle of their words as a
-share of what their source takes, so any stretch of the mix is close to the wanted proportions in words, not in slots.
+A source of target t takes round(t) words of its shuffled word stream, starting anew after its last word (two rounds at most).
+The stream is cut into blocks of `block` words that run on over the end of a round, so all slots are equal in tokens but the last
+one of a source. Slot i of the mix has the point frac((i + 1/2) / golden ratio); the cumulative targets say which source the
+point falls to, and the slots of a source take its blocks in turn. As the points are spread evenly, every stretch of the mix is
+close to the wanted proportions. A source that gets more points than it has blocks leaves the rest unused; the few blocks of one
+that gets less are put evenly between the others. So the words taken are within half a word of the target, whatever the size of
+the source.
 
-Every running sum is taken in two levels (sums of small groups, then rows inside a group), so no source, however large, has
-to pass through one task.
+Every running sum over documents or slots is taken in two levels (sums of small groups, then rows inside a group), so no source,
+however large, has to pass through one task. The table of sources, one row each, is summed in one task.
 
 Edge cases: a null or empty text has size 0 and takes nothing; a null source is a source of its own and sorts last; repeated
 rows are documents of their own; an empty table gives an empty result; other columns are ignored.
@@ -20,7 +23,8 @@ from pyspark.sql import functions as F
 from .common import cut, word_count
 
 SMALL = 10_000  # rows of the source table up to which it is broadcast
-CHUNK = 1 << 14  # slots of a source that are made at once
+SCALE, POINT, PERIOD = 10**10, 6_180_339_887, 1 << 29  # the golden ratio in units of 1 / SCALE; points repeat after PERIOD slots
+GRID = 1024  # parts of the unit interval by which points and sources are joined
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -59,34 +63,43 @@ def placed(sized: DataFrame, sources: DataFrame, n_sources: int) -> DataFrame:
     return docs.join(cells, ["sid", "cell"]).withColumn("begins", F.col("cell_begins") + F.col("within"))
 
 
-def schedule(sources: DataFrame, n_slots: int, block: int) -> DataFrame:
-    """slot, sid, block, round, words: the block that every slot of the mix takes, and how many of its words."""
-    own = sources.filter("words > 0").select("sid", "source_size", F.col("words").alias("all"), F.ceil(F.col("source_size") / block).alias("blocks"))
-    last = F.col("all") - F.floor(F.col("all") / F.col("source_size")) * F.col("source_size")
-    own = own.withColumn("n", F.floor(F.col("all") / F.col("source_size")) * F.col("blocks") + F.ceil(last / block))
-    chunks = own.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / CHUNK)))).repartition("sid", "chunk")
-    ends = F.least(F.col("n"), (F.col("chunk") + 1) * CHUNK) - 1
-    slots = chunks.withColumn("k", F.explode(F.sequence(F.col("chunk") * CHUNK, ends)))
-    slots = slots.withColumn("round", F.floor(F.col("k") / F.col("blocks"))).withColumn("block", F.col("k") % F.col("blocks"))
-    begins = F.col("round") * F.col("source_size") + F.col("block") * block
-    words = F.least(F.lit(block), F.col("source_size") - F.col("block") * block, F.col("all") - begins)
-    slots = slots.withColumn("words", words).withColumn("at", (2 * begins + F.col("words")) / (2 * F.col("all")))
+def schedule(sources: DataFrame, n_sources: int, n_slots: int, block: int) -> DataFrame:
+    """slot, sid, k, words: slot number in the mix; the k-th block of the source's endless stream; how many of its words."""
+    order = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    share = F.sum("target").over(order) / F.sum("target").over(Window.partitionBy())
+    own = sources.withColumn("hi", F.floor(F.round(share, 12) * SCALE)).withColumn("lo", F.lag("hi", 1, 0).over(Window.orderBy("sid")))
+    own = own.filter("words > 0").select("sid", "words", "lo", "hi", F.ceil(F.col("words") / block).alias("need"))
+    grid = SCALE // GRID
+    parts = own.filter("hi > lo").withColumn("grid", F.explode(F.sequence(F.floor(F.col("lo") / grid), F.floor((F.col("hi") - 1) / grid))))
     run = 1024
     while run * run < n_slots:
         run *= 2
-    slots = slots.withColumn("cell", F.floor(F.col("at") * max(1, n_slots // run)))
-    ahead = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = slots.groupBy("cell").agg(F.count("*").alias("inside")).select("cell", F.coalesce(F.sum("inside").over(ahead), F.lit(0)).alias("ahead"))
-    inside = F.row_number().over(Window.partitionBy("cell").orderBy("at", "sid", "k")) - 1
-    ranked = slots.withColumn("inside", inside).join(cells, "cell")
-    return ranked.select((F.col("ahead") + F.col("inside")).alias("slot"), "sid", "block", "round", "words")
+    points = sources.sparkSession.range(n_slots).select(F.col("id").alias("i"), ((F.col("id") % PERIOD * 2 + 1) * F.lit(POINT) % SCALE).alias("u"))
+    hit = points.withColumn("grid", F.floor(F.col("u") / grid)).join(_small(parts, n_sources), "grid").filter("u >= lo and u < hi")
+    hit = hit.select("i", "sid", "words", "need", F.floor(F.col("i") / run).alias("run"))
+    runs = hit.groupBy("sid", "run").agg(F.count("*").alias("n"), F.max("i").alias("end"))
+    ahead = Window.partitionBy("sid").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = cut(runs.select("sid", "run", "n", "end", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead")))
+    ranked = hit.withColumn("inside", F.row_number().over(Window.partitionBy("sid", "run").orderBy("i")) - 1).join(runs.drop("n", "end"), ["sid", "run"])
+    ranked = ranked.select("sid", "words", (F.col("inside") + F.col("ahead")).alias("k"), "need", F.col("i").cast("double").alias("at")).filter("k < need")
+    have = own.join(runs.groupBy("sid").agg(F.sum("n").alias("have"), F.max("end").alias("end")), "sid", "left").withColumn("have", F.coalesce("have", F.lit(0)))
+    late = have.filter("have < need").withColumn("k", F.explode(F.sequence(F.col("have"), F.col("need") - 1)))
+    even, after = (F.col("k") + 0.5) / F.col("need") * n_slots - 0.5, F.coalesce(F.col("end") + (F.col("k") - F.col("have") + 0.5) / F.col("need"), F.lit(0.0))
+    late = late.select("sid", "words", "k", "need", F.greatest(even, after).alias("at"))  # in turn: behind the source's last point
+    slots = ranked.unionByName(late).withColumn("cell", F.greatest(F.lit(0), F.floor(F.col("at") / run)))
+    before = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # one row for each run of slots
+    cells = slots.groupBy("cell").agg(F.count("*").alias("n")).select("cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("cell").orderBy("at", "sid", "k")) - 1
+    slots = slots.withColumn("place", place).join(cells, "cell")
+    return slots.select((F.col("before") + F.col("place")).alias("slot"), "sid", "k", F.least(F.lit(block), F.col("words") - F.col("k") * block).alias("words"))
 
 
 def mix(docs: DataFrame, *, weights: tuple[float, ...] = (3.0, 1.0, 2.0), total_ratio: float = 1.5, repeat: float = 2.0, block: int = 128) -> tuple[DataFrame, DataFrame]:
     """(documents, schedule) of the mix.
 
-    documents: doc_id, size, source_size, target, taken, sid, begins. schedule: slot, sid, block, round, words; joined with
-    begins and size it says which words of which documents make up each slot.
+    documents: doc_id, size, source_size, target, taken, sid, begins, words (that its source takes). schedule: slot, sid, k,
+    words; the k-th block begins at word k * block of the source's stream, in which a document begins at its `begins`, and again
+    one source_size later. taken is what the blocks of the schedule cover.
     """
     if repeat > 2:
         raise ValueError("the schedule goes through a source at most twice")
@@ -96,13 +109,23 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = (3.0, 1.0, 2.0), total_
     sources = cut(source_targets(sized, weights, total_ratio, repeat))
     words = F.least(F.round("target"), F.floor(F.lit(float(repeat)) * F.col("source_size"))).cast("long")
     sources = sources.withColumn("words", words)
-    n_sources, total = sources.agg(F.count("*"), F.coalesce(F.sum("words"), F.lit(0))).first()
-    docs = placed(sized, sources, n_sources)
+    n_sources, n_slots = sources.agg(F.count("*"), F.coalesce(F.sum(F.ceil(F.col("words") / block)), F.lit(0))).first()
+    slots = cut(schedule(sources, n_sources, n_slots, block))
+    covered = slots.groupBy("sid").agg(F.sum("words").alias("words"))
+    docs = placed(sized, sources.drop("words").join(covered, "sid", "left").withColumn("words", F.coalesce("words", F.lit(0))), n_sources)
     rounds = F.when(F.col("size") > 0, F.floor(F.col("words") / F.col("source_size"))).otherwise(0)
     rest = F.col("words") - rounds * F.col("source_size") - F.col("begins")
     taken = rounds * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))
     docs = docs.withColumn("taken", taken.cast("long"))
-    return docs.select("doc_id", "size", "source_size", "target", "taken", "sid", "begins"), schedule(sources, total // block + 2 * n_sources, block)
+    return docs.select("doc_id", "size", "source_size", "target", "taken", "sid", "begins", "words"), slots
+
+
+def occurrences(documents: DataFrame, slots: DataFrame, *, block: int = 128) -> DataFrame:
+    """doc_id, slot, part: each time that a document enters the mix, the slot in which it begins, and how many of its words are taken."""
+    each = documents.filter("taken > 0").withColumn("round", F.explode(F.sequence(F.lit(0), F.floor((F.col("words") - F.col("begins") - 1) / F.col("source_size")))))
+    each = each.withColumn("first", F.col("round") * F.col("source_size") + F.col("begins"))
+    each = each.select("doc_id", "sid", F.floor(F.col("first") / block).alias("k"), F.least(F.col("size"), F.col("words") - F.col("first")).alias("part"))
+    return each.join(slots.select("slot", "sid", "k"), ["sid", "k"]).select("doc_id", "slot", "part")
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
@@ -127,23 +150,11 @@ WITH sized AS (
   SELECT arg_min(left_total / left_w, cap / w) FILTER (WHERE NOT left_total >= cap / w * left_w) AS each FROM filled
 ), targets AS (
   SELECT source, sid, source_size, CASE WHEN left_total >= cap / w * left_w THEN cap ELSE each * w END AS target FROM filled, level
-), ends AS (
-  SELECT *, CAST(ceil(source_size / 128.0) AS BIGINT) AS blocks,
-         CAST(floor(round(sum(target) OVER (ORDER BY sid ROWS UNBOUNDED PRECEDING) / sum(target) OVER (), 12) * 10000000000) AS BIGINT) AS hi FROM targets
-), ranges AS (
-  SELECT *, lag(hi, 1, 0) OVER (ORDER BY sid) AS lo FROM ends
-), slots AS (
-  SELECT range AS slot, ((range % 536870912) * 2 + 1) * 6180339887 % 10000000000 AS u FROM range((SELECT CAST(round(sum(target) / 128) AS BIGINT) FROM targets))
-), ranked AS (
-  SELECT sid, blocks, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS k FROM slots JOIN ranges ON u >= lo AND u < hi
-), hits AS (
-  SELECT sid, k % blocks AS block, count(*) AS hits FROM ranked WHERE k < 2 * blocks GROUP BY 1, 2
+), whole AS (
+  SELECT *, CAST(least(round(target), 2 * source_size) AS BIGINT) AS words FROM targets
 ), placed AS (
-  SELECT doc_id, size, t.source_size, t.target, t.sid, sum(size) OVER (PARTITION BY t.sid ORDER BY shuffle, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS begins
-  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
-), parts AS (
-  SELECT p.doc_id, p.size, p.source_size, p.target, h.hits * (least(begins + size, (block + 1) * 128) - greatest(begins, block * 128)) AS part
-  FROM placed p LEFT JOIN hits h ON h.sid = p.sid AND size > 0 AND h.block BETWEEN CAST(begins AS BIGINT) // 128 AND (CAST(begins AS BIGINT) + size - 1) // 128
+  SELECT doc_id, size, t.source_size, t.target, t.words, CAST(sum(size) OVER (PARTITION BY t.sid ORDER BY shuffle, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS begins
+  FROM sized s JOIN whole t ON s.source IS NOT DISTINCT FROM t.source
 )
-SELECT doc_id, size, source_size, target, CAST(coalesce(sum(part), 0) AS BIGINT) AS taken FROM parts GROUP BY doc_id, size, source_size, target
+SELECT doc_id, size, source_size, target, CASE WHEN size = 0 THEN 0 ELSE words // source_size * size + greatest(0, least(size, words % source_size - begins)) END AS taken FROM placed
 """

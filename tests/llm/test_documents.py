@@ -179,12 +179,29 @@ def test_mixing(docs, rows, no_docs):
     assert mixing.mix(no_docs)[0].count() == 0
 
 
-def test_schedule_takes_every_block_in_turn(docs):
-    slots = mixing.mix(docs, block=16)[1].collect()
-    per = defaultdict(list)
-    for r in sorted(slots, key=lambda r: r["slot"]):
-        per[r["sid"]].append((r["round"], r["block"]))
-    assert all(seen == sorted(seen) and len(set(seen)) == len(seen) for seen in per.values())
+def test_schedule_takes_every_block_in_turn_and_keeps_the_proportions(docs, spark):
+    rows = [(k, "w " * (40 + k % 7), f"s{k % 5 if k % 3 else 0}") for k in range(600)]
+    for made in (docs, spark.createDataFrame(rows, "doc_id long, text string, source string")):
+        documents, slots = mixing.mix(made, block=16)
+        slots = sorted(slots.collect())
+        want = {r["sid"]: r["words"] for r in documents.select("sid", "words").distinct().collect() if r["words"]}
+        assert [r["slot"] for r in slots] == list(range(len(slots)))
+        seen, words = Counter(), Counter()
+        for n, r in enumerate(slots, 1):
+            assert r["k"] == seen[r["sid"]]
+            seen[r["sid"]] += 1
+            words[r["sid"]] += r["words"]
+            assert all(abs(seen[s] - n * w / sum(want.values())) <= 4 + len(want) for s, w in want.items())
+        assert words == want
+
+
+def test_documents_enter_the_mix_where_their_words_stand(spark):
+    rows = [(k, "w " * (5 + 13 * k % 50), f"s{k % 2}") for k in range(60)]
+    documents, slots = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), block=16)
+    taken = Counter()
+    for r in mixing.occurrences(documents, slots, block=16).collect():
+        taken[r["doc_id"]] += r["part"]
+    assert taken == Counter({r["doc_id"]: r["taken"] for r in documents.collect() if r["taken"]})
 
 
 def test_mixing_reaches_the_targets_of_small_sources(spark):
