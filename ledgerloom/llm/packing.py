@@ -102,29 +102,31 @@ class _Parts(dict):
         return ids
 
 
-def pieces(docs: DataFrame, path: str, *, capacity: int = CAPACITY, end: int = END, with_ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 and, if asked for, ids (array<int>): documents as pieces of at most capacity tokens."""
+def pieces(docs: DataFrame, path: str, *, capacity: int = CAPACITY, end: int = END, with_ids: bool = False, key: str | None = None) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 and, if asked for, ids (array<int>) and key: documents as pieces of at most capacity tokens."""
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids, *[key] * bool(key)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, close = Encoder(path), np.array([end], "<u4").tobytes()
         for batch in batches:
-            rows: list[list] = [[], [], [], [], [], []]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            rows: list[list] = [[], [], [], [], [], [], []]
+            for doc, text, own_key in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 ids = encode(text.as_py() or "") + close
                 n = len(ids) // 4
                 stop = n % capacity or capacity
                 begin = k = 0
                 while begin < n:
                     own = ids[4 * begin : 4 * stop]
-                    for to, v in zip(rows, (doc, k, begin, stop - begin, zlib.crc32(own), np.frombuffer(own, "<i4") if with_ids else None), strict=True):
+                    for to, v in zip(rows, (doc, k, begin, stop - begin, zlib.crc32(own), np.frombuffer(own, "<i4") if with_ids else None, own_key), strict=True):
                         to.append(v)
                     begin, stop, k = stop, stop + capacity, k + 1
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
-            arrays = [pa.array(v, t) for v, t in zip(rows, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays[: 5 + with_ids], ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + with_ids])
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int64()]
+            wanted = [True] * 5 + [with_ids, bool(key)]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t, w in zip(rows, kinds, wanted, strict=True) if w], names)
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids + (f", {key} long" if key else "")
+    own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), (F.col(key) if key else F.lit(0)).cast("long").alias("key"))
+    return own.mapInArrow(run, schema)
 
 
 def patterns(lengths: np.ndarray, capacity: int) -> np.ndarray:
@@ -228,9 +230,9 @@ def places(groups: list[tuple[tuple[int, ...], int]], capacity: int) -> list[tup
     return [tuple(np.array(c, np.int64) for c in zip(*r, strict=True)) if r else (np.zeros(0, np.int64),) * 3 for r in ranges]
 
 
-def pack(docs: DataFrame, *, path: str | None = None, capacity: int = CAPACITY, end: int = END, with_ids: bool = False, salt: int = 512) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, [ids,] sequence_id, offset."""
-    cutup = pieces(docs, path or vocabulary_path(), capacity=capacity, end=end, with_ids=with_ids)
+def pack(docs: DataFrame, *, path: str | None = None, capacity: int = CAPACITY, end: int = END, with_ids: bool = False, key: str | None = None, salt: int = 512) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, [ids,] [key,] sequence_id, offset; key is a long column of docs to carry."""
+    cutup = pieces(docs, path or vocabulary_path(), capacity=capacity, end=end, with_ids=with_ids, key=key)
     cutup = cut(cutup.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salt))))
     groups = cutup.groupBy("length", "salt").agg(F.count("*").alias("n"))
     counts = np.zeros(capacity + 1, np.int64)
@@ -241,7 +243,7 @@ def pack(docs: DataFrame, *, path: str | None = None, capacity: int = CAPACITY,
     groups = groups.select("length", "salt", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
     inside = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
     ranked = cutup.withColumn("rank", F.row_number().over(inside) - 1).join(groups, ["length", "salt"])
-    names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids, *[key] * bool(key)]
     ranked = ranked.select(*names, (F.col("rank") + F.col("ahead")).alias("rank"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
