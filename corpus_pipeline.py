@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import bwt_dedup, mixing, near_dedup, packing, quality
-from ledgerloom.llm.common import cut, table
+from ledgerloom.llm.common import cut, partitions, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -25,7 +25,11 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts; rejected ones go."""
+    """Documents that the quality classifier accepts; rejected ones go.
+
+    Rows are judged by their text alone, so null and repeated ids and repeated rows don't matter; a null or empty text has nothing
+    against it and stays; without labels nothing is rejected.
+    """
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.score(docs.select(*COLUMNS), model).filter("accepted").select(*COLUMNS)
 
@@ -33,7 +37,8 @@ def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row with the smallest id of each group of near copies (five-word shingles, similarity 0.8 or more).
 
-    Every row is a document of its own, whatever its id; a null id sorts last, and of equal ids the first row stays.
+    Every row is a document of its own, whatever its id; a null id sorts last, and of equal ids the first row stays. Texts without
+    a word are near nothing and stay; an empty table gives none.
     """
     rows = _keyed(docs)
     found = near_dedup.near_duplicates(rows.select(F.col("key").alias("doc_id"), "text"), width=5).select(F.col("doc_id").alias("key"), "component_id")
@@ -47,7 +52,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def remove_repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the 50-byte strings that a document with a smaller id has; n_chars follows the new text.
 
-    Where a cut leaves part of a character, that part goes too. A document of which nothing is left goes; a null text stays.
+    Where a cut leaves part of a character, that part goes too. A document of which nothing is left goes; a null or empty text stays.
+    A null id sorts last, and rows of one id spare each other; an empty table gives none.
     """
     rows = docs.select(*COLUMNS).withColumn("was_null", F.col("text").isNull())
     out = bwt_dedup.remove_repeats(rows, with_text=True, carry=("lang", "source", "n_chars", "was_null"))
@@ -57,28 +63,31 @@ def remove_repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: whole copies, and one with the rest.
+    """Documents as often as the mix takes them, in the order of its slots.
 
-    A document of which the mix takes `taken` of `size` words appears taken div size times whole, and once more with its
-    first taken mod size words (joined by one space) where that is not 0. Every row has its own amount, whatever its doc_id.
+    A document stands once for every time that its words come up in the blocks of its source, at the slot in which it begins. The
+    one at which a source ends is cut there (its first words, joined by one space). Every row has its own place, whatever its
+    doc_id; a null source is one source, documents without words go, an empty table gives none.
     """
     rows = _keyed(docs)
-    amounts, _ = mixing.mix(rows.withColumn("doc_id", F.col("key")))
-    amounts = amounts.filter("taken > 0").select(F.col("doc_id").alias("of"), "taken")
-    out = rows.withColumn("size", mixing.word_count()).filter("size > 0").join(amounts, F.col("key") == F.col("of"))
-    whole = F.floor(F.col("taken") / F.col("size"))
-    rest = F.col("taken") - whole * F.col("size")
-    parts = F.concat(F.array_repeat(F.col("size"), whole.cast("int")), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
-    out = out.withColumn("part", F.explode(parts))
+    documents, slots = mixing.mix(rows.withColumn("doc_id", F.col("key")))
+    found = mixing.occurrences(documents, slots).withColumnRenamed("doc_id", "of")
+    out = rows.withColumn("size", mixing.word_count()).filter("size > 0").join(found, F.col("key") == F.col("of"))
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
     begins = F.array_join(F.slice(words, F.lit(1), F.col("part").cast("int")), " ")
-    out = out.withColumn("text", F.when(F.col("part") < F.col("size"), begins).otherwise(F.col("text")))
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    out = out.withColumn("text", F.when(F.col("part") < F.col("size"), begins).otherwise(F.col("text"))).withColumn("n_chars", F.length("text").cast("long"))
+    stretch = max(1, slots.count() // partitions(spark))
+    return out.withColumn("stretch", F.floor(F.col("slot") / stretch)).repartition("stretch").sortWithinPartitions("slot", "key").select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of at most 1024 tokens."""
-    return packing.pack(docs)
+    """The pieces of all documents in sequences of at most 1024 tokens, with their token ids.
+
+    row_key names a row of docs, as doc_id may repeat or be null; (row_key, piece) is unique. Null and empty texts are the end
+    token alone, repeated rows are packed once each, an empty table gives no rows.
+    """
+    numbered = cut(docs.select("doc_id", "text")).withColumn("row_key", F.monotonically_increasing_id())
+    return packing.pack(numbered, key="row_key", with_ids=True)
 
 
 STAGES = [
