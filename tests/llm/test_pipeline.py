@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 from test_documents import WORD, shingles
 
 import corpus_pipeline
@@ -71,6 +72,11 @@ def test_stages(spark, docs, tmp_path):
     for r in mixed:
         expected[r["doc_id"]] += len(encode(r["text"])) // 4 + 1
     assert dict(total) == dict(expected) and set(copies) == set(total)
+    assert len({(r["row_key"], r["piece"]) for r in packed}) == len(packed) and all(len(r["ids"]) == r["length"] for r in packed)
+    whole = defaultdict(list)
+    for r in sorted(packed, key=lambda r: (r["row_key"], r["piece"])):
+        whole[r["row_key"]] += r["ids"]
+    assert Counter(map(tuple, whole.values())) == Counter((*np.frombuffer(encode(r["text"]), "<u4").tolist(), 2) for r in mixed)
 
 
 def test_stages_with_null_and_repeated_ids(spark):
@@ -90,3 +96,21 @@ def test_stages_with_null_and_repeated_ids(spark):
         most[r["text"].split("0")[0]] += 1
     assert sum(words.values()) == 1.5 * 1640
     assert all(words[name] <= 2 * n and most[name] <= 2 for name, n in (("short", 10), ("long", 1000), ("e", 30), ("f", 600)))
+
+
+def test_stages_on_hard_tables(spark, docs, no_docs, tmp_path):
+    """Empty tables, clashing names, and documents that the classifier rejects."""
+    folder = str(tmp_path)
+    bad = "buy cheap spam now click here win money fast loser "
+    rows = [(k, (bad * 3 if k % 2 else f"a calm account of the river number {k} and its towns"), "en", "s", 1, "x") for k in range(200)]
+    made = spark.createDataFrame(rows, docs.schema)
+    spark.createDataFrame([(k, 1 - k % 2, k % 2) for k in range(200)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    kept = {r["doc_id"] for r in corpus_pipeline.select_quality(spark, made, folder).collect()}
+    assert kept == {k for k in range(200) if k % 2 == 0}
+    empty = no_docs.withColumnRenamed("taken", "size")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, empty, folder)
+        assert out.count() == 0 and (name == "packing" or tuple(out.columns) == corpus_pipeline.COLUMNS)
+    clashing = made.withColumnsRenamed({"taken": "key"}).withColumns({"id": F.lit(1), "size": F.lit(2), "slot": F.lit(3), "component_id": F.lit(4), "length": F.lit(5)})
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, clashing, folder).count() > 0
