@@ -22,8 +22,9 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import cut, table
 from .graph import components
@@ -71,7 +72,8 @@ def keys(classes: DataFrame, bits: int) -> DataFrame:
                 for p in range(int(passes)):
                     yield own.assign(key=pass_keys(v, p, bits), **{"pass": p})
 
-    return classes.select("label", "size", "rep", "v", "passes").mapInPandas(run, "label string, size int, rep long, v array<double>, key long, pass int")
+    kind = classes.schema["v"].dataType.simpleString()
+    return classes.select("label", "size", "rep", "v", "passes").mapInPandas(run, f"label string, size int, rep long, v {kind}, key long, pass int")
 
 
 def near_pairs(laid: pd.DataFrame, window: int, threshold: float) -> pd.DataFrame:
@@ -114,7 +116,8 @@ def forest(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
 
 def near_duplicates(vectors: DataFrame, *, threshold: float = 0.93, passes: int = 12, bits: int = 48, window: int = 256, block: int = 1_024, recall: float = 0.99) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row."""
-    x = F.col("embedding").cast("array<double>")
+    kind = "array<float>" if vectors.schema["embedding"].dataType == T.ArrayType(T.FloatType()) else "array<double>"  # floats stay floats on their way
+    x = F.col("embedding").cast(kind)
     usable = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & x.isNotNull() & (F.size(x) > 0)
     usable &= F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists(x, lambda c: c != 0)
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("label").cast("string").alias("label"), x.alias("v"), F.coalesce(usable, F.lit(False)).alias("usable"))
@@ -132,20 +135,16 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.93, passes: int
     n = max(1, -(-total // (8 * block)))
     laid = cut(laid.repartitionByRange(n, "at").sortWithinPartitions("at").drop("at").withColumn("row", F.monotonically_increasing_id()))
     part, inside = F.shiftright("row", 33), F.col("row").bitwiseAND((1 << 33) - 1)
-    sizes = laid.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()  # one row per partition
-    starts, total = [], 0
-    for k in range(1 + max((r["part"] for r in sizes), default=0)):
-        starts.append(total)
-        total += next((r["n"] for r in sizes if r["part"] == k), 0)
-    position = F.element_at(F.array(*[F.lit(s) for s in starts]), (part + 1).cast("int")) + inside
-    laid = laid.withColumn("position", position)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
+    starts = laid.groupBy(part.alias("part")).agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    laid = laid.withColumn("part", part).join(F.broadcast(starts) if n <= 100_000 else starts, "part").withColumn("position", F.col("start") + inside).drop("part", "start", "row")
     first = F.floor(F.col("position") / block)
     dealt = laid.withColumn("block", F.explode(F.sequence(F.greatest(F.lit(0), F.floor((F.col("position") - window) / block)), first)))
     edges = dealt.groupBy("block").applyInPandas(lambda frame: near_pairs(frame, window, threshold), "a long, b long")
 
     found = components(edges)
     grouped = found.join(classes.select("rep", "n", "v"), found["node"] == F.col("rep")).select("component", "rep", "n", "v")
-    counts = _links(grouped, threshold)
+    counts = _links(grouped, threshold, max(64, found.count() // 2_048))
     per_class = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").join(counts, "rep", "left")
     per_class = per_class.select(
         *[F.col(c).alias(f"k_{c}") for c in same],
@@ -158,15 +157,18 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.93, passes: int
     return out.withColumn("kept", F.coalesce(F.col("component_id") == F.col("vec_id"), F.lit(True)))
 
 
-def _links(members: DataFrame, threshold: float, block: int = 2_048) -> DataFrame:
-    """rep, links: for each class, the vectors of other classes of its component linked to it; large components go block by block."""
+def _links(members: DataFrame, threshold: float, crowds: int, block: int = 256) -> DataFrame:
+    """rep, links: for each class, the vectors of other classes of its component linked to it.
+
+    Components of more than `block` classes go by pairs of blocks, each pair a group of its own; the others are dealt to `crowds`.
+    """
     sizes = members.groupBy("component").agg(F.count("*").alias("size"))
     dealt = members.join(sizes, "component").withColumn("parts", F.ceil(F.col("size") / block).cast("int"))
     own = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
     dealt = dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     few, many = F.least("own", "other"), F.greatest("own", "other")
     dealt = dealt.withColumn("lo", few).withColumn("hi", many)
-    crowd = F.when(F.col("parts") > 1, F.xxhash64("component", "lo", "hi")).otherwise(F.pmod(F.xxhash64("component"), F.lit(64)))
+    crowd = F.when(F.col("parts") > 1, F.xxhash64("component", "lo", "hi")).otherwise(F.pmod(F.xxhash64("component"), F.lit(crowds)))
     dealt = dealt.withColumn("crowd", crowd)
 
     def count(frame: pd.DataFrame) -> pd.DataFrame:
@@ -188,3 +190,22 @@ def _links(members: DataFrame, threshold: float, block: int = 2_048) -> DataFram
 def op6(spark, sf_dir: str) -> DataFrame:
     """Near-duplicates among all vectors of equal label at cosine 0.93."""
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+), usable AS (
+  SELECT * FROM v WHERE vec_id IS NOT NULL AND label IS NOT NULL AND v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), reach AS (
+  SELECT a AS id, b AS other FROM links UNION SELECT reach.id, links.b FROM reach JOIN links ON links.a = reach.other
+), least AS (
+  SELECT id, min(other) AS other FROM reach GROUP BY id
+), n AS (
+  SELECT a AS id, count(*) AS n FROM links GROUP BY a
+)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, least(v.vec_id, coalesce(l.other, v.vec_id)) AS component_id, least(v.vec_id, coalesce(l.other, v.vec_id)) = v.vec_id AS kept
+FROM v LEFT JOIN n ON n.id = v.vec_id LEFT JOIN least l ON l.id = v.vec_id
+"""
