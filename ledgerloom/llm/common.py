@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import cut  # noqa: F401
 
@@ -18,6 +22,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fitted(sample: DataFrame, train: Callable[[pa.Table], object]) -> object:
+    """train(table) of a sample of bounded size, run in one task, so that the driver gets the model only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = train(pa.Table.from_batches(list(batches), schema))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    schema = to_arrow_schema(sample.schema)
+    rows = sample.repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(rows[0]["model"]) if rows else train(schema.empty_table())
+
+
 def partitions(spark: SparkSession) -> int:
     """Shuffle partitions of the session; operators that bucket by themselves use as many buckets."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lowered, segments, table, utf8
+from .common import fitted, lowered, segments, table, utf8
 
 BITS, DIM = 16, 16
 UNKNOWN = "und"
@@ -142,9 +142,9 @@ def train(texts: list[str], langs: list[str], *, epochs: int = 12, rate: float =
     return model
 
 
-def fit(docs: DataFrame, learn, *, per_language: int = 600, languages: int = 200, max_chars: int = 20_000, stretch: int = 2_000, least: int = 30) -> Model:
-    """A model from the rows of docs where the condition `learn` holds and lang is not null."""
-    known = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+def fit(docs: DataFrame, known, *, per_language: int = 600, languages: int = 200, max_chars: int = 20_000, stretch: int = 2_000, least: int = 30) -> Model:
+    """A model from the rows of docs where the condition `known` holds and lang is not null; it is fitted in one task."""
+    known = docs.filter(known & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = known.groupBy("lang").count().collect()  # one row per language
     if not counts:
         return train([], [])
@@ -152,9 +152,13 @@ def fit(docs: DataFrame, learn, *, per_language: int = 600, languages: int = 200
     part = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("language sample")), F.lit(1 << 30))
     limits = docs.sparkSession.createDataFrame([(r["lang"], min(1 << 30, int((1 << 30) * each / r["count"]))) for r in counts], "of string, upto long")
     text = F.when(F.length("text") <= max_chars, F.col("text")).otherwise(F.substring("text", 1, stretch)).alias("text")
-    rows = known.join(F.broadcast(limits), F.col("lang") == F.col("of")).filter(part < F.col("upto")).select("doc_id", "lang", text).limit(4 * each * len(counts)).collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["lang"], r["text"]))
-    return train([r["text"] for r in rows], [r["lang"] for r in rows])
+    rows = known.join(F.broadcast(limits), F.col("lang") == F.col("of")).filter(part < F.col("upto")).select("doc_id", "lang", text).limit(4 * each * len(counts))
+
+    def learn(found: pa.Table) -> Model:
+        found = found.sort_by([(c, "ascending") for c in ("doc_id", "lang", "text")])
+        return train(found.column("text").to_pylist(), found.column("lang").to_pylist())
+
+    return fitted(rows, learn)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

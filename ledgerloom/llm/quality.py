@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Prefixes, lowered, mixed, segments, table, utf8, whole_documents
+from .common import Prefixes, fitted, lowered, mixed, segments, table, utf8, whole_documents
 
 BITS = 18
 HEADS = (4, 5)  # bytes of a word that are features besides the whole word
@@ -137,7 +137,7 @@ def train(bags: list[np.ndarray], grades: np.ndarray, *, epochs: int = 40, rate:
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, sample: int = 12_000) -> Model:
-    """A model from a hashed sample of the labelled documents; their features, not their texts, go to the driver."""
+    """A model from a hashed sample of the labelled documents; their features go to one task, and only the model to the driver."""
     quality, toxic = F.col("quality"), F.coalesce(F.col("toxic"), F.lit(0))
     graded = labels.filter("doc_id is not null and quality is not null").select("doc_id", (F.when(quality > 0, 1).otherwise(0) + F.when(toxic > 0, 0).otherwise(1)).alias("grade"))
     part = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("quality sample")), F.lit(1 << 30))
@@ -154,13 +154,13 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = 12_000) -> Model:
             bags = pa.ListArray.from_arrays(pa.array(first), pa.array(bucket.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), bags], ["doc_id", "grade", "bag"])
 
-    found = joined.mapInArrow(run, "doc_id long, grade int, bag array<int>").toArrow().sort_by([("doc_id", "ascending"), ("grade", "ascending")])
-    grades, lists = found.column("grade").to_numpy(), found.column("bag").combine_chunks()
-    flat, cuts = lists.flatten().to_numpy(), np.r_[0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]
-    model = train([flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], grades)  # slices of one array, 4 bytes a feature
-    del found, lists, flat
-    pa.default_memory_pool().release_unused()
-    return model
+    def learn(found: pa.Table) -> Model:
+        found = found.sort_by([("doc_id", "ascending"), ("grade", "ascending")])
+        grades, lists = found.column("grade").to_numpy(), pa.concat_arrays(found.column("bag").chunks) if found.num_rows else pa.array([], pa.list_(pa.int32()))
+        flat, cuts = lists.flatten().to_numpy(), np.r_[0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]
+        return train([flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], grades)  # slices of one array, 4 bytes a feature
+
+    return fitted(joined.mapInArrow(run, "doc_id long, grade int, bag array<int>"), learn)
 
 
 def score(docs: DataFrame, model: Model, *, accept: float = 0.5) -> DataFrame:
