@@ -19,6 +19,8 @@ QUERIES = {
 ORACLES = {
     "op4_suffix_dedup": bwt_dedup.ORACLE,
     "op10_substring_dedup": substring_dedup.ORACLE,
+    "op5_minhash_dedup": near_dedup.ORACLE,
+    "op6_embedding_dedup": vector_dedup.ORACLE,
     "op9_exact_topk": topk.ORACLE,
     "op7_source_mixing": mixing.ORACLE,
 }

@@ -224,3 +224,27 @@ def near_duplicates(docs: DataFrame, *, width: int = 2, percent: int = 80, permu
 def op5(spark, sf_dir: str) -> DataFrame:
     """Components of all documents whose sets of two-word shingles have a Jaccard similarity of 0.8 or more."""
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLE = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \\t\\n\\x0B\\f\\r]+') AS ws FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) = 1 THEN [ws[1]] ELSE list_distinct(list_transform(range(1, len(ws)), lambda k: ws[k] || ' ' || ws[k + 1])) END AS s FROM w
+), classes AS (
+  SELECT list_sort(s) AS s, min(doc_id) AS rep, len(any_value(s)) AS n FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)
+), item AS (
+  SELECT rep, n, unnest(s) AS x FROM classes
+), shared AS (
+  SELECT a.rep AS a, b.rep AS b, count(*) AS common, any_value(a.n) AS n, any_value(b.n) AS m FROM item a JOIN item b ON a.x = b.x AND a.rep < b.rep AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY 1, 2
+), pairs AS (
+  SELECT a, b FROM shared WHERE 100 * common >= 80 * (n + m - common)
+), links AS (
+  SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+), reach AS (
+  SELECT a AS id, b AS other FROM links UNION SELECT reach.id, links.b FROM reach JOIN links ON links.a = reach.other
+), part AS (
+  SELECT rep, s, least(rep, coalesce(min(other), rep)) AS component FROM classes LEFT JOIN reach ON reach.id = rep GROUP BY rep, s
+)
+SELECT doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, coalesce(component, doc_id) AS component_id, coalesce(component, doc_id) = doc_id AS kept FROM sets LEFT JOIN part ON part.s = list_sort(sets.s)
+"""

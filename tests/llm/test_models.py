@@ -203,6 +203,31 @@ def test_vector_dedup(spark):
     assert vector_dedup.near_duplicates(df.filter("false")).count() == 0
 
 
+def test_vector_recall_with_a_window_far_smaller_than_the_label(spark):
+    """Pairs at the threshold among 3,000 vectors of a label, half of them with a common mean, against all pairs."""
+    rng = np.random.default_rng(4)
+    v = rng.standard_normal((3_000, 48))
+    v[1_500:] += 0.5
+    v /= np.sqrt((v * v).sum(1))[:, None]
+    for k in range(0, 3_000, 6):
+        away = rng.standard_normal(48)
+        away -= away @ v[k] * v[k]
+        v[k + 1] = 0.932 * v[k] + math.sqrt(1 - 0.932**2) * away / math.sqrt(away @ away)
+    made = spark.createDataFrame([(k, x.tolist(), 1) for k, x in enumerate(v)], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r["component_id"] for r in vector_dedup.near_duplicates(made, window=16, block=64).collect()}
+    i, j = np.nonzero(np.triu(v @ v.T >= 0.93, 1))
+    assert len(i) >= 500 and np.mean([got[a] == got[b] for a, b in zip(i.tolist(), j.tolist(), strict=True)]) >= 0.9
+
+
+def test_links_of_a_component_larger_than_a_block(spark):
+    rng = np.random.default_rng(5)
+    v = np.ones((700, 16)) + rng.standard_normal((700, 16)) * 0.25
+    made = spark.createDataFrame([(k, x.tolist(), 1) for k, x in enumerate(v)], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in vector_dedup.near_duplicates(made).collect()}
+    norms = np.sqrt((v * v).sum(1))
+    assert [got[k] for k in range(700)] == ((v @ v.T / norms[:, None] / norms[None, :] >= 0.93).sum(1) - 1).tolist()
+
+
 def test_passes_grow_with_the_label():
     wanted = lambda n: vector_dedup.passes_for(n, threshold=0.93, window=8, recall=0.99, least=12)
     assert wanted(10) == 12 and wanted(20_000) > 15 and wanted(1 << 30) > wanted(1 << 20)
