@@ -86,7 +86,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     row_key names a row of docs, as doc_id may repeat or be null; (row_key, piece) is unique. Null and empty texts are the end
     token alone, repeated rows are packed once each, an empty table gives no rows.
     """
-    numbered = cut(docs.select("doc_id", "text")).withColumn("row_key", F.monotonically_increasing_id())
+    numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row_key"))  # the pieces are written at once, with these keys
     return packing.pack(numbered, key="row_key", with_ids=True)
 
 
