@@ -1,9 +1,11 @@
 """Exact top-k inner products of integer vectors with block-at-a-time pruning.
 
-Documents are cut into blocks of neighbouring ids, and each block keeps the greatest and the least value of every component.
-For a query, q+ . max + q- . min bounds every score in a block. A query visits its blocks by falling bound, scores each one
-through the block's own rows (the forward index), and stops when the next bound is below its k-th score; ties are kept, as
-they go to the smaller id.
+Documents are cut into blocks of alike rows: a stripe is halved at the median of its widest component until the parts are blocks,
+and each block keeps the greatest and the least value of every component. For a query, q+ . max + q- . min bounds every score in
+a block. A query visits its blocks by falling bound, a few and then twice as many at a time, scores them through the blocks' own
+rows (the forward index), and stops when the next bound is below its k-th score; ties are kept, as they go to the smaller id.
+What is pruned depends on the data: of vectors in clusters most blocks are, of vectors spread evenly in many dimensions none,
+as no bound on a block lies below the k-th score there.
 
 Rows are dealt into `stripes` by a hash of their id, and queries into groups; each (stripe, group) pair is a task of its own,
 so neither side is collected and every task holds one stripe and one group. The tasks' best k are merged by a window.
@@ -32,8 +34,28 @@ def quantised(vectors: DataFrame, *, id_col: str = "vec_id", col: str = "embeddi
     return vectors.filter(usable).select(F.col(id_col).cast("long").alias("id"), F.transform(x, lambda c: F.floor(c * F.lit(float(scale)))).alias("v"))
 
 
-def search(documents: pd.DataFrame, queries: pd.DataFrame, k: int, block: int) -> pd.DataFrame:
-    """The best k documents of each query among these documents, by score and then smaller id; (query_id, vec_id, score)."""
+def alike(rows: np.ndarray, block: int) -> np.ndarray:
+    """An order of the rows in which blocks of neighbours are alike: halves at the median of the widest component, again and again."""
+    done: list[np.ndarray] = []
+    todo = [np.arange(len(rows))]
+    while todo:
+        own = todo.pop()
+        if len(own) <= block:
+            done.append(own)
+            continue
+        values = rows[own]
+        widest = int((values.max(0) - values.min(0)).argmax())
+        half = max(block, (len(own) // 2 + block - 1) // block * block)
+        order = own[np.argsort(values[:, widest], kind="stable")]
+        todo += [order[half:], order[:half]]
+    return np.concatenate(done)
+
+
+def search(documents: pd.DataFrame, queries: pd.DataFrame, k: int, block: int, scored: list[tuple[int, int]] | None = None) -> pd.DataFrame:
+    """The best k documents of each query among these documents, by score and then smaller id; (query_id, vec_id, score).
+
+    scored, if given, gets (blocks scored, blocks) of each query.
+    """
     found: list[tuple[int, np.ndarray, np.ndarray]] = []
     for size, own in documents.groupby(documents["v"].map(len)):
         asked = queries[queries["v"].map(len) == size]
@@ -41,24 +63,36 @@ def search(documents: pd.DataFrame, queries: pd.DataFrame, k: int, block: int) -
             continue
         own = own.sort_values("id")
         ids, rows = own["id"].to_numpy(np.int64), np.array(own["v"].tolist(), np.int64)
+        order = alike(rows, block)
+        ids, rows = ids[order], rows[order]
         q, q_ids = np.array(asked["v"].tolist(), np.int64), asked["id"].to_numpy(np.int64)
         exact = np.float64 if float(np.abs(rows).max()) * np.abs(q).sum(1).max() < 2**53 else object if _wide(rows, q) else np.int64
         starts = np.arange(0, len(ids), block)
         most, least = np.maximum.reduceat(rows, starts), np.minimum.reduceat(rows, starts)
         q, rows = q.astype(exact), rows.astype(exact)
         bounds = np.maximum(q, 0) @ most.astype(exact).T + np.minimum(q, 0) @ least.astype(exact).T
-        order = np.argsort(-bounds, axis=1, kind="stable") if exact is not object else np.array([sorted(range(len(starts)), key=lambda b, r=r: -r[b]) for r in bounds])
+        falling = np.argsort(-bounds, axis=1, kind="stable") if exact is not object else np.array([sorted(range(len(starts)), key=lambda b, r=r: -r[b]) for r in bounds])
         for at, (query, own_id) in enumerate(zip(q, q_ids, strict=True)):
             best_ids, best = np.zeros(0, np.int64), np.zeros(0, exact)
-            for b in order[at]:
-                if len(best) >= k and bounds[at, b] < best[k - 1]:
+            visited, more = 0, 4
+            while visited < len(starts):
+                now = falling[at, visited : visited + more]
+                if len(best) >= k:
+                    now = now[bounds[at, now] >= best[k - 1]]
+                if not len(now):
                     break
-                part = slice(starts[b], starts[b] + block)
-                fresh = ids[part] != own_id
-                best_ids = np.concatenate([best_ids, ids[part][fresh]])
-                best = np.concatenate([best, (rows[part] @ query)[fresh]])
+                part = (starts[now][:, None] + np.arange(block)).ravel()
+                part = part[part < len(ids)]
+                part = part[ids[part] != own_id]
+                best_ids, best = np.concatenate([best_ids, ids[part]]), np.concatenate([best, rows[part] @ query])
+                if len(best) > k and exact is not object:
+                    reach = best >= np.partition(best, len(best) - k)[len(best) - k]
+                    best_ids, best = best_ids[reach], best[reach]
                 top = np.lexsort((best_ids, -best))[:k]
                 best_ids, best = best_ids[top], best[top]
+                visited, more = visited + len(now), 2 * more
+            if scored is not None:
+                scored.append((visited, len(starts)))
             found.append((int(own_id), best_ids, best))
     if not found:
         return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0, np.int64)})

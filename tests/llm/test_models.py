@@ -256,3 +256,18 @@ def test_exact_top_k(spark):
     got = topk.top_k(table, table.filter("id % 5 = 0").dropDuplicates(["id"]), k=3, block=4, rows=16, group=8)
     assert sorted(map(tuple, got.collect())) == sorted(want)
     assert topk.top_k(table.filter("false"), table, k=3).count() == 0
+
+
+def test_blocks_of_clustered_vectors_are_pruned():
+    import pandas as pd
+
+    rng = np.random.default_rng(6)
+    centres = rng.normal(0, 60, (40, 16))
+    v = np.floor(centres[rng.integers(0, 40, 4_000)] + rng.normal(0, 4, (4_000, 16))).astype(np.int64)
+    made, asked, scored = pd.DataFrame({"id": np.arange(4_000), "v": list(v)}), pd.DataFrame({"id": np.arange(0, 4_000, 50), "v": list(v[::50])}), []
+    got = topk.search(made, asked, 5, 32, scored)
+    for query, own in got.groupby("query_id"):
+        s = v @ v[query]
+        want = sorted((k for k in range(4_000) if k != query), key=lambda k: (-s[k], k))[:5]
+        assert own["vec_id"].tolist() == want
+    assert sum(a for a, _ in scored) < 0.5 * sum(b for _, b in scored)
