@@ -38,6 +38,12 @@ def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     df.write.mode(mode).csv(path, header=True, escape='"', emptyValue="")
 
 
+def write_tables(tables: dict[str, DataFrame], folder: str) -> None:
+    """A set of analysis tables as CSV, one folder for each name."""
+    for name, df in tables.items():
+        write_csv(df, f"{folder}/{name}")
+
+
 def append_manifest(df: DataFrame, path: str) -> None:
     write_csv(df, path, mode="append")
 
