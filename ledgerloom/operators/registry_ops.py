@@ -82,6 +82,19 @@ def latest_snapshot(manifest: DataFrame) -> DataFrame:
     return first.join(last, "csv_file")
 
 
+def snapshots(files: DataFrame, manifest: DataFrame, run_ts: str) -> DataFrame:
+    """The manifest rows of retrieved files(dataset_id, updated, content): their name carries the date and the content's hash.
+
+    Content that the manifest(sha256, csv_file, ...) has already keeps its first name and is `unchanged`; the manifest only grows.
+    """
+    hashed = files.select("dataset_id", "updated", F.sha2("content", 256).alias("sha256"), F.octet_length("content").alias("bytes"))
+    before = manifest.groupBy("sha256").agg(F.min("csv_file").alias("known"))
+    name = F.concat_ws("_", "dataset_id", "updated", F.concat(F.substring("sha256", 1, 8), F.lit(".csv")))
+    df = hashed.join(before, "sha256", "left")
+    status = F.when(F.col("known").isNull(), "downloaded").otherwise("unchanged")
+    return df.select(F.lit(run_ts).alias("retrieved_at"), "dataset_id", "updated", "sha256", "bytes", F.coalesce("known", name).alias("csv_file"), status.alias("status"))
+
+
 def new_content(files: DataFrame, manifest: DataFrame) -> DataFrame:
     """Files whose content hash the manifest does not have; files(path, content)."""
     hashed = files.withColumn("sha256", F.sha2("content", 256))

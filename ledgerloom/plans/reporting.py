@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import analytics, master, review, segment
+from ..operators import analytics, display, master, registry_ops, review, segment
 from ..session import table as T
 from .actions import ACTIONS_SQL, actions
 
@@ -428,3 +428,43 @@ def master_flags(spark, d) -> DataFrame:
         F.lit("x").alias("building_name"), F.when(k % 4 == 0, "Under Construction (2 of 3)").otherwise("Yes").alias("building_constructed"), blank(2, "24 hours").alias("required_hours"), blank(3, "benches").alias("required_amenities"),
     )
     return master.quality_flags(master.normalise(raw.withColumn("year", F.trim("year_completed"))), master.QUALITY_CHECKS).select("pops_id", "flags")
+
+
+@query(f"""WITH {ACTIONS_SQL} SELECT seq, ['January', 'February', 'March', 'April', 'May', 'June', 'July', 'August', 'September', 'October', 'November', 'December'][CAST(right(ym, 2) AS INTEGER)] || ' ' || year AS "when", pops_id AS site,
+CASE WHEN penalty IS NULL THEN 'amount not stated' ELSE '$' || format('{{:,}}', penalty) END AS penalty, CASE WHEN seq % 2 = 0 THEN repeat('word ', 46) || '…' ELSE 'short' END AS text FROM tiered WHERE tier = 'A' ORDER BY year DESC, CAST(right(ym, 2) AS INTEGER) DESC, pops_id, seq LIMIT 8""")
+def latest_feed(spark, d) -> DataFrame:
+    """The eight latest confirmed actions as the site shows them."""
+    said = F.when(F.col("seq") % 2 == 0, "word " * 50).otherwise("short")
+    return display.feed(actions(spark, d).withColumns({"month": F.substring("ym", 6, 2).cast("int"), "text": said}))
+
+
+@query(f"""WITH {ACTIONS_SQL}, {AUDIT_SQL} SELECT audit_group, count(*) AS sites, CASE audit_group WHEN 'no' THEN 'Audit: not fully compliant (No)' WHEN 'yes' THEN 'Audit: full compliance (Yes)' ELSE 'Audit: marked “Construction”' END AS label
+FROM g WHERE audit_group <> 'not_in_audit' GROUP BY audit_group""")
+def audit_labels(spark, d) -> DataFrame:
+    """Audit groups with their labels; a group without one is not shown."""
+    groups = _audited(spark, d).withColumn("audit_group", F.when(F.col("audit_group") == "not_in_audit", "other").otherwise(F.col("audit_group")))
+    return display.audit_table(groups.groupBy("audit_group").agg(F.count("*").alias("sites")))
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'East 5-B (Rear/Side)' WHEN 1 THEN '' ELSE 'Élan Of The Park' END AS title, replace(replace(c_name, '#', '&lt;&quot;&amp;&#39;&gt;'), ' ', '') AS escaped FROM customer""")
+def shown_text(spark, d) -> DataFrame:
+    k = F.col("c_custkey")
+    said = F.when(k % 3 == 0, "EAST 5-b (REAR/SIDE)").when(k % 3 == 2, "ÉLAN OF the PARK")
+    marked = F.replace(F.replace("c_name", F.lit("#"), F.lit("<\"&'>")), F.lit(" "), F.lit(""))
+    return T(spark, d, "customer").select("c_custkey", display.title(said).alias("title"), display.escaped(marked).alias("escaped"))
+
+
+@query("""SELECT found, CASE WHEN found > 150 THEN 'Showing the first 150. Narrow the search to see the rest.' WHEN found = 0 THEN 'Nothing matches these filters.' ELSE '' END AS note FROM (SELECT count(*) AS found FROM part WHERE p_size > 10)""")
+def list_note(spark, d) -> DataFrame:
+    return display.list_note(T(spark, d, "part").filter("p_size > 10"))
+
+
+@query("""SELECT 'now' AS retrieved_at, 'd' AS dataset_id, strftime(ts, '%Y-%m-%d') AS updated, sha256(event_type || event_id // 2) AS sha256, CAST(length(event_type || event_id // 2) AS INTEGER) AS bytes,
+CASE WHEN event_id // 2 % 2 = 0 THEN 'f' || event_id // 2 ELSE 'd_' || strftime(ts, '%Y-%m-%d') || '_' || left(sha256(event_type || event_id // 2), 8) || '.csv' END AS csv_file, CASE WHEN event_id // 2 % 2 = 0 THEN 'unchanged' ELSE 'downloaded' END AS status FROM events""")
+def content_snapshots(spark, d) -> DataFrame:
+    """Events as retrieved files; the manifest knows the content of every second pair of ids."""
+    half = F.floor(F.col("event_id") / 2)
+    content = F.concat("event_type", half.cast("string"))
+    e = T(spark, d, "events")
+    manifest = e.filter(half % 2 == 0).select(F.sha2(content, 256).alias("sha256"), F.concat(F.lit("f"), half.cast("string")).alias("csv_file"))
+    return registry_ops.snapshots(e.select(F.lit("d").alias("dataset_id"), F.date_format("ts", "yyyy-MM-dd").alias("updated"), content.alias("content")), manifest, "now")
