@@ -24,7 +24,7 @@ from .common import cut, word_count
 
 SMALL = 10_000  # rows of the source table up to which it is broadcast
 SCALE, POINT, PERIOD = 10**10, 6_180_339_887, 1 << 29  # the golden ratio in units of 1 / SCALE; points repeat after PERIOD slots
-GRID = 1024  # parts of the unit interval by which points and sources are joined
+GRID = 1024  # parts of the unit interval by which points and sources are joined; as many as sources, if these are more
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -69,7 +69,7 @@ def schedule(sources: DataFrame, n_sources: int, n_slots: int, block: int) -> Da
     share = F.sum("target").over(order) / F.sum("target").over(Window.partitionBy())
     own = sources.withColumn("hi", F.floor(F.round(share, 12) * SCALE)).withColumn("lo", F.lag("hi", 1, 0).over(Window.orderBy("sid")))
     own = own.filter("words > 0").select("sid", "words", "lo", "hi", F.ceil(F.col("words") / block).alias("need"))
-    grid = SCALE // GRID
+    grid = SCALE // max(GRID, min(n_sources, SCALE // GRID))
     parts = own.filter("hi > lo").withColumn("grid", F.explode(F.sequence(F.floor(F.col("lo") / grid), F.floor((F.col("hi") - 1) / grid))))
     run = 1024
     while run * run < n_slots:
