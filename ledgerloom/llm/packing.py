@@ -20,6 +20,7 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,7 +47,7 @@ class Encoder:
     parts be encoded and cached one by one; the result equals encoding the whole text.
     """
 
-    def __init__(self, path: str, entries: int = 500_000):
+    def __init__(self, path: str, entries: int = 200_000):
         import public_tokenizers
         import tiktoken
         from tokenizers import Tokenizer
@@ -246,20 +247,18 @@ def pack(docs: DataFrame, *, path: str | None = None, capacity: int = CAPACITY,
     names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids, *[key] * bool(key)]
     ranked = ranked.select(*names, (F.col("rank") + F.col("ahead")).alias("rank"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = table_of.value
-        for batch in batches:
-            length, rank = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("length", "rank"))
-            sequence, offset = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
-            order = np.argsort(length, kind="stable")
-            for own in np.split(order, np.flatnonzero(np.diff(length[order])) + 1) if len(order) else []:
-                first, base, off = at[length[own[0]]]
-                k = np.searchsorted(first, rank[own], "right") - 1
-                sequence[own], offset[own] = base[k] + rank[own] - first[k], off[k]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names))), pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"])
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranked.schema if f.name != "rank")
-    return ranked.mapInArrow(run, f"{schema}, sequence_id long, offset long")
+    @F.pandas_udf("sequence_id long, offset long")
+    def placed(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
+        at, length, rank = table_of.value, length.to_numpy(), rank.to_numpy()
+        sequence, offset = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
+        order = np.argsort(length, kind="stable")
+        for own in np.split(order, np.flatnonzero(np.diff(length[order])) + 1) if len(order) else []:
+            first, base, off = at[length[own[0]]]
+            k = np.searchsorted(first, rank[own], "right") - 1
+            sequence[own], offset[own] = base[k] + rank[own] - first[k], off[k]
+        return pd.DataFrame({"sequence_id": sequence, "offset": offset})
+
+    return ranked.withColumn("place", placed("length", "rank")).select(*names, "place.sequence_id", "place.offset")
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
