@@ -70,7 +70,7 @@ def findings(pages: DataFrame, audit: DataFrame, *, title: str = "Appendix", mos
     """audit_row, findings: up to `most` passages of the report's body (the pages before the appendix) that name an audit address.
 
     pages(page, text), audit(audit_row, address). The join is on the number and the first word of the street; the passage is then
-    held against the address, in which Street may be written St. or St.
+    held against the address, in which Street may be written St or St.
     """
     body = pages.join(pages.filter(F.contains("text", F.lit(title))).agg(F.min("page").alias("until")), F.lit(True))  # one row
     flat = body.filter(F.col("until").isNull() | (F.col("page") < F.col("until"))).select("page", F.regexp_replace("text", r"\s+", " ").alias("flat"))

@@ -134,7 +134,7 @@ def names_in_text(texts: DataFrame, names: DataFrame, key: str) -> DataFrame:
     known = names.filter((F.length(own) >= 5) & ~own.isin(*GENERIC_NAMES))
     known = known.withColumn("token", F.when(longest(own) != "", longest(own)).otherwise(F.substring(own, 1, 5)))
     said = F.lower("said")
-    fives = F.filter(F.transform(F.sequence(F.lit(1), F.greatest(F.length(said) - 4, F.lit(1))), lambda k: F.substring(said, k, F.lit(5))), lambda x: ~x.rlike("[a-z]"))
+    fives = F.regexp_extract_all(said, F.lit("(?=([^a-z]{5}))"), F.lit(1))  # every place where five characters are no letters
     tokens = texts.withColumn("token", F.explode(F.array_distinct(F.concat(runs(said), fives))))
     return tokens.join(known, "token").filter(corroborated(F.col("name"), F.col("said"))).select(key, "pops_id").distinct()
 
