@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, cut, mixed, partitions, utf8, whole_documents
+from .common import LAST_ID, cut, give_back, mixed, partitions, utf8, whole_documents
 
 #: (fragments, their anchors' hashes in order, anchor offsets, windows, smallest ids, senders) -> smallest id of each window, concatenated
 Compare = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
@@ -333,10 +333,17 @@ def repeated_spans(rows: DataFrame, size: int, units: Units, compare: Compare, f
         return pa.concat_tables(out)
 
     dealt = rows.mapInArrow(_dealer(n), "bucket int, block binary")
-    asked = dealt.groupBy("bucket").applyInArrow(anchors, KIND).groupBy("bucket").applyInArrow(repeated, KIND)
-    sent = dealt.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(texts, KIND)
-    told = sent.groupBy("bucket").applyInArrow(compared, KIND)
-    return dealt.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(ended, schema)
+    asked = dealt.groupBy("bucket").applyInArrow(lambda t: _frugal(anchors, t), KIND).groupBy("bucket").applyInArrow(lambda t: _frugal(repeated, t), KIND)
+    sent = dealt.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(lambda t, u: _frugal(texts, t, u), KIND)
+    told = sent.groupBy("bucket").applyInArrow(lambda t: _frugal(compared, t), KIND)
+    return dealt.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(lambda t, u: _frugal(ended, t, u), schema)
+
+
+def _frugal(step: Callable, *tables: pa.Table) -> pa.Table:
+    """step(*tables), with the memory that it freed given back before the next bucket."""
+    out = step(*tables)
+    give_back()
+    return out
 
 
 def _smallest(key: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

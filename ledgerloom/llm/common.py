@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import pickle
 from collections.abc import Callable, Iterator
 
@@ -28,12 +30,20 @@ def fitted(sample: DataFrame, train: Callable[[pa.Table], object]) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = train(pa.Table.from_batches(list(batches), schema))
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+        give_back()
 
     schema = to_arrow_schema(sample.schema)
     rows = sample.repartition(1).mapInArrow(run, "model binary").collect()
     return pickle.loads(rows[0]["model"]) if rows else train(schema.empty_table())
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on for the next operator, beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def partitions(spark: SparkSession) -> int:
     """Shuffle partitions of the session; operators that bucket by themselves use as many buckets."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Prefixes, cut, mixed, table, utf8, whole_documents, words
+from .common import Prefixes, cut, give_back, mixed, table, utf8, whole_documents, words
 from .graph import components
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -135,6 +135,7 @@ def described(docs: DataFrame, width: int, permutations: int, rows: int) -> Data
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), pa.array(n), *map(pa.array, digests), bands, sketch], ["doc_id", "n_shingles", "d1", "d2", "bands", "sketch"]
                 )
+        give_back()
 
     own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return own.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sketch array<long>")
@@ -171,6 +172,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 shared = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * shared >= percent * (len(both) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        give_back()
 
     left, right = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")

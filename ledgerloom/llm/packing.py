@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, give_back, table
 
 VOCABULARY = "byte_bpe_50k.json"
 CAPACITY, END = 1024, 2
@@ -124,6 +124,8 @@ def pieces(docs: DataFrame, path: str, *, capacity: int = CAPACITY, end: int = E
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int64()]
             wanted = [True] * 5 + [with_ids, bool(key)]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t, w in zip(rows, kinds, wanted, strict=True) if w], names)
+        del encode
+        give_back()
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids + (f", {key} long" if key else "")
     own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), (F.col(key) if key else F.lit(0)).cast("long").alias("key"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Prefixes, fitted, lowered, mixed, segments, table, utf8, whole_documents
+from .common import Prefixes, fitted, give_back, lowered, mixed, segments, table, utf8, whole_documents
 
 BITS = 18
 HEADS = (4, 5)  # bytes of a word that are features besides the whole word
@@ -175,6 +175,7 @@ def score(docs: DataFrame, model: Model, *, accept: float = 0.5) -> DataFrame:
             tails = shared.value.tails(batch.column(at))
             extra = [pa.array(tails.sum(1)), pa.array(tails[:, -1].copy()), pa.array(tails[:, -1] >= accept)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*names, "expected_grade", "p_good", "accepted"])
+        give_back()
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in numbered.schema)
     out = numbered.mapInArrow(run, f"{schema}, expected_grade double, p_good double, accepted boolean")
