@@ -50,7 +50,6 @@ class Encoder:
     def __init__(self, path: str, entries: int = 200_000):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -60,11 +59,15 @@ class Encoder:
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in self.special}
         self.plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.full = Tokenizer.from_file(path)
+        self.path, self.full = path, None
         self.cache = _Parts(self.plain, entries)
 
     def __call__(self, text: str) -> bytes:
         if any(s in text for s in self.special):
+            if self.full is None:  # few texts need it
+                from tokenizers import Tokenizer
+
+                self.full = Tokenizer.from_file(self.path)
             return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         first, *parts = text.split(" ")
         if _UNCUT.search(text):
@@ -109,8 +112,12 @@ def pieces(docs: DataFrame, path: str, *, capacity: int = CAPACITY, end: int = E
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, close = Encoder(path), np.array([end], "<u4").tobytes()
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int64()]
+        wanted = [True] * 5 + [with_ids, bool(key)]
+        flush = lambda rows: pa.RecordBatch.from_arrays([pa.array(v, t) for v, t, w in zip(rows, kinds, wanted, strict=True) if w], names)
         for batch in batches:
             rows: list[list] = [[], [], [], [], [], [], []]
+            held = 0
             for doc, text, own_key in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 ids = encode(text.as_py() or "") + close
                 n = len(ids) // 4
@@ -121,9 +128,11 @@ def pieces(docs: DataFrame, path: str, *, capacity: int = CAPACITY, end: int = E
                     for to, v in zip(rows, (doc, k, begin, stop - begin, zlib.crc32(own), np.frombuffer(own, "<i4") if with_ids else None, own_key), strict=True):
                         to.append(v)
                     begin, stop, k = stop, stop + capacity, k + 1
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int64()]
-            wanted = [True] * 5 + [with_ids, bool(key)]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t, w in zip(rows, kinds, wanted, strict=True) if w], names)
+                held += len(ids)
+                if held > 4 << 20:  # some MB of ids at a time
+                    yield flush(rows)
+                    rows, held = [[], [], [], [], [], [], []], 0
+            yield flush(rows)
         del encode
         give_back()
 
