@@ -173,7 +173,7 @@ def _expanded(start: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def repeated_spans(rows: DataFrame, size: int, units: Units, compare: Compare, finish, schema: str, *, length: int, seed: int, hot: int = HOT) -> DataFrame:
     """Run the exchange over rows of `keyed` and give each stretch of documents with its covered units to finish(stretch, gone)."""
-    n = max(2 * partitions(rows.sparkSession), -(-size // BUCKET))
+    n = max(min(2 * partitions(rows.sparkSession), 64), -(-size // BUCKET))  # a small input in a few buckets: rows grow with their square
 
     def anchors(dealt: pa.Table) -> pa.Table:
         own = dealt.column("bucket")[0].as_py()
