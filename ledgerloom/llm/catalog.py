@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bwt_dedup, html_text, language, merkle, mixing, near_dedup, packing, quality, substring_dedup, topk, vector_dedup, word_bpe
+from . import bwt_dedup, divergence, html_text, language, merkle, mixing, near_dedup, packing, quality, substring_dedup, topk, vector_dedup, word_bpe
 
 QUERIES = {
     "op4_suffix_dedup": bwt_dedup.op4,
@@ -15,6 +15,7 @@ QUERIES = {
     "op1_html_extraction": html_text.op1,
     "op8_best_fit_packing": packing.op8,
     "op7_source_mixing": mixing.op7,
+    "op11_source_divergence": divergence.op11,
     "op12_bpe_round_trip": word_bpe.op12,
     "op13_merkle_manifest": merkle.op13,
 }
@@ -25,4 +26,5 @@ ORACLES = {
     "op6_embedding_dedup": vector_dedup.ORACLE,
     "op9_exact_topk": topk.ORACLE,
     "op7_source_mixing": mixing.ORACLE,
+    "op11_source_divergence": divergence.ORACLE,
 }
