@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,25 @@ def read_bulletins(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.json$", 1).alias("bulletin_id"), "*")
 
 
+def checked(files: DataFrame) -> DataFrame:
+    """path, bulletin_id (file name), status, why and the extracted text of files(path, content): a row a file, whatever it holds.
+
+    status: ok; no_text (no page with text); corrupt (no JSON object of this kind, or no UTF-8); unreadable (no content). Only ok rows
+    have pages, so a broken file stops nothing, and none is lost.
+    """
+    said = F.col("content").cast("string")
+    whole = F.when(F.is_valid_utf8(said), said)
+    doc = F.from_json(whole, f"{TEXT_SCHEMA}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    df = files.select("path", F.col("content").isNull().alias("missing"), whole.isNull().alias("odd"), doc.alias("doc"))
+    broken = F.col("odd") | F.col("doc").isNull() | F.col("doc._corrupt").isNotNull()
+    texts = F.coalesce(F.exists("doc.pages", lambda p: F.trim(p) != ""), F.lit(False)) & F.coalesce("doc.has_text_layer", F.lit(False))
+    status = F.when(F.col("missing"), "unreadable").when(broken, "corrupt").when(~texts, "no_text").otherwise("ok")
+    why = F.when(F.col("missing"), "no content").when(F.col("odd"), "not UTF-8").when(broken, F.concat(F.lit("no such JSON: "), F.substring(F.coalesce("doc._corrupt", F.lit("")), 1, 60)))
+    df = df.withColumns({"status": status, "why": F.coalesce(why, F.when(status == "no_text", F.array_join("doc.errors", "; ")), F.lit(""))})
+    names = [c.split()[0] for c in TEXT_SCHEMA.split(", ")]
+    return df.select("path", F.regexp_extract("path", r"([^/]+?)(?:\.json)?$", 1).alias("bulletin_id"), "status", "why", *[F.when(F.col("status") == "ok", F.col(f"doc.{c}")).alias(c) for c in names])
+
+
 def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     df.write.mode(mode).csv(path, header=True, escape='"', emptyValue="")
 
@@ -54,6 +74,23 @@ def write_documents(df: DataFrame, path: str, *, by: str | None = None) -> None:
     (out.partitionBy(by) if by else out).json(path)
 
 
+def write_records(df: DataFrame, path: str) -> None:
+    """Rows as JSON arrays of records, one array a part file, with null columns as null."""
+
+    def arrays(batches):
+        begun = False
+        for batch in batches:
+            rows = batch["row"].to_pylist()
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array([("," if begun or k else "[") + row for k, row in enumerate(rows)])], ["value"])
+                begun = True
+        if begun:
+            yield pa.RecordBatch.from_arrays([pa.array(["]"])], ["value"])
+
+    rows = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("row"))
+    rows.mapInArrow(arrays, "value string").write.mode("overwrite").text(path)
+
+
 def write_bulletin_text(df: DataFrame, path: str) -> None:
     """Extracted text, one folder per bulletin."""
     df.write.mode("overwrite").partitionBy("bulletin_id").json(path)

@@ -24,7 +24,21 @@ def test_segmentation(spark):
     assert [(r["section"], r["page"], r["page_end"], r["had_bullet"]) for r in rows] == [
         ("Manhattan", 1, 2, True), ("Manhattan", 2, 2, True), ("Construction and Design Professionals", 2, 2, False)]
     assert rows[0]["empty_bullets"] == 1 and rows[0]["marker_found"]
-    assert [tuple(r) for r in segment.diagnose(bulletins(spark)).orderBy("bulletin_id").collect()] == [("2024-05", True, 3, 1, True), ("2024-06", False, 0, 0, False)]
+    got = {r["bulletin_id"]: r.asDict() for r in segment.diagnose(bulletins(spark)).collect()}
+    full, empty = got["2024-05"], got["2024-06"]
+    assert (full["has_text"], full["needs_ocr"], full["n_pages"], full["n_chars"], full["n_entries"], full["n_bulleted"], full["empty_bullets"], full["marker_found"]) == (True, False, 2, sum(map(len, PAGES)), 3, 2, 1, True)
+    assert full["notes"] == ["orphan line p2: Loose prose."] and full["extraction_method"] == ""
+    assert (empty["has_text"], empty["needs_ocr"], empty["n_entries"], empty["notes"], empty["extraction_method"]) == (False, True, 0, ["no text layer"], "needs_ocr")
+
+
+def test_diagnostics_of_what_was_extracted(spark):
+    rows = [("a", ["Some prose\n• $5,000 in fines issued to A, for x."], "m", True), ("b", ["words"], "m", False), ("c", None, None, None), ("d", ["", None], "m", True)]
+    df = spark.createDataFrame(rows, "bulletin_id string, pages array<string>, method string, has_text_layer boolean")
+    got = {r["bulletin_id"]: (r["needs_ocr"], r["extraction_method"], r["n_pages"], r["n_entries"], r["notes"]) for r in segment.diagnose(df).collect()}
+    none = ["no text layer"]
+    assert got == {"a": (False, "m", 1, 1, [segment.NO_MARKER]), "b": (True, "needs_ocr", 1, 0, none), "c": (True, "needs_ocr", 0, 0, none), "d": (True, "needs_ocr", 2, 0, none)}
+    counts = segment.entry_counts(segment.parse_entries(segment.split_entries(df))).collect()
+    assert [tuple(r) for r in counts] == [("a", 1, 0)]
 
 
 def test_parsed_fields(spark):
@@ -47,6 +61,7 @@ def test_duplicates_point_at_the_first_in_another_bulletin(spark):
     df = spark.createDataFrame(rows, "seq int, enforcement_id string, bulletin_id string, norm string, address_street string, address_number string, penalty_amount int, respondent string")
     got = segment.flag_duplicates(df).orderBy("seq").select("duplicate_of", "duplicate_basis").collect()
     assert [tuple(r) for r in got] == [("", ""), ("e1", "identical_text"), ("", ""), ("e3", "same_address_penalty_respondent"), ("", "")]
+    assert "Window" not in segment.duplicates(df)._jdf.queryExecution().executedPlan().toString()
 
 
 SITES = [
@@ -98,7 +113,7 @@ def test_record_and_bulletin_issues(spark):
     assert kinds.count("ambiguous_pops_match") == 3 and kinds.count("borough_conflict") == 1 and "suspicious_penalty" not in kinds
     reg = spark.createDataFrame([("2024-05", "u", "s", False, "download_failed: y", False, True, True, "l"), ("unparsed:v", "v", "s", False, "x", True, False, False, "l"), ("2024-08", "u", "t", True, "", True, False, False, "l")],
         "bulletin_id string, pdf_url string, sha256 string, downloaded boolean, processing_errors string, label_conflict boolean, filename_pattern_ok boolean, still_on_index boolean, index_label string")
-    read = segment.diagnose(bulletins(spark)).withColumn("needs_ocr", F.lit(False))
+    read = segment.diagnose(bulletins(spark))
     got = {(r["issue_type"], r["bulletin_id"]) for r in review.bulletin_issues(reg, read).collect()}
     assert got == {
         ("bulletin_month_unparsed", "unparsed:v"), ("download_failed", "2024-05"), ("index_label_conflict", "2024-08"), ("structure_change_filename", "2024-08"), ("bulletin_removed_from_index", "2024-08"),
