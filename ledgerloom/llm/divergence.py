@@ -17,7 +17,6 @@ repeated row is a document of its own; an empty table gives no rows; other colum
 from __future__ import annotations
 
 import re
-import string
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -30,29 +29,28 @@ from pyspark.sql import functions as F
 
 from .common import cut, give_back, mixed, table
 
-TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")  # in UTF-8, all bytes of other characters are above 7F
 LEAST, SHOWN, UNIT = 3, 200, 1_000_000_000
 ROWS, WIDTH, SLICE = 4, 1 << 22, 1 << 16  # of the table; a larger WIDTH lets fewer rare words through
 HELD = 400_000  # words that a task counts before it sends them
-_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
 
-def terms(text: str) -> list[str]:
-    """Runs of letters and non-ASCII characters, A-Z in lower case."""
-    return TERM.findall(text.translate(_LOWER) if not text.isascii() else text.lower())
+def terms(text: bytes) -> list[bytes]:
+    """Runs of letters and non-ASCII characters of a UTF-8 text, A-Z in lower case."""
+    return TERM.findall(text.lower())  # bytes: A-Z only
 
 
-def _cells(lang: str, words: list[str], width: int) -> np.ndarray:
+def _cells(lang: str, words: list[bytes], width: int) -> np.ndarray:
     """Cells of words, one row of the result for each row of the table."""
     seed = xxhash.xxh3_64_intdigest(lang.encode())
-    own = np.fromiter((xxhash.xxh3_64_intdigest(w.encode(), seed) for w in words), np.uint64, len(words))
+    own = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), np.uint64, len(words))
     step = mixed(own) | np.uint64(1)
     return np.stack([(own + np.uint64(k) * step) >> np.uint64(64 - width.bit_length() + 1) for k in range(ROWS)]).astype(np.int64)
 
 
-def _rows(batch: pa.RecordBatch) -> Iterator[tuple[str, str, str]]:
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple[str, str, list[bytes]]]:
     for lang, source, text in zip(batch["lang"].to_pylist(), batch["source"].to_pylist(), batch["text"], strict=True):
-        yield lang, source, text.as_py()
+        yield lang, source, terms(text.as_buffer().to_pybytes())
 
 
 def sketch(docs: DataFrame, *, least: int = LEAST, width: int = WIDTH) -> np.ndarray:
@@ -62,7 +60,7 @@ def sketch(docs: DataFrame, *, least: int = LEAST, width: int = WIDTH) -> np.nda
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((ROWS, width), np.uint8)
 
-        def add(seen: dict[str, Counter]) -> None:
+        def add(seen: dict[str, Counter[bytes]]) -> None:
             for lang, n in seen.items():
                 often = np.minimum(np.fromiter(n.values(), np.int64, len(n)), least)
                 for row, at in zip(held, _cells(lang, list(n), width), strict=True):
@@ -72,8 +70,8 @@ def sketch(docs: DataFrame, *, least: int = LEAST, width: int = WIDTH) -> np.nda
 
         seen: dict[str, Counter] = {}
         for batch in batches:
-            for lang, _, text in _rows(batch):
-                seen.setdefault(lang, Counter()).update(set(terms(text)))
+            for lang, _, words in _rows(batch):
+                seen.setdefault(lang, Counter()).update(set(words))
                 if sum(map(len, seen.values())) > HELD:
                     add(seen)
                     seen = {}
@@ -106,7 +104,7 @@ def counts(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     width = bits.shape[1] * 8
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passing: dict[str, dict[str, bool]] = {}
+        passing: dict[str, dict[bytes, bool]] = {}
         held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -121,21 +119,20 @@ def counts(docs: DataFrame, bits: np.ndarray) -> DataFrame:
                         may &= (row[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
                     known.update(zip(new, may.tolist(), strict=True))
                 kept = [w for w in n if known[w]]
-                rows = [["", *kept], [0, *(n[w] for w in kept)], [0, *(df[w] for w in kept)]]
+                rows = [[b"", *kept], [0, *map(n.__getitem__, kept)], [0, *map(df.__getitem__, kept)]]
                 for k in range(0, len(kept) + 1, 50_000):
                     own = [v[k : k + 50_000] for v in rows]
                     m = len(own[0])
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * m, pa.string()), pa.array([source] * m, pa.string()), pa.array(own[0], pa.string()), pa.array(own[1], pa.int64()), pa.array(own[2], pa.int64())], ["lang", "source", "term", "n", "df"])
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * m, pa.string()), pa.array([source] * m, pa.string()), pa.array(own[0], pa.binary()).cast(pa.string()), pa.array(own[1], pa.int64()), pa.array(own[2], pa.int64())], ["lang", "source", "term", "n", "df"])
             held.clear()
 
         size = 0
         for batch in batches:
-            for lang, source, text in _rows(batch):
-                own = Counter(terms(text))
+            for lang, source, words in _rows(batch):
                 n, df = held.setdefault((lang, source), (Counter(), Counter()))
                 size -= len(n)
-                n.update(own)
-                df.update(own.keys())
+                n.update(words)
+                df.update(set(words))
                 size += len(n) + 1
                 if size > HELD:
                     yield from flush()
