@@ -95,3 +95,30 @@ def indel_ratio(a: Column, b: Column) -> Column:
 
     lcs = F.element_at(F.aggregate(F.split(a, ""), zero, row), -1)
     return F.when((F.length(a) > 0) & (F.length(b) > 0), F.lit(200.0) * lcs / (F.length(a) + F.length(b))).otherwise(F.lit(0.0))
+
+
+def indel_at_least(a: Column, b: Column, floor: float) -> Column:
+    """indel_ratio where it reaches `floor`, else NULL: only diagonals that can hold such a pair are computed.
+
+    With a ratio of `floor` at most (1 - floor / 100) of all characters are left out, so the longest common subsequence stays
+    within that many diagonals. A row holds its values there, from the left diagonal to the right one; -1 lies outside.
+    """
+    m, n = F.length(a), F.length(b)
+    band = F.floor((m + n) * F.lit(round(1 - floor / 100, 10)) + F.lit(1e-9)).cast("int")
+    xs, ys = F.split(a, ""), F.split(b, "")
+    offsets = F.sequence(F.lit(0), 2 * band)
+    begin = F.transform(offsets, lambda k: F.when((k >= band) & (k - band <= n), 0).otherwise(-1))
+
+    def row(last: Column, i: Column) -> Column:
+        def cell(done: Column, k: Column) -> Column:
+            j = i - band + k
+            same = F.get(last, k) + 1
+            best = F.greatest(F.coalesce(F.get(last, k + 1), F.lit(-1)), F.coalesce(F.get(done, F.size(done) - 1), F.lit(-1)))
+            value = F.when((j < 0) | (j > n), -1).when(j == 0, 0).when(F.get(xs, i - 1) == F.get(ys, j - 1), same).otherwise(best)
+            return F.concat(done, F.array(value))
+
+        return F.aggregate(offsets, F.array().cast("array<int>"), cell)
+
+    lcs = F.get(F.aggregate(F.sequence(F.lit(1), m), begin, row), n - m + band)
+    ratio = F.lit(200.0) * lcs / (m + n)
+    return F.when((m > 0) & (n > 0) & (F.abs(m - n) <= band), F.when(ratio >= floor, ratio))

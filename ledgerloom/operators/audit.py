@@ -66,24 +66,32 @@ def link(audit: DataFrame, master: DataFrame) -> DataFrame:
     )
 
 
-def findings(pages: DataFrame, audit: DataFrame, *, title: str = "Appendix", most: int = 3) -> DataFrame:
-    """audit_row, findings: up to `most` passages of the report's body (the pages before the appendix) that name an audit address.
+def findings(pages: DataFrame, audit: DataFrame, *, title: str = "Appendix", most: int = 3, before: int = 160, after: int = 260) -> DataFrame:
+    """audit_row, findings: the first `most` mentions of an audit address in the report's body (the pages before the appendix), in order of page and place.
+
+    Each mention is shown with the `before` characters before and the `after` characters after it, however near the next one is.
 
     pages(page, text), audit(audit_row, address). The join is on the number and the first word of the street; the passage is then
     held against the address, in which Street may be written St or St.
     """
     body = pages.join(pages.filter(F.contains("text", F.lit(title))).agg(F.min("page").alias("until")), F.lit(True))  # one row
     flat = body.filter(F.col("until").isNull() | (F.col("page") < F.col("until"))).select("page", F.regexp_replace("text", r"\s+", " ").alias("flat"))
-    spot = r"(\d+(?:-\d+)?[a-z]?) ([a-z0-9]+)"
-    tokens = F.transform(F.sequence(F.lit(0), F.size(F.col("w")) - 2), lambda k: F.concat_ws(" ", F.get("w", k), F.regexp_extract(F.get("w", k + 1), "^([a-z0-9]+)", 1)))
-    words = flat.withColumn("w", F.split(F.lower("flat"), " ")).withColumn("w", F.transform("w", lambda x: F.regexp_replace(x, r"^[^a-z0-9]+", "")))
-    spots = words.filter(F.size("w") > 1).select("page", "flat", F.explode(F.array_distinct(F.filter(tokens, lambda t: t.rlike(f"^{spot}$")))).alias("spot"))
+    low = F.lower("flat")
+    named = lambda number: F.zip_with(*[F.regexp_extract_all(low, F.lit(rf"\b({number})(?=\s+([a-z0-9]+))"), F.lit(k)) for k in (1, 2)], lambda a, b: F.concat_ws(" ", a, b))
+    spots = flat.select("page", "flat", F.explode(F.array_distinct(F.concat(named(r"\d+[a-z]?"), named(r"\d+-\d+[a-z]?")))).alias("spot"))
     number, street = _numbered(F.col("address"))
     asked = audit.select("audit_row", number.alias("number"), street.alias("street")).filter((F.col("number") != "") & (F.length("street") >= 5))
     asked = asked.withColumn("spot", F.lower(F.concat_ws(" ", "number", F.regexp_extract("street", "^([A-Za-z0-9]+)", 1))))
     quoted = lambda c: F.concat(F.lit(r"\Q"), c, F.lit(r"\E"))
     pattern = F.concat(F.lit(r"(?i)\b"), quoted(F.col("number")), F.lit(r"\s+"), F.replace(quoted(F.col("street")), F.lit("Street"), F.lit(r"\E(?:Street|St\.?)\Q")))
     both = asked.join(spots, "spot").withColumn("pattern", pattern)
-    around = both.select("audit_row", "page", F.explode(F.expr(r"regexp_extract_all(flat, concat('.{0,160}', pattern, '.{0,260}'), 0)")).alias("said"))
-    kept = F.slice(F.array_sort(F.collect_list(F.struct("page", "said"))), 1, most)
-    return around.groupBy("audit_row").agg(F.array_join(F.transform(kept, lambda x: F.concat(F.lit("[p."), x["page"].cast("string"), F.lit("] "), F.trim(x["said"]))), " || ").alias("findings"))
+    # where a text is cut at the pattern, the lengths of the pieces give the places
+    both = both.withColumns({"hits": F.expr("regexp_extract_all(flat, pattern, 0)"), "between": F.expr("split(flat, pattern, -1)")}).filter(F.size("hits") > 0)
+    place = lambda acc, k: F.concat(acc, F.array(F.coalesce(F.get(acc, k - 1) + F.length(F.get("hits", k - 1)), F.lit(0)) + F.length(F.get("between", k))))
+    starts = F.aggregate(F.sequence(F.lit(0), F.size("hits") - 1), F.array().cast("array<int>"), place)
+    spans = both.select("audit_row", "page", "flat", F.explode(F.arrays_zip(starts.alias("start"), F.transform("hits", lambda h: F.length(h)).alias("size"))).alias("at"))
+    first = F.greatest(F.col("at.start") - before, F.lit(0))
+    said = F.regexp_replace(F.substring(F.col("flat"), first + 1, F.col("at.start") + F.col("at.size") + after - first), r"^\s+|\s+$", "")
+    around = spans.select("audit_row", "page", F.col("at.start").alias("start"), said.alias("said")).distinct()
+    kept = F.slice(F.array_sort(F.collect_list(F.struct("page", "start", "said"))), 1, most)
+    return around.groupBy("audit_row").agg(F.array_join(F.transform(kept, lambda x: F.concat(F.lit("[p."), x["page"].cast("string"), F.lit("] "), x["said"])), " || ").alias("findings"))

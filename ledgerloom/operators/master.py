@@ -14,7 +14,7 @@ def normalise(raw: DataFrame) -> DataFrame:
     df = raw.withColumns({"bbl": F.when(whole("bbl") != "", F.lpad(whole("bbl"), 10, "0")).otherwise(""), "bin": F.when(whole("bin") != "", F.lpad(whole("bin"), 7, "0")).otherwise("")})
     df = df.withColumns({"year": F.when(whole("year") == "0", "").otherwise(whole("year")), "bin_is_placeholder": F.col("bin").endswith("000000"), "street_canonical": address.canonical_street(F.col("street"))})
     hn = address.house_number(F.col("num"), F.col("borough"))
-    return df.withColumns({"hn_low": hn["low"], "hn_high": hn["high"], "address_key": F.coalesce(address.address_key(F.col("borough"), F.col("num"), F.col("street")), F.lit("")),
+    return df.withColumns({"hn_low": hn["low"], "hn_high": hn["high"], "address_key": F.coalesce(address.key_of(F.col("borough"), F.col("num"), F.col("street_canonical")), F.lit("")),
                            "address_normalized": F.when(hn.isNotNull() & (F.col("street_canonical") != ""), F.concat_ws(" ", hn["text"], "street_canonical")).otherwise("")})
 
 

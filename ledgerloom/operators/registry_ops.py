@@ -102,14 +102,17 @@ def new_content(files: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def with_counts(registry: DataFrame, actions: DataFrame, diagnostics: DataFrame, run_ts: str) -> DataFrame:
-    """Registry with the figures of the last parse: parsed, parsed_at (of the first parse), n_actions, n_matches, errors.
+    """Registry with the figures of the last parse: parsed, parsed_at (of the first parse), n_actions, n_matches, how the text was extracted, its pages and characters, errors.
 
-    registry: bulletin_id, parsed, parsed_at, processing_errors. diagnostics: bulletin_id, needs_ocr, marker_found, notes
-    (array). Of the old errors those of the download stay, of the new notes all but orphan lines.
+    registry: bulletin_id, parsed, parsed_at, processing_errors. diagnostics: those of `segment.diagnose`. Of the old errors those of
+    the download stay, of the new notes all but orphan lines. Bulletins without diagnostics keep what they have.
     """
+    facts = {"extraction_method": "string", "page_count": "int", "text_chars": "int", "has_text_layer": "boolean"}
+    registry = registry.withColumns({k: F.lit("" if kind == "string" else None).cast(kind) for k, kind in facts.items() if k not in registry.columns})
     linked = F.col("pops_relation").isin("pops_text_and_property_match", "pops_text_only", "property_match_only")
     per = actions.groupBy("bulletin_id").agg(F.count("*").alias("n_actions"), F.count_if(linked).alias("n_matches"))
-    df = registry.join(diagnostics.withColumn("diagnosed", F.lit(True)), "bulletin_id", "left").join(per, "bulletin_id", "left")
+    told = diagnostics.select("bulletin_id", "needs_ocr", "marker_found", "notes", F.col("extraction_method").alias("method"), "n_pages", "n_chars", F.lit(True).alias("diagnosed"))
+    df = registry.join(told, "bulletin_id", "left").join(per, "bulletin_id", "left")
     seen, before = F.coalesce("diagnosed", F.lit(False)), (F.lower(F.col("parsed").cast("string")) == "true") & (F.col("parsed_at") != "")
     old = F.filter(F.split("processing_errors", "; "), lambda e: e.rlike("^(?:download_failed|pdf_replaced_upstream)(?::|$)|^url_changed"))
     notes = F.filter(F.coalesce("notes", F.array().cast("array<string>")), lambda n: ~n.startswith("orphan line"))
@@ -117,5 +120,7 @@ def with_counts(registry: DataFrame, actions: DataFrame, diagnostics: DataFrame,
     return df.select(
         "bulletin_id", F.when(seen, ~F.coalesce("needs_ocr", F.lit(False))).otherwise(F.lower(F.col("parsed").cast("string")) == "true").alias("parsed"),
         F.when(seen & ~before, F.lit(run_ts)).otherwise(F.col("parsed_at")).alias("parsed_at"), F.when(seen, F.coalesce("n_actions", F.lit(0))).alias("n_actions"),
-        F.when(seen, F.coalesce("n_matches", F.lit(0))).alias("n_matches"), F.when(seen, F.array_join(F.concat(old, notes, missing), "; ")).otherwise(F.col("processing_errors")).alias("processing_errors"),
+        F.when(seen, F.coalesce("n_matches", F.lit(0))).alias("n_matches"), F.when(seen, F.coalesce("method", F.lit(""))).otherwise(F.col("extraction_method")).alias("extraction_method"),
+        F.when(seen, F.col("n_pages")).otherwise(F.col("page_count")).alias("page_count"), F.when(seen, F.col("n_chars")).otherwise(F.col("text_chars")).alias("text_chars"),
+        F.when(seen, ~F.coalesce("needs_ocr", F.lit(False))).otherwise(F.col("has_text_layer")).alias("has_text_layer"), F.when(seen, F.array_join(F.concat(old, notes, missing), "; ")).otherwise(F.col("processing_errors")).alias("processing_errors"),
     )

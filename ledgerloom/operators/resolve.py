@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import ahocorasick
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import address, rules, text
 from ..session import cut
+from . import joins
 
 LEVELS = ("bbl", "bin", "address_exact", "address_range", "address_fuzzy")
 ACCEPT, FLOOR = 96, 88  # fixed values: fuzzy scores that are accepted, and that are considered at all
@@ -21,19 +26,41 @@ def evidence(actions: DataFrame, master: DataFrame, geocodes: DataFrame) -> Data
     rows = actions.select("action_id", F.posexplode("candidates").alias("pos", "a"), F.col("borough").alias("action_borough"))
     known = F.coalesce(F.col("a.borough"), F.when(F.col("action_borough") != "", F.col("action_borough")))
     rows = rows.withColumn("borough", F.explode(F.when(known.isNotNull(), F.array(known)).otherwise(F.array(*map(F.lit, rules.BOROUGH_CODES)))))
-    rows = rows.withColumn("inferred", known.isNull()).withColumn("query_key", address.address_key(F.col("borough"), F.col("a.number"), F.col("a.street"))).filter("query_key is not null")
+    rows = with_streets(rows.withColumns({"inferred": known.isNull(), "written": F.col("a.street"), "number": F.col("a.number")}))
+    rows = rows.withColumn("query_key", address.key_of(F.col("borough"), F.col("number"), F.col("street"))).filter("query_key is not null")
     keys = master.select(F.col("address_key").alias("query_key")).filter("query_key <> ''").distinct()
     rows = rows.filter("not inferred").unionByName(rows.filter("inferred").join(keys, "query_key", "left_semi"))
     geo = geocodes.select("query_key", F.col("bbl").alias("geo_bbl"), F.col("bin").alias("geo_bin"), F.col("status").alias("geo_status"))
     rows = rows.join(geo, "query_key", "left").withColumn("geo_status", F.coalesce("geo_status", F.lit("not_geocoded")))
     ok = F.col("geo_status") == "ok"
     rows = rows.withColumns({"geo_bbl": F.when(ok, F.nullif("geo_bbl", F.lit(""))), "geo_bin": F.when(ok, F.nullif("geo_bin", F.lit("")))})
-    rows = rows.withColumns({"street": address.canonical_street(F.col("a.street")), "hn": address.house_number(F.col("a.number"), F.col("borough"))})
-    return rows.select("action_id", "pos", "query_key", "borough", "street", "hn", "geo_bbl", "geo_bin", "geo_status", "inferred", F.col("a.number").alias("number"))
+    rows = rows.withColumn("hn", address.house_number(F.col("number"), F.col("borough")))
+    return rows.select("action_id", "pos", "query_key", "borough", "street", "hn", "geo_bbl", "geo_bin", "geo_status", "inferred", "number", "written")
+
+
+def with_streets(rows: DataFrame) -> DataFrame:
+    """rows(written, ...) with street, its canonical form; each way to write a street is worked out once, however many rows have it."""
+    ways = cut(rows.select("written").distinct().withColumn("street", address.canonical_street(F.col("written"))))
+    return rows.join(ways, "written", "left")
+
+
+OUTCOME = {
+    "pops_id": "", "match_method": "none", "match_confidence": "none", "match_score": 0.0, "match_status": "no_match", "match_candidates": "", "match_notes": "",
+    "matched_address_key": "", "geocoded_bbl": "", "geocoded_bin": "", "geocode_status": "no_address",
+}
+
+
+def geocoded(proofs: DataFrame) -> DataFrame:
+    """action_id, geocoded_bbl, geocoded_bin and geocode_status: what the geocoder said of an action's addresses, in their order, each once."""
+    code = address.lookup({k: str(v) for k, v in rules.BOROUGH_CODES.items()}, F.col("borough"))
+    seen = F.array_sort(F.collect_list(F.struct("pos", code.alias("code"), "geo_bbl", "geo_bin", "geo_status")))
+    said = lambda c: F.array_join(F.array_distinct(F.filter(F.transform("seen", lambda x: x[c]), lambda v: v.isNotNull())), ";")
+    per = proofs.groupBy("action_id").agg(seen.alias("seen"))
+    return per.select("action_id", said("geo_bbl").alias("geocoded_bbl"), said("geo_bin").alias("geocoded_bin"), said("geo_status").alias("geocode_status"))
 
 
 def match(actions: DataFrame, proofs: DataFrame, master: DataFrame) -> DataFrame:
-    """pops_id, match_method, match_confidence, match_score, match_status and match_candidates of every action.
+    """OUTCOME of every action: its site, how it was found and how surely, the candidates if there are several, notes, and the geocoder's word.
 
     All levels are joins on equal keys; the lowest level with a candidate wins, and several sites there are ambiguous.
     """
@@ -42,50 +69,68 @@ def match(actions: DataFrame, proofs: DataFrame, master: DataFrame) -> DataFrame
     ids = actions.select("action_id", "identifiers", "borough")
     code = address.lookup({k: str(v) for k, v in rules.BOROUGH_CODES.items()}, F.col("borough"))
     lots = F.transform("identifiers.block_lot", lambda x: F.concat(code, F.lpad(F.split_part(x, F.lit("/"), F.lit(1)), 5, "0"), F.lpad(F.split_part(x, F.lit("/"), F.lit(2)), 4, "0")))
-    written = ids.select("action_id", F.explode(F.concat("identifiers.bbl", F.when(code.isNotNull(), lots).otherwise(F.array().cast("array<string>")))).alias("bbl"))
-    bbls = written.unionByName(proofs.filter("geo_bbl is not null").select("action_id", F.col("geo_bbl").alias("bbl")))
-    bins = ids.select("action_id", F.explode("identifiers.bin").alias("bin")).unionByName(proofs.filter("geo_bin is not null").select("action_id", F.col("geo_bin").alias("bin")))
+    text_, geocode, blank = F.lit("text").alias("via"), F.lit("geocode").alias("via"), F.lit("")
+    written = ids.select("action_id", text_, F.explode(F.concat("identifiers.bbl", F.when(code.isNotNull(), lots).otherwise(F.array().cast("array<string>")))).alias("bbl"))
+    bbls = written.unionByName(proofs.filter("geo_bbl is not null").select("action_id", geocode, F.col("geo_bbl").alias("bbl")))
+    bins = ids.select("action_id", text_, F.explode("identifiers.bin").alias("bin")).unionByName(proofs.filter("geo_bin is not null").select("action_id", geocode, F.col("geo_bin").alias("bin")))
+
+    def level(df: DataFrame, n: int, conf: Column, score: Column, note: Column, pos="pos", key=blank) -> DataFrame:
+        pos = F.lit(pos) if isinstance(pos, int) else F.col(pos)
+        return df.select("action_id", "pops_id", F.lit(n).alias("level"), conf.alias("conf"), score.cast("double").alias("score"), pos.cast("int").alias("pos"), note.alias("note"), key.alias("key"))
+
     exact = proofs.join(site.select("pops_id", F.col("address_key").alias("query_key"), F.col("bbl").alias("site_bbl")), "query_key")
     agrees = exact.select("action_id", "pops_id").distinct().withColumn("agrees", F.lit(True))
-    by_bbl = bbls.join(site.filter("bbl <> ''"), "bbl").select("action_id", "pops_id").distinct().join(agrees, ["action_id", "pops_id"], "left")
-    any_agrees = by_bbl.groupBy("action_id").agg(F.max(F.coalesce("agrees", F.lit(False))).alias("agrees"))
-    found = [by_bbl.drop("agrees").join(any_agrees, "action_id").select("action_id", "pops_id", F.lit(1).alias("level"), F.lit("high").alias("conf"), F.when(F.col("agrees"), 1.0).otherwise(0.95).alias("score"), F.lit(0).alias("pos"))]
-    by_bin = bins.join(site.filter("bin <> '' and not bin_is_placeholder"), "bin")
-    found.append(by_bin.select("action_id", "pops_id", F.lit(2).alias("level"), F.lit("high").alias("conf"), F.lit(0.9).alias("score"), F.lit(0).alias("pos")))
+    by_bbl = bbls.join(site.filter("bbl <> ''"), "bbl").groupBy("action_id", "pops_id").agg(F.collect_set("via").alias("via")).join(agrees, ["action_id", "pops_id"], "left")
+    ways = by_bbl.groupBy("action_id").agg(F.max(F.coalesce("agrees", F.lit(False))).alias("any"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("via")))).alias("ways"))
+    note = F.concat(F.lit("bbl via "), F.array_join("ways", "+"), F.when(F.col("any"), "; address agrees too").otherwise(""))
+    found = [level(by_bbl.join(ways, "action_id"), 1, F.lit("high"), F.when(F.col("any"), 1.0).otherwise(0.95), note, pos=0)]
+
+    by_bin = bins.join(site.filter("bin <> '' and not bin_is_placeholder"), "bin").join(ids.select("action_id", (F.size("identifiers.bin") > 0).alias("worded")), "action_id")
+    found.append(level(by_bin, 2, F.lit("high"), F.lit(0.9), F.when(F.col("worded"), "bin via text").otherwise("bin via geocode"), pos=0))
+
     differs = F.col("geo_bbl").isNotNull() & (F.col("site_bbl") != "") & (F.col("site_bbl") != F.col("geo_bbl"))
     score = F.when(differs, 0.6).otherwise(0.9)
-    found.append(
-        exact.select(
-            "action_id", "pops_id", F.lit(3).alias("level"), F.when(differs | F.col("inferred"), "medium").otherwise("high").alias("conf"),
-            F.when(F.col("inferred"), F.least(score, F.lit(0.7))).otherwise(score).alias("score"), "pos",
-        )
-    )
-    overlap = (F.col("hn.low") <= F.col("hn_high")) & (F.col("hn.high") >= F.col("hn_low"))
-    same_street = proofs.filter("hn is not null").join(site.withColumnRenamed("borough", "site_borough"), (F.col("borough") == F.col("site_borough")) & (F.col("street") == F.col("street_canonical")))
-    ranges = same_street.filter(overlap & ((F.col("hn.kind") == "range") | (F.col("hn_low") != F.col("hn_high"))))
-    found.append(ranges.select("action_id", "pops_id", F.lit(4).alias("level"), F.lit("medium").alias("conf"), F.lit(0.75).alias("score"), "pos"))
-    alike = similar_streets(proofs, site)
-    near = proofs.filter("hn is not null").join(alike, ["borough", "street"]).withColumnRenamed("borough", "of")
-    fuzzy = near.join(site.withColumnRenamed("street_canonical", "other"), (F.col("of") == F.col("borough")) & (F.col("other") == F.col("street_canonical"))).filter(overlap)
+    unsure = F.when(differs, "the geocoded bbl is not the site's").when(F.col("geo_status") != "ok", F.concat(F.lit("not confirmed by the geocoder ("), "geo_status", F.lit(")")))
+    note = F.concat_ws("; ", unsure, F.when(F.col("inferred"), "borough inferred from the only site with this address"))
+    conf = F.when(differs | F.col("inferred"), "medium").otherwise("high")
+    found.append(level(exact, 3, conf, F.when(F.col("inferred"), F.least(score, F.lit(0.7))).otherwise(score), note, key=F.col("query_key")))
+
+    numbered = proofs.filter("hn is not null").select("action_id", "pos", "query_key", "borough", "street", "written", F.col("hn.kind").alias("kind"), F.col("hn.low").alias("low"), F.col("hn.high").alias("high"))
+    on_street = site.select("pops_id", "borough", F.col("street_canonical").alias("street"), "hn_low", "hn_high")
+    ranges = joins.overlapping(numbered, on_street, ["borough", "street"], ("low", "high"), ("hn_low", "hn_high")).filter("kind = 'range' or hn_low <> hn_high")
+    found.append(level(ranges, 4, F.lit("medium"), F.lit(0.75), F.lit("number ranges overlap"), key=F.col("query_key")))
+
+    near = numbered.join(similar_streets(proofs, site), ["borough", "street"]).drop("street")
+    fuzzy = joins.overlapping(near, on_street.withColumnRenamed("street", "street_canonical"), ["borough", "street_canonical"], ("low", "high"), ("hn_low", "hn_high"))
     top = fuzzy.groupBy("action_id").agg(F.max("ratio").alias("top"))
-    winners = fuzzy.join(top, "action_id").filter("ratio = top").join(actions.select("action_id", F.col("enforcement_text").alias("said")), "action_id")
-    conf = F.when((F.col("top") >= ACCEPT) & ~F.col("variant"), "medium").when(corroborated(F.col("building_name"), F.col("said")), "medium").otherwise("low")
-    found.append(winners.select("action_id", "pops_id", F.lit(5).alias("level"), conf.alias("conf"), (F.col("top") / 100 * 0.8).alias("score"), "pos"))
+    winners = fuzzy.join(top, "action_id").filter("ratio = top").join(site.select("pops_id", "building_name"), "pops_id").join(actions.select("action_id", F.col("enforcement_text").alias("said")), "action_id")
+    winners = winners.withColumn("named", F.coalesce(corroborated(F.col("building_name"), F.col("said")), F.lit(False)))
+    conf = F.when(((F.col("top") >= ACCEPT) & ~F.col("variant")) | F.col("named"), "medium").otherwise("low")
+    kind = F.when(F.col("variant"), "one compass word more or less").otherwise(F.format_string("street name alike by %.0f", "top"))
+    note = F.concat(kind, F.lit(" ('"), "written", F.lit("' ~ '"), "street_canonical", F.lit("')"))
+    named = F.when(F.col("named"), F.concat(F.lit("building name '"), "building_name", F.lit("' in the text")))
+    found.append(level(winners.withColumns({"note": note, "more": named}), 5, conf, F.col("top") / 100 * 0.8, F.concat_ws("\x1f", "note", "more"), key=F.col("query_key")))
+
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
     first = every.groupBy("action_id").agg(F.min("level").alias("best"))
     at = every.join(first, "action_id").filter("level = best")
     seen = F.array_sort(F.collect_list(F.struct("pos", "pops_id")))
-    out = at.groupBy("action_id", "best").agg(F.array_distinct(F.transform(seen, lambda x: x["pops_id"])).alias("ids"), F.min_by(F.struct("conf", "score"), F.struct("pos", "pops_id")).alias("lead"))
-    one = F.size("ids") == 1
+    out = at.groupBy("action_id", "best").agg(F.array_distinct(F.transform(seen, lambda x: x["pops_id"])).alias("ids"), F.min_by(F.struct("conf", "score", "note", "key"), F.struct("pos", "pops_id")).alias("lead"))
+    one, method = F.size("ids") == 1, F.element_at(F.array(*map(F.lit, LEVELS)), F.col("best"))
+    several = F.concat(F.size("ids").cast("string"), F.lit(" candidates at level "), method)
+    parts = F.split("lead.note", "\x1f")  # a building's name speaks for one site only
+    notes = F.when(one, F.array_join(parts, "; ")).otherwise(F.concat_ws("; ", F.nullif(F.get(parts, F.lit(0)), blank), several))
     out = out.select(
-        "action_id", F.when(one, F.get("ids", F.lit(0))).otherwise("").alias("pops_id"), F.element_at(F.array(*map(F.lit, LEVELS)), F.col("best")).alias("match_method"),
+        "action_id", F.when(one, F.get("ids", F.lit(0))).otherwise("").alias("pops_id"), method.alias("match_method"),
         F.when(one, F.col("lead.conf")).otherwise("none").alias("match_confidence"), F.when(one, F.bround("lead.score", 3)).otherwise(0.0).alias("match_score"),
         F.when(one, "matched").otherwise("ambiguous").alias("match_status"), F.when(one, "").otherwise(F.array_join("ids", ";")).alias("match_candidates"),
+        notes.alias("match_notes"), F.col("lead.key").alias("matched_address_key"),
     )
-    blank = {"pops_id": "", "match_method": "none", "match_confidence": "none", "match_score": 0.0, "match_status": "no_match", "match_candidates": ""}
-    return actions.select("action_id").join(out, "action_id", "left").fillna(blank)
+    every = actions.select("action_id").join(geocoded(proofs), "action_id", "left").join(out, "action_id", "left")
+    nothing = F.when(F.col("geocode_status").isNull(), "no address to look up").otherwise("no site at this address")
+    return every.withColumn("match_notes", F.coalesce("match_notes", nothing)).fillna(OUTCOME).select("action_id", *OUTCOME)
 
 
 def similar_streets(proofs: DataFrame, site: DataFrame) -> DataFrame:
@@ -99,16 +144,42 @@ def similar_streets(proofs: DataFrame, site: DataFrame) -> DataFrame:
     known = site.select("borough", "street_canonical").distinct()
     left = asked.withColumns(dict(zip(("digits", "compass"), keys("street"), strict=True)))
     right = known.withColumns(dict(zip(("digits", "compass"), keys("street_canonical"), strict=True)))
-    same = left.join(right, ["borough", "digits", "compass"]).filter("street <> street_canonical")
-    short, both = F.least(F.length("street"), F.length("street_canonical")), F.length("street") + F.length("street_canonical")
-    same = same.filter(200 * short >= FLOOR * both)  # a common subsequence is no longer than the shorter name
-    same = same.select("borough", "street", "street_canonical", text.indel_ratio(F.col("street"), F.col("street_canonical")).alias("ratio"), F.lit(False).alias("variant"))
+    same = cut(gram_pairs(left, right, ["borough", "digits", "compass"], "street", "street_canonical").filter("street <> street_canonical"))  # else the ratio is computed once a gram
+    same = same.select("borough", "street", "street_canonical", text.indel_at_least(F.col("street"), F.col("street_canonical"), FLOOR).alias("ratio"), F.lit(False).alias("variant"))
     short = lambda c: F.regexp_replace(c, " (EAST|WEST|NORTH|SOUTH)$", "")
     longer = known.withColumn("street", short("street_canonical")).filter("street <> street_canonical").join(asked, ["borough", "street"])
     shorter = asked.withColumn("street_canonical", short("street")).filter("street <> street_canonical").join(known, ["borough", "street_canonical"])
     variants = longer.select("borough", "street", "street_canonical").unionByName(shorter.select("borough", "street", "street_canonical"))
     variants = variants.select("*", F.lit(88.0).alias("ratio"), F.lit(True).alias("variant"))
-    return same.filter(F.col("ratio") >= FLOOR).unionByName(variants)
+    return same.filter("ratio is not null").unionByName(variants)
+
+
+def gram_pairs(left: DataFrame, right: DataFrame, keys: list[str], name: str, other: str, *, floor: float = FLOOR) -> DataFrame:
+    """keys, name, other: pairs of equal keys that may reach an indel ratio of `floor`, and a few that don't.
+
+    left and right have distinct rows of (keys, name) and (keys, other). A letter that goes spoils two pairs of neighbouring letters at
+    most, and one that comes spoils one; the ratio bounds how many go and come, and so the part of a name's pairs that the other
+    lacks. Of one pair more than that, one is shared, whichever are taken: the rarest within the keys, so that common words bring
+    no candidates together. Lengths must allow for the ratio, too.
+    """
+    gone = 1 - floor / 100  # of both names' letters
+    spoilt = 2 * gone * max(2 / (1 + gone), 1 / (1 - gone))  # pairs a letter of the name: if letters only go, or only come
+
+    def grams(df: DataFrame, column: str) -> DataFrame:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(column) - 1, F.lit(1)))
+        return df.select(*keys, F.col(column), F.explode(F.array_distinct(F.transform(starts, lambda k: F.substring(F.col(column), k, F.lit(2))))).alias("gram"))
+
+    common = grams(right, other).groupBy(*keys, "gram").agg(F.count("*").alias("times"))
+
+    def rare(df: DataFrame, column: str) -> DataFrame:
+        ranked = grams(df, column).join(common, [*keys, "gram"], "left")
+        own = ranked.groupBy(*keys, column).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("times", F.lit(0)).alias("times"), "gram"))).alias("own"))
+        wanted = F.floor(F.length(column) * F.lit(spoilt) + F.lit(1e-9)).cast("int") + 1
+        return own.select(*keys, column, F.explode(F.slice("own", F.lit(1), wanted)["gram"]).alias("gram"))
+
+    pairs = rare(left, name).join(rare(right, other), [*keys, "gram"])
+    short, both = F.least(F.length(name), F.length(other)), F.length(name) + F.length(other)
+    return pairs.filter(200 * short >= floor * both).select(*keys, name, other).distinct()
 
 
 def _plain(name):
@@ -139,27 +210,70 @@ def names_in_text(texts: DataFrame, names: DataFrame, key: str) -> DataFrame:
     return tokens.join(known, "token").filter(corroborated(F.col("name"), F.col("said"))).select(key, "pops_id").distinct()
 
 
-def passages_in_text(docs: DataFrame, items: DataFrame, *, most: int = 4) -> DataFrame:
-    """item_id, doc_id, place (from 1) of every passage of items(item_id, text) that a text of docs(doc_id, text) holds.
+HEAD, MOST_HEADS, MOST_BYTES = 24, 500_000, 32 << 20  # letters of a passage in the automaton; bounds of what every task may hold
+
+
+def passages_in_text(docs: DataFrame, items: DataFrame, *, most_heads: int = MOST_HEADS, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """item_id, doc_id, place (from 1) of every passage of items(item_id, text) that a text of docs(doc_id, text) holds; its first place there.
+
+    Passages of a checked size go to every task, as an automaton of their first letters that reads each text once; where one
+    of these stands the whole passage is compared. Larger tables of passages are joined on hashes of tokens (`passages_by_tokens`).
+    """
+    known = cut(items.filter("text <> ''").select(F.col("item_id").cast("long").alias("item_id"), "text"))
+    n, size = known.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    if n > most_heads or size > most_bytes:
+        return passages_by_tokens(docs, known)
+    held = docs.sparkSession.sparkContext.broadcast([(r["item_id"], r["text"]) for r in known.collect()])  # n and size are checked
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heads: dict[str, list] = {}
+        for item, passage in held.value:
+            heads.setdefault(passage[:HEAD], []).append((item, passage))
+        automaton = ahocorasick.Automaton()
+        for head, own in heads.items():
+            automaton.add_word(head, (len(head), own))
+        automaton.make_automaton()
+        for batch in batches:
+            rows: list[tuple] = []
+            for doc, text in zip(batch["doc_id"].to_pylist(), batch["body"], strict=True):
+                text, seen = text.as_py(), set()
+                for end, (k, own) in automaton.iter(text) if heads else ():
+                    begin = end + 1 - k
+                    for item, passage in own:
+                        if (item, passage) not in seen and text.startswith(passage, begin):
+                            seen.add((item, passage))
+                            rows.append((item, doc, begin + 1))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], ["item_id", "doc_id", "place"])
+
+    body = docs.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("body"))
+    return body.mapInArrow(run, "item_id long, doc_id long, place long")
+
+
+def passages_by_tokens(docs: DataFrame, items: DataFrame, *, most: int = 4) -> DataFrame:
+    """passages_in_text for any number of passages, by a join.
 
     All but the first and last blank-separated token of a passage are tokens of the text, too, so the join is on the hash of up to
-    `most` tokens after the first; a passage of one or two tokens is joined on its first characters, as many as all such
-    passages have. Candidates are then held against the whole passage.
+    `most` tokens after the first, for the numbers of tokens that occur; a passage of one or two tokens is joined on its first
+    characters, as many as all such passages have. Candidates are then held against the whole passage.
     """
     tokens = lambda c: F.split(c, " ", -1)
     n = F.greatest(F.lit(0), F.least(F.lit(most), F.size(tokens(F.col("text"))) - 2))
     known = items.select("item_id", F.col("text").alias("passage"), n.alias("n"), F.xxhash64(F.array_join(F.slice(tokens(F.col("text")), F.lit(2), n), " ")).alias("key")).filter("passage <> ''")
     own = docs.select("doc_id", F.col("text").alias("body")).filter("body is not null")
-    grams = own.select("doc_id", tokens(F.col("body")).alias("w")).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(most))))
-    starts = F.filter(F.sequence(F.lit(1), F.size("w")), lambda k: k + F.col("n") - 1 <= F.size("w"))
-    grams = grams.select("doc_id", "n", F.explode(F.array_distinct(F.transform(starts, lambda k: F.xxhash64(F.array_join(F.slice("w", k, F.col("n")), " "))))).alias("key"))
-    pairs = grams.join(known.filter("n > 0").select("item_id", "n", "key"), ["n", "key"]).select("doc_id", "item_id").distinct()
-    short = known.filter("n = 0")
-    size = short.agg(F.min(F.length("passage")).alias("size"))
-    cut = own.join(size, F.col("size").isNotNull())  # one row
-    cut = cut.select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("body"), F.lit(1))), lambda k: F.substring("body", k, F.col("size"))))).alias("head"))
-    few = short.join(size, F.lit(True)).select("item_id", F.substring("passage", F.lit(1), F.col("size")).alias("head"))
-    pairs = pairs.unionByName(cut.join(few, "head").select("doc_id", "item_id").distinct())
+    lengths = sorted(r["n"] for r in known.select("n").distinct().collect())  # of 0 to `most`
+    pairs = docs.sparkSession.createDataFrame([], own.select("doc_id").schema).join(items.select("item_id").limit(0))
+    if any(lengths):
+        grams = own.select("doc_id", tokens(F.col("body")).alias("w")).withColumn("n", F.explode(F.array(*[F.lit(k) for k in lengths if k])))
+        starts = F.filter(F.sequence(F.lit(1), F.size("w")), lambda k: k + F.col("n") - 1 <= F.size("w"))
+        grams = grams.select("doc_id", "n", F.explode(F.array_distinct(F.transform(starts, lambda k: F.xxhash64(F.array_join(F.slice("w", k, F.col("n")), " "))))).alias("key"))
+        pairs = pairs.unionByName(grams.join(known.filter("n > 0").select("item_id", "n", "key"), ["n", "key"]).select("doc_id", "item_id").distinct())
+    if 0 in lengths:
+        short = known.filter("n = 0")
+        size = short.agg(F.min(F.length("passage")).alias("size"))
+        heads = own.join(size, F.col("size").isNotNull())  # one row
+        heads = heads.select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("body"), F.lit(1))), lambda k: F.substring("body", k, F.col("size"))))).alias("head"))
+        few = short.join(size, F.lit(True)).select("item_id", F.substring("passage", F.lit(1), F.col("size")).alias("head"))
+        pairs = pairs.unionByName(heads.join(few, "head").select("doc_id", "item_id").distinct())
     found = pairs.join(known.select("item_id", "passage"), "item_id").join(own, "doc_id").withColumn("place", F.instr("body", F.col("passage")).cast("long"))
     return found.filter("place > 0").select("item_id", "doc_id", "place").distinct()
 

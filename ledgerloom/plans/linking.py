@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import address
-from ..operators import audit, master, publish, registry_ops, resolve, review
+from ..operators import audit, joins, master, publish, registry_ops, resolve, review
+from ..session import cut
 from ..session import table as T
 from .actions import ACTIONS_SQL, actions, streets
 
@@ -70,27 +71,35 @@ def house_number(spark, d) -> DataFrame:
 _SITES_SQL = f"""s AS (SELECT c_custkey AS k, {BOROUGH_SQL} AS borough, c_custkey % 900 + 1 AS num, {CANONICAL} AS street FROM customer)"""
 
 
-@query(f"""WITH {_SITES_SQL}, a AS (SELECT o_orderkey AS id, o_orderkey % 7 AS kind, k, borough, num, street FROM orders JOIN s ON k = o_custkey),
+MISSPELT = f"CASE c_custkey % 5 WHEN 0 THEN 'East ' || {WRITTEN_NUMBER} || 'th Stret' WHEN 1 THEN 'West ' || {WRITTEN_NUMBER} || ' Stret' WHEN 2 THEN '6 Avenu' WHEN 3 THEN '23 Stret' ELSE 'Park Avenue' END"
+
+
+@query(f"""WITH s AS (SELECT c_custkey AS k, {BOROUGH_SQL} AS borough, c_custkey % 900 + 1 AS num, {CANONICAL} AS street, {MISSPELT} AS misspelt, CASE c_custkey % 5 WHEN 0 THEN 'EAST ' || {WRITTEN_NUMBER} || ' STRET' WHEN 1 THEN 'WEST ' || {WRITTEN_NUMBER} || ' STRET'
+WHEN 2 THEN '6 AVENU' WHEN 3 THEN '23 STRET' ELSE 'PARK AVENUE' END AS wrong FROM customer), a AS (SELECT o_orderkey AS id, o_orderkey % 7 AS kind, s.* FROM orders JOIN s ON k = o_custkey),
 hits AS (SELECT id, 1 AS level, k AS site FROM a WHERE kind IN (0, 4)
 UNION ALL SELECT id, 2, k FROM a WHERE kind = 1 AND k % 10 <> 0
 UNION ALL SELECT a.id, CASE kind WHEN 5 THEN 4 WHEN 6 THEN 5 ELSE 3 END, s.k FROM a JOIN s ON s.borough = a.borough AND s.street = a.street AND s.num BETWEEN a.num AND a.num + CASE kind WHEN 5 THEN 2 ELSE 0 END WHERE kind IN (1, 2, 6) OR (kind = 5 AND a.borough <> 'Queens')),
-best AS (SELECT id, min(level) AS level FROM hits GROUP BY id), per AS (SELECT h.id, h.level, list_sort(list(DISTINCT CAST(site AS VARCHAR))) AS ids FROM hits h JOIN best b ON h.id = b.id AND h.level = b.level GROUP BY 1, 2)
-SELECT a.id AS action_id, CASE WHEN len(ids) = 1 THEN ids[1] ELSE '' END AS pops_id, CASE level WHEN 1 THEN 'bbl' WHEN 2 THEN 'bin' WHEN 3 THEN 'address_exact' WHEN 4 THEN 'address_range' WHEN 5 THEN 'address_fuzzy' ELSE 'none' END AS match_method,
+best AS (SELECT id, min(level) AS level FROM hits GROUP BY id), per AS (SELECT h.id, h.level, list_sort(list(DISTINCT CAST(site AS VARCHAR))) AS ids FROM hits h JOIN best b ON h.id = b.id AND h.level = b.level GROUP BY 1, 2),
+m AS (SELECT a.*, level, ids, CASE level WHEN 1 THEN 'bbl' WHEN 2 THEN 'bin' WHEN 3 THEN 'address_exact' WHEN 4 THEN 'address_range' WHEN 5 THEN 'address_fuzzy' ELSE 'none' END AS method,
+CASE level WHEN 1 THEN CASE kind WHEN 0 THEN 'bbl via text' ELSE 'bbl via geocode' END WHEN 2 THEN 'bin via text' WHEN 3 THEN 'not confirmed by the geocoder (not_geocoded)' WHEN 4 THEN 'number ranges overlap'
+WHEN 5 THEN CASE WHEN k % 5 = 4 THEN 'one compass word more or less' ELSE 'street name alike by ' || CAST(round(200.0 * length(wrong) / (length(wrong) + length(street))) AS INTEGER) END || ' (''' || misspelt || ''' ~ ''' || street || ''')'
+ELSE CASE WHEN kind IN (0, 3) THEN 'no address to look up' ELSE 'no site at this address' END END AS note FROM a LEFT JOIN per ON per.id = a.id)
+SELECT id AS action_id, CASE WHEN len(ids) = 1 THEN ids[1] ELSE '' END AS pops_id, method AS match_method,
 CASE WHEN len(ids) > 1 OR level IS NULL THEN 'none' WHEN level <= 3 THEN 'high' WHEN level = 4 THEN 'medium' WHEN k % 5 < 2 THEN 'medium' ELSE 'low' END AS match_confidence,
-CASE WHEN level IS NULL THEN 'no_match' WHEN len(ids) = 1 THEN 'matched' ELSE 'ambiguous' END AS match_status, CASE WHEN len(ids) > 1 THEN array_to_string(ids, ';') ELSE '' END AS match_candidates FROM a LEFT JOIN per ON per.id = a.id""")
+CASE WHEN level IS NULL THEN 'no_match' WHEN len(ids) = 1 THEN 'matched' ELSE 'ambiguous' END AS match_status, CASE WHEN len(ids) > 1 THEN array_to_string(ids, ';') ELSE '' END AS match_candidates,
+note || CASE WHEN len(ids) > 1 THEN '; ' || len(ids) || ' candidates at level ' || method ELSE '' END AS match_notes,
+CASE WHEN level >= 3 THEN borough || '|' || num || CASE kind WHEN 5 THEN '-' || (num + 2) ELSE '' END || '|' || CASE kind WHEN 6 THEN wrong ELSE street END ELSE '' END AS matched_address_key,
+CASE kind WHEN 4 THEN CAST(1000000000 + k AS VARCHAR) ELSE '' END AS geocoded_bbl, '' AS geocoded_bin, CASE kind WHEN 0 THEN 'no_address' WHEN 3 THEN 'no_address' WHEN 4 THEN 'ok' ELSE 'not_geocoded' END AS geocode_status FROM m""")
 def match_hierarchy(spark, d) -> DataFrame:
     """All five levels: written BBL and BIN, exact address, geocoded BBL, number range (none in Queens, where it is one number), misspelt street."""
     acts, sites, geocodes = _linked(spark, d)
     out = resolve.match(acts, resolve.evidence(acts, sites, geocodes), sites)
-    return out.select("action_id", "pops_id", "match_method", "match_confidence", "match_status", "match_candidates")
-
-
-MISSPELT = f"CASE c_custkey % 5 WHEN 0 THEN 'East ' || {WRITTEN_NUMBER} || 'th Stret' WHEN 1 THEN 'West ' || {WRITTEN_NUMBER} || ' Stret' WHEN 2 THEN '6 Avenu' WHEN 3 THEN '23 Stret' ELSE 'Park Avenue' END"
+    return out.drop("match_score")
 
 
 def _linked(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Orders as actions of seven kinds about their customer as a site, the sites, and the geocoder's answers."""
-    sites = _sites(spark, d)
+    sites = cut(_sites(spark, d))  # its streets are worked out once
     orders = T(spark, d, "orders").select(F.col("o_orderkey").alias("action_id"), F.col("o_custkey").cast("string").alias("cust"))
     wrong = T(spark, d, "customer").selectExpr("cast(c_custkey as string) as cust", f"{_spark(MISSPELT)} as misspelt")
     df = orders.join(sites.select("pops_id", "borough", "num", "street", "bbl", "bin"), F.col("cust") == F.col("pops_id")).join(wrong, "cust").withColumn("kind", F.col("action_id") % 7)
@@ -110,7 +119,7 @@ SELECT l_orderkey, l_linenumber, q.k, CAST(s.lo AS BIGINT) AS low, CAST(s.hi AS
 def range_overlap_join(spark, d) -> DataFrame:
     q = T(spark, d, "lineitem").selectExpr("l_orderkey", "l_linenumber", "l_quantity as lo", "l_quantity + 3 as hi", "l_suppkey as k")
     s = T(spark, d, "supplier").selectExpr("s_suppkey as k", "s_suppkey % 50 as low", "s_suppkey % 50 + s_suppkey % 4 as high")
-    return q.join(s, "k").filter("lo <= high and hi >= low").select("l_orderkey", "l_linenumber", "k", "low", "high")
+    return joins.overlapping(q, s, ["k"], ("lo", "hi"), ("low", "high")).select("l_orderkey", "l_linenumber", "k", "low", "high")
 
 
 @query(f"""WITH x AS (SELECT DISTINCT {BOROUGH_SQL} AS borough, {CANONICAL} AS right_name, CASE c_custkey % 5 WHEN 0 THEN 'EAST ' || {WRITTEN_NUMBER} || ' STRET' WHEN 1 THEN 'WEST ' || {WRITTEN_NUMBER} || ' STRET' WHEN 2 THEN '6 AVENU' WHEN 3 THEN '23 STRET' ELSE 'PARK AVENUE' END AS street FROM customer)
@@ -239,12 +248,14 @@ def audit_review(spark, d) -> DataFrame:
     return review.audit_issues(_audit_rows(spark, d)).select("issue_type", "severity", "review_id", "pops_id_candidate")
 
 
-@query("""SELECT CAST(s_suppkey AS INTEGER) AS audit_row, '[p.' || (s_suppkey % 7 + 1) || '] Auditors saw ' || s_suppkey || 'A ' || CASE WHEN s_suppkey % 2 = 0 THEN 'Long Oak St.' ELSE 'long oak street' END || ', gate ' || s_suppkey || ' shut.' AS findings
-FROM supplier WHERE s_suppkey % 3 <> 0""")
+@query("""WITH s AS (SELECT s_suppkey AS k, s_suppkey % 7 + 1 AS page, s_suppkey || 'A ' || CASE WHEN s_suppkey % 2 = 0 THEN 'Long Oak St.' ELSE 'long oak street' END AS place FROM supplier WHERE s_suppkey % 3 <> 0),
+t AS (SELECT *, 'Auditors saw ' || place || ', gate ' || k || ' shut.' || CASE WHEN k % 5 = 0 THEN ' Then ' || place || ' again.' ELSE '' END AS said FROM s)
+SELECT CAST(k AS INTEGER) AS audit_row, array_to_string(list_transform(range(CASE WHEN k % 5 = 0 THEN 2 ELSE 1 END), lambda x: '[p.' || page || '] ' || said), ' || ') AS findings FROM t""")
 def body_findings(spark, d) -> DataFrame:
-    """A report of seven pages that names two of three audited addresses, before its appendix."""
+    """A report of seven pages that names two of three audited addresses, some of them twice in a breath, before its appendix."""
     k = F.col("s_suppkey")
-    said = F.concat(F.lit("Auditors saw "), k.cast("string"), F.when(k % 2 == 0, "A Long Oak St.").otherwise("A long oak  street"), F.lit(", gate "), k.cast("string"), F.lit("\n shut."))
+    place = F.concat(k.cast("string"), F.when(k % 2 == 0, "A Long Oak St.").otherwise("A long oak  street"))
+    said = F.concat(F.lit("Auditors saw "), place, F.lit(", gate "), k.cast("string"), F.lit("\n shut."), F.when(k % 5 == 0, F.concat(F.lit(" Then "), place, F.lit(" again."))).otherwise(""))
     pages = T(spark, d, "supplier").filter("s_suppkey % 3 <> 0").select((k % 7 + 1).cast("int").alias("page"), said.alias("text"))
     appendix = T(spark, d, "supplier").select(F.lit(9).alias("page"), F.concat(F.lit("Appendix "), k.cast("string"), F.lit("A Long Oak Street")).alias("text"))
     rows = T(spark, d, "supplier").select(k.cast("int").alias("audit_row"), F.concat(k.cast("string"), F.lit("A Long Oak Street")).alias("address"))
@@ -315,6 +326,7 @@ def history_events(spark, d) -> DataFrame:
 
 @query(f"""WITH {ACTIONS_SQL}, b AS (SELECT DISTINCT ym, CAST(right(ym, 2) AS INTEGER) AS m FROM acts), n AS (SELECT ym, count(*) AS n_actions, count(*) FILTER (pops_relation IN ('pops_text_and_property_match', 'pops_text_only', 'property_match_only')) AS n_matches FROM acts GROUP BY ym)
 SELECT b.ym AS bulletin_id, m NOT IN (1, 5) AS parsed, CASE WHEN m % 2 = 0 THEN 'before' WHEN m = 1 THEN '' ELSE 'now' END AS parsed_at, CASE WHEN m <> 1 THEN n_actions END AS n_actions, CASE WHEN m <> 1 THEN n_matches END AS n_matches,
+CASE WHEN m <> 1 THEN CASE WHEN m = 5 THEN 'needs_ocr' ELSE 'plain' END ELSE '' END AS extraction_method, CASE WHEN m <> 1 THEN CASE WHEN m = 5 THEN 0 ELSE m END END AS page_count, CASE WHEN m <> 1 THEN CASE WHEN m = 5 THEN 0 ELSE 100 * m END END AS text_chars, CASE WHEN m <> 1 THEN m <> 5 END AS has_text_layer,
 CASE WHEN m = 1 THEN 'download_failed: x; other' ELSE concat_ws('; ', 'download_failed: x', CASE WHEN m = 7 THEN 'odd note' END, CASE WHEN m = 3 THEN 'structure_marker_missing' END) END AS processing_errors FROM b JOIN n USING (ym)""")
 def registry_counts(spark, d) -> DataFrame:
     """The registry after a parse: January is not extracted, May has no text, March lacks the opening phrase."""
@@ -323,5 +335,7 @@ def registry_counts(spark, d) -> DataFrame:
     known = F.col("m") % 2 == 0
     registry = months.select("bulletin_id", F.when(known, "True").otherwise("False").alias("parsed"), F.when(known, "before").otherwise("").alias("parsed_at"), F.lit("download_failed: x; other").alias("processing_errors"))
     notes = F.when(F.col("m") == 7, F.array(F.lit("orphan line: y"), F.lit("odd note"))).otherwise(F.array(F.lit("orphan line: z")))
-    seen = months.filter("m <> 1").select("bulletin_id", (F.col("m") == 5).alias("needs_ocr"), (F.col("m") != 3).alias("marker_found"), notes.alias("notes"))
+    bare = F.col("m") == 5
+    size = lambda n: F.when(bare, 0).otherwise(n)
+    seen = months.filter("m <> 1").select("bulletin_id", bare.alias("needs_ocr"), (F.col("m") != 3).alias("marker_found"), notes.alias("notes"), F.when(bare, "needs_ocr").otherwise("plain").alias("extraction_method"), size(F.col("m")).alias("n_pages"), size(100 * F.col("m")).alias("n_chars"))
     return registry_ops.with_counts(registry, acts, seen, "now")
