@@ -141,7 +141,8 @@ def counts(docs: DataFrame, bits: np.ndarray) -> DataFrame:
         give_back()
 
     part = docs.select("lang", "source", "text").mapInArrow(run, "lang string, source string, term string, n long, df long")
-    return part.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+    # tasks have summed up what they can; dealt by word, all sources of a word meet, and no later step on words needs another exchange
+    return part.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
 
 
 def frequency(n: Column, total: Column, kept: Column) -> Column:
@@ -160,11 +161,11 @@ def audit(docs: DataFrame, *, least: int = LEAST, shown: int = SHOWN, width: int
     """lang, source, part, item, value, rank of docs(lang, source, text): all pairs of sources of a language, and each source's `shown` words."""
     c = F.col
     own = docs.select(*[F.coalesce(c(k).cast("string"), F.lit("")).alias(k) for k in ("lang", "source", "text")])
-    found = cut(counts(own, sketch(own, least=least, width=width)))
+    of_word = Window.partitionBy("lang", "term")
+    found = counts(own, sketch(own, least=least, width=width)).withColumns({"all_n": F.sum("n").over(of_word), "all_df": F.sum("df").over(of_word)})
+    found = cut(found.filter((c("all_df") >= least) | (c("term") == "")).drop("df", "all_df"))
     words = found.filter("term <> ''")
-    kept = words.groupBy("lang", "term").agg(F.sum("n").alias("all_n"), F.sum("df").alias("all_df")).filter(c("all_df") >= least).drop("all_df")
-    langs = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("all_n").alias("all_total"))
-    words = cut(words.drop("df").join(kept, ["lang", "term"]))
+    langs = words.groupBy("lang", "term").agg(F.max("all_n").alias("all_n")).groupBy("lang").agg(F.count("*").alias("v"), F.sum("all_n").alias("all_total"))
     totals = words.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = found.filter("term = ''").select("lang", "source").join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
     groups = groups.select("lang", "source", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("v", F.lit(0)).alias("v"), "all_total")
