@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import address
+from ..session import numbered
 
 
 def normalise(raw: DataFrame) -> DataFrame:
@@ -59,6 +60,22 @@ def nested(sites: DataFrame, children: DataFrame, key: str, order: str, columns:
     return sites.join(kids, key, "left").withColumn(name, F.coalesce(name, empty))
 
 
+def nested_parts(sites: DataFrame, children: DataFrame, key: str, order: str, columns: list[str], name: str = "e", *, size: int = 1000) -> DataFrame:
+    """Sites with their children in numbered parts: part (from 0), parts, and an ordered array of at most `size` structs.
+
+    So a document stays small, however many children a site has; a site without any is one part with an empty array. Children that
+    agree in `order` stand in the order of their other columns.
+    """
+    more = [c for c in columns if c != order]
+    rows = numbered(children.select(key, order, *more), key, order, *more)
+    own = rows.groupBy(key, F.floor(F.col("number") / size).cast("int").alias("part")).agg(F.array_sort(F.collect_list(F.struct("number", order, *more))).alias(name))
+    own = own.withColumn(name, F.transform(name, lambda x: x.dropFields("number")))
+    parts = own.groupBy(key).agg((F.max("part") + 1).alias("parts"))
+    empty = F.array().cast(own.schema[name].dataType)
+    df = sites.join(parts, key, "left").join(own, key, "left")
+    return df.withColumns({name: F.coalesce(name, empty), "part": F.coalesce("part", F.lit(0)), "parts": F.coalesce("parts", F.lit(1))})
+
+
 def explore(df: DataFrame, fields: list[str], *, q: str = "", equals: dict[str, str] | None = None, where: str | None = None, order: list[str] | None = None, limit: int = 150) -> DataFrame:
     """Rows that hold the text in one of the fields and meet the other filters: the first `limit` of them."""
     if q:

@@ -59,7 +59,7 @@ def record_issues(actions: DataFrame) -> DataFrame:
     professional = _true("professional_section") | said.rlike(rules.PROFESSIONAL)
     pen, (low, high) = c("penalty_amount").try_cast("double"), PLAUSIBLE
     parts = [
-        ("ambiguous_pops_match", "high", c("match_status") == "ambiguous", s("several sites: ", c("match_candidates")), {"pops_id_candidate": c("match_candidates")}),
+        ("ambiguous_pops_match", "high", c("match_status") == "ambiguous", s("several sites: ", c("match_candidates"), "; ", c("match_notes")), {"pops_id_candidate": c("match_candidates")}),
         ("low_confidence_match", F.when(c("match_confidence") == "low", "high").otherwise("medium"), (c("match_status") == "matched") & c("match_confidence").isin("low", "medium"), match, site),
         ("pops_keyword_without_db_match", "high", rel == "pops_text_only",
          s("wording (", c("pops_keyword_hits"), ") without a site; address '", c("address_raw"), "' (", c("borough"), "), geocode ", c("geocode_status")), {"suggested_candidates": c("suggested")}),
@@ -176,6 +176,21 @@ def suggestions(actions: DataFrame, sites: DataFrame, *, most: int = 4, floor: f
     return by_name.unionByName(by_number).groupBy("enforcement_id").agg(F.array_join(F.transform(F.slice(ranked, 1, most), lambda x: x["hint"]), " | ").alias("suggested"))
 
 
+def build(
+    actions: DataFrame, sites: DataFrame, registry: DataFrame, diagnostics: DataFrame, previous: DataFrame, decisions: DataFrame, run_ts: str, *, audit: DataFrame | None = None, links: DataFrame | None = None
+) -> DataFrame:
+    """The whole review queue of a run, in order: the issues of actions (with hints for worded ones without a site), bulletins, audit and index.
+
+    actions: what `publish.run` gives. sites: the master, with seq, its order. registry and diagnostics: as `bulletin_issues` reads
+    them. previous: the queue of the last run. audit: linked audit rows. links: what the index page shows.
+    """
+    hints = suggestions(actions.filter("pops_relation = 'pops_text_only'"), sites)
+    found = [record_issues(actions.join(hints, "enforcement_id", "left")), bulletin_issues(registry, diagnostics)]
+    found += [audit_issues(audit)] if audit is not None else []
+    found += [index_issues(links, registry)] if links is not None else []
+    return queue(union(found), previous, decisions, run_ts)
+
+
 def queue(issues: DataFrame, previous: DataFrame, decisions: DataFrame, run_ts: str) -> DataFrame:
     """Issues with the time of first detection and whether they are open, in order of severity."""
     df = issues.join(previous.select("review_id", F.col("detected_at").alias("before")), "review_id", "left")

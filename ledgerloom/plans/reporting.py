@@ -166,14 +166,16 @@ def audit_fisher(spark, d) -> DataFrame:
 per AS (SELECT pops_id, count(*) FILTER (sure) AS confirmed, count(*) FILTER (sure AND ym >= '1997-04') AS confirmed_recent, count(*) FILTER (pops_relation = 'property_match_only') AS property_only,
   count(*) FILTER (review_status = 'needs_review') AS needs_review, count(*) AS "any", CAST(sum(penalty) FILTER (sure) AS BIGINT) AS penalties, max(ym) FILTER (sure) AS last,
   string_agg(CAST(enforcement_id AS VARCHAR), ';' ORDER BY seq) FILTER (sure) AS enforcement_ids FROM base GROUP BY pops_id),
-audit AS (SELECT CAST(s_nationkey AS VARCHAR) AS pops_id, arg_min(s_name, s_suppkey) AS audit_outcome FROM supplier GROUP BY s_nationkey)
+audit AS (SELECT CAST(s_nationkey AS VARCHAR) AS pops_id, arg_min(s_name, s_suppkey) AS audit_outcome, CAST(min(s_suppkey) AS VARCHAR) AS audit_row, arg_min('seen ' || s_suppkey, s_suppkey) AS audit_findings, CASE WHEN min(s_suppkey) % 2 = 0 THEN 'high' ELSE 'low' END AS audit_confidence FROM supplier GROUP BY s_nationkey)
 SELECT CAST(c_custkey AS VARCHAR) AS pops_id, coalesce(confirmed, 0) AS confirmed, coalesce(confirmed_recent, 0) AS confirmed_recent, coalesce(property_only, 0) AS property_only, coalesce(needs_review, 0) AS needs_review,
 coalesce("any", 0) AS "any", coalesce(penalties, 0) AS penalties, coalesce(last, '') AS last, coalesce(enforcement_ids, '') AS enforcement_ids, coalesce(audit_outcome, '') AS audit_outcome,
+coalesce(audit_row, '') AS audit_row, coalesce(audit_findings, '') AS audit_findings, coalesce(audit_confidence, '') AS audit_confidence, CASE WHEN last IS NULL THEN '' ELSE 'bulletin_month' END AS last_precision, c_name AS building_name, '{analytics.EVIDENCE_NOTE}' AS evidence_note,
 audit_outcome IS NOT NULL AS in_audit FROM customer LEFT JOIN per ON per.pops_id = CAST(c_custkey AS VARCHAR) LEFT JOIN audit ON audit.pops_id = CAST(c_custkey AS VARCHAR)""")
 def accountability(spark, d) -> DataFrame:
-    sites = T(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("pops_id"))
+    sites = T(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("pops_id"), F.col("c_name").alias("building_name"))
     acts = actions(spark, d).withColumn("enforcement_id", F.col("enforcement_id").cast("string"))
-    audit = T(spark, d, "supplier").select(F.col("s_nationkey").cast("string").alias("pops_id"), F.col("s_suppkey").alias("audit_row"), F.col("s_name").alias("outcome"))
+    k = F.col("s_suppkey")
+    audit = T(spark, d, "supplier").select(F.col("s_nationkey").cast("string").alias("pops_id"), k.alias("audit_row"), F.col("s_name").alias("outcome"), F.concat(F.lit("seen "), k.cast("string")).alias("findings"), F.when(k % 2 == 0, "high").otherwise("low").alias("confidence"))
     return analytics.accountability(sites, acts, audit, "1997-04")
 
 

@@ -22,14 +22,24 @@ def path_of(folder: str, version: int) -> str:
     return f"{folder}/v={version:010d}"
 
 
-def committed(spark: SparkSession, folder: str, upto: int | None = None) -> list[int]:
-    """Numbers of the finished versions, ascending."""
+def numbers(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of all versions that were begun, ascending."""
     fs, path = _place(spark, folder)
     if not fs.exists(path):
         return []
-    found = [m for m in (_NAME.fullmatch(s.getPath().getName()) for s in fs.listStatus(path)) if m]
-    numbers = sorted(int(m[1]) for m in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{m[0]}/_SUCCESS")))
-    return [n for n in numbers if upto is None or n <= upto]
+    return sorted(int(m[1]) for m in (_NAME.fullmatch(s.getPath().getName()) for s in fs.listStatus(path)) if m)
+
+
+def committed(spark: SparkSession, folder: str, upto: int | None = None) -> list[int]:
+    """Numbers of the finished versions, ascending."""
+    fs, _ = _place(spark, folder)
+    done = [n for n in numbers(spark, folder) if upto is None or n <= upto]
+    return [n for n in done if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path_of(folder, n)}/_SUCCESS"))]
+
+
+def drop(spark: SparkSession, folder: str, version: int) -> None:
+    fs, _ = _place(spark, folder)
+    fs.delete(spark._jvm.org.apache.hadoop.fs.Path(path_of(folder, version)), True)
 
 
 def read(spark: SparkSession, folder: str, schema: str, upto: int | None = None) -> DataFrame:
@@ -47,8 +57,6 @@ def read_all(spark: SparkSession, folder: str, schema: str, upto: int | None = N
 def write(df: DataFrame, folder: str, version: int, *, keep: int | None = 2) -> None:
     """Write a version, over what an interrupted writer left under its number; of the older ones the last `keep` - 1 stay (None: all)."""
     df.write.mode("overwrite").parquet(path_of(folder, version))
-    spark = df.sparkSession
-    fs, _ = _place(spark, folder)
     if keep is not None:
-        for n in committed(spark, folder, version)[:-keep]:
-            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(path_of(folder, n)), True)
+        for n in committed(df.sparkSession, folder, version)[:-keep]:
+            drop(df.sparkSession, folder, n)
