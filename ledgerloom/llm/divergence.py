@@ -16,9 +16,7 @@ repeated row is a document of its own; an empty table gives no rows; other colum
 
 from __future__ import annotations
 
-import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,17 +25,81 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, give_back, mixed, table
+from .common import cut, give_back, mixed, table, utf8, whole_documents
 
-TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")  # in UTF-8, all bytes of other characters are above 7F
 LEAST, SHOWN, UNIT = 3, 200, 1_000_000_000
 ROWS, WIDTH, SLICE = 4, 1 << 22, 1 << 16  # of the table; a larger WIDTH lets fewer rare words through
-HELD = 400_000  # words that a task counts before it sends them
-
-
-def terms(text: bytes) -> list[bytes]:
-    """Runs of letters and non-ASCII characters of a UTF-8 text, A-Z in lower case."""
-    return TERM.findall(text.lower())  # bytes: A-Z only
+CHUNK, PIECE = 32 << 20, 2 << 20  # bytes of text that a task counts before it sends what it has, and that it splits into words at a time
+_FOLD = np.zeros(256, np.uint8)  # letters and the bytes of non-ASCII characters as they count, 0 for all that parts words
+_FOLD[97:123] = _FOLD[65:91] = np.arange(97, 123)
+_FOLD[128:] = np.arange(128, 256)
+
+
+def _split(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, lengths, documents) of the words of a buffer of documents: runs of letters and non-ASCII characters, A-Z in lower case."""
+    low = _FOLD[raw]
+    inside = low != 0
+    begins, stops = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1]
+    stops[:-1] &= ~inside[1:]
+    cuts = off[1:-1]
+    cuts = cuts[(cuts > 0) & (cuts < len(raw))]
+    begins[cuts] |= inside[cuts]
+    stops[cuts - 1] |= inside[cuts - 1]
+    starts = np.flatnonzero(begins)
+    return low[inside], np.flatnonzero(stops) + 1 - starts, np.repeat(np.arange(len(off) - 1), np.diff(np.searchsorted(starts, off)))
+
+
+class Words:
+    """The words of some documents: vocabulary, the names of their languages and groups, and one entry for each document and word of it.
+
+    lang, group (a language and source) and code say what an entry is about, times how often the word occurs in the document.
+    """
+
+    def __init__(self, batches: list[pa.RecordBatch]):
+        data, lengths, docs, langs, sources, seen = [], [], [], [], [], 0
+        for batch in batches:
+            raw, off = utf8(batch["text"])
+            for i, j in whole_documents(off, PIECE):
+                found = _split(raw[off[i] : off[j]], off[i : j + 1] - off[i])
+                for to, v in zip((data, lengths, docs), (found[0], found[1].astype(np.int32), (found[2] + i + seen).astype(np.int32)), strict=True):
+                    to.append(v)
+            langs += batch["lang"].to_pylist()
+            sources += batch["source"].to_pylist()
+            seen += batch.num_rows
+        joined = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
+        offsets = np.concatenate([[0], np.cumsum(joined(lengths, np.int32), dtype=np.int64)])
+        words = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(joined(data, np.uint8))]).dictionary_encode()
+        self.vocabulary, size = words.dictionary, max(1, len(words.dictionary))
+        ids: dict = {}
+        lang_of = np.fromiter((ids.setdefault(k, len(ids)) for k in langs), np.int64, seen)
+        self.langs, ids = list(ids), {}
+        group_of = np.fromiter((ids.setdefault(k, len(ids)) for k in zip(langs, sources, strict=True)), np.int64, seen)
+        self.groups = list(ids)
+        own, self.times = np.unique(joined(docs, np.int32).astype(np.int64) * size + np.asarray(words.indices).astype(np.int64), return_counts=True)
+        doc, self.code = np.divmod(own, size)
+        self.lang, self.group, self.size = lang_of[doc], group_of[doc], size
+
+    def by(self, what: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(what, code, occurrences, documents) of every word of every language or group, in that order."""
+        key = what * self.size + self.code
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+        times = np.add.reduceat(self.times[order], first) if len(key) else first
+        return *np.divmod(key[first], self.size), times, np.diff(np.r_[first, len(key)])
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
+    held, size = [], 0
+    for batch in batches:
+        if size and size + batch.nbytes > CHUNK:
+            yield Words(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield Words(held)
 
 
 def _cells(lang: str, words: list[bytes], width: int) -> np.ndarray:
@@ -48,35 +110,23 @@ def _cells(lang: str, words: list[bytes], width: int) -> np.ndarray:
     return np.stack([(own + np.uint64(k) * step) >> np.uint64(64 - width.bit_length() + 1) for k in range(ROWS)]).astype(np.int64)
 
 
-def _rows(batch: pa.RecordBatch) -> Iterator[tuple[str, str, list[bytes]]]:
-    for lang, source, text in zip(batch["lang"].to_pylist(), batch["source"].to_pylist(), batch["text"], strict=True):
-        yield lang, source, terms(text.as_buffer().to_pybytes())
-
-
 def sketch(docs: DataFrame, *, least: int = LEAST, width: int = WIDTH) -> np.ndarray:
     """Bits (ROWS, width / 8) of the cells that `least` documents or more reach; docs(lang, source, text) without nulls."""
     cells = min(SLICE, width)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((ROWS, width), np.uint8)
-
-        def add(seen: dict[str, Counter[bytes]]) -> None:
-            for lang, n in seen.items():
-                often = np.minimum(np.fromiter(n.values(), np.int64, len(n)), least)
-                for row, at in zip(held, _cells(lang, list(n), width), strict=True):
-                    for k in range(1, least + 1):  # words of equal frequency at a time; several may share a cell
-                        own, times = np.unique(at[often == k], return_counts=True)
-                        row[own] = np.minimum(row[own] + np.minimum(times, least) * k, least)
-
-        seen: dict[str, Counter] = {}
-        for batch in batches:
-            for lang, _, words in _rows(batch):
-                seen.setdefault(lang, Counter()).update(set(words))
-                if sum(map(len, seen.values())) > HELD:
-                    add(seen)
-                    seen = {}
-        add(seen)
-        flat = held.reshape(-1, cells)
+        held = np.zeros((ROWS, width), np.uint16)
+        for words in _chunks(batches):
+            lang, code, _, df = words.by(words.lang)
+            often = np.minimum(df, least).astype(np.uint16)
+            for k, name in enumerate(words.langs):
+                own = np.flatnonzero(lang == k)
+                at = _cells(name, words.vocabulary.take(pa.array(code[own])).to_pylist(), width)
+                for i in range(0, len(own), 20_000):  # so that no cell overflows before it is cut back to `least`
+                    for row, cell in zip(held, at[:, i : i + 20_000], strict=True):
+                        np.add.at(row, cell, often[own[i : i + 20_000]])
+                        row[cell] = np.minimum(row[cell], least)
+        flat = held.astype(np.uint8).reshape(-1, cells)
         used = np.flatnonzero(flat.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([zlib.compress(flat[k].tobytes(), 1) for k in used], pa.binary())], ["slice", "held"])
         give_back()
@@ -103,41 +153,28 @@ def counts(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(bits)
     width = bits.shape[1] * 8
 
+    names = ["lang", "source", "term", "n", "df"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passing: dict[str, dict[bytes, bool]] = {}
-        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            table = shared.value
-            for (lang, source), (n, df) in held.items():
-                known = passing.setdefault(lang, {})
-                if len(known) > HELD:
-                    known.clear()
-                if new := [w for w in n if w not in known]:
-                    may = np.ones(len(new), bool)
-                    for row, at in zip(table, _cells(lang, new, width), strict=True):
-                        may &= (row[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
-                    known.update(zip(new, may.tolist(), strict=True))
-                kept = [w for w in n if known[w]]
-                rows = [[b"", *kept], [0, *map(n.__getitem__, kept)], [0, *map(df.__getitem__, kept)]]
-                for k in range(0, len(kept) + 1, 50_000):
-                    own = [v[k : k + 50_000] for v in rows]
-                    m = len(own[0])
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * m, pa.string()), pa.array([source] * m, pa.string()), pa.array(own[0], pa.binary()).cast(pa.string()), pa.array(own[1], pa.int64()), pa.array(own[2], pa.int64())], ["lang", "source", "term", "n", "df"])
-            held.clear()
-
-        size = 0
-        for batch in batches:
-            for lang, source, words in _rows(batch):
-                n, df = held.setdefault((lang, source), (Counter(), Counter()))
-                size -= len(n)
-                n.update(words)
-                df.update(set(words))
-                size += len(n) + 1
-                if size > HELD:
-                    yield from flush()
-                    size = 0
-        yield from flush()
+        table, groups_seen = shared.value, set()
+        for words in _chunks(batches):
+            lang, code, _, _ = words.by(words.lang)
+            may = np.ones(len(code), bool)
+            for k, name in enumerate(words.langs):
+                own = np.flatnonzero(lang == k)
+                for row, at in zip(table, _cells(name, words.vocabulary.take(pa.array(code[own])).to_pylist(), width), strict=True):
+                    may[own] &= (row[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+            lang_of = np.array([words.langs.index(la) for la, _ in words.groups], np.int64)
+            group, term, n, df = words.by(words.group)
+            kept = may[np.searchsorted(lang * words.size + code, lang_of[group] * words.size + term)] if len(group) else np.zeros(0, bool)
+            group = pa.array(group[kept])
+            said = [pa.array([g[k] for g in words.groups], pa.string()).take(group) for k in (0, 1)]
+            rows = pa.RecordBatch.from_arrays([*said, words.vocabulary.take(pa.array(term[kept])).cast(pa.large_string()).cast(pa.string()), pa.array(n[kept]), pa.array(df[kept])], names)
+            yield from (rows.slice(k, 50_000) for k in range(0, rows.num_rows, 50_000))
+            new = [g for g in words.groups if g not in groups_seen]
+            groups_seen.update(new)
+            none = pa.array([0] * len(new), pa.int64())
+            yield pa.RecordBatch.from_arrays([*(pa.array([g[k] for g in new], pa.string()) for k in (0, 1)), pa.array([""] * len(new), pa.string()), none, none], names)
         give_back()
 
     part = docs.select("lang", "source", "text").mapInArrow(run, "lang string, source string, term string, n long, df long")
@@ -180,9 +217,11 @@ def audit(docs: DataFrame, *, least: int = LEAST, shown: int = SHOWN, width: int
     side = lambda df, name, *cols: df.select(*[c(k) if k in ("lang", "term") else c(k).alias(f"{name}_{k}") for k in cols])
     other = c("g_source") != c("h_source")
     pairs = side(groups, "g", "lang", "source", "base").join(side(groups, "h", "lang", "source", "base", "v"), "lang").filter(other)
-    both = side(words, "g", "lang", "term", "source", "p", "base").join(side(words, "h", "lang", "term", "source", "p", "base"), ["lang", "term"]).filter(other)
+    both = side(words, "g", "lang", "term", "source", "p", "base").join(side(words, "h", "lang", "term", "source", "p", "base"), ["lang", "term"]).filter("g_source < h_source")
     p, q, a, b = c("g_p"), c("h_p"), c("g_base"), c("h_base")
-    shared = both.groupBy("lang", "g_source", "h_source").agg(F.sum(distance(p, q) - distance(p, b) - distance(a, q) + distance(a, b)).alias("shared"))
+    excess = lambda p, q, a, b: F.sum(distance(p, q) - distance(p, b) - distance(a, q) + distance(a, b))
+    both = both.groupBy("lang", "g_source", "h_source").agg(excess(p, q, a, b).alias("there"), excess(q, p, b, a).alias("back"))
+    shared = both.select("lang", "g_source", "h_source", c("there").alias("shared")).unionByName(both.select("lang", c("h_source").alias("g_source"), c("g_source").alias("h_source"), c("back").alias("shared")))
     levels = words.groupBy("lang", "source", "p").agg(F.count("*").alias("times"))  # how many words of a source have one frequency
     own_levels = side(levels, "g", "lang", "source", "p", "times").join(side(groups, "h", "lang", "source", "base"), "lang").filter(other)
     mine = own_levels.groupBy("lang", "g_source", "h_source").agg(F.sum(c("g_times") * distance(p, b)).alias("mine"), F.sum("g_times").alias("g_words"))
