@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..session import cut
 from ..sources import versions
 from . import analytics, resolve, segment
 
@@ -58,7 +59,7 @@ def run(bulletins: DataFrame, master: DataFrame, geocodes: DataFrame, decisions:
     """
     said = F.col("enforcement_text")
     parsed = segment.parse_entries(segment.split_entries(bulletins, read))
-    acts = segment.stable_ids(parsed, F.replace("bulletin_id", F.lit("-"), F.lit(""))).withColumn("action_id", F.col("enforcement_id"))
+    acts = cut(segment.stable_ids(parsed, F.replace("bulletin_id", F.lit("-"), F.lit(""))).withColumn("action_id", F.col("enforcement_id")))  # parsed once, read by all that follows
     found = resolve.match(acts, resolve.evidence(acts, master, geocodes), master).withColumnRenamed("action_id", "enforcement_id")
     acts = acts.drop("action_id").join(found, "enforcement_id")
     blank = text.blank_out(said, F.concat(F.transform("addresses", lambda a: a["raw"]), F.array("respondent")))

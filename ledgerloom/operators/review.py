@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import address, rules, text
+from ..session import cut
 from . import resolve
 
 COLUMNS = (
@@ -184,8 +185,9 @@ def build(
     actions: what `publish.run` gives. sites: the master, with seq, its order. registry and diagnostics: as `bulletin_issues` reads
     them. previous: the queue of the last run. audit: linked audit rows. links: what the index page shows.
     """
+    actions, diagnostics = cut(actions), cut(diagnostics)  # each rule reads them
     hints = suggestions(actions.filter("pops_relation = 'pops_text_only'"), sites)
-    found = [record_issues(actions.join(hints, "enforcement_id", "left")), bulletin_issues(registry, diagnostics)]
+    found = [record_issues(cut(actions.join(hints, "enforcement_id", "left"))), bulletin_issues(registry, diagnostics)]
     found += [audit_issues(audit)] if audit is not None else []
     found += [index_issues(links, registry)] if links is not None else []
     return queue(union(found), previous, decisions, run_ts)
