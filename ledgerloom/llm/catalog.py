@@ -27,4 +27,5 @@ ORACLES = {
     "op9_exact_topk": topk.ORACLE,
     "op7_source_mixing": mixing.ORACLE,
     "op11_source_divergence": divergence.ORACLE,
+    "op13_merkle_manifest": merkle.ORACLE,
 }

@@ -262,3 +262,31 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaves = docs.select(tree_of(c("source")).alias("tree"), c("doc_id").cast("long").alias("doc_id"), leaf(own).alias("digest"), F.when(tampered, leaf([*own[:-1], lowered])).alias("mate"))
     nodes, ways, highest = manifest(leaves)
     return proofs(nodes, ways, highest)
+
+
+def _said(columns: str) -> str:
+    return " || ".join(f"coalesce(strlen(CAST({k} AS VARCHAR)) || ':' || CAST({k} AS VARCHAR), '-')" for k in columns.split(", "))
+
+
+_GROWN = """{0}(tree, level, idx, digest) AS ({1} UNION ALL SELECT tree, level + 1, idx // 16, sha256(string_agg(digest, '' ORDER BY idx)) FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS c FROM {0}) WHERE c > 1 GROUP BY tree, level, idx // 16),
+{0}_c AS (SELECT *, count(*) OVER (PARTITION BY tree, level) AS c FROM {0})"""
+_FOLDED = """{0}(rk, tree, level, idx, folded, sib) AS ({2} UNION ALL SELECT f.rk, f.tree, f.level + 1, f.idx // 16, sha256(string_agg(CASE WHEN n.idx = f.idx THEN f.folded ELSE n.digest END, '' ORDER BY n.idx)),
+f.sib || coalesce(string_agg(n.digest, '' ORDER BY n.idx) FILTER (n.idx <> f.idx), '') FROM {0} f JOIN {1}_c n ON n.tree = f.tree AND n.level = f.level AND n.idx // 16 = f.idx // 16 WHERE n.c > 1 GROUP BY f.rk, f.tree, f.level, f.idx, f.folded, f.sib),
+{0}_end AS (SELECT rk, arg_max(folded, level) AS folded, arg_max(sib, level) AS sib FROM {0} GROUP BY rk)"""
+ORACLE = (
+    f"""WITH RECURSIVE d AS (SELECT *, coalesce('+' || source, '') AS tree, {_said(", ".join(COLUMNS))} AS said, row_number() OVER () AS rk FROM documents),
+e AS (SELECT *, sha256(said) AS leaf, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+lambda r, x: CASE WHEN x >= 0 THEN xor(r, x) WHEN r & 1 = 1 THEN xor(r >> 1, CAST(3988292384 AS BIGINT)) ELSE r >> 1 END), CAST(4294967295 AS BIGINT)) AS crc FROM d),
+l AS (SELECT *, CASE WHEN crc % 5 = 0 THEN sha256({_said("doc_id, source, lang, n_chars, low")}) ELSE leaf END AS told, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx
+FROM (SELECT *, translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS low FROM e)),
+"""
+    + _GROWN.format("n", "SELECT tree, 0, idx, leaf FROM l")
+    + ", s AS (SELECT tree, digest, row_number() OVER (ORDER BY encode(tree)) - 1 AS place FROM n_c WHERE c = 1 QUALIFY row_number() OVER (PARTITION BY tree ORDER BY level) = 1), "
+    + _GROWN.format("u", "SELECT '', 0, place, digest FROM s")
+    + ", "
+    + _FOLDED.format("f", "n", "SELECT rk, tree, 0, idx, told, '' FROM l")
+    + ", "
+    + _FOLDED.format("g", "u", "SELECT l.rk, '', 0, s.place, f_end.folded, f_end.sib FROM l JOIN s ON s.tree = l.tree JOIN f_end ON f_end.rk = l.rk")
+    + """, r AS (SELECT digest AS root FROM u_c WHERE c = 1 ORDER BY level LIMIT 1)
+SELECT doc_id, leaf, s.digest AS subroot, root, sha256(sib) AS proof_sha256, folded AS folded_root, folded = root AS verified FROM l JOIN s ON s.tree = l.tree JOIN g_end ON g_end.rk = l.rk, r"""
+)
