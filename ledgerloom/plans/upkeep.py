@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import analytics, master, publish
-from ..session import scratch
+from ..session import cut, scratch
 from ..session import table as T
 from ..sources import changes, readers, snapshots
 from ..streaming import incremental
 from .actions import ACTIONS_SQL, actions
-from .linking import _public, _sites
+from .linking import BOROUGH_SQL, CANONICAL, _public, _sites
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -156,3 +156,34 @@ def full_summary(spark, d) -> DataFrame:
     counts = F.array_join(F.transform(F.map_entries("audit_status_counts"), lambda x: F.concat_ws(":", x["key"], x["value"].cast("string"))), ";")
     names = ("bulletins", "span", "repeat_sites", "repeat_entities", "last_wording", "bulletins_after", "q9_old_with_a", "q9_old", "q9_new_with_a", "q9_new", "q10_no", "q10_no_a", "q10_yes", "q10_yes_a", "q10_no_ab", "audit_unlinked_rows", "review_open")
     return out.select(*names, counts.alias("audit_status_counts"))
+
+
+@query(f"""WITH s AS (SELECT c_custkey AS k, {BOROUGH_SQL} AS borough, CAST(c_custkey % 900 + 1 AS VARCHAR) AS num, {CANONICAL} AS street, CAST(1000000000 + c_custkey AS VARCHAR) AS bbl FROM customer),
+w AS (SELECT borough, num, street, list_sort(list(CAST(k AS VARCHAR))) AS own, list_sort(list(CAST(k AS VARCHAR)) FILTER (k % 2 = 0)) AS told, string_agg(bbl, ';' ORDER BY bbl) FILTER (k % 2 = 0) AS bbls FROM s GROUP BY 1, 2, 3),
+a AS (SELECT o_orderkey AS o, strftime(o_orderdate, '%Y-%m') || '-' || k AS bulletin_id, w.*, k, CAST(o_orderkey % 30 * 1000 + 1500 AS VARCHAR) AS amount, CASE k % 5 WHEN 0 THEN 'East ' || (k % 89 + 4) || ' Street' WHEN 1 THEN 'West ' || (k % 89 + 4) || ' Street' WHEN 2 THEN '6 Avenue' WHEN 3 THEN '23 Street' ELSE 'Park Avenue South' END AS said
+FROM orders JOIN s ON k = o_custkey JOIN w ON w.borough = s.borough AND w.num = s.num AND w.street = s.street),
+m AS (SELECT *, CASE WHEN told IS NULL THEN own ELSE told END AS ids, '$' || amount || ' in total penalties issued to Holder ' || k || ' LLC, the owner of ' || num || ' ' || said || ', ' || borough || ', for a shut public plaza, case ' || o || '.' AS text FROM a)
+SELECT 'EA-' || replace(bulletin_id, '-', '') || '-' || left(sha1(trim(regexp_replace(lower(text), '[^a-z0-9$]+', ' ', 'g'))), 10) AS enforcement_id, CASE WHEN len(ids) = 1 THEN ids[1] ELSE '' END AS pops_id, CASE WHEN len(ids) = 1 THEN CAST(1000000000 + CAST(ids[1] AS BIGINT) AS VARCHAR) ELSE '' END AS bbl,
+'Holder ' || k || ' LLC' AS owner, amount AS penalty_amount, CASE WHEN told IS NULL THEN 'address_exact' ELSE 'bbl' END AS match_method, CASE WHEN len(ids) = 1 THEN 'matched' ELSE 'ambiguous' END AS match_status,
+CASE WHEN told IS NULL THEN 'not confirmed by the geocoder (not_geocoded)' ELSE 'bbl via geocode; address agrees too' END || CASE WHEN len(ids) > 1 THEN '; ' || len(ids) || ' candidates at level ' || CASE WHEN told IS NULL THEN 'address_exact' ELSE 'bbl' END ELSE '' END AS match_notes,
+coalesce(bbls, '') AS geocoded_bbl, CASE WHEN told IS NULL THEN '' ELSE '2000000' END AS geocoded_bin, CASE WHEN len(ids) = 1 THEN 'pops_text_and_property_match' ELSE 'pops_text_only' END AS pops_relation,
+CASE WHEN len(ids) = 1 THEN 'auto_confirmed' ELSE 'needs_review' END AS manual_review_status, bulletin_id, '1' AS source_page, num || ' ' || said AS address_raw FROM m""")
+def bulletins_to_export(spark, d) -> DataFrame:
+    """The whole run: orders as entries of monthly bulletins about a customer's site, parsed, linked, worded, reviewed and exported.
+
+    The geocoder knows the addresses of customers of even keys; customers may share an address.
+    """
+    c = F.col
+    sites = cut(_sites(spark, d))
+    street = F.initcap(F.lower("street_canonical"))
+    orders = T(spark, d, "orders").join(sites, c("o_custkey") == c("pops_id").cast("long"))
+    amount = (c("o_orderkey") % 30 * 1000 + 1500).cast("string")
+    said = F.concat(F.lit("\n• $"), amount, F.lit(" in total penalties issued to Holder "), c("pops_id"), F.lit(" LLC, the owner of "), c("num"), F.lit(" "), street, F.lit(", "), c("borough"), F.lit(", for a shut\npublic plaza, case "), c("o_orderkey").cast("string"), F.lit("."))
+    key = F.concat_ws("-", F.date_format("o_orderdate", "yyyy-MM"), "pops_id").alias("bulletin_id")
+    per = orders.groupBy(key, "borough").agg(F.array_join(F.array_sort(F.collect_list(said)), "").alias("entries"))
+    page = F.concat(F.lit("These are the individual enforcement highlights for\nMay 2024:\n"), c("borough"), c("entries"))
+    made = cut(per.select("bulletin_id", F.array(page).alias("pages"), F.lit("u").alias("pdf_url"), F.lit("p").alias("source_pdf")))
+    geocodes = sites.filter(c("pops_id").cast("long") % 2 == 0).select(c("address_key").alias("query_key"), "bbl", F.lit("2000000").alias("bin"), F.lit("ok").alias("status"))
+    none = spark.createDataFrame([], "enforcement_id string, seq int, decision string, pops_id string, note string")
+    out = publish.export(publish.run(made, sites, geocodes, none))
+    return out.select("enforcement_id", "pops_id", "bbl", "owner", "penalty_amount", "match_method", "match_status", "match_notes", "geocoded_bbl", "geocoded_bin", "pops_relation", "manual_review_status", "bulletin_id", "source_page", "address_raw")
