@@ -101,7 +101,7 @@ def match(actions: DataFrame, proofs: DataFrame, master: DataFrame) -> DataFrame
     found.append(level(ranges, 4, F.lit("medium"), F.lit(0.75), F.lit("number ranges overlap"), key=F.col("query_key")))
 
     near = numbered.join(similar_streets(proofs, site), ["borough", "street"]).drop("street")
-    fuzzy = joins.overlapping(near, on_street.withColumnRenamed("street", "street_canonical"), ["borough", "street_canonical"], ("low", "high"), ("hn_low", "hn_high"))
+    fuzzy = cut(joins.overlapping(near, on_street.withColumnRenamed("street", "street_canonical"), ["borough", "street_canonical"], ("low", "high"), ("hn_low", "hn_high")))
     top = fuzzy.groupBy("action_id").agg(F.max("ratio").alias("top"))
     winners = fuzzy.join(top, "action_id").filter("ratio = top").join(site.select("pops_id", "building_name"), "pops_id").join(actions.select("action_id", F.col("enforcement_text").alias("said")), "action_id")
     winners = winners.withColumn("named", F.coalesce(corroborated(F.col("building_name"), F.col("said")), F.lit(False)))
@@ -114,6 +114,7 @@ def match(actions: DataFrame, proofs: DataFrame, master: DataFrame) -> DataFrame
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
+    every = cut(every)  # read twice
     first = every.groupBy("action_id").agg(F.min("level").alias("best"))
     at = every.join(first, "action_id").filter("level = best")
     seen = F.array_sort(F.collect_list(F.struct("pos", "pops_id")))
