@@ -164,7 +164,7 @@ def store(tables: dict[str, DataFrame], home: str, database: str = "history", *,
     sees a table as it was or as it is; a build that dies leaves the views alone. What the views no longer show is dropped.
     """
     spark = next(iter(tables.values())).sparkSession
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{home}'")
     build = 1 + max([0, *(n for name in tables for n in versions.numbers(spark, f"{home}/{name}"))])
     for name, df in tables.items():
         writer = df.write.format("parquet").mode("overwrite").option("path", versions.path_of(f"{home}/{name}", build))

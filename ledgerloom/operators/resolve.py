@@ -214,8 +214,10 @@ def names_in_text(texts: DataFrame, names: DataFrame, key: str) -> DataFrame:
 HEAD, MOST_HEADS, MOST_BYTES = 24, 500_000, 32 << 20  # letters of a passage in the automaton; bounds of what every task may hold
 
 
-def passages_in_text(docs: DataFrame, items: DataFrame, *, most_heads: int = MOST_HEADS, most_bytes: int = MOST_BYTES) -> DataFrame:
-    """item_id, doc_id, place (from 1) of every passage of items(item_id, text) that a text of docs(doc_id, text) holds; its first place there.
+def passages_in_text(docs: DataFrame, items: DataFrame, *, before: int = 20, shown: int = 60, most_heads: int = MOST_HEADS, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """item_id, doc_id, place (from 1), snippet of every passage of items(item_id, text) that a text of docs(doc_id, text) holds; its first place there.
+
+    snippet: `shown` characters from `before` characters before the place, or from the text's begin.
 
     Passages of a checked size go to every task, as an automaton of their first letters that reads each text once; where one
     of these stands the whole passage is compared. Larger tables of passages are joined on hashes of tokens (`passages_by_tokens`).
@@ -223,7 +225,7 @@ def passages_in_text(docs: DataFrame, items: DataFrame, *, most_heads: int = MOS
     known = cut(items.filter("text <> ''").select(F.col("item_id").cast("long").alias("item_id"), "text"))
     n, size = known.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     if n > most_heads or size > most_bytes:
-        return passages_by_tokens(docs, known)
+        return passages_by_tokens(docs, known, before=before, shown=shown)
     held = docs.sparkSession.sparkContext.broadcast([(r["item_id"], r["text"]) for r in known.collect()])  # n and size are checked
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,14 +245,16 @@ def passages_in_text(docs: DataFrame, items: DataFrame, *, most_heads: int = MOS
                     for item, passage in own:
                         if (item, passage) not in seen and text.startswith(passage, begin):
                             seen.add((item, passage))
-                            rows.append((item, doc, begin + 1))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], ["item_id", "doc_id", "place"])
+                            start = max(begin + 1 - before, 1) - 1
+                            rows.append((item, doc, begin + 1, text[start : start + shown]))
+            values = [pa.array([r[k] for r in rows], pa.string() if k == 3 else pa.int64()) for k in range(4)]
+            yield pa.RecordBatch.from_arrays(values, ["item_id", "doc_id", "place", "snippet"])
 
     body = docs.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("body"))
-    return body.mapInArrow(run, "item_id long, doc_id long, place long")
+    return body.mapInArrow(run, "item_id long, doc_id long, place long, snippet string")
 
 
-def passages_by_tokens(docs: DataFrame, items: DataFrame, *, most: int = 4) -> DataFrame:
+def passages_by_tokens(docs: DataFrame, items: DataFrame, *, before: int = 20, shown: int = 60, most: int = 4) -> DataFrame:
     """passages_in_text for any number of passages, by a join.
 
     All but the first and last blank-separated token of a passage are tokens of the text, too, so the join is on the hash of up to
@@ -276,7 +280,8 @@ def passages_by_tokens(docs: DataFrame, items: DataFrame, *, most: int = 4) -> D
         few = short.join(size, F.lit(True)).select("item_id", F.substring("passage", F.lit(1), F.col("size")).alias("head"))
         pairs = pairs.unionByName(heads.join(few, "head").select("doc_id", "item_id").distinct())
     found = pairs.join(known.select("item_id", "passage"), "item_id").join(own, "doc_id").withColumn("place", F.instr("body", F.col("passage")).cast("long"))
-    return found.filter("place > 0").select("item_id", "doc_id", "place").distinct()
+    snippet = F.expr(f"substring(body, greatest(place - {before}, 1), {shown})").alias("snippet")
+    return found.filter("place > 0").select("item_id", "doc_id", "place", snippet).distinct()
 
 
 def relation(tier, matched):

@@ -156,8 +156,7 @@ FROM documents d JOIN benchmark b ON contains(d.text, b.text)) WHERE n <= 3""")
 def passage_snippets(spark, d) -> DataFrame:
     found = resolve.passages_in_text(T(spark, d, "documents"), T(spark, d, "benchmark"))
     ranked = found.withColumn("n", F.row_number().over(Window.partitionBy("item_id").orderBy("doc_id"))).filter("n <= 3")
-    docs = ranked.join(T(spark, d, "documents").select("doc_id", F.col("text").alias("body")), "doc_id")
-    return docs.select("item_id", "doc_id", "place", F.expr("substring(body, greatest(place - 20, 1), 60)").alias("snippet"))
+    return ranked.select("item_id", "doc_id", "place", "snippet")
 
 
 @query(f"""WITH {_SITES_SQL}, a AS (SELECT s_suppkey AS id FROM supplier), x AS (SELECT id, s.* FROM a JOIN s ON k = id)

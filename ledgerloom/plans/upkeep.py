@@ -59,7 +59,7 @@ def registry_stream(spark, d) -> DataFrame:
     """Orders as a stream of sightings of customers' pages, merged batch by batch into the versioned registry."""
     home = scratch(spark, "registry")
     kept = T(spark, d, "orders")
-    kept.orderBy("o_orderkey").repartitionByRange(3, "o_orderkey").write.parquet(f"{home}/in")  # a file of its own is needed, as a stream reads folders
+    kept.repartitionByRange(3, "o_orderkey").write.parquet(f"{home}/in")  # a file of its own is needed, as a stream reads folders
     stream = spark.readStream.schema(kept.schema).parquet(f"{home}/in")
     key = F.col("o_orderkey")
     sightings = stream.select(F.concat(F.lit("b"), F.col("o_custkey").cast("string")).alias("bulletin_id"), F.concat(F.lit("u"), (key % 3).cast("string")).alias("pdf_url"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("seen"), key.alias("seq"))
@@ -76,7 +76,7 @@ def history_store(spark, d) -> DataFrame:
     """The history written to the catalog twice; events a site from the stored, bucketed table."""
     k = F.col("s_suppkey").cast("string")
     rows = T(spark, d, "supplier").select(F.col("s_suppkey").alias("audit_row"), F.lit("no").alias("outcome"), F.when(F.col("s_suppkey") % 2 == 0, k).otherwise("").alias("pops_id"), F.lit("high").alias("confidence"))
-    tables = publish.history(_sites(spark, d).withColumnRenamed("year", "year_established"), _public(spark, d), rows, audit_id="A1", inspected="2016")
+    tables = publish.history(cut(_sites(spark, d)).withColumnRenamed("year", "year_established"), cut(_public(spark, d)), rows, audit_id="A1", inspected="2016")  # read by several tables
     home = scratch(spark, "history")
     name = f"history_{home.rpartition('-')[2]}"
     for _ in range(2):

@@ -104,8 +104,10 @@ def test_passages_both_ways(spark):
     items += [(60, "nowhere to be found at all"), (61, None), (62, items[0][1])]
     docs, passages = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     want = sorted((i, k, t.index(p) + 1) for i, p in items if p for k, t in texts if t and p in t)
-    assert sorted(map(tuple, resolve.passages_in_text(docs, passages).collect())) == want
-    assert sorted(map(tuple, resolve.passages_in_text(docs, passages, most_heads=5).collect())) == want  # too many for an automaton
+    body = dict(texts)
+    want = [(i, k, at, body[k][max(at - 7, 1) - 1 :][:9]) for i, k, at in want]
+    assert sorted(map(tuple, resolve.passages_in_text(docs, passages, before=7, shown=9).collect())) == want
+    assert sorted(map(tuple, resolve.passages_in_text(docs, passages, before=7, shown=9, most_heads=5).collect())) == want  # too many for an automaton
     plan = resolve.passages_in_text(docs, passages)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
 
