@@ -25,21 +25,23 @@ def overlapping(left: DataFrame, right: DataFrame, keys: list[str], left_range:
     """Pairs of equal keys whose ranges [low, high] share a value; columns of both sides, whose names must differ but for the keys.
 
     A range lies in the one or two bins that it touches on the level of its width, and meets only what touches the same bin on the
-    wider of the two levels. A pair counts in the first bin that both touch, so it comes once. Left rows of one key and bin are dealt
-    to `salts` tasks and right rows repeated as often, so the smaller side should be the right one. Ranges without an end, or with the
-    high end below the low one, overlap nothing; widths beyond the widest level only touch more bins.
+    wider of the two levels; levels on which no two ranges can meet are left out, so each side is read once more, for its widths. A pair
+    counts in the first bin that both touch, so it comes once. Left rows of one key and bin are dealt to `salts` tasks and right rows
+    repeated as often, so the smaller side should be the right one; the optimiser does not see how often, so it may not broadcast them.
+    Ranges without an end, or with the high end below the low one, overlap nothing; widths beyond the widest level only touch more bins.
     """
     c, (low, high), (other_low, other_high) = F.col, left_range, right_range
-    levels = lambda own: F.sequence(own, F.lit(LEVELS - 1))
-    spot = lambda level, wider: F.struct(level.alias("level"), wider.alias("wider"))  # noqa: E731  wider: whose level it is, the left one's if equal
     bins = lambda a, b: F.explode(F.sequence(_bin(c(a), c("spot.level")), _bin(c(b), c("spot.level"))))
     a = left.filter(c(low) <= c(high)).withColumn("own", _level(c(low), c(high)))
-    a = a.withColumn("spot", F.explode(F.transform(levels(c("own")), lambda k: spot(k, k == c("own"))))).withColumn("bin", bins(low, high))
-    a = a.withColumn("salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")).drop("own")
     b = right.filter(c(other_low) <= c(other_high)).withColumn("own", _level(c(other_low), c(other_high)))
-    spots = F.concat(F.transform(levels(c("own")), lambda k: spot(k, F.lit(True))), F.array(spot(c("own"), F.lit(False))))
-    b = b.withColumn("spot", F.explode(spots)).withColumn("bin", bins(other_low, other_high)).withColumn("salt", F.explode(F.array(*[F.lit(k) for k in range(salts)]))).drop("own")
-    both = a.join(b, [*keys, "spot", "bin", "salt"])
+    mine, other = ({r["own"] for r in df.select("own").distinct().collect()} for df in (a, b))  # LEVELS numbers at most
+    meet = [(k, True) for k in sorted(mine) if other and min(other) <= k] + [(k, False) for k in sorted(other) if mine and min(mine) < k]  # level, whether it is the left one's
+    every = F.array(*[F.struct(F.lit(k).alias("level"), F.lit(w).alias("wider")) for k, w in meet]).cast("array<struct<level: int, wider: boolean>>")
+    a = a.withColumn("spot", F.explode(F.filter(every, lambda x: (x["wider"] & (x["level"] == c("own"))) | (~x["wider"] & (x["level"] > c("own"))))))
+    a = a.withColumn("bin", bins(low, high)).withColumn("salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")).drop("own")
+    b = b.withColumn("spot", F.explode(F.filter(every, lambda x: (x["wider"] & (x["level"] >= c("own"))) | (~x["wider"] & (x["level"] == c("own"))))))
+    b = b.withColumn("bin", bins(other_low, other_high)).withColumn("salt", F.explode(F.array(*[F.lit(k) for k in range(salts)]))).drop("own")
+    both = a.hint("merge").join(b.hint("merge"), [*keys, "spot", "bin", "salt"])
     meets = (c(low) <= c(other_high)) & (c(high) >= c(other_low))
     first = c("bin") == _bin(F.greatest(c(low), c(other_low)), c("spot.level"))
     return both.filter(meets & first).drop("spot", "bin", "salt")

@@ -62,10 +62,12 @@ def geocoded(proofs: DataFrame) -> DataFrame:
 def match(actions: DataFrame, proofs: DataFrame, master: DataFrame) -> DataFrame:
     """OUTCOME of every action: its site, how it was found and how surely, the candidates if there are several, notes, and the geocoder's word.
 
-    All levels are joins on equal keys; the lowest level with a candidate wins, and several sites there are ambiguous.
+    All levels are joins on equal keys; the lowest level with a candidate wins, and several sites there are ambiguous. A level sees only
+    the actions that the levels before it left open, and ranges are compared once, however many actions and sites have them. What grows
+    with the sites is never broadcast: the optimiser takes it for smaller than it is.
     """
-    proofs = cut(proofs)  # read by five levels
-    site = cut(master.select("pops_id", "bbl", "bin", "address_key", "borough", "street_canonical", "hn_low", "hn_high", "building_name", "bin_is_placeholder"))
+    proofs = cut(proofs)  # read by all levels
+    site = cut(master.select("pops_id", "bbl", "bin", "address_key", "borough", "street_canonical", "hn_low", "hn_high", "building_name", "bin_is_placeholder")).hint("merge")
     ids = actions.select("action_id", "identifiers", "borough")
     code = address.lookup({k: str(v) for k, v in rules.BOROUGH_CODES.items()}, F.col("borough"))
     lots = F.transform("identifiers.block_lot", lambda x: F.concat(code, F.lpad(F.split_part(x, F.lit("/"), F.lit(1)), 5, "0"), F.lpad(F.split_part(x, F.lit("/"), F.lit(2)), 4, "0")))
@@ -78,16 +80,21 @@ def match(actions: DataFrame, proofs: DataFrame, master: DataFrame) -> DataFrame
         pos = F.lit(pos) if isinstance(pos, int) else F.col(pos)
         return df.select("action_id", "pops_id", F.lit(n).alias("level"), conf.alias("conf"), score.cast("double").alias("score"), pos.cast("int").alias("pos"), note.alias("note"), key.alias("key"))
 
-    exact = proofs.join(site.select("pops_id", F.col("address_key").alias("query_key"), F.col("bbl").alias("site_bbl")), "query_key")
-    agrees = exact.select("action_id", "pops_id").distinct().withColumn("agrees", F.lit(True))
-    by_bbl = bbls.join(site.filter("bbl <> ''"), "bbl").groupBy("action_id", "pops_id").agg(F.collect_set("via").alias("via")).join(agrees, ["action_id", "pops_id"], "left")
+    def left(df: DataFrame, found: DataFrame) -> DataFrame:
+        return df.join(found.select("action_id").distinct().hint("merge"), "action_id", "left_anti")
+
+    by_bbl = cut(bbls.join(site.filter("bbl <> ''"), "bbl").groupBy("action_id", "pops_id", "address_key").agg(F.collect_set("via").alias("via")))
+    asked = proofs.select("action_id", F.col("query_key").alias("address_key"), F.lit(True).alias("agrees")).distinct()
+    by_bbl = by_bbl.join(asked.hint("merge"), ["action_id", "address_key"], "left")
     ways = by_bbl.groupBy("action_id").agg(F.max(F.coalesce("agrees", F.lit(False))).alias("any"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("via")))).alias("ways"))
     note = F.concat(F.lit("bbl via "), F.array_join("ways", "+"), F.when(F.col("any"), "; address agrees too").otherwise(""))
-    found = [level(by_bbl.join(ways, "action_id"), 1, F.lit("high"), F.when(F.col("any"), 1.0).otherwise(0.95), note, pos=0)]
+    found = [cut(level(by_bbl.join(ways.hint("merge"), "action_id"), 1, F.lit("high"), F.when(F.col("any"), 1.0).otherwise(0.95), note, pos=0))]
 
-    by_bin = bins.join(site.filter("bin <> '' and not bin_is_placeholder"), "bin").join(ids.select("action_id", (F.size("identifiers.bin") > 0).alias("worded")), "action_id")
-    found.append(level(by_bin, 2, F.lit("high"), F.lit(0.9), F.when(F.col("worded"), "bin via text").otherwise("bin via geocode"), pos=0))
+    by_bin = left(bins, found[0]).join(site.filter("bin <> '' and not bin_is_placeholder"), "bin").join(ids.select("action_id", (F.size("identifiers.bin") > 0).alias("worded")).hint("merge"), "action_id")
+    found.append(cut(level(by_bin, 2, F.lit("high"), F.lit(0.9), F.when(F.col("worded"), "bin via text").otherwise("bin via geocode"), pos=0)))
 
+    open_ = cut(left(left(proofs, found[0]), found[1]))
+    exact = open_.join(site.select("pops_id", F.col("address_key").alias("query_key"), F.col("bbl").alias("site_bbl")), "query_key")
     differs = F.col("geo_bbl").isNotNull() & (F.col("site_bbl") != "") & (F.col("site_bbl") != F.col("geo_bbl"))
     score = F.when(differs, 0.6).otherwise(0.9)
     unsure = F.when(differs, "the geocoded bbl is not the site's").when(F.col("geo_status") != "ok", F.concat(F.lit("not confirmed by the geocoder ("), "geo_status", F.lit(")")))
@@ -95,15 +102,24 @@ def match(actions: DataFrame, proofs: DataFrame, master: DataFrame) -> DataFrame
     conf = F.when(differs | F.col("inferred"), "medium").otherwise("high")
     found.append(level(exact, 3, conf, F.when(F.col("inferred"), F.least(score, F.lit(0.7))).otherwise(score), note, key=F.col("query_key")))
 
-    numbered = proofs.filter("hn is not null").select("action_id", "pos", "query_key", "borough", "street", "written", F.col("hn.kind").alias("kind"), F.col("hn.low").alias("low"), F.col("hn.high").alias("high"))
+    keys = site.select(F.col("address_key").alias("query_key")).distinct()
+    open_ = cut(left(open_, open_.join(keys, "query_key", "left_semi")))
+    numbered = open_.filter("hn is not null").select("action_id", "pos", "query_key", "borough", "street", "written", F.col("hn.kind").alias("kind"), F.col("hn.low").alias("low"), F.col("hn.high").alias("high"))
     on_street = site.select("pops_id", "borough", F.col("street_canonical").alias("street"), "hn_low", "hn_high")
-    ranges = joins.overlapping(numbered, on_street, ["borough", "street"], ("low", "high"), ("hn_low", "hn_high")).filter("kind = 'range' or hn_low <> hn_high")
-    found.append(level(ranges, 4, F.lit("medium"), F.lit(0.75), F.lit("number ranges overlap"), key=F.col("query_key")))
-
-    near = numbered.join(similar_streets(proofs, site), ["borough", "street"]).drop("street")
-    fuzzy = cut(joins.overlapping(near, on_street.withColumnRenamed("street", "street_canonical"), ["borough", "street_canonical"], ("low", "high"), ("hn_low", "hn_high")))
+    asked = ["borough", "street", "kind", "low", "high"]
+    spans, held = cut(numbered.select(*asked).distinct()), cut(on_street.drop("pops_id").distinct())
+    there = ["borough", "street", "hn_low", "hn_high"]
+    pairs = joins.overlapping(spans, held, ["borough", "street"], ("low", "high"), ("hn_low", "hn_high")).filter("kind = 'range' or hn_low <> hn_high")
+    ranges = numbered.join(cut(pairs).hint("merge"), asked).join(on_street, there)
+    found.append(cut(level(ranges, 4, F.lit("medium"), F.lit(0.75), F.lit("number ranges overlap"), key=F.col("query_key"))))
+
+    numbered, there[1] = left(numbered, found[3]), "street_canonical"
+    near = spans.join(similar_streets(open_, site), ["borough", "street"])
+    pairs = cut(joins.overlapping(near, held.withColumnRenamed("street", "street_canonical"), ["borough", "street_canonical"], ("low", "high"), ("hn_low", "hn_high")))
+    fuzzy = cut(numbered.join(pairs.hint("merge"), asked))
     top = fuzzy.groupBy("action_id").agg(F.max("ratio").alias("top"))
-    winners = fuzzy.join(top, "action_id").filter("ratio = top").join(site.select("pops_id", "building_name"), "pops_id").join(actions.select("action_id", F.col("enforcement_text").alias("said")), "action_id")
+    winners = fuzzy.join(top.hint("merge"), "action_id").filter("ratio = top").join(site.select("pops_id", "borough", "street_canonical", "hn_low", "hn_high", "building_name"), there)
+    winners = winners.join(actions.select("action_id", F.col("enforcement_text").alias("said")).hint("merge"), "action_id")
     winners = winners.withColumn("named", F.coalesce(corroborated(F.col("building_name"), F.col("said")), F.lit(False)))
     conf = F.when(((F.col("top") >= ACCEPT) & ~F.col("variant")) | F.col("named"), "medium").otherwise("low")
     kind = F.when(F.col("variant"), "one compass word more or less").otherwise(F.format_string("street name alike by %.0f", "top"))
@@ -111,12 +127,10 @@ def match(actions: DataFrame, proofs: DataFrame, master: DataFrame) -> DataFrame
     named = F.when(F.col("named"), F.concat(F.lit("building name '"), "building_name", F.lit("' in the text")))
     found.append(level(winners.withColumns({"note": note, "more": named}), 5, conf, F.col("top") / 100 * 0.8, F.concat_ws("\x1f", "note", "more"), key=F.col("query_key")))
 
-    every = found[0]
+    at = found[0]
     for more in found[1:]:
-        every = every.unionByName(more)
-    every = cut(every)  # read twice
-    first = every.groupBy("action_id").agg(F.min("level").alias("best"))
-    at = every.join(first, "action_id").filter("level = best")
+        at = at.unionByName(more)
+    at = at.withColumnRenamed("level", "best")
     seen = F.array_sort(F.collect_list(F.struct("pos", "pops_id")))
     out = at.groupBy("action_id", "best").agg(F.array_distinct(F.transform(seen, lambda x: x["pops_id"])).alias("ids"), F.min_by(F.struct("conf", "score", "note", "key"), F.struct("pos", "pops_id")).alias("lead"))
     one, method = F.size("ids") == 1, F.element_at(F.array(*map(F.lit, LEVELS)), F.col("best"))
@@ -129,7 +143,7 @@ def match(actions: DataFrame, proofs: DataFrame, master: DataFrame) -> DataFrame
         F.when(one, "matched").otherwise("ambiguous").alias("match_status"), F.when(one, "").otherwise(F.array_join("ids", ";")).alias("match_candidates"),
         notes.alias("match_notes"), F.col("lead.key").alias("matched_address_key"),
     )
-    every = actions.select("action_id").join(geocoded(proofs), "action_id", "left").join(out, "action_id", "left")
+    every = actions.select("action_id").join(geocoded(proofs).hint("merge"), "action_id", "left").join(out.hint("merge"), "action_id", "left")
     nothing = F.when(F.col("geocode_status").isNull(), "no address to look up").otherwise("no site at this address")
     return every.withColumn("match_notes", F.coalesce("match_notes", nothing)).fillna(OUTCOME).select("action_id", *OUTCOME)
 
