@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import stats
 from ledgerloom.operators import joins
 
 
@@ -19,3 +23,17 @@ def test_ranges_are_not_broadcast_and_levels_without_a_match_are_left_out(spark)
     assert "BroadcastHashJoin" not in plan(found) and "SortMergeJoin" in plan(found)
     assert sorted((r["i"], r["j"]) for r in found.collect()) == [(k, k) for k in range(50)]
     assert joins.overlapping(a, b.limit(0), ["key"], ("lo", "hi"), ("low", "high")).count() == 0
+
+
+def test_fisher_of_large_tables(spark):
+    """Some 100,000 tables of 800,000 rows; the time grows with the tables, not with tables times rows."""
+    ln = lambda n: math.lgamma(n + 1)
+    rows = [(100_300, 299_700, 99_700, 300_300), (100_000, 300_000, 100_000, 300_000), (0, 5, 7, 1), (3, 0, 0, 0), (40, 60, 55, 45)]
+    want = []
+    for a, b, c, d in rows:
+        p = lambda x: math.exp(ln(a + b) + ln(c + d) + ln(a + c) + ln(b + d) - ln(a + b + c + d) - ln(x) - ln(a + b - x) - ln(a + c - x) - ln(d - a + x))  # noqa: B023, E731
+        want.append(min(1.0, math.fsum(q for q in map(p, range(max(0, a - d), min(a + b, a + c) + 1)) if q <= p(a) * (1 + 1e-7))))
+    df = spark.createDataFrame(rows, "a long, b long, c long, d long")
+    start = time.monotonic()
+    got = [r[0] for r in df.select(stats.fisher_exact(*[F.col(k) for k in "abcd"])).collect()]
+    assert got == pytest.approx(want, rel=1e-6) and time.monotonic() - start < 60
