@@ -395,19 +395,20 @@ UNION ALL SELECT string_agg(id, ',' ORDER BY id), 'duplicate_bulletin high' FROM
 UNION ALL SELECT string_agg(id, ',' ORDER BY id), 'duplicate_bulletin high' FROM r WHERE k % 47 = 0 OR k % 47 = 2 GROUP BY k // 47 HAVING count(*) > 1)
 SELECT split_part(i, ' ', 1) AS issue_type, split_part(i, ' ', 2) AS severity, id AS bulletin_id, 'R-' || left(sha1(split_part(i, ' ', 1) || '|' || id), 10) AS review_id FROM i""")
 def bulletin_rules(spark, d) -> DataFrame:
-    """Part keys as monthly bulletins that break rules by their divisors."""
+    """Part keys as monthly bulletins that break rules by their divisors; ids hold four digits of a year, so larger keys share them."""
     k = F.col("k")
     div = lambda n: k % n == 0
-    named = F.concat_ws("-", F.lpad((1900 + F.floor(k / 12)).cast("string"), 4, "0"), F.lpad((k % 12 + 1).cast("string"), 2, "0"))
-    base = T(spark, d, "part").select(F.col("p_partkey").cast("long").alias("k")).distinct().withColumn("bulletin_id", F.when(div(17), F.concat(F.lit("unparsed:"), k.cast("string"))).otherwise(named))
+    named = lambda n: F.concat_ws("-", F.lpad(F.floor(n / 12).cast("string"), 4, "0"), F.lpad((n % 12 + 1).cast("string"), 2, "0"))
+    month = (12 * 1900 + k).alias("month")
+    base = T(spark, d, "part").select(F.col("p_partkey").cast("long").alias("k")).distinct().withColumn("bulletin_id", F.when(div(17), F.concat(F.lit("unparsed:"), k.cast("string"))).otherwise(named(month)))
     one = lambda n, m: F.when(div(n) | (k % n == m), F.floor(k / n)).otherwise(-k)
     registry = base.select(
-        "bulletin_id", F.concat(F.lit("u"), one(47, 2).cast("string")).alias("pdf_url"), F.concat(F.lit("h"), one(43, 1).cast("string")).alias("sha256"), F.when(div(5), "False").otherwise("True").alias("downloaded"),
+        "bulletin_id", month, F.concat(F.lit("u"), one(47, 2).cast("string")).alias("pdf_url"), F.concat(F.lit("h"), one(43, 1).cast("string")).alias("sha256"), F.when(div(5), "False").otherwise("True").alias("downloaded"),
         F.when(div(19), "pdf_replaced_upstream: x").otherwise("").alias("processing_errors"), F.lit("label").alias("index_label"), div(7).alias("label_conflict"), (~div(11)).alias("filename_pattern_ok"), (~div(13)).alias("still_on_index"),
     )
     diagnostics = base.filter((k > 3) & ~div(17)).select(
-        "bulletin_id", div(23).alias("needs_ocr"), F.lit(True).alias("has_text"), F.when(div(29), 0).when(div(41), 1000).otherwise(10).alias("n_entries"), (~div(31)).alias("marker_found"), F.when(div(37), 2).otherwise(0).alias("empty_bullets"))
-    return review.bulletin_issues(registry, diagnostics).select("issue_type", "severity", "bulletin_id", "review_id")
+        "bulletin_id", month, div(23).alias("needs_ocr"), F.lit(True).alias("has_text"), F.when(div(29), 0).when(div(41), 1000).otherwise(10).alias("n_entries"), (~div(31)).alias("marker_found"), F.when(div(37), 2).otherwise(0).alias("empty_bullets"))
+    return review.bulletin_issues(registry, diagnostics, named=named).select("issue_type", "severity", "bulletin_id", "review_id")
 
 
 @query("""SELECT 'structure_change_index' AS issue_type, 'high' AS severity, 'R-' || left(sha1('index|' || n), 10) AS review_id FROM (SELECT count(*) FILTER (p_partkey % 10 < 7) AS n, count(*) AS known FROM part) WHERE n = 0 OR n < 0.8 * known""")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import stats
 from ledgerloom.operators import joins
+from ledgerloom.plans import registry
 
 
 def plan(df):
@@ -37,3 +38,15 @@ def test_fisher_of_large_tables(spark):
     start = time.monotonic()
     got = [r[0] for r in df.select(stats.fisher_exact(*[F.col(k) for k in "abcd"])).collect()]
     assert got == pytest.approx(want, rel=1e-6) and time.monotonic() - start < 60
+
+
+def test_bulletins_that_share_an_id_keep_their_own_issues(spark, tmp_path):
+    """Years of five digits, of which ids hold four."""
+    keys = range(111_360, 111_720)
+    spark.createDataFrame([(k,) for k in keys], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
+    got = [(r["issue_type"], r["bulletin_id"]) for r in registry.QUERIES["bulletin_rules"](spark, str(tmp_path)).collect()]
+    named = lambda k: f"{1900 + k // 12}"[:4] + f"-{k % 12 + 1:02}"
+    known = [k for k in keys if k % 17]
+    assert sorted(i for kind, i in got if kind == "missing_bulletin_month") == sorted(named(k) for k in keys if k % 17 == 0 and known[0] < k < known[-1])
+    sudden = [named(k) for k in known if k % 41 == 0 and k % 29 and k % 23]
+    assert sorted(i for kind, i in got if kind == "structure_change_entry_count") == sorted(sudden) and len(sudden) > 5
