@@ -268,7 +268,7 @@ def preserve_first_seen(spark, d) -> DataFrame:
     o = T(spark, d, "orders").withColumn("id", F.col("o_orderkey").cast("string"))
     issues = lambda said: review.issue(o, "x", "low", F.lit(True), "id", F.lit(said), of="enforcement_id")
     stamps = o.filter("o_orderkey % 2 = 0").select(F.col("id").alias("enforcement_id"), F.concat(F.lit("t"), F.col("o_custkey").cast("string")).alias("detected_at"))
-    before = issues("old wording").join(stamps, "enforcement_id").select("review_id", "detected_at")
+    before = issues("old wording").join(stamps, "enforcement_id").select("review_id", "issue_type", "enforcement_id", "bulletin_id", "detected_at")
     return review.queue(issues("new wording"), before, o.filter("o_orderkey % 5 = 0").select(F.col("id").alias("enforcement_id")), "now").select("review_id", "detected_at", "status")
 
 

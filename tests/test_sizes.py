@@ -50,3 +50,10 @@ def test_bulletins_that_share_an_id_keep_their_own_issues(spark, tmp_path):
     assert sorted(i for kind, i in got if kind == "missing_bulletin_month") == sorted(named(k) for k in keys if k % 17 == 0 and known[0] < k < known[-1])
     sudden = [named(k) for k in known if k % 41 == 0 and k % 29 and k % 23]
     assert sorted(i for kind, i in got if kind == "structure_change_entry_count") == sorted(sudden) and len(sudden) > 5
+
+
+def test_issues_of_one_short_hash_keep_their_own_first_detection(spark, tmp_path):
+    """Two keys whose review ids are the same; the last run knew one of the issues."""
+    spark.createDataFrame([(387_028, 1), (621_027, 2)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    got = [tuple(r) for r in registry.QUERIES["preserve_first_seen"](spark, str(tmp_path)).collect()]
+    assert sorted(got) == [("R-0f5905f567", "now", "open"), ("R-0f5905f567", "t1", "open")]
