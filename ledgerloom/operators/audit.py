@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import address
+from ..session import cut
+from . import joins
 
 ROW = r"^\s*(\d{1,3})\s+(.+?)\s+(Yes|No|Construction)\s*$"  # fixed value: a line of the appendix
 
@@ -38,24 +40,31 @@ def link(audit: DataFrame, master: DataFrame) -> DataFrame:
     """audit_row, match_status, method, confidence, pops_id, candidates of every audit row.
 
     Each part is tried by number and street, then by a range that holds the number, and by street alone where it has no number;
-    the last part with a hit gives method and confidence, and all hits are candidates, in the order of parts and sites.
+    the last part with a hit gives method and confidence, and all hits are candidates, in the order of parts and sites. Sites of one
+    address (range, street) are listed once, and rows meet the list, so no street's rows are paired with all its sites.
     """
     number, street = _numbered(F.col("part"))
     rows = audit.select("audit_row", F.size(segments(F.col("address"))).alias("n"), F.posexplode(segments(F.col("address"))).alias("pos", "part"))
     rows = rows.select("audit_row", "n", "pos", number.alias("number"), address.canonical_street(street).alias("street"))
     tail = F.when(F.col("number").rlike(r"-\d{2}$"), "Queens").otherwise("")
-    rows = rows.withColumn("hn", address.house_number(F.nullif("number", F.lit("")), tail))
-    sites = master.filter("address_normalized <> ''").select("pops_id", F.split_part("address_normalized", F.lit(" "), F.lit(1)).alias("num"), F.col("street_canonical").alias("street"), "hn_low", "hn_high")
-    both = rows.join(sites, "street")
-    exact = F.col("num") == F.col("hn.text")
-    inside = (F.col("hn.kind") != "range") & (F.col("hn_low") <= F.col("hn.low")) & (F.col("hn_high") >= F.col("hn.low"))
-    level = F.when(exact, 1).when(inside, 2).when(F.col("hn").isNull(), 3)
-    both = both.withColumn("level", level).filter("level is not null")
-    best = both.groupBy("audit_row", "pos").agg(F.min("level").alias("best"))
-    hits = both.join(best, ["audit_row", "pos"]).filter("level = best")
-    order = F.array_sort(F.collect_list(F.struct("pos", "pops_id")))
-    out = hits.groupBy("audit_row").agg(F.array_distinct(F.transform(order, lambda x: x["pops_id"])).alias("ids"), F.max_by(F.struct("best", "n"), "pos").alias("lead"))
-    out = audit.select("audit_row").join(out, "audit_row", "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<string>")))
+    rows = cut(rows.withColumn("hn", address.house_number(F.nullif("number", F.lit("")), tail)).select("audit_row", "n", "pos", "street", F.col("hn.text").alias("num"), F.col("hn.kind").alias("kind"), F.col("hn.low").alias("low"), F.col("hn").isNull().alias("bare")))
+    sites = cut(master.filter("address_normalized <> ''").select("pops_id", F.split_part("address_normalized", F.lit(" "), F.lit(1)).alias("num"), F.col("street_canonical").alias("street"), "hn_low", "hn_high"))
+
+    def listed(asked: DataFrame, keys: list[str], level: int) -> DataFrame:
+        """The asked rows with the sites of equal keys."""
+        own = sites.join(asked.select(*keys).distinct().hint("merge"), keys, "left_semi").groupBy(*keys).agg(F.array_sort(F.collect_list("pops_id")).alias("own"))
+        return asked.join(own.hint("merge"), keys).select("audit_row", "n", "pos", F.lit(level).alias("best"), "own")
+
+    held = sites.select("street", "num").distinct().hint("merge")
+    spans = rows.filter("kind <> 'range' and low is not null").join(held, ["street", "num"], "left_anti")
+    points = spans.select("street", "low", F.col("low").alias("high")).distinct()
+    inside = cut(joins.overlapping(points, sites.select("street", "hn_low", "hn_high").distinct(), ["street"], ("low", "high"), ("hn_low", "hn_high")).drop("high"))
+    ranges = spans.join(inside.hint("merge"), ["street", "low"])
+    hits = listed(rows, ["street", "num"], 1).unionByName(listed(ranges, ["street", "hn_low", "hn_high"], 2)).unionByName(listed(rows.filter("bare"), ["street"], 3))
+    hits = hits.groupBy("audit_row", "pos").agg(F.array_sort(F.flatten(F.collect_list("own"))).alias("own"), F.first(F.struct("best", "n")).alias("lead"))
+    order = F.array_sort(F.collect_list(F.struct("pos", "own")))
+    out = hits.groupBy("audit_row").agg(F.array_distinct(F.flatten(F.transform(order, lambda x: x["own"]))).alias("ids"), F.max_by("lead", "pos").alias("lead"))
+    out = audit.select("audit_row").join(out.hint("merge"), "audit_row", "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<string>")))
     best = F.when(F.size("ids") > 0, F.col("lead.best"))
     method = F.when(best == 1, "address_exact").when(best == 2, "address_range").when(best == 3, "street_only").otherwise("none")
     conf = F.when(F.size("ids") != 1, "none").when((F.col("lead.best") == 1) & (F.col("lead.n") == 1), "high").when(F.col("lead.best") < 3, "medium").otherwise("low")

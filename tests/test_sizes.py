@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import stats
-from ledgerloom.operators import joins
+from ledgerloom.operators import audit, joins
 from ledgerloom.plans import registry
 
 
@@ -57,3 +57,12 @@ def test_issues_of_one_short_hash_keep_their_own_first_detection(spark, tmp_path
     spark.createDataFrame([(387_028, 1), (621_027, 2)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
     got = [tuple(r) for r in registry.QUERIES["preserve_first_seen"](spark, str(tmp_path)).collect()]
     assert sorted(got) == [("R-0f5905f567", "now", "open"), ("R-0f5905f567", "t1", "open")]
+
+
+def test_audit_rows_of_a_long_street_are_not_paired_with_all_its_sites(spark):
+    """20,000 rows and 60,000 sites of one street: a pair of each would be 1.2 billion."""
+    sites = spark.range(60_000).selectExpr("cast(id as string) as pops_id", "concat(id, ' LONG STREET') as address_normalized", "'LONG STREET' as street_canonical", "cast(id as int) as hn_low", "cast(if(id = 7, 9, id) as int) as hn_high")
+    rows = spark.range(20_000).selectExpr("id as audit_row", "concat(id * 2, if(id = 4, 'B', ''), ' Long St') as address")
+    start = time.monotonic()
+    got = {r["audit_row"]: (r["method"], r["candidates"]) for r in audit.link(rows, sites).collect()}
+    assert got[10] == ("address_exact", "20") and got[4] == ("address_range", "7;8") and len(got) == 20_000 and time.monotonic() - start < 60
