@@ -208,21 +208,22 @@ def corroborated(name, said):
     return (F.length(own) >= 5) & ~own.isin(*GENERIC_NAMES) & F.rlike(F.lower(said), pattern)
 
 
-def names_in_text(texts: DataFrame, names: DataFrame, key: str) -> DataFrame:
+def names_in_text(texts: DataFrame, names: DataFrame, key: str, *, most: int = 4) -> DataFrame:
     """key, pops_id of every building name found in texts(key, said); names: pops_id, name.
 
-    The join is on the longest run of letters in the name, which must be a run of letters of the text, too; a name without
-    letters is joined on its first five characters.
+    The join is on the name's part from its first run of letters to its last, or to the `most`-th, which must stand in the text from the
+    begin of a run to the end of one, too; a name without letters is joined on its first five characters.
     """
-    runs = lambda c: F.regexp_extract_all(c, F.lit("([a-z]+)"), F.lit(1))
-    longest = lambda c: F.aggregate(runs(c), F.lit(""), lambda acc, x: F.when(F.length(x) > F.length(acc), x).otherwise(acc))
+    runs = lambda n: rf"(?:[a-z]+[^a-z]+){{{n - 1}}}[a-z]+"
     own = _plain(F.col("name"))
     known = names.filter((F.length(own) >= 5) & ~own.isin(*GENERIC_NAMES))
-    known = known.withColumn("token", F.when(longest(own) != "", longest(own)).otherwise(F.substring(own, 1, 5)))
+    parts = [F.nullif(F.regexp_extract(own, runs(n), 0), F.lit("")) for n in range(most, 0, -1)]
+    known = known.withColumn("token", F.coalesce(*parts, F.substring(own, 1, 5)))
     said = F.lower("said")
+    stands = [F.regexp_extract_all(said, F.lit(rf"(?<![a-z])(?=({runs(n)})(?![a-z]))"), F.lit(1)) for n in range(1, most + 1)]
     fives = F.regexp_extract_all(said, F.lit("(?=([^a-z]{5}))"), F.lit(1))  # every place where five characters are no letters
-    tokens = texts.withColumn("token", F.explode(F.array_distinct(F.concat(runs(said), fives))))
-    return tokens.join(known, "token").filter(corroborated(F.col("name"), F.col("said"))).select(key, "pops_id").distinct()
+    tokens = texts.withColumn("token", F.explode(F.array_distinct(F.concat(*stands, fives))))
+    return tokens.join(known.hint("merge"), "token").filter(corroborated(F.col("name"), F.col("said"))).select(key, "pops_id").distinct()
 
 
 HEAD, MOST_HEADS, MOST_BYTES = 24, 500_000, 32 << 20  # letters of a passage in the automaton; bounds of what every task may hold

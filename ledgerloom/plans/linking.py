@@ -136,7 +136,7 @@ UNION ALL SELECT k, 1, (k - 2) || ' (No. ' || (k - 2) || ' Hall, ' || o.num || '
 SELECT CAST(id AS VARCHAR) AS enforcement_id, string_agg(hint, ' | ' ORDER BY t) AS suggested FROM h GROUP BY id""")
 def suggest_candidates(spark, d) -> DataFrame:
     """Customers as actions that give a site's name, its number and misspelt street, another site's name, or nothing; a site's number is its id."""
-    sites = _sites(spark, d).withColumns({"building_name": F.concat(F.lit("No. "), "pops_id", F.lit(" Hall")), "seq": F.col("pops_id").cast("long"), "hn_low": F.col("pops_id").cast("int")})
+    sites = cut(_sites(spark, d)).withColumns({"building_name": F.concat(F.lit("No. "), "pops_id", F.lit(" Hall")), "seq": F.col("pops_id").cast("long"), "hn_low": F.col("pops_id").cast("int")})
     wrong = T(spark, d, "customer").selectExpr("cast(c_custkey as string) as pops_id", f"{_spark(MISSPELT)} as misspelt")
     kind = F.col("seq") % 4
     said = F.when(kind == 0, F.concat(F.lit("at NO. "), "pops_id", F.lit(" hall, shut"))).when(kind == 2, F.concat(F.lit("beside no. "), (F.col("seq") - 2).cast("string"), F.lit(" Hall"))).when(kind == 3, F.concat(F.lit("the no. "), "pops_id", F.lit(" halls"))).otherwise("nothing")

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import stats
-from ledgerloom.operators import audit, joins
+from ledgerloom.operators import audit, joins, resolve
 from ledgerloom.plans import registry
 
 
@@ -66,3 +66,15 @@ def test_audit_rows_of_a_long_street_are_not_paired_with_all_its_sites(spark):
     start = time.monotonic()
     got = {r["audit_row"]: (r["method"], r["candidates"]) for r in audit.link(rows, sites).collect()}
     assert got[10] == ("address_exact", "20") and got[4] == ("address_range", "7;8") and len(got) == 20_000 and time.monotonic() - start < 60
+
+
+def test_names_that_share_their_longest_word_are_not_paired_with_all_texts(spark):
+    """20,000 names and texts that all hold the word hall: a pair of each would be 400 million."""
+    names = spark.range(20_000).selectExpr("cast(id as string) as pops_id", "concat('No. ', id, ' Hall') as name")
+    texts = spark.range(20_000).selectExpr("id as key", "concat('Shut: the no. ', id, if(id % 2 = 0, ' HALL', ' halls'), ', beside x') as said")
+    start = time.monotonic()
+    got = sorted((r["key"], r["pops_id"]) for r in resolve.names_in_text(texts, names, "key").collect())
+    assert got == [(k, str(k)) for k in range(0, 20_000, 2)] and time.monotonic() - start < 60
+    few = spark.createDataFrame([("a", "45 Wall Street"), ("b", "One Two Three Four Five-Six"), ("c", "12 345"), ("d", "l'Art Déco 9")], "pops_id string, name string")
+    said = spark.createDataFrame([(1, "at 145 wall street."), (2, "45 wall streets"), (3, "x one two three four five-six;"), (4, "one two three four five"), (5, "no 12 345 6"), (6, "(L'ART DÉCO 99)")], "key int, said string")
+    assert sorted((r["key"], r["pops_id"]) for r in resolve.names_in_text(said, few, "key").collect()) == [(1, "a"), (3, "b"), (5, "c"), (6, "d")]
