@@ -37,10 +37,14 @@ REQUIREMENTS = {
 
 
 def with_site(actions: DataFrame, master: DataFrame) -> DataFrame:
-    """Actions with the fields of the site they are linked to; blank for the others and for fields that the master lacks."""
+    """Actions with the fields of the site they are linked to; blank for the others and for fields that the master lacks.
+
+    The master is not broadcast, however small the optimiser takes it to be; actions without a site are dealt to 64 keys that no site has.
+    """
     have = {to: c for to, c in SITE_FIELDS.items() if c in master.columns}
-    sites = master.select(F.col("pops_id"), *[F.col(c).cast("string").alias(to) for to, c in have.items()])
-    df = actions.join(sites, "pops_id", "left")
+    none = F.concat(F.lit("\0"), F.pmod(F.xxhash64("enforcement_id"), F.lit(64)).cast("string"))
+    sites = master.select(F.col("pops_id").alias("_site"), *[F.col(c).cast("string").alias(to) for to, c in have.items()]).filter("_site <> ''")
+    df = actions.withColumn("_own", F.coalesce(F.nullif("pops_id", F.lit("")), none)).join(sites.hint("merge"), F.col("_own") == F.col("_site"), "left").drop("_own", "_site")
     return df.withColumns({to: F.coalesce(F.col(to) if to in have else F.lit(None).cast("string"), F.lit("")) for to in SITE_FIELDS})
 
 
@@ -60,8 +64,8 @@ def run(bulletins: DataFrame, master: DataFrame, geocodes: DataFrame, decisions:
     said = F.col("enforcement_text")
     parsed = segment.parse_entries(segment.split_entries(bulletins, read))
     acts = cut(segment.stable_ids(parsed, F.replace("bulletin_id", F.lit("-"), F.lit(""))).withColumn("action_id", F.col("enforcement_id")))  # parsed once, read by all that follows
-    found = resolve.match(acts, resolve.evidence(acts, master, geocodes), master).withColumnRenamed("action_id", "enforcement_id")
-    acts = acts.drop("action_id").join(found, "enforcement_id")
+    found = resolve.link(acts, master, geocodes).withColumnRenamed("action_id", "enforcement_id")
+    acts = acts.drop("action_id").join(found.hint("merge"), "enforcement_id")
     blank = text.blank_out(said, F.concat(F.transform("addresses", lambda a: a["raw"]), F.array("respondent")))
     acts = acts.withColumn("wording", text.detect(said, blank)).withColumn("matched", F.col("match_status") == "matched")
     tier = F.col("wording.tier")
@@ -74,7 +78,7 @@ def run(bulletins: DataFrame, master: DataFrame, geocodes: DataFrame, decisions:
         }
     )
     acts = acts.withColumns({"violation_category": F.coalesce(F.array_join("classes.categories", ";"), F.lit("")), "violation_category_terms": F.coalesce(F.when(F.size("classes.terms") > 0, F.to_json("classes.terms")), F.lit(""))})
-    acts = acts.join(bulletins.select("bulletin_id", "pdf_url", "source_pdf"), "bulletin_id")
+    acts = acts.join(bulletins.select("bulletin_id", "pdf_url", "source_pdf").hint("merge"), "bulletin_id")
     reviewed = resolve.overlay(acts, decisions).withColumnRenamed("review_status", "manual_review_status")
     ordered = reviewed.withColumn("seq", F.struct("bulletin_id", "page", "entry"))
     dups = segment.flag_duplicates(ordered).withColumn("possible_duplicate_of", F.col("duplicate_of")).drop("seq", "wording", "classes", "matched")

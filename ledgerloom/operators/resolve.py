@@ -28,10 +28,10 @@ def evidence(actions: DataFrame, master: DataFrame, geocodes: DataFrame) -> Data
     rows = rows.withColumn("borough", F.explode(F.when(known.isNotNull(), F.array(known)).otherwise(F.array(*map(F.lit, rules.BOROUGH_CODES)))))
     rows = with_streets(rows.withColumns({"inferred": known.isNull(), "written": F.col("a.street"), "number": F.col("a.number")}))
     rows = rows.withColumn("query_key", address.key_of(F.col("borough"), F.col("number"), F.col("street"))).filter("query_key is not null")
-    keys = master.select(F.col("address_key").alias("query_key")).filter("query_key <> ''").distinct()
+    keys = master.select(F.col("address_key").alias("query_key")).filter("query_key <> ''").distinct().hint("merge")
     rows = rows.filter("not inferred").unionByName(rows.filter("inferred").join(keys, "query_key", "left_semi"))
     geo = geocodes.select("query_key", F.col("bbl").alias("geo_bbl"), F.col("bin").alias("geo_bin"), F.col("status").alias("geo_status"))
-    rows = rows.join(geo, "query_key", "left").withColumn("geo_status", F.coalesce("geo_status", F.lit("not_geocoded")))
+    rows = rows.join(geo.hint("merge"), "query_key", "left").withColumn("geo_status", F.coalesce("geo_status", F.lit("not_geocoded")))
     ok = F.col("geo_status") == "ok"
     rows = rows.withColumns({"geo_bbl": F.when(ok, F.nullif("geo_bbl", F.lit(""))), "geo_bin": F.when(ok, F.nullif("geo_bin", F.lit("")))})
     rows = rows.withColumn("hn", address.house_number(F.col("number"), F.col("borough")))
@@ -59,9 +59,28 @@ def geocoded(proofs: DataFrame) -> DataFrame:
     return per.select("action_id", said("geo_bbl").alias("geocoded_bbl"), said("geo_bin").alias("geocoded_bin"), said("geo_status").alias("geocode_status"))
 
 
-def match(actions: DataFrame, proofs: DataFrame, master: DataFrame) -> DataFrame:
+def link(actions: DataFrame, master: DataFrame, geocodes: DataFrame) -> DataFrame:
+    """`match` of all actions, from their addresses (candidates) and identifiers.
+
+    Actions that give the same evidence are matched once: one of them stands for all, so that the pairs with sites and with the geocoder's
+    answers grow with the different addresses and not with the actions that give them. Only a building's name in the text is looked for in each.
+    """
+    told = F.transform("candidates", lambda a: F.struct(a["number"].alias("number"), a["street"].alias("street"), a["borough"].alias("borough")))
+    alike = F.sha2(F.to_json(F.struct("borough", *[F.col(f"identifiers.{k}").alias(k) for k in ("bbl", "bin", "block_lot")], told.alias("told"))), 256)
+    groups = cut(actions.select(F.col("action_id").alias("own"), alike.alias("alike")))
+    first = groups.groupBy("alike").agg(F.min("own").alias("action_id"))
+    groups = cut(groups.join(first.hint("merge"), "alike").select("action_id", "own"))
+    leading = actions.select("action_id", "borough", "identifiers", "candidates", "enforcement_text").join(groups.filter("action_id = own").select("action_id").hint("merge"), "action_id", "left_semi")
+    leading = cut(leading)
+    texts = actions.select(F.col("action_id").alias("own"), F.col("enforcement_text").alias("said"))
+    return match(leading, evidence(leading, master, geocodes), master, groups, texts)
+
+
+def match(actions: DataFrame, proofs: DataFrame, master: DataFrame, groups: DataFrame | None = None, texts: DataFrame | None = None) -> DataFrame:
     """OUTCOME of every action: its site, how it was found and how surely, the candidates if there are several, notes, and the geocoder's word.
 
+    groups: action_id and own, where an action stands for others (itself included), whose texts(own, said) may differ; the result is then theirs.
+
     All levels are joins on equal keys; the lowest level with a candidate wins, and several sites there are ambiguous. A level sees only
     the actions that the levels before it left open, and ranges are compared once, however many actions and sites have them. What grows
     with the sites is never broadcast: the optimiser takes it for smaller than it is.
@@ -119,33 +138,44 @@ def match(actions: DataFrame, proofs: DataFrame, master: DataFrame) -> DataFrame
     fuzzy = cut(numbered.join(pairs.hint("merge"), asked))
     top = fuzzy.groupBy("action_id").agg(F.max("ratio").alias("top"))
     winners = fuzzy.join(top.hint("merge"), "action_id").filter("ratio = top").join(site.select("pops_id", "borough", "street_canonical", "hn_low", "hn_high", "building_name"), there)
-    winners = winners.join(actions.select("action_id", F.col("enforcement_text").alias("said")).hint("merge"), "action_id")
+    if groups is None:
+        groups = actions.select("action_id", F.col("action_id").alias("own"))
+        texts = actions.select(F.col("action_id").alias("own"), F.col("enforcement_text").alias("said"))
+    winners = winners.join(groups.hint("merge"), "action_id").join(texts.hint("merge"), "own").drop("action_id").withColumnRenamed("own", "action_id")
     winners = winners.withColumn("named", F.coalesce(corroborated(F.col("building_name"), F.col("said")), F.lit(False)))
     conf = F.when(((F.col("top") >= ACCEPT) & ~F.col("variant")) | F.col("named"), "medium").otherwise("low")
     kind = F.when(F.col("variant"), "one compass word more or less").otherwise(F.format_string("street name alike by %.0f", "top"))
     note = F.concat(kind, F.lit(" ('"), "written", F.lit("' ~ '"), "street_canonical", F.lit("')"))
     named = F.when(F.col("named"), F.concat(F.lit("building name '"), "building_name", F.lit("' in the text")))
-    found.append(level(winners.withColumns({"note": note, "more": named}), 5, conf, F.col("top") / 100 * 0.8, F.concat_ws("\x1f", "note", "more"), key=F.col("query_key")))
+    fuzzy = level(winners.withColumns({"note": note, "more": named}), 5, conf, F.col("top") / 100 * 0.8, F.concat_ws("\x1f", "note", "more"), key=F.col("query_key"))
 
     at = found[0]
     for more in found[1:]:
         at = at.unionByName(more)
-    at = at.withColumnRenamed("level", "best")
+    names = [c for c in OUTCOME if not c.startswith("geocode")]
+    every = actions.select("action_id").join(geocoded(proofs).hint("merge"), "action_id", "left").join(decided(at).hint("merge"), "action_id", "left")
+    every = groups.hint("merge").join(cut(every).hint("merge"), "action_id").drop("action_id").withColumnRenamed("own", "action_id")
+    every = every.join(decided(fuzzy).withColumnsRenamed({c: f"own_{c}" for c in names}).hint("merge"), "action_id", "left")
+    every = every.withColumns({c: F.coalesce(c, f"own_{c}") for c in names})
+    nothing = F.when(F.col("geocode_status").isNull(), "no address to look up").otherwise("no site at this address")
+    return every.withColumn("match_notes", F.coalesce("match_notes", nothing)).fillna(OUTCOME).select("action_id", *OUTCOME)
+
+
+def decided(at: DataFrame) -> DataFrame:
+    """action_id and the columns of OUTCOME but the geocoder's, from the candidates(action_id, pops_id, level, conf, score, pos, note, key) of its only level."""
+    at, blank = at.withColumnRenamed("level", "best"), F.lit("")
     seen = F.array_sort(F.collect_list(F.struct("pos", "pops_id")))
     out = at.groupBy("action_id", "best").agg(F.array_distinct(F.transform(seen, lambda x: x["pops_id"])).alias("ids"), F.min_by(F.struct("conf", "score", "note", "key"), F.struct("pos", "pops_id")).alias("lead"))
     one, method = F.size("ids") == 1, F.element_at(F.array(*map(F.lit, LEVELS)), F.col("best"))
     several = F.concat(F.size("ids").cast("string"), F.lit(" candidates at level "), method)
     parts = F.split("lead.note", "\x1f")  # a building's name speaks for one site only
     notes = F.when(one, F.array_join(parts, "; ")).otherwise(F.concat_ws("; ", F.nullif(F.get(parts, F.lit(0)), blank), several))
-    out = out.select(
+    return out.select(
         "action_id", F.when(one, F.get("ids", F.lit(0))).otherwise("").alias("pops_id"), method.alias("match_method"),
         F.when(one, F.col("lead.conf")).otherwise("none").alias("match_confidence"), F.when(one, F.bround("lead.score", 3)).otherwise(0.0).alias("match_score"),
         F.when(one, "matched").otherwise("ambiguous").alias("match_status"), F.when(one, "").otherwise(F.array_join("ids", ";")).alias("match_candidates"),
         notes.alias("match_notes"), F.col("lead.key").alias("matched_address_key"),
     )
-    every = actions.select("action_id").join(geocoded(proofs).hint("merge"), "action_id", "left").join(out.hint("merge"), "action_id", "left")
-    nothing = F.when(F.col("geocode_status").isNull(), "no address to look up").otherwise("no site at this address")
-    return every.withColumn("match_notes", F.coalesce("match_notes", nothing)).fillna(OUTCOME).select("action_id", *OUTCOME)
 
 
 def similar_streets(proofs: DataFrame, site: DataFrame) -> DataFrame:

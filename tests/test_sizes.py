@@ -8,8 +8,8 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import stats
-from ledgerloom.operators import audit, joins, resolve
+from ledgerloom.functions import address, stats
+from ledgerloom.operators import audit, joins, master, publish, resolve
 from ledgerloom.plans import registry
 
 
@@ -78,3 +78,29 @@ def test_names_that_share_their_longest_word_are_not_paired_with_all_texts(spark
     few = spark.createDataFrame([("a", "45 Wall Street"), ("b", "One Two Three Four Five-Six"), ("c", "12 345"), ("d", "l'Art Déco 9")], "pops_id string, name string")
     said = spark.createDataFrame([(1, "at 145 wall street."), (2, "45 wall streets"), (3, "x one two three four five-six;"), (4, "one two three four five"), (5, "no 12 345 6"), (6, "(L'ART DÉCO 99)")], "key int, said string")
     assert sorted((r["key"], r["pops_id"]) for r in resolve.names_in_text(said, few, "key").collect()) == [(1, "a"), (3, "b"), (5, "c"), (6, "d")]
+
+
+def test_actions_of_equal_evidence_are_matched_once(spark, monkeypatch):
+    """3,000 actions about one address of 400 sites: the pairs with sites don't grow with the actions; a building's name in the text still counts for its own action."""
+    sites = spark.range(401).selectExpr(
+        "cast(id as string) as pops_id", "cast(1000000000 + id as string) as bbl", "'' as bin", "'1999' as year", "'Bronx' as borough", "if(id < 400, '7', '9') as num", "if(id < 400, 'Elm Street', 'Parkway Street') as street",
+        "if(id = 400, 'Heron Hall', 'Other Hall') as building_name")
+    sites = master.normalise(sites)
+    acts = spark.range(3_000).selectExpr("cast(id as string) as action_id", "if(id < 2990, '7', '9') as number", "if(id < 2990, 'Elm St', 'Parkwey Street') as street", "case when id = 2999 then 'at Heron Hall' else concat('case ', id) end as said")
+    one = F.struct(F.lit("").alias("raw"), "number", "street", F.lit(None).cast("string").alias("borough"), F.lit(True).alias("anchored"), F.lit(0).alias("start"), F.lit(0).alias("end"))
+    acts = acts.select("action_id", F.lit("Bronx").alias("borough"), F.col("said").alias("enforcement_text"), F.array(one).cast(address.ADDRESS_TYPE).alias("candidates"), address.identifiers(F.col("said")).alias("identifiers"))
+    geocodes = sites.filter("num = '7'").select(F.col("address_key").alias("query_key"), "bbl", F.lit("").alias("bin"), F.lit("ok").alias("status"))
+    seen, whole = [], resolve.evidence
+    monkeypatch.setattr(resolve, "evidence", lambda *a: seen.append(whole(*a)) or seen[-1])
+    got = {int(r["action_id"]): r for r in resolve.link(acts, sites, geocodes).collect()}
+    assert len(got) == 3_000 and seen[0].count() == 400 + 1
+    assert {(r["match_method"], r["match_status"], len(r["match_candidates"].split(";")), len(r["geocoded_bbl"].split(";"))) for k, r in got.items() if k < 2990} == {("bbl", "ambiguous", 400, 400)}
+    assert {(r["match_method"], r["pops_id"], r["geocode_status"]) for k, r in got.items() if k >= 2990} == {("address_fuzzy", "400", "not_geocoded")}
+    assert [k for k, r in got.items() if "building name 'Heron Hall' in the text" in r["match_notes"]] == [2999]
+
+
+def test_the_master_is_not_broadcast_to_actions(spark):
+    acts = spark.createDataFrame([("a", "1"), ("b", ""), ("c", None), ("d", "9")], "enforcement_id string, pops_id string")
+    out = publish.with_site(acts, spark.createDataFrame([("1", "B1"), ("", "no")], "pops_id string, bbl string"))
+    assert "BroadcastHashJoin" not in plan(out) and "SortMergeJoin" in plan(out)
+    assert sorted(out.select("enforcement_id", "pops_id", "pops_bbl", "pops_borough").collect()) == [("a", "1", "B1", ""), ("b", "", "", ""), ("c", None, "", ""), ("d", "9", "", "")]
