@@ -10,15 +10,19 @@ from ..session import numbered
 
 
 def normalise(raw: DataFrame) -> DataFrame:
-    """Padded ids, blank years, placeholder flags, canonical street and address key of raw(pops_id, bbl, bin, year, borough, num, street, building_name)."""
+    """Padded ids, blank years, placeholder flags, canonical street and address key of raw(pops_id, bbl, bin, year, borough, num, street, building_name).
+
+    A master may be one small file, which one or two tasks read; its rows are dealt to all tasks before numbers and keys are worked out.
+    """
     whole = lambda c: F.split_part(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("."), F.lit(1))
-    df = raw.withColumns({"bbl": F.when(whole("bbl") != "", F.lpad(whole("bbl"), 10, "0")).otherwise(""), "bin": F.when(whole("bin") != "", F.lpad(whole("bin"), 7, "0")).otherwise("")})
+    df = raw.repartition("pops_id").withColumns({"bbl": F.when(whole("bbl") != "", F.lpad(whole("bbl"), 10, "0")).otherwise(""), "bin": F.when(whole("bin") != "", F.lpad(whole("bin"), 7, "0")).otherwise("")})
     ways = raw.select(F.col("street").alias("_written")).distinct().withColumn("street_canonical", address.canonical_street(F.col("_written")))  # each way to write a street once
     df = df.join(ways, F.col("street").eqNullSafe(F.col("_written")), "left").drop("_written")
     df = df.withColumns({"year": F.when(whole("year") == "0", "").otherwise(whole("year")), "bin_is_placeholder": F.col("bin").endswith("000000")})
-    hn = address.house_number(F.col("num"), F.col("borough"))
-    return df.withColumns({"hn_low": hn["low"], "hn_high": hn["high"], "address_key": F.coalesce(address.key_of(F.col("borough"), F.col("num"), F.col("street_canonical")), F.lit("")),
+    df, hn = df.withColumn("_hn", address.house_number(F.col("num"), F.col("borough"))), F.col("_hn")  # a column, so that it is worked out once
+    df = df.withColumns({"hn_low": hn["low"], "hn_high": hn["high"], "address_key": F.coalesce(address.key_of(F.col("borough"), F.col("num"), F.col("street_canonical")), F.lit("")),
                            "address_normalized": F.when(hn.isNotNull() & (F.col("street_canonical") != ""), F.concat_ws(" ", hn["text"], "street_canonical")).otherwise("")})
+    return df.drop("_hn")
 
 
 def quality_flags(df: DataFrame, checks: dict[str, str]) -> DataFrame:

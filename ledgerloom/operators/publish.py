@@ -98,6 +98,7 @@ HISTORY = {
     "pops_modification": "modification_id string, pops_id string, modification_type string, approved_date string, effective_from string, effective_to string, description string, source_id string",
     "building_record": "record_id string, pops_id string, bin string, bbl string, record_type string, record_date string, description string, source_id string",
 }
+HISTORY_READS = {"owner", "bulletin_id", *(column.split(" ")[0] for column in HISTORY["enforcement_action"].split(", "))}  # columns of the export that `history` reads
 MASTER_SOURCE = "master"
 
 

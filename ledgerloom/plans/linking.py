@@ -295,11 +295,11 @@ def relation_case(spark, d) -> DataFrame:
 _ACTS_SQL = "a AS (SELECT *, CAST(enforcement_id AS VARCHAR) AS id FROM acts WHERE pops_relation IN ('pops_text_and_property_match', 'pops_text_only', 'property_match_only') AND review_status <> 'reviewed_rejected')"
 
 
-def _public(spark, d) -> DataFrame:
+def _public(spark, d, sites: DataFrame | None = None) -> DataFrame:
     """Orders as reviewed actions, of which the public export shows those that are worded or linked."""
     acts = actions(spark, d).withColumnRenamed("review_status", "manual_review_status").withColumnRenamed("penalty", "penalty_amount")
     acts = acts.withColumns({"respondent": F.concat(F.lit("Holder "), "pops_id"), "bulletin_id": F.col("ym"), "bulletin_year": F.substring("ym", 1, 4), "bulletin_month": F.substring("ym", 6, 2), "enforcement_text": F.lit("said"), "violation_category": F.when(F.col("seq") % 2 == 0, "seating").otherwise("")})
-    return publish.export(publish.with_site(acts, _sites(spark, d).withColumnRenamed("year", "year_established")))
+    return publish.export(publish.with_site(acts, (_sites(spark, d) if sites is None else sites).withColumnRenamed("year", "year_established")))
 
 
 @query(f"""WITH {ACTIONS_SQL}, {_ACTS_SQL} SELECT id AS enforcement_id, a.pops_id, CAST(1000000000 + c_custkey AS VARCHAR) AS bbl, {BOROUGH_SQL} AS pops_borough_master, c_name AS building_name, {NUMBER} || ' ' || {CANONICAL} AS normalized_address,

@@ -104,3 +104,11 @@ def test_the_master_is_not_broadcast_to_actions(spark):
     out = publish.with_site(acts, spark.createDataFrame([("1", "B1"), ("", "no")], "pops_id string, bbl string"))
     assert "BroadcastHashJoin" not in plan(out) and "SortMergeJoin" in plan(out)
     assert sorted(out.select("enforcement_id", "pops_id", "pops_bbl", "pops_borough").collect()) == [("a", "1", "B1", ""), ("b", "", "", ""), ("c", None, "", ""), ("d", "9", "", "")]
+
+
+def test_a_master_of_one_file_is_dealt_to_all_tasks(spark):
+    """200,000 sites in one partition."""
+    raw = spark.range(0, 200_000, 1, 1).selectExpr("cast(id as string) as pops_id", "repeat(cast(id as string), 9) as building_name", "'' as bbl", "'' as bin", "'' as year", "'Queens' as borough", "concat(id % 90, '-', id % 70) as num", "'Elm St' as street")
+    out = master.normalise(raw)
+    assert out.rdd.getNumPartitions() >= 4
+    assert out.filter("pops_id = '171'").select("hn_low", "address_key", "address_normalized").first() == (81_031, "Queens|81-31|ELM STREET", "81-31 ELM STREET")
