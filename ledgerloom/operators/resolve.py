@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import address, rules, text
@@ -59,60 +59,86 @@ def geocoded(proofs: DataFrame) -> DataFrame:
     return per.select("action_id", said("geo_bbl").alias("geocoded_bbl"), said("geo_bin").alias("geocoded_bin"), said("geo_status").alias("geocode_status"))
 
 
+def told() -> list[Column]:
+    """What an action gives to be linked by: its borough, identifiers, and addresses (candidates)."""
+    ids = [F.col(f"identifiers.{k}").alias(k) for k in ("bbl", "bin", "block_lot")]
+    return [F.col("borough"), F.struct(*ids).alias("identifiers"), F.transform("candidates", lambda a: F.struct(a["number"].alias("number"), a["street"].alias("street"), a["borough"].alias("borough"))).alias("candidates")]
+
+
+def alike() -> Column:
+    """The same for all actions that give the same evidence: a hash of `told`."""
+    return F.unhex(F.md5(F.to_json(F.struct(*told())))).alias("alike")
+
+
+def outcomes(actions: DataFrame, master: DataFrame, geocodes: DataFrame) -> DataFrame:
+    """alike, OUTCOME and `look_for` (see `in_words`) of every evidence that actions(borough, identifiers, candidates) give, each once.
+
+    So the pairs with sites and with the geocoder's answers, and the lists of them, grow with the different addresses and not with the
+    actions that give them. Whoever joins this to actions should do so last: what follows would move the lists of each action.
+    """
+    each = cut(actions.select(*told()).distinct().select("*", alike()).withColumn("action_id", F.monotonically_increasing_id()))
+    return cut(each.select("action_id", "alike").join(decide(each, evidence(each, master, geocodes), master).hint("merge"), "action_id").drop("action_id"))
+
+
 def link(actions: DataFrame, master: DataFrame, geocodes: DataFrame) -> DataFrame:
-    """`match` of all actions, from their addresses (candidates) and identifiers.
+    """`match` of all actions, from their addresses (candidates) and identifiers; actions is read twice.
 
-    Actions that give the same evidence are matched once: one of them stands for all, so that the pairs with sites and with the geocoder's
-    answers grow with the different addresses and not with the actions that give them. Only a building's name in the text is looked for in each.
+    Actions that give the same evidence are matched once (`outcomes`). Only a building's name in the text is looked for in each.
     """
-    told = F.transform("candidates", lambda a: F.struct(a["number"].alias("number"), a["street"].alias("street"), a["borough"].alias("borough")))
-    alike = F.sha2(F.to_json(F.struct("borough", *[F.col(f"identifiers.{k}").alias(k) for k in ("bbl", "bin", "block_lot")], told.alias("told"))), 256)
-    groups = cut(actions.select(F.col("action_id").alias("own"), alike.alias("alike")))
-    first = groups.groupBy("alike").agg(F.min("own").alias("action_id"))
-    groups = cut(groups.join(first.hint("merge"), "alike").select("action_id", "own"))
-    leading = actions.select("action_id", "borough", "identifiers", "candidates", "enforcement_text").join(groups.filter("action_id = own").select("action_id").hint("merge"), "action_id", "left_semi")
-    leading = cut(leading)
-    texts = actions.select(F.col("action_id").alias("own"), F.col("enforcement_text").alias("said"))
-    return match(leading, evidence(leading, master, geocodes), master, groups, texts)
+    found = outcomes(actions, master, geocodes)
+    return in_words(actions.select("action_id", "enforcement_text", alike()).join(found.hint("merge"), "alike")).select("action_id", *OUTCOME)
+
+
+def match(actions: DataFrame, proofs: DataFrame, master: DataFrame) -> DataFrame:
+    """OUTCOME of every action: its site, how it was found and how surely, the candidates if there are several, notes, and the geocoder's word."""
+    return in_words(actions.select("action_id", "enforcement_text").join(decide(actions, proofs, master).hint("merge"), "action_id")).select("action_id", *OUTCOME)
 
 
-def match(actions: DataFrame, proofs: DataFrame, master: DataFrame, groups: DataFrame | None = None, texts: DataFrame | None = None) -> DataFrame:
-    """OUTCOME of every action: its site, how it was found and how surely, the candidates if there are several, notes, and the geocoder's word.
+def in_words(found: DataFrame) -> DataFrame:
+    """found with match_confidence and match_notes as they are if the building's name to `look_for` stands in enforcement_text."""
+    named = F.coalesce(corroborated(F.col("look_for"), F.col("enforcement_text")), F.lit(False))
+    note = F.concat("match_notes", F.lit("; building name '"), "look_for", F.lit("' in the text"))
+    return found.withColumns({"match_confidence": F.when(named, "medium").otherwise(F.col("match_confidence")), "match_notes": F.when(named, note).otherwise(F.col("match_notes"))})
 
-    groups: action_id and own, where an action stands for others (itself included), whose texts(own, said) may differ; the result is then theirs.
+
+def decide(actions: DataFrame, proofs: DataFrame, master: DataFrame) -> DataFrame:
+    """action_id, OUTCOME, and look_for: the building's name of the only site of a street that is alike, which the text may confirm.
 
     All levels are joins on equal keys; the lowest level with a candidate wins, and several sites there are ambiguous. A level sees only
     the actions that the levels before it left open, and ranges are compared once, however many actions and sites have them. What grows
     with the sites is never broadcast: the optimiser takes it for smaller than it is.
     """
-    proofs = cut(proofs)  # read by all levels
+    hn = F.when(F.col("hn").isNotNull(), F.struct(*[F.col(f"hn.{k}").alias(k) for k in ("kind", "low", "high")])).alias("hn")
+    proofs = cut(proofs.select("action_id", "pos", "query_key", "borough", "street", hn, "geo_bbl", "geo_bin", "geo_status", "inferred", "written"))  # read by all levels
     site = cut(master.select("pops_id", "bbl", "bin", "address_key", "borough", "street_canonical", "hn_low", "hn_high", "building_name", "bin_is_placeholder")).hint("merge")
     ids = actions.select("action_id", "identifiers", "borough")
     code = address.lookup({k: str(v) for k, v in rules.BOROUGH_CODES.items()}, F.col("borough"))
     lots = F.transform("identifiers.block_lot", lambda x: F.concat(code, F.lpad(F.split_part(x, F.lit("/"), F.lit(1)), 5, "0"), F.lpad(F.split_part(x, F.lit("/"), F.lit(2)), 4, "0")))
-    text_, geocode, blank = F.lit("text").alias("via"), F.lit("geocode").alias("via"), F.lit("")
+    text_, blank = F.lit(True).alias("in_text"), F.lit("")
     written = ids.select("action_id", text_, F.explode(F.concat("identifiers.bbl", F.when(code.isNotNull(), lots).otherwise(F.array().cast("array<string>")))).alias("bbl"))
-    bbls = written.unionByName(proofs.filter("geo_bbl is not null").select("action_id", geocode, F.col("geo_bbl").alias("bbl")))
-    bins = ids.select("action_id", text_, F.explode("identifiers.bin").alias("bin")).unionByName(proofs.filter("geo_bin is not null").select("action_id", geocode, F.col("geo_bin").alias("bin")))
+    bbls = written.unionByName(proofs.filter("geo_bbl is not null").select("action_id", (~text_).alias("in_text"), F.col("geo_bbl").alias("bbl")))
+    bins = ids.select("action_id", text_, F.explode("identifiers.bin").alias("bin")).unionByName(proofs.filter("geo_bin is not null").select("action_id", (~text_).alias("in_text"), F.col("geo_bin").alias("bin")))
 
-    def level(df: DataFrame, n: int, conf: Column, score: Column, note: Column, pos="pos", key=blank) -> DataFrame:
+    def level(df: DataFrame, n: int, conf: Column, score: Column, note: Column, pos="pos", key=blank, building=None) -> DataFrame:
         pos = F.lit(pos) if isinstance(pos, int) else F.col(pos)
-        return df.select("action_id", "pops_id", F.lit(n).alias("level"), conf.alias("conf"), score.cast("double").alias("score"), pos.cast("int").alias("pos"), note.alias("note"), key.alias("key"))
+        building = F.lit(None).cast("string") if building is None else building
+        return cut(decided(df.select("action_id", "pops_id", conf.alias("conf"), score.cast("double").alias("score"), pos.cast("int").alias("pos"), note.alias("note"), key.alias("key"), building.alias("building")), n))
 
     def left(df: DataFrame, found: DataFrame) -> DataFrame:
-        return df.join(found.select("action_id").distinct().hint("merge"), "action_id", "left_anti")
+        return df.join(found.select("action_id").hint("merge"), "action_id", "left_anti")
 
-    by_bbl = cut(bbls.join(site.filter("bbl <> ''"), "bbl").groupBy("action_id", "pops_id", "address_key").agg(F.collect_set("via").alias("via")))
-    asked = proofs.select("action_id", F.col("query_key").alias("address_key"), F.lit(True).alias("agrees")).distinct()
-    by_bbl = by_bbl.join(asked.hint("merge"), ["action_id", "address_key"], "left")
-    ways = by_bbl.groupBy("action_id").agg(F.max(F.coalesce("agrees", F.lit(False))).alias("any"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("via")))).alias("ways"))
-    note = F.concat(F.lit("bbl via "), F.array_join("ways", "+"), F.when(F.col("any"), "; address agrees too").otherwise(""))
-    found = [cut(level(by_bbl.join(ways.hint("merge"), "action_id"), 1, F.lit("high"), F.when(F.col("any"), 1.0).otherwise(0.95), note, pos=0))]
+    asked = proofs.groupBy("action_id").agg(F.collect_set("query_key").alias("asked"))
+    by_bbl = bbls.join(site.filter("bbl <> ''").select("bbl", "pops_id", "address_key"), "bbl").drop("bbl").join(asked.hint("merge"), "action_id", "left")
+    by_bbl = by_bbl.withColumn("agrees", F.coalesce(F.array_contains("asked", F.col("address_key")), F.lit(False)))
+    own = Window.partitionBy("action_id")  # of one evidence: its sites, which `decided` puts into one list
+    by_bbl = by_bbl.select("action_id", "pops_id", *[F.max(c).over(own).alias(to) for c, to in ((F.col("agrees"), "any"), (F.col("in_text"), "said"), (~F.col("in_text"), "looked_up"))])
+    note = F.concat(F.lit("bbl via "), F.concat_ws("+", F.when(F.col("looked_up"), "geocode"), F.when(F.col("said"), "text")), F.when(F.col("any"), "; address agrees too").otherwise(""))
+    found = [level(by_bbl, 1, F.lit("high"), F.when(F.col("any"), 1.0).otherwise(0.95), note, pos=0)]
 
-    by_bin = left(bins, found[0]).join(site.filter("bin <> '' and not bin_is_placeholder"), "bin").join(ids.select("action_id", (F.size("identifiers.bin") > 0).alias("worded")).hint("merge"), "action_id")
-    found.append(cut(level(by_bin, 2, F.lit("high"), F.lit(0.9), F.when(F.col("worded"), "bin via text").otherwise("bin via geocode"), pos=0)))
+    by_bin = left(bins, found[0]).join(site.filter("bin <> '' and not bin_is_placeholder").select("bin", "pops_id"), "bin").join(ids.select("action_id", (F.size("identifiers.bin") > 0).alias("worded")).hint("merge"), "action_id")
+    found.append(level(by_bin, 2, F.lit("high"), F.lit(0.9), F.when(F.col("worded"), "bin via text").otherwise("bin via geocode"), pos=0))
 
-    open_ = cut(left(left(proofs, found[0]), found[1]))
+    open_ = cut(left(left(proofs, found[0]), found[1]).drop("geo_bin"))
     exact = open_.join(site.select("pops_id", F.col("address_key").alias("query_key"), F.col("bbl").alias("site_bbl")), "query_key")
     differs = F.col("geo_bbl").isNotNull() & (F.col("site_bbl") != "") & (F.col("site_bbl") != F.col("geo_bbl"))
     score = F.when(differs, 0.6).otherwise(0.9)
@@ -121,60 +147,47 @@ def match(actions: DataFrame, proofs: DataFrame, master: DataFrame, groups: Data
     conf = F.when(differs | F.col("inferred"), "medium").otherwise("high")
     found.append(level(exact, 3, conf, F.when(F.col("inferred"), F.least(score, F.lit(0.7))).otherwise(score), note, key=F.col("query_key")))
 
-    keys = site.select(F.col("address_key").alias("query_key")).distinct()
-    open_ = cut(left(open_, open_.join(keys, "query_key", "left_semi")))
-    numbered = open_.filter("hn is not null").select("action_id", "pos", "query_key", "borough", "street", "written", F.col("hn.kind").alias("kind"), F.col("hn.low").alias("low"), F.col("hn.high").alias("high"))
+    numbered = left(open_, found[2]).filter("hn is not null")
+    numbered = cut(numbered.select("action_id", "pos", "query_key", "borough", "street", "written", F.col("hn.kind").alias("kind"), F.col("hn.low").alias("low"), F.col("hn.high").alias("high")))
     on_street = site.select("pops_id", "borough", F.col("street_canonical").alias("street"), "hn_low", "hn_high")
     asked = ["borough", "street", "kind", "low", "high"]
     spans, held = cut(numbered.select(*asked).distinct()), cut(on_street.drop("pops_id").distinct())
     there = ["borough", "street", "hn_low", "hn_high"]
     pairs = joins.overlapping(spans, held, ["borough", "street"], ("low", "high"), ("hn_low", "hn_high")).filter("kind = 'range' or hn_low <> hn_high")
-    ranges = numbered.join(cut(pairs).hint("merge"), asked).join(on_street, there)
-    found.append(cut(level(ranges, 4, F.lit("medium"), F.lit(0.75), F.lit("number ranges overlap"), key=F.col("query_key"))))
+    ranges = numbered.drop("written").join(cut(pairs).hint("merge"), asked).join(on_street, there)
+    found.append(level(ranges, 4, F.lit("medium"), F.lit(0.75), F.lit("number ranges overlap"), key=F.col("query_key")))
 
     numbered, there[1] = left(numbered, found[3]), "street_canonical"
-    near = spans.join(similar_streets(open_, site), ["borough", "street"])
+    near = spans.join(similar_streets(spans.withColumn("hn", F.lit(1)), site), ["borough", "street"])
     pairs = cut(joins.overlapping(near, held.withColumnRenamed("street", "street_canonical"), ["borough", "street_canonical"], ("low", "high"), ("hn_low", "hn_high")))
     fuzzy = cut(numbered.join(pairs.hint("merge"), asked))
     top = fuzzy.groupBy("action_id").agg(F.max("ratio").alias("top"))
     winners = fuzzy.join(top.hint("merge"), "action_id").filter("ratio = top").join(site.select("pops_id", "borough", "street_canonical", "hn_low", "hn_high", "building_name"), there)
-    if groups is None:
-        groups = actions.select("action_id", F.col("action_id").alias("own"))
-        texts = actions.select(F.col("action_id").alias("own"), F.col("enforcement_text").alias("said"))
-    winners = winners.join(groups.hint("merge"), "action_id").join(texts.hint("merge"), "own").drop("action_id").withColumnRenamed("own", "action_id")
-    winners = winners.withColumn("named", F.coalesce(corroborated(F.col("building_name"), F.col("said")), F.lit(False)))
-    conf = F.when(((F.col("top") >= ACCEPT) & ~F.col("variant")) | F.col("named"), "medium").otherwise("low")
+    conf = F.when((F.col("top") >= ACCEPT) & ~F.col("variant"), "medium").otherwise("low")
     kind = F.when(F.col("variant"), "one compass word more or less").otherwise(F.format_string("street name alike by %.0f", "top"))
     note = F.concat(kind, F.lit(" ('"), "written", F.lit("' ~ '"), "street_canonical", F.lit("')"))
-    named = F.when(F.col("named"), F.concat(F.lit("building name '"), "building_name", F.lit("' in the text")))
-    fuzzy = level(winners.withColumns({"note": note, "more": named}), 5, conf, F.col("top") / 100 * 0.8, F.concat_ws("\x1f", "note", "more"), key=F.col("query_key"))
+    found.append(level(winners, 5, conf, F.col("top") / 100 * 0.8, note, key=F.col("query_key"), building=F.col("building_name")))
 
     at = found[0]
     for more in found[1:]:
         at = at.unionByName(more)
-    names = [c for c in OUTCOME if not c.startswith("geocode")]
-    every = actions.select("action_id").join(geocoded(proofs).hint("merge"), "action_id", "left").join(decided(at).hint("merge"), "action_id", "left")
-    every = groups.hint("merge").join(cut(every).hint("merge"), "action_id").drop("action_id").withColumnRenamed("own", "action_id")
-    every = every.join(decided(fuzzy).withColumnsRenamed({c: f"own_{c}" for c in names}).hint("merge"), "action_id", "left")
-    every = every.withColumns({c: F.coalesce(c, f"own_{c}") for c in names})
+    every = actions.select("action_id").join(geocoded(proofs).hint("merge"), "action_id", "left").join(at.hint("merge"), "action_id", "left")
     nothing = F.when(F.col("geocode_status").isNull(), "no address to look up").otherwise("no site at this address")
-    return every.withColumn("match_notes", F.coalesce("match_notes", nothing)).fillna(OUTCOME).select("action_id", *OUTCOME)
-
-
-def decided(at: DataFrame) -> DataFrame:
-    """action_id and the columns of OUTCOME but the geocoder's, from the candidates(action_id, pops_id, level, conf, score, pos, note, key) of its only level."""
-    at, blank = at.withColumnRenamed("level", "best"), F.lit("")
-    seen = F.array_sort(F.collect_list(F.struct("pos", "pops_id")))
-    out = at.groupBy("action_id", "best").agg(F.array_distinct(F.transform(seen, lambda x: x["pops_id"])).alias("ids"), F.min_by(F.struct("conf", "score", "note", "key"), F.struct("pos", "pops_id")).alias("lead"))
-    one, method = F.size("ids") == 1, F.element_at(F.array(*map(F.lit, LEVELS)), F.col("best"))
-    several = F.concat(F.size("ids").cast("string"), F.lit(" candidates at level "), method)
-    parts = F.split("lead.note", "\x1f")  # a building's name speaks for one site only
-    notes = F.when(one, F.array_join(parts, "; ")).otherwise(F.concat_ws("; ", F.nullif(F.get(parts, F.lit(0)), blank), several))
+    return every.withColumn("match_notes", F.coalesce("match_notes", nothing)).fillna(OUTCOME).select("action_id", *OUTCOME, "look_for")
+
+
+def decided(at: DataFrame, level: int) -> DataFrame:
+    """action_id, the columns of OUTCOME but the geocoder's, and look_for, from the candidates(action_id, pops_id, conf, score, pos, note, key, building) of a level."""
+    seen, lead = F.array_sort(F.collect_list(F.struct("pos", "pops_id"))), F.struct("conf", "score", "note", "key", "building")
+    out = at.groupBy("action_id").agg(F.array_distinct(F.transform(seen, lambda x: x["pops_id"])).alias("ids"), F.min_by(lead, F.struct("pos", "pops_id")).alias("lead"))
+    one, method = F.size("ids") == 1, LEVELS[level - 1]
+    several = F.concat(F.size("ids").cast("string"), F.lit(f" candidates at level {method}"))
+    notes = F.when(one, F.col("lead.note")).otherwise(F.concat_ws("; ", F.nullif("lead.note", F.lit("")), several))
     return out.select(
-        "action_id", F.when(one, F.get("ids", F.lit(0))).otherwise("").alias("pops_id"), method.alias("match_method"),
+        "action_id", F.when(one, F.get("ids", F.lit(0))).otherwise("").alias("pops_id"), F.lit(method).alias("match_method"),
         F.when(one, F.col("lead.conf")).otherwise("none").alias("match_confidence"), F.when(one, F.bround("lead.score", 3)).otherwise(0.0).alias("match_score"),
         F.when(one, "matched").otherwise("ambiguous").alias("match_status"), F.when(one, "").otherwise(F.array_join("ids", ";")).alias("match_candidates"),
-        notes.alias("match_notes"), F.col("lead.key").alias("matched_address_key"),
+        notes.alias("match_notes"), F.col("lead.key").alias("matched_address_key"), F.when(one, F.col("lead.building")).alias("look_for"),
     )
 
 

@@ -93,8 +93,7 @@ CASE kind WHEN 4 THEN CAST(1000000000 + k AS VARCHAR) ELSE '' END AS geocoded_bb
 def match_hierarchy(spark, d) -> DataFrame:
     """All five levels: written BBL and BIN, exact address, geocoded BBL, number range (none in Queens, where it is one number), misspelt street."""
     acts, sites, geocodes = _linked(spark, d)
-    out = resolve.link(cut(acts), sites, geocodes)
-    return out.drop("match_score")
+    return resolve.link(acts, sites, geocodes).drop("match_score")  # a join of keys, which costs less to read twice than to store
 
 
 def _linked(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:

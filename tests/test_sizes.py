@@ -112,3 +112,25 @@ def test_a_master_of_one_file_is_dealt_to_all_tasks(spark):
     out = master.normalise(raw)
     assert out.rdd.getNumPartitions() >= 4
     assert out.filter("pops_id = '171'").select("hn_low", "address_key", "address_normalized").first() == (81_031, "Queens|81-31|ELM STREET", "81-31 ELM STREET")
+
+
+def exchanged(plan) -> int:
+    """Bytes that the exchanges of an executed plan moved."""
+    name = plan.nodeName()
+    if name.startswith("AdaptiveSparkPlan"):
+        return exchanged(plan.executedPlan())
+    if "QueryStage" in name:
+        return exchanged(plan.plan())
+    below, own = plan.children(), plan.metrics().apply("dataSize").value() if name == "Exchange" else 0
+    return own + sum(exchanged(below.apply(k)) for k in range(below.size()))
+
+
+def test_lists_of_sites_are_not_moved_once_an_action(spark):
+    """2,000 actions about a misspelt address of 400 sites: neither the pairs nor the lists of sites are exchanged for each action."""
+    sites = master.normalise(spark.range(400).selectExpr("cast(1000000 + id as string) as pops_id", "cast(1000000000 + id as string) as bbl", "'' as bin", "'1999' as year", "'Bronx' as borough", "'7' as num", "'Parkway Street' as street", "concat('Hall ', id) as building_name"))
+    one = F.struct(F.lit("").alias("raw"), F.lit("7").alias("number"), F.lit("Parkwey Street").alias("street"), F.lit(None).cast("string").alias("borough"), F.lit(True).alias("anchored"), F.lit(0).alias("start"), F.lit(0).alias("end"))
+    acts = spark.range(2_000).select(F.col("id").alias("action_id"), F.lit("Bronx").alias("borough"), F.concat(F.lit("case "), "id").alias("enforcement_text"), F.array(one).cast(address.ADDRESS_TYPE).alias("candidates"), address.identifiers(F.lit("x")).alias("identifiers"))
+    out = resolve.link(acts, sites, spark.createDataFrame([], "query_key string, bbl string, bin string, status string"))
+    got = out.collect()
+    assert len(got) == 2_000 and {(r["match_method"], r["match_status"], r["match_candidates"]) for r in got} == {("address_fuzzy", "ambiguous", ";".join(str(1_000_000 + k) for k in range(400)))}
+    assert 0 < exchanged(out._jdf.queryExecution().executedPlan()) < 2_000 * 400
