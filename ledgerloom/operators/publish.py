@@ -36,13 +36,13 @@ REQUIREMENTS = {
 }
 
 
-def with_site(actions: DataFrame, master: DataFrame) -> DataFrame:
+def with_site(actions: DataFrame, master: DataFrame, key: str = "enforcement_id") -> DataFrame:
     """Actions with the fields of the site they are linked to; blank for the others and for fields that the master lacks.
 
-    The master is not broadcast, however small the optimiser takes it to be; actions without a site are dealt to 64 keys that no site has.
+    The master is not broadcast, however small the optimiser takes it to be; actions without a site are dealt by their key to 64 keys that no site has.
     """
     have = {to: c for to, c in SITE_FIELDS.items() if c in master.columns}
-    none = F.concat(F.lit("\0"), F.pmod(F.xxhash64("enforcement_id"), F.lit(64)).cast("string"))
+    none = F.concat(F.lit("\0"), F.pmod(F.xxhash64(key), F.lit(64)).cast("string"))
     sites = master.select(F.col("pops_id").alias("_site"), *[F.col(c).cast("string").alias(to) for to, c in have.items()]).filter("_site <> ''")
     df = actions.withColumn("_own", F.coalesce(F.nullif("pops_id", F.lit("")), none)).join(sites.hint("merge"), F.col("_own") == F.col("_site"), "left").drop("_own", "_site")
     return df.withColumns({to: F.coalesce(F.col(to) if to in have else F.lit(None).cast("string"), F.lit("")) for to in SITE_FIELDS})
@@ -60,29 +60,46 @@ def run(bulletins: DataFrame, master: DataFrame, geocodes: DataFrame, decisions:
 
     bulletins: bulletin_id (YYYY-MM), pages, pdf_url, source_pdf. read: `segment.parse` of them, where it is at hand (for diagnostics, too). The result has one row per entry and what `export` and
     `review.record_issues` read.
+
+    Texts are moved twice: to number the repeats of a bulletin, and to meet the outcome of their evidence. All else comes to that outcome (site
+    fields, lists of sites) or is a small table beside the actions; what nobody reads, such as duplicates, is left out by Spark.
     """
-    said = F.col("enforcement_text")
-    parsed = segment.parse_entries(segment.split_entries(bulletins, read))
-    acts = cut(segment.stable_ids(parsed, F.replace("bulletin_id", F.lit("-"), F.lit(""))).withColumn("action_id", F.col("enforcement_id")))  # parsed once, read by all that follows
-    found = resolve.link(acts, master, geocodes).withColumnRenamed("action_id", "enforcement_id")
-    acts = acts.drop("action_id").join(found.hint("merge"), "enforcement_id")
+    said, about = F.col("enforcement_text"), ("pdf_url", "source_pdf")
+    rows = segment.split_entries(bulletins, keep=about) if read is None else segment.split_entries(bulletins, read).join(bulletins.select("bulletin_id", *about).hint("merge"), "bulletin_id")
+    rows = rows.filter("bulletin_id is not null").withColumn("enforcement_text", segment.entry_text()).drop("lines")
+    rows = segment.stable_ids(rows.withColumn("norm", text.normalised(said)), F.replace("bulletin_id", F.lit("-"), F.lit(""))).drop("norm")
+    acts = segment.fields(cut(segment.with_spans(rows)))  # parsed once, read by all that follows
+    found = with_site(resolve.outcomes(acts, master, geocodes), master, "alike")
     blank = text.blank_out(said, F.concat(F.transform("addresses", lambda a: a["raw"]), F.array("respondent")))
-    acts = acts.withColumn("wording", text.detect(said, blank)).withColumn("matched", F.col("match_status") == "matched")
+    acts = acts.withColumn("wording", text.detect(said, blank))
     tier = F.col("wording.tier")
-    classified = F.when((tier != "") | F.col("matched"), text.classify(said))
     acts = acts.withColumns(
         {
-            "pops_keyword_tier": tier, "pops_keyword_hits": F.array_join("wording.hits", ";"), "pops_relation": resolve.relation(tier, F.col("matched")), "classes": classified,
+            "pops_keyword_tier": tier, "pops_keyword_hits": F.array_join("wording.hits", ";"),
             "address_raw": F.coalesce("primary.raw", F.lit("")), "address_number": F.coalesce("primary.number", F.lit("")), "address_street": F.coalesce("primary.street", F.lit("")),
             "bulletin_year": F.substring("bulletin_id", 1, 4), "bulletin_month": F.substring("bulletin_id", 6, 2), "source_page": F.col("page"),
         }
-    )
+    ).drop("wording")
+    acts = segment.flag_duplicates(acts.withColumn("seq", F.struct("bulletin_id", "page", "entry"))).withColumn("possible_duplicate_of", F.col("duplicate_of")).drop("seq")
+    acts = acts.join(given(decisions, master), "enforcement_id", "left")
+    acts = resolve.in_words(acts.withColumn("alike", resolve.alike()).join(found.hint("merge"), "alike")).drop("alike", "look_for")
+    matched, tier = F.col("match_status") == "matched", F.col("pops_keyword_tier")
+    acts = acts.withColumns({"pops_relation": resolve.relation(tier, matched), "classes": F.when((tier != "") | matched, text.classify(said))})
     acts = acts.withColumns({"violation_category": F.coalesce(F.array_join("classes.categories", ";"), F.lit("")), "violation_category_terms": F.coalesce(F.when(F.size("classes.terms") > 0, F.to_json("classes.terms")), F.lit(""))})
-    acts = acts.join(bulletins.select("bulletin_id", "pdf_url", "source_pdf").hint("merge"), "bulletin_id")
-    reviewed = resolve.overlay(acts, decisions).withColumnRenamed("review_status", "manual_review_status")
-    ordered = reviewed.withColumn("seq", F.struct("bulletin_id", "page", "entry"))
-    dups = segment.flag_duplicates(ordered).withColumn("possible_duplicate_of", F.col("duplicate_of")).drop("seq", "wording", "classes", "matched")
-    return with_site(dups, master)
+    reviewed = resolve.decide_on(acts).withColumnRenamed("review_status", "manual_review_status")
+    moved = F.col("match_method") == "manual"
+    return reviewed.withColumns({c: F.when(moved, F.col(f"there.{c}")).otherwise(F.col(c)) for c in SITE_FIELDS}).drop("classes", "there")
+
+
+FEW, SMALL = 50_000, 8 << 20  # decisions, and their bytes, that may go to every task
+
+
+def given(decisions: DataFrame, master: DataFrame) -> DataFrame:
+    """enforcement_id, d (its last decision) and there (the fields of the site that it names); sent to all tasks if it is small (counted first)."""
+    last = with_site(resolve.last_decisions(decisions).withColumn("pops_id", F.col("d.to")), master)
+    last = cut(last.select("enforcement_id", "d", F.struct(*SITE_FIELDS).alias("there")))
+    n, size = last.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("d", "there")))), F.lit(0))).first()
+    return last.hint("broadcast" if n <= FEW and size <= SMALL else "merge")
 
 
 # The tables of the site history, their columns and types. The last four have no source yet and stay empty.

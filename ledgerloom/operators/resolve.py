@@ -357,8 +357,16 @@ def overlay(actions: DataFrame, decisions: DataFrame) -> DataFrame:
     actions: enforcement_id, pops_relation, match_confidence, match_status, pops_id, match_method. decisions: enforcement_id, seq,
     decision, pops_id, note.
     """
-    last = decisions.groupBy("enforcement_id").agg(F.max_by(F.struct("decision", F.col("pops_id").alias("to"), "note"), "seq").alias("d"))
-    df = actions.join(last, "enforcement_id", "left")
+    return decide_on(actions.join(last_decisions(decisions), "enforcement_id", "left"))
+
+
+def last_decisions(decisions: DataFrame) -> DataFrame:
+    """enforcement_id and d(decision, to, note), the last decision of each action."""
+    return decisions.groupBy("enforcement_id").agg(F.max_by(F.struct("decision", F.col("pops_id").alias("to"), "note"), "seq").alias("d"))
+
+
+def decide_on(df: DataFrame) -> DataFrame:
+    """`overlay` of actions that have their last decision d, or NULL."""
     word = F.lower(F.trim(F.coalesce("d.decision", F.lit(""))))
     status = F.when((F.col("pops_relation") == "pops_text_and_property_match") & (F.col("match_confidence") == "high"), "auto_confirmed")
     status = status.when((F.col("pops_relation") != "none") | (F.col("match_status") == "ambiguous"), "needs_review").otherwise("")

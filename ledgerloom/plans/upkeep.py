@@ -179,13 +179,13 @@ def bulletins_to_export(spark, d) -> DataFrame:
     c = F.col
     sites = cut(_sites(spark, d))
     street = F.initcap(F.lower("street_canonical"))
-    orders = T(spark, d, "orders").join(sites, c("o_custkey") == c("pops_id").cast("long"))
-    amount = (c("o_orderkey") % 30 * 1000 + 1500).cast("string")
-    said = F.concat(F.lit("\n• $"), amount, F.lit(" in total penalties issued to Holder "), c("pops_id"), F.lit(" LLC, the owner of "), c("num"), F.lit(" "), street, F.lit(", "), c("borough"), F.lit(", for a shut\npublic plaza, case "), c("o_orderkey").cast("string"), F.lit("."))
-    key = F.concat_ws("-", F.date_format("o_orderdate", "yyyy-MM"), "pops_id").alias("bulletin_id")
-    per = orders.groupBy(key, "borough").agg(F.array_join(F.array_sort(F.collect_list(said)), "").alias("entries"))
+    orders = T(spark, d, "orders").join(sites.hint("merge"), c("o_custkey") == c("pops_id").cast("long"))
+    amount = lambda k: (k % 30 * 1000 + 1500).cast("string")
+    said = lambda k: F.concat(F.lit("\n• $"), amount(k), F.lit(" in total penalties issued to Holder "), c("pops_id"), F.lit(" LLC, the owner of "), c("num"), F.lit(" "), street, F.lit(", "), c("borough"), F.lit(", for a shut\npublic plaza, case "), k.cast("string"), F.lit("."))
+    per = orders.groupBy("o_custkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"), "pops_id", "borough", "num", "street_canonical").agg(F.collect_list("o_orderkey").alias("own"))  # where the join left them
+    per = per.select(F.concat_ws("-", "month", "pops_id").alias("bulletin_id"), "borough", F.array_join(F.array_sort(F.transform("own", said)), "").alias("entries"))
     page = F.concat(F.lit("These are the individual enforcement highlights for\nMay 2024:\n"), c("borough"), c("entries"))
-    made = cut(per.select("bulletin_id", F.array(page).alias("pages"), F.lit("u").alias("pdf_url"), F.lit("p").alias("source_pdf")))
+    made = per.select("bulletin_id", F.array(page).alias("pages"), F.lit("u").alias("pdf_url"), F.lit("p").alias("source_pdf"))
     geocodes = sites.filter(c("pops_id").cast("long") % 2 == 0).select(c("address_key").alias("query_key"), "bbl", F.lit("2000000").alias("bin"), F.lit("ok").alias("status"))
     none = spark.createDataFrame([], "enforcement_id string, seq int, decision string, pops_id string, note string")
     out = publish.export(publish.run(made, sites, geocodes, none))

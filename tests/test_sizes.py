@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
+import re
 import time
 
 import pytest
@@ -134,3 +136,23 @@ def test_lists_of_sites_are_not_moved_once_an_action(spark):
     got = out.collect()
     assert len(got) == 2_000 and {(r["match_method"], r["match_status"], r["match_candidates"]) for r in got} == {("address_fuzzy", "ambiguous", ";".join(str(1_000_000 + k) for k in range(400)))}
     assert 0 < exchanged(out._jdf.queryExecution().executedPlan()) < 2_000 * 400
+
+
+def test_a_run_moves_no_lists_of_sites_and_skips_what_nobody_reads(spark, monkeypatch):
+    """900 bulletins about one address of 300 sites; a reviewer gives one action another site, whether decisions are few or many."""
+    sites = spark.range(301).selectExpr("cast(id as string) as pops_id", "cast(1000000000 + id as string) as bbl", "'' as bin", "'1999' as year", "'Bronx' as borough", "if(id < 300, '7', '9') as num", "'Elm Street' as street", "'Hall' as building_name")
+    sites = master.normalise(sites)
+    said = lambda k: f"$1,500 in total penalties issued to Holder {k} LLC, the owner of 7 Elm Street, Bronx, for a shut public plaza, case {k}."
+    id_of = lambda k: f"EA-2024{k}-" + hashlib.sha1(re.sub("[^a-z0-9$]+", " ", said(k).lower()).strip().encode()).hexdigest()[:10]
+    rows = [(f"2024-{k}", [f"These are the individual enforcement highlights for\nMay 2024:\nBronx\n• {said(k)}"], f"u{k}", "p") for k in range(100, 1000)]
+    made = spark.createDataFrame(rows, "bulletin_id string, pages array<string>, pdf_url string, source_pdf string")
+    geo = sites.filter("num = '7'").select(F.col("address_key").alias("query_key"), "bbl", F.lit("").alias("bin"), F.lit("ok").alias("status"))
+    decisions = spark.createDataFrame([(id_of(200), 1, "reassign", "300", "n"), (id_of(201), 1, "confirm", "", "")], "enforcement_id string, seq int, decision string, pops_id string, note string")
+    for few in (publish.FEW, 0):
+        monkeypatch.setattr(publish, "FEW", few)
+        out = publish.export(publish.run(made, sites, geo, decisions)).select("enforcement_id", "pops_id", "bbl", "match_method", "manual_review_status", "geocoded_bbl", "pdf_url")
+        got = {r["enforcement_id"]: r for r in out.collect()}
+        assert set(got) == {id_of(k) for k in range(100, 1000)} and got[id_of(300)]["pdf_url"] == "u300"
+        assert {len(r["geocoded_bbl"].split(";")) for r in got.values()} == {300}
+        assert tuple(got[id_of(200)])[1:5] == ("300", "1000000300", "manual", "reviewed_confirmed") and tuple(got[id_of(201)])[1:5] == ("", "", "bbl", "reviewed_confirmed")
+        assert 0 < exchanged(out._jdf.queryExecution().executedPlan()) < (2 if few else 4) * 900 * 1_000
