@@ -179,7 +179,8 @@ def bulletins_to_export(spark, d) -> DataFrame:
     c = F.col
     sites = cut(_sites(spark, d))
     street = F.initcap(F.lower("street_canonical"))
-    orders = T(spark, d, "orders").join(sites.hint("merge"), c("o_custkey") == c("pops_id").cast("long"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # a few bytes an order become pages of text, which adaptive execution does not see
+    orders = T(spark, d, "orders").repartition(tasks, "o_custkey").join(sites.hint("merge"), c("o_custkey") == c("pops_id").cast("long"))
     amount = lambda k: (k % 30 * 1000 + 1500).cast("string")
     said = lambda k: F.concat(F.lit("\n• $"), amount(k), F.lit(" in total penalties issued to Holder "), c("pops_id"), F.lit(" LLC, the owner of "), c("num"), F.lit(" "), street, F.lit(", "), c("borough"), F.lit(", for a shut\npublic plaza, case "), k.cast("string"), F.lit("."))
     per = orders.groupBy("o_custkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"), "pops_id", "borough", "num", "street_canonical").agg(F.collect_list("o_orderkey").alias("own"))  # where the join left them
